@@ -6,13 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import exact_dedup, language_id, packing
+from pulsegrid.llm import decontamination, exact_dedup, language_id, license_scan, oracles, packing, secret_scan
 from pulsegrid.llm.common import documents
 
 BPE = "byte_bpe_50k.json"
 PIECES = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.drop("hamming")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
@@ -29,13 +38,31 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths, _, _ = secret_scan.scan_versions(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["rank"] < len(secret_scan.BASE_RULES))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return paths.select(
+        F.col("path").cast("long").alias("doc_id"),
+        *[count(r.kind) for r in secret_scan.BASE_RULES],
+        F.sha2(F.encode(secret_scan.spans_text(base), "UTF-8"), 256).alias("base_sha256"),
+        secret_scan.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
+    "op2_decontamination": op2_decontamination,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE_SQL = {
+    "op1_license_scan": oracles.license_sql(),
+    "op2_decontamination": oracles.LEAKS,
+    "op10_secret_scan": oracles.secret_sql(),
     "op5_exact_dedup": r"""
 WITH n AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents

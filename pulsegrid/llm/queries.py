@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import decontamination, exact_dedup, language_id, license_scan, oracles, packing, secret_scan
+from pulsegrid.llm import decontamination, exact_dedup, language_id, license_scan, near_dedup, oracles, packing, secret_scan
 from pulsegrid.llm.common import documents
 
 BPE = "byte_bpe_50k.json"
@@ -26,6 +26,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path(BPE))
     return pieces.select("doc_id", "start", "length", F.crc32("token_ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -54,6 +58,7 @@ QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_decontamination": op2_decontamination,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_near_dedup": op7_near_dedup,
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,

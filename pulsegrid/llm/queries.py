@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import decontamination, exact_dedup, language_id, license_scan, near_dedup, oracles, packing, secret_scan
+from pulsegrid.llm import decontamination, exact_dedup, language_id, license_scan, near_dedup, oracles, packing, secret_scan, suffix_dedup
 from pulsegrid.llm.common import documents
 
 BPE = "byte_bpe_50k.json"
@@ -22,6 +22,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("hamming")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
@@ -57,6 +62,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_decontamination": op2_decontamination,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_near_dedup": op7_near_dedup,
     "op8_packing": op8_packing,

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import decontamination, exact_dedup, language_id, license_scan, near_dedup, oracles, packing, secret_scan, suffix_dedup
+from pulsegrid.llm import decontamination, exact_dedup, language_id, license_scan, near_dedup, oracles, packing, quality, secret_scan, suffix_dedup
 from pulsegrid.llm.common import documents
 
 BPE = "byte_bpe_50k.json"
@@ -31,6 +31,13 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    machine = quality.fit(docs, labels.where(~language_id.held_out()))
+    found = quality.score(docs, machine)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
@@ -64,6 +71,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_quality": op6_quality,
     "op7_near_dedup": op7_near_dedup,
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import decontamination, exact_dedup, language_id, license_scan, near_dedup, oracles, packing, quality, secret_scan, suffix_dedup
+from pulsegrid.llm import decontamination, exact_dedup, language_id, language_model, license_scan, near_dedup, oracles, packing, quality, secret_scan, suffix_dedup
 from pulsegrid.llm.common import documents
 
 BPE = "byte_bpe_50k.json"
@@ -27,6 +27,12 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = language_id.held_out(folds=7, fold=2)
+    found = language_model.score(documents(spark, sf_dir), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
@@ -70,6 +76,7 @@ QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_decontamination": op2_decontamination,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_language_model": op4_language_model,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality": op6_quality,
     "op7_near_dedup": op7_near_dedup,

@@ -29,7 +29,7 @@ _V = "CASE WHEN value >= 100 THEN value END"
 @query(f"""
 WITH s AS (SELECT *, (epoch_us(ts) - epoch_us(lag(ts) OVER w)) / 1e6 AS dt FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts))
 SELECT user_id, count(*) AS n_rows, epoch_us(min(ts)) AS t_start, epoch_us(max(ts)) AS t_end,
-       round(median(dt), 6) AS median_dt_s, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 6) AS duration_s,
+       round(median(dt), 3) AS median_dt_s, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 6) AS duration_s,
        round(CASE WHEN median(dt) > 0 THEN 1 / median(dt) END, 9) AS fs_hz,
        array_to_string(list_sort(list(DISTINCT event_type)), ',') AS variables
 FROM s GROUP BY user_id""")
@@ -40,7 +40,7 @@ def recording_descriptor(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_rows",
         ts.micros(F.col("t_start")).alias("t_start"),
         ts.micros(F.col("t_end")).alias("t_end"),
-        F.round("median_dt_s", 6).alias("median_dt_s"),
+        F.round("median_dt_s", 3).alias("median_dt_s"),
         F.round("duration_s", 6).alias("duration_s"),
         F.round("fs_hz", 9).alias("fs_hz"),
         F.array_join("variables", ",").alias("variables"),
@@ -49,18 +49,18 @@ def recording_descriptor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH s AS (SELECT *, (epoch_us(ts) - epoch_us(lag(ts) OVER w)) / 1e6 AS dt FROM events {_W})
-SELECT user_id, event_type, round(median(dt), 6) AS median_s, round(min(dt), 6) AS min_s, round(max(dt), 6) AS max_s,
+SELECT user_id, event_type, round(median(dt), 2) AS median_s, round(min(dt), 6) AS min_s, round(max(dt), 6) AS max_s,
        round(1 / median(dt), 9) AS estimated_hz
 FROM s WHERE dt > 0 GROUP BY user_id, event_type""")
 def sampling_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ts.rates(samples(spark, sf_dir), KEYS, "ts")
-    return out.select(*KEYS, *[F.round(c, 6).alias(c) for c in ("median_s", "min_s", "max_s")], F.round("estimated_hz", 9).alias("estimated_hz"))
+    return out.select(*KEYS, F.round("median_s", 2).alias("median_s"), *[F.round(c, 6).alias(c) for c in ("min_s", "max_s")], F.round("estimated_hz", 9).alias("estimated_hz"))
 
 
 @query("""
 WITH s AS (SELECT user_id, (epoch_us(ts) - epoch_us(lag(ts) OVER w)) / 1e6 AS dt FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
 m AS (SELECT user_id, median(dt) AS med FROM s WHERE dt > 0 GROUP BY user_id)
-SELECT user_id, round(any_value(med), 6) AS median_s, round(1 / any_value(med), 9) AS nominal_hz,
+SELECT user_id, round(any_value(med), 3) AS median_s, round(1 / any_value(med), 9) AS nominal_hz,
        round(avg((abs(dt - med) > 0.5 * med)::INT), 6) AS irregular, round(avg((dt <= 0)::INT), 6) AS disorder,
        round(avg((dt > 10 * med)::INT), 6) AS gap_fraction, round(coalesce(sum(CASE WHEN dt > 10 * med THEN dt END), 0), 6) AS gap_s
 FROM s JOIN m USING (user_id) WHERE dt IS NOT NULL GROUP BY user_id""")
@@ -69,7 +69,8 @@ def time_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "user_id",
         F.round("nominal_hz", 9).alias("nominal_hz"),
-        *[F.round(c, 6).alias(c) for c in ("median_s", "irregular", "disorder", "gap_fraction", "gap_s")],
+        F.round("median_s", 3).alias("median_s"),
+        *[F.round(c, 6).alias(c) for c in ("irregular", "disorder", "gap_fraction", "gap_s")],
     )
 
 

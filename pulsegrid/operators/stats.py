@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,8 +71,6 @@ def rank_test(df: DataFrame, group: str, value: str, scope: list[str] | None = N
     z = (F.abs(u - m1 * m2 / 2) - 0.5) / F.nullif(sd, F.lit(0.0))
     out = out.withColumns({"u": F.when(F.col("n_groups") == 2, u), "h": h, "__z": z})
 
-    import pandas as pd
-
     @F.pandas_udf("double")
     def p_value(z: pd.Series, h: pd.Series, k: pd.Series) -> pd.Series:
         one = lambda z, h, k: None if k < 2 else min(1.0, math.erfc(max(z, 0) / math.sqrt(2))) if k == 2 else chi2_tail(h, k - 1)

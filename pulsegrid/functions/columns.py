@@ -15,7 +15,7 @@ def no_nan(value: Column) -> Column:
 
 def decimal_comma(text: Column) -> Column:
     """A number written with a decimal comma or point; null if it isn't one."""
-    return F.expr("try_cast(x as double)") if text is None else F.replace(F.trim(text), F.lit(","), F.lit(".")).try_cast("double")
+    return F.replace(F.trim(text), F.lit(","), F.lit(".")).try_cast("double")
 
 
 def numeric(text: Column, missing_texts: Iterable[str] = ("***", "")) -> Column:
@@ -94,4 +94,6 @@ def short_hash(text: Column, length: int = 8) -> Column:
 
 def versioned_key(key: Column, digest: Column) -> Column:
     """A key that never overwrites: the file's extension after .v2-<first 8 of the digest>."""
-    return F.regexp_replace(key, r"(\.[^./]+)?$", F.concat(F.lit(".v2-"), F.left(digest, F.lit(8)), F.regexp_extract(key, r"(\.[^./]+)$", 1)))
+    extension = F.regexp_extract(key, r"(\.[^./]+)$", 1)
+    stem = F.substring(key, F.lit(1), F.length(key) - F.length(extension))
+    return F.concat(stem, F.lit(".v2-"), F.left(digest, F.lit(8)), extension)

@@ -21,6 +21,11 @@ def seconds(ts: Column) -> Column:
     return micros(ts) / 1e6
 
 
+def step_s(ts: str, w) -> Column:
+    """Seconds since the row before, exact to the microsecond."""
+    return (micros(F.col(ts)) - F.lag(micros(F.col(ts))).over(w)) / 1e6
+
+
 def series(keys: list[str], order: str):
     return Window.partitionBy(*keys).orderBy(order)
 
@@ -172,13 +177,13 @@ def expand(df: DataFrame, keys: list[str], order: str, flag: str, before: int =
 def gap_segments(df: DataFrame, keys: list[str], ts: str, value: str, max_gap_s: float) -> DataFrame:
     """Column ``segment``: number of the stretch of valid samples without a pause of more than ``max_gap_s``."""
     rows = df.where(F.col(value).isNotNull())
-    gap = seconds(F.col(ts)) - F.lag(seconds(F.col(ts))).over(series(keys, ts))
+    gap = step_s(ts, series(keys, ts))
     return rows.withColumn("segment", run_id(F.coalesce(gap > max_gap_s, F.lit(False)), keys, ts))
 
 
 def describe_recording(df: DataFrame, keys: list[str], ts: str, variable: str | None = None) -> DataFrame:
     """Per recording: n_rows, t_start, t_end, duration_s, median_dt_s, fs_hz and, if given, the sorted variables."""
-    rows = df.withColumn("__dt", seconds(F.col(ts)) - F.lag(seconds(F.col(ts))).over(series(keys, ts)))
+    rows = df.withColumn("__dt", step_s(ts, series(keys, ts)))
     aggregates = [
         F.count("*").alias("n_rows"),
         F.min(ts).alias("t_start"),
@@ -194,7 +199,7 @@ def describe_recording(df: DataFrame, keys: list[str], ts: str, variable: str |
 
 def rates(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
     """Sampling from positive steps only: median, least and greatest step and the estimated rate."""
-    rows = df.withColumn("__dt", seconds(F.col(ts)) - F.lag(seconds(F.col(ts))).over(series(keys, ts))).where("__dt > 0")
+    rows = df.withColumn("__dt", step_s(ts, series(keys, ts))).where("__dt > 0")
     out = rows.groupBy(*keys).agg(F.median("__dt").alias("median_s"), F.min("__dt").alias("min_s"), F.max("__dt").alias("max_s"))
     return out.withColumn("estimated_hz", 1 / F.col("median_s"))
 
@@ -204,7 +209,7 @@ def time_base(df: DataFrame, keys: list[str], position: str, ts: str) -> DataFra
 
     Steps count as irregular if off the median by more than half of it, as gaps if over ten times it.
     """
-    step = seconds(F.col(ts)) - F.lag(seconds(F.col(ts))).over(series(keys, position))
+    step = step_s(ts, series(keys, position))
     rows = df.select(*keys, step.alias("dt")).where("dt is not null")
     middle = rows.where("dt > 0").groupBy(*keys).agg(F.median("dt").alias("med"))
     rows = rows.join(middle, keys)
@@ -221,7 +226,7 @@ def time_base(df: DataFrame, keys: list[str], position: str, ts: str) -> DataFra
 
 def gap_check(df: DataFrame, keys: list[str], ts: str, limit_s: float) -> DataFrame:
     """Per recording the worst step between time stamps and how many are over the limit."""
-    rows = df.withColumn("__dt", seconds(F.col(ts)) - F.lag(seconds(F.col(ts))).over(series(keys, ts)))
+    rows = df.withColumn("__dt", step_s(ts, series(keys, ts)))
     return rows.groupBy(*keys).agg(F.max("__dt").alias("worst_gap_s"), F.count_if(F.col("__dt") > limit_s).alias("n_gaps"))
 
 

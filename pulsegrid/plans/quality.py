@@ -248,3 +248,26 @@ def fuller_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("event_id") % 3
     df = with_missing(samples(spark, sf_dir)).withColumn("col", F.when(i == 0, "a").when(i == 1, "b").otherwise("c"))
     return windows.fuller_column(df, KEYS, "col", "v").select("event_id", "col")
+
+
+@query(f"""
+WITH q AS (
+  SELECT event_id, user_id, event_type, ts, CASE WHEN x = -1401 THEN 'MISSING' WHEN variable IS NULL THEN 'UNREVIEWED'
+         WHEN low IS NOT NULL AND high IS NOT NULL AND ((x = 0 AND NOT zero_is_valid) OR x < low OR x > high) THEN 'INVALID_RANGE'
+         WHEN fallback THEN 'LOW_QUALITY' ELSE 'VALID' END AS qc, x
+  FROM (SELECT *, {_X} AS x FROM events) LEFT JOIN {_SPEC} ON event_type = variable
+),
+c AS (SELECT *, CASE WHEN qc NOT IN ('MISSING', 'INVALID_RANGE') THEN x END AS clean FROM q),
+m AS (SELECT *, CASE WHEN count(clean) OVER w = 5 THEN median(clean) OVER w END AS med FROM c WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)),
+d AS (SELECT *, abs(clean - med) AS dev FROM m),
+z AS (SELECT *, CASE WHEN count(dev) OVER w = 5 THEN median(dev) OVER w END AS mad FROM d WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)),
+f AS (SELECT event_type, CASE WHEN coalesce(dev / (1.4826 * nullif(mad, 0)) > 5, false) THEN 'SPIKE' ELSE qc END AS qc, clean FROM z)
+SELECT event_type, qc, count(*) AS n, round(avg(clean), 6) AS mean FROM f GROUP BY ALL""")
+def flagged_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validity first, then spikes among what is left; every sample keeps a label."""
+    from pulsegrid.operators import timeseries as ts
+
+    rows = quality.validity(coded(spark, sf_dir), "x", "event_type", quality.dictionary(spark, SPEC), [-1401.0, 9999.0])
+    rows = ts.spikes(rows, KEYS, "ts", "clean", 5)
+    rows = rows.withColumn("qc", F.when(F.col("spike"), "SPIKE").otherwise(F.col("qc")))
+    return rows.groupBy("event_type", "qc").agg(F.count("*").alias("n"), F.round(F.avg("clean"), 6).alias("mean"))

@@ -8,15 +8,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import BROADCAST_BYTES, id_and_text, materialize, maybe_broadcast, slices, words_of
+from pulsegrid.llm.common import id_and_text, materialize, maybe_broadcast, slices, words_of
 from pulsegrid.llm.graph import components
 
 SHINGLE = 5
 LEAST_SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 SIZE = BANDS * ROWS
-#: A bucket whose open pairs are this few has them all compared at once; others go on one pivot at a time.
-PAIRS_AT_ONCE = 4096
 
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -118,58 +116,88 @@ def _contents(batches):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(node, pa.binary()), pa.array(rows, pa.binary())], ["doc_id", "node", "content"])
 
 
-def similarity(a: bytes, b: bytes) -> float:
-    """Jaccard similarity of two sorted multisets of shingles, weighted by occurrences."""
-    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-    if not len(x) or not len(y):
-        return 0.0
-    if min(len(x), len(y)) < LEAST_SIMILARITY * max(len(x), len(y)):
-        return min(len(x), len(y)) / max(len(x), len(y))  # a bound that is too low already
-    # The k-th occurrence of a shingle counts as an element of its own.
-    kth = lambda v: np.arange(len(v)) - np.searchsorted(v, v)
-    one = mix(x + _STEP * kth(x).astype(np.uint64))
-    two = mix(y + _STEP * kth(y).astype(np.uint64))
-    common = len(np.intersect1d(one, two, assume_unique=True))
-    return common / (len(x) + len(y) - common)
+#: 64-bit words of the masks that hold where two shingle sets differ.
+MASK_WORDS = 8
 
 
-def _verify(batches):
+def elements(content: bytes) -> np.ndarray:
+    """A sorted multiset of shingles as a set: the k-th occurrence of a shingle is an element of its own."""
+    v = np.frombuffer(content, "<u8")
+    return mix(v + _STEP * (np.arange(len(v)) - np.searchsorted(v, v)).astype(np.uint64))
+
+
+def mask(elements: np.ndarray) -> np.ndarray:
+    """Bits of the elements' hashes."""
+    bits = np.zeros(64 * MASK_WORDS, bool)
+    bits[(elements >> np.uint64(55)).astype(np.int64) % len(bits)] = True
+    return np.packbits(bits).view(np.int64)
+
+
+def compare(a: bytes, b: bytes):
+    """Whether two multisets are similar; sizes of both, what b lacks of a and has beyond it, as counts and masks."""
+    x, y = elements(a), elements(b)
+    common = np.intersect1d(x, y, assume_unique=True)
+    n, m, c = len(x), len(y), len(common)
+    similar = c >= LEAST_SIMILARITY * (n + m - c) and c > 0
+    return similar, n, m, n - c, m - c, mask(np.setdiff1d(x, common, True)), mask(np.setdiff1d(y, common, True))
+
+
+_LACKS, _NEW = ([f"{k}{i}" for i in range(MASK_WORDS)] for k in ("lacks_", "new_"))
+_COMPARED = "a binary, b binary, similar boolean, size_a int, size int, n_lacks int, n_new int, " + ", ".join(f"{c} long" for c in [*_LACKS, *_NEW])
+
+
+def _compare(batches):
     for batch in batches:
-        a, b, x, y = (batch.column(i).to_pylist() for i in range(4))
-        good = [similarity(p, q) >= LEAST_SIMILARITY for p, q in zip(x, y, strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([v for v, g in zip(c, good, strict=True) if g], pa.binary()) for c in (a, b)], ["a", "b"]
-        )
-
-
-def _open_pairs(buckets: DataFrame, labels: DataFrame | None) -> DataFrame | None:
-    """Pairs still to compare: of each bucket whose nodes have several labels."""
-    if labels is None:
-        pivot = buckets.groupBy("bucket").agg(F.min("node").alias("pivot"))
-        return buckets.join(pivot, "bucket").where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    rows = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    state = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("first"), F.count("*").alias("n"))
-    state = state.where("low <> high")
-    rows = rows.join(state.select("bucket", "first", "n"), "bucket")
-    main = rows.where("node = first").select("bucket", F.col("label").alias("main"))
-    rows = materialize(rows.join(main, "bucket"), "near-open")
-    # Those that aren't with the bucket's first node are few; each is to meet all of the bucket.
-    outside = rows.where("label <> main")
-    many = outside.groupBy("bucket").agg(F.count("*").alias("outside"), F.min("node").alias("next"))
-    outside = outside.join(many, "bucket")
-    pivots = outside.where((F.col("outside") * F.col("n") <= PAIRS_AT_ONCE) | (F.col("node") == F.col("next")))
-    pivots = pivots.select("bucket", F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
-    pairs = rows.join(pivots, "bucket").where("label <> pivot_label")
-    return pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+        a, b, x, y = (batch.column(i) for i in range(4))
+        rows = [compare(p.as_py(), q.as_py()) for p, q in zip(x, y, strict=True)]
+        if not rows:
+            continue
+        flat = [pa.array([r[i] for r in rows], pa.int32() if i else pa.bool_()) for i in range(5)]
+        words = [pa.array(c) for k in (5, 6) for c in np.array([r[k] for r in rows]).T]
+        yield pa.RecordBatch.from_arrays([a, b, *flat, *words], [f.split()[0] for f in _COMPARED.split(", ")])
+
+
+def star_pairs(buckets: DataFrame) -> DataFrame:
+    """Each bucket's pivot with all its other nodes: (a, b). The pivot is the node that meets most others in all."""
+    degree = buckets.groupBy("node").agg(F.sum("n").alias("degree"))
+    rows = buckets.join(degree, "node")
+    pivot = rows.groupBy("bucket").agg(F.max_by("node", F.struct("degree", "node")).alias("pivot"))
+    return buckets.join(pivot, "bucket").where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def open_pairs(compared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of nodes compared with one pivot but in different classes, that can still be similar: (a, b).
+
+    What a node lacks of the pivot and has beyond it bounds what two nodes share: at most the pivot's size less what
+    either lacks, plus what both have beyond it. Masks bound both from the safe side, so no similar pair is left out.
+    """
+    nodes = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "size", "size_a", "n_lacks", "n_new", *_LACKS, *_NEW)
+    zero = [F.lit(0).cast(t).alias(c) for c, t in [("n_lacks", "int"), ("n_new", "int"), *[(c, "long") for c in [*_LACKS, *_NEW]]]]
+    own = compared.select(F.col("a").alias("pivot"), F.col("a").alias("node"), F.col("size_a").alias("size"), "size_a").distinct().select("*", *zero)
+    rows = nodes.unionByName(own).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    several = rows.groupBy("pivot").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("pivot")
+    rows = materialize(rows.join(several, "pivot", "left_semi"), "near-open")
+    x, y = rows.alias("x"), rows.alias("y")
+    c = F.col
+    beyond = lambda names, p, q: sum((F.bit_count(c(f"{p}.{n}").bitwiseAND(F.bitwise_not(c(f"{q}.{n}")))) for n in names[1:]), F.bit_count(c(f"{p}.{names[0]}").bitwiseAND(F.bitwise_not(c(f"{q}.{names[0]}")))))
+    kept = c("x.size_a") - c("x.n_lacks") - beyond(_LACKS, "y", "x")
+    most = kept + F.least(c("x.n_new") - beyond(_NEW, "x", "y"), c("y.n_new") - beyond(_NEW, "y", "x"))
+    sizes = c("x.size") + c("y.size")
+    possible = F.least(most, c("x.size"), c("y.size")) * (1 + LEAST_SIMILARITY) >= LEAST_SIMILARITY * sizes - 1e-9
+    pairs = x.join(y, (c("x.pivot") == c("y.pivot")) & (c("x.label") < c("y.label")) & possible)
+    pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    done = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs.join(done, ["a", "b"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Classes of documents linked by near-duplicate texts: doc_id, class_id (smallest id), class_size; a row per row.
 
     Two texts are linked if the multisets of their five-word shingles have a Jaccard similarity of 0.8 or more. Texts of
-    equal words are one node. Nodes that share a band of the signature are a bucket. The nodes of a bucket are compared
-    with its first node; then those it didn't join are compared with the others, until no bucket has a pair that is
-    neither compared nor joined by other links. A similarity of 0.8 shares a bucket with probability 0.9999.
+    equal words are one node. Nodes that share a band of the signature are a bucket. A bucket's nodes are compared with
+    its pivot; then those of them that this left in different classes are compared with each other, unless what is known
+    from the pivot rules out that they are similar. So every similar pair that shares a bucket ends in one class. A
+    similarity of 0.8 shares a bucket with probability 0.9999.
 
     Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. A text of one to four words has them as
     its one shingle; null, empty and wordless texts are alone. Repeated rows are each in the class. A null id never
@@ -181,7 +209,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = materialize(nodes.select("node", F.col("at.doc_id").alias("rep"), "bands"), "near-nodes")
     rows = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    buckets = materialize(rows.join(shared.select("bucket"), "bucket", "left_semi"), "near-buckets")
+    buckets = materialize(rows.join(shared, "bucket"), "near-buckets")
     # Shingles of the nodes in buckets, from one row each.
     wanted = materialize(nodes.join(buckets.select("node").distinct(), "node", "left_semi").select(F.col("node").alias("wanted"), "rep"), "near-wanted")
     contents = source.mapInArrow(_contents, "doc_id long, node binary, content binary")
@@ -189,27 +217,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         maybe_broadcast(wanted, wanted.count(), 48), (F.col("node") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("rep"))
     )
     contents = materialize(contents.select("node", "content").dropDuplicates(["node"]), "near-contents")
-    bytes_all = contents.agg(F.sum(F.length("content") + 32)).first()[0] or 0
-    side = F.broadcast(contents) if bytes_all <= BROADCAST_BYTES else contents
-    tested, edges, labels = None, None, None
-    while True:
-        pairs = _open_pairs(buckets, labels).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "near-pairs")
-        if pairs.isEmpty():
-            break
-        both = pairs.join(side.select(F.col("node").alias("b"), F.col("content").alias("y")), "b")
-        both = both.join(side.select(F.col("node").alias("a"), F.col("content").alias("x")), "a").select("a", "b", "x", "y")
-        found = materialize(both.mapInArrow(_verify, "a binary, b binary"), "near-links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        edges = found if edges is None else edges.unionByName(found)
-        labels = materialize(components(edges), "near-labels")
+
+    def verified(pairs: DataFrame, label: str) -> DataFrame:
+        both = pairs.join(contents.select(F.col("node").alias("b"), F.col("content").alias("y")), "b")
+        both = both.join(contents.select(F.col("node").alias("a"), F.col("content").alias("x")), "a").select("a", "b", "x", "y")
+        return materialize(both.mapInArrow(_compare, _COMPARED), label)
+
+    compared = verified(star_pairs(buckets), "near-stars")
+    edges = compared.where("similar").select("a", "b")
+    labels = materialize(components(edges), "near-labels")
+    more = verified(open_pairs(compared, labels), "near-more").where("similar").select("a", "b")
+    if not more.isEmpty():
+        labels = materialize(components(edges.unionByName(more)), "near-labels")
     out = sketch.select("doc_id", "node")
-    if labels is not None:
-        out = out.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    else:
-        out = out.withColumn("label", F.col("node"))
+    out = out.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     classes = out.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
     classes = materialize(classes.where("class_size > 1"), "near-classes")
     out = out.join(maybe_broadcast(classes, classes.count(), 48), "label", "left")

@@ -196,11 +196,23 @@ def test_signatures_estimate_similarity():
     assert abs((sig[0] == sig[1]).mean() - 360 / 440) < 0.04
 
 
-def test_bucket_members_that_differ_from_its_first_meet(spark):
-    labels = spark.createDataFrame([(b"a", b"a"), (b"b", b"b"), (b"c", b"b"), (b"d", b"a")], "node binary, label binary")
-    buckets = spark.createDataFrame([(1, n) for n in (b"a", b"b", b"c", b"d")], "bucket long, node binary")
-    pairs = {(bytes(r.a), bytes(r.b)) for r in near_dedup._open_pairs(buckets, labels).collect()}
-    assert pairs == {(b"a", b"b"), (b"a", b"c"), (b"b", b"d"), (b"c", b"d")}
+def test_similar_nodes_that_differ_from_their_pivot_meet(spark):
+    """All pairs that are similar are open, whatever the pivot."""
+    random = np.random.default_rng(3)
+    base = random.integers(1, 1 << 62, 60).astype("<u8")
+    sets = [base]
+    for _ in range(40):
+        v = sets[int(random.integers(0, len(sets)))].copy()
+        at = random.choice(len(v), int(random.integers(1, 8)), replace=False)
+        v[at] = random.integers(1, 1 << 62, len(at)).astype("<u8")
+        sets.append(v[: len(v) - int(random.integers(0, 2))])
+    content = [np.sort(v).tobytes() for v in sets]
+    rows = [(bytes([0]), bytes([i]), *[int(x) if k else bool(x) for k, x in enumerate(r[:5])], *map(int, r[5]), *map(int, r[6])) for i, r in ((i, near_dedup.compare(content[0], content[i])) for i in range(1, len(content)))]
+    compared = spark.createDataFrame(rows, near_dedup._COMPARED)
+    labels = spark.createDataFrame([], "node binary, label binary")
+    got = {(r.a[0], r.b[0]) for r in near_dedup.open_pairs(compared, labels).collect()}
+    similar = {(i, j) for j in range(1, len(content)) for i in range(1, j) if near_dedup.compare(content[i], content[j])[0]}
+    assert similar and similar <= got and len(got) < 41 * 40 / 2
 
 
 def test_components(spark):

@@ -22,7 +22,7 @@ def describe_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT user_id, event_type, count(value) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS sd, round(quantile_cont(value, 0.5), 6) AS median,
-       round(quantile_cont(value, 0.25), 6) AS p25, round(quantile_cont(value, 0.75), 6) AS p75, min(value) AS min, max(value) AS max, 0.0 AS missing_pct
+       round(quantile_cont(value, 0.25), 6) AS p25, round(quantile_cont(value, 0.75), 6) AS p75, min(value) AS min, max(value) AS max, 0.0::DOUBLE AS missing_pct
 FROM events GROUP BY ALL""")
 def describe_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = stats.describe(samples(spark, sf_dir), KEYS, "value", rounded=False)
@@ -33,7 +33,7 @@ _SHARES = [0.001, 0.01, 0.05, 0.5, 0.95, 0.99, 0.999]
 
 
 @query(f"""
-SELECT event_type, s AS share, round(quantile_cont(value, {_SHARES})[i], 6) AS value
+SELECT event_type, s::DOUBLE AS share, round(quantile_cont(value, {_SHARES})[i], 6) AS value
 FROM events, (SELECT unnest({_SHARES}) AS s, unnest(range(1, {len(_SHARES) + 1})) AS i) GROUP BY event_type, s, i""")
 def extreme_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = stats.extreme_quantiles(samples(spark, sf_dir), ["event_type"], "value", _SHARES)
@@ -71,14 +71,14 @@ def rank_test_p_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT event_type, d AS day, count(DISTINCT user_id) AS n_units, CASE WHEN count(*) >= 5 THEN count(*) END AS n_rows, round(avg(value), 4) AS mean
+SELECT event_type, d AS day, count(DISTINCT user_id) AS n_units, CASE WHEN count(*) >= 5 THEN count(*) END AS n_rows, round(avg(value), 9) AS mean
 FROM (SELECT *, CAST(ts AS DATE) AS dt, epoch_us(ts) // 86400000000 AS d FROM events) GROUP BY event_type, d HAVING count(DISTINCT user_id) >= 5""")
 def k_anonymous_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pulsegrid.operators.timeseries import micros
 
     rows = samples(spark, sf_dir).withColumn("day", F.floor(micros(F.col("ts")) / 86_400_000_000))
     out = stats.k_anonymous(rows, ["event_type", "day"], "user_id", "value")
-    return out.withColumn("mean", F.round("mean", 4))
+    return out.withColumn("mean", F.round("mean", 9))
 
 
 @query("""

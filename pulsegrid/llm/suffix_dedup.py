@@ -304,21 +304,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         *[F.first(c).alias(c) for c in ("anchors", "contexts", "firsts", "lasts")],
     )
     units = materialize(units.withColumn("rep", F.col("at.doc_id")).drop("at"), "suffix-units")
-    flat = units.select("unit", "rep", F.explode(F.arrays_zip("anchors", "contexts", "firsts", "lasts")).alias("x"))
-    flat = flat.select("unit", "rep", F.col("x.anchors").alias("anchor"), F.col("x.contexts").alias("context"), F.col("x.firsts").alias("first"), F.col("x.lasts").alias("last"))
+    flat = units.select("unit", F.explode(F.arrays_zip("anchors", "contexts", "firsts", "lasts")).alias("x"))
+    flat = flat.select("unit", F.col("x.anchors").alias("anchor"), F.col("x.contexts").alias("context"), F.col("x.firsts").alias("first"), F.col("x.lasts").alias("last"))
     known = flat.groupBy("anchor").agg(F.count("*").alias("n"), (F.min("context") != F.max("context")).alias("several")).where("n > 1")
     known = materialize(known.select("anchor", "several"), "suffix-anchors")
-    places = materialize(flat.join(maybe_broadcast(known, known.count(), 24), "anchor"), "suffix-places")
+    # Joins with places, texts and spans are never hinted: all grow with the input, and sizes on disk tell Spark enough.
+    places = materialize(flat.join(known, "anchor"), "suffix-places")
     # One place of each distinct context of anchors with several: its bytes go to a block.
     distinct = places.where("several").groupBy("anchor", "context").agg(
-        F.count("*").alias("n"), F.min(F.struct("unit", "rep", "first", "last")).alias("at")
+        F.count("*").alias("n"), F.min(F.struct("unit", "first", "last")).alias("at")
     )
-    wanted = distinct.select(F.col("at.unit").alias("unit"), F.col("at.rep").alias("rep"), F.struct("anchor", "context", "n", F.col("at.first").alias("first"), F.col("at.last").alias("last")).alias("x"))
-    wanted = wanted.groupBy(F.col("unit").alias("u"), F.col("rep").alias("r")).agg(F.collect_list("x").alias("xs"))
-    wanted = materialize(wanted, "suffix-wanted")
-    n_wanted, n_runs = wanted.select(F.count("*"), F.coalesce(F.sum(F.size("xs")), F.lit(0))).first()
+    wanted = distinct.select(F.col("at.unit").alias("u"), F.struct("anchor", "context", "n", F.col("at.first").alias("first"), F.col("at.last").alias("last")).alias("x"))
+    wanted = wanted.groupBy("u").agg(F.collect_list("x").alias("xs"))
+    wanted = materialize(wanted.join(units.select(F.col("unit").alias("u"), F.col("rep").alias("r")), "u"), "suffix-wanted")
     same = (F.col("unit") == F.col("u")) & F.col("doc_id").eqNullSafe(F.col("r"))
-    contents = source.join(maybe_broadcast(wanted, n_wanted * 2 + n_runs, 40), same).select("text", "xs")
+    contents = source.join(wanted, same).select("text", "xs")
     contents = contents.mapInArrow(_cut, "anchor long, context long, n long, content binary")
     contents = materialize(contents, "suffix-contents")
     weight = contents.groupBy("anchor").agg(F.sum(F.length("content")).alias("size")).where(F.col("size") > HOT_BYTES)
@@ -339,8 +339,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         found = found.unionByName(again.select("anchor", "context", "firsts", F.col("firsts").alias("lasts")))
     found = materialize(found.where(F.size("firsts") > 0), "suffix-found")
     alone = places.where("not several").select("unit", "first", "last")
-    n_found = found.select(F.coalesce(F.sum(F.size("firsts") + 2), F.lit(0))).first()[0]
-    mixed = places.where("several").join(maybe_broadcast(found, n_found, 24), ["anchor", "context"])
+    mixed = places.where("several").join(found, ["anchor", "context"])
     mixed = mixed.select("unit", "first", F.explode(F.arrays_zip("firsts", "lasts")).alias("x"))
     mixed = mixed.select("unit", (F.col("first") + F.col("x.firsts")).alias("first"), (F.col("first") + F.col("x.lasts")).alias("last"))
     copies = units.where((F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH))
@@ -348,8 +347,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = alone.unionByName(mixed).unionByName(copies)
     spans = spans.groupBy(F.col("unit").alias("u")).agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     spans = materialize(spans, "suffix-spans")
-    n_units, n_spans = spans.select(F.count("*"), F.coalesce(F.sum(F.size("runs")), F.lit(0))).first()
-    out = source.join(maybe_broadcast(spans, n_units * 2 + n_spans, 16), F.col("unit") == F.col("u"), "left").select("doc_id", "text", "runs")
+    out = source.join(spans, F.col("unit") == F.col("u"), "left").select("doc_id", "text", "runs")
     return out.mapInArrow(
         _finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<start:bigint,stop:bigint>>"
     )

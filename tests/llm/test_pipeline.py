@@ -53,3 +53,35 @@ def test_documents_without_language_go(spark, sf_dir):
     odd = spark.createDataFrame([(900001, None, None, None, 0), (900002, "12 34 !!", "en", "s", 8)], docs.schema)
     out = corpus_pipeline.identify_language(spark, docs.unionByName(odd), sf_dir)
     assert out.where("doc_id > 900000").count() == 0 and out.count() == 50
+
+
+def rows_of(df):
+    return sorted(((r.doc_id, r.text) for r in df.select("doc_id", "text").collect()), key=str)
+
+
+def test_copies_are_dropped_by_row(spark):
+    texts = [(None, "one text"), (None, "another text"), (None, "third"), (5, "five"), (5, "other five"), (5, "five"), (4, "copied"), (5, "copied"), (None, "third")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars int")
+    want = sorted([(None, "one text"), (None, "another text"), (None, "third"), (5, "five"), (5, "other five"), (4, "copied")], key=str)
+    assert rows_of(corpus_pipeline.drop_copies(spark, docs, "")) == want
+
+
+def test_near_copies_are_dropped_by_row(spark):
+    text = lambda tag: " ".join(f"{tag}{i}" for i in range(200))
+    near = lambda tag: text(tag) + " end"
+    rows = [(None, text("a")), (None, near("a")), (None, text("b")), (3, near("b")), (3, text("c")), (None, text("d"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = rows_of(corpus_pipeline.drop_near_copies(spark, docs, ""))
+    one = (None, text("a")) if (None, text("a")) in got else (None, near("a"))
+    assert got == sorted([one, (3, near("b")), (3, text("c")), (None, text("d"))], key=str)
+
+
+def test_rejected_and_leaking_rows_leave_others_of_their_id(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(50)
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("size(split(text, ' ')) > 30").first().text
+    good = [r.text for r in docs.orderBy("doc_id").limit(2).collect()]
+    rows = [(None, good[0]), (None, "12 34 !!"), (None, item), (900001, good[1]), (900001, "56 !!"), (900001, item)]
+    odd = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], docs.schema)
+    kept = rows_of(corpus_pipeline.identify_language(spark, docs.unionByName(odd), sf_dir).where("doc_id is null or doc_id > 900000"))
+    assert {(None, good[0]), (900001, good[1])} <= set(kept) and not [t for _, t in kept if "!!" in t]
+    assert rows_of(corpus_pipeline.drop_leaks(spark, odd.where(~odd.text.contains("!!")), sf_dir)) == sorted([(None, good[0]), (900001, good[1])], key=str)

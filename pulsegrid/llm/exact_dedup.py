@@ -15,7 +15,6 @@ from pulsegrid.llm.common import id_and_text, materialize, maybe_broadcast, slic
 BUCKET_BYTES = 8 << 20
 #: An owner of part of a hot key gets so many rows at least, however long they are.
 LEAST_ROWS = 16
-MAX_DEPTH = 20
 
 _SPACE = b" \t\n\x0b\x0c\r"
 
@@ -68,10 +67,10 @@ def directory(keys: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> tuple[int, l
     """The extendible-hash directory over rows of distinct keys (key, n_bytes): its global depth and 2**depth bucket numbers.
 
     It starts with one bucket and doubles as long as some bucket holds more bytes than ``bucket_bytes``; slots of
-    buckets that needn't split share one. A key counts once, so its copies never split a bucket.
+    buckets that needn't split share one. n_bytes is what one owner of the key gets, all copies counted.
     """
     total = keys.agg(F.sum("n_bytes")).first()[0] or 0
-    depth = min(MAX_DEPTH, max(0, (total // bucket_bytes * 4).bit_length()))
+    depth = (total // bucket_bytes * 4).bit_length()
     slot = F.shiftrightunsigned(F.col("key"), 64 - depth) if depth else F.lit(0).cast("long")
     # At most 2**depth sums, about four to a bucket of data: a description of the directory, not of the keys.
     sizes = {r["slot"]: r["size"] for r in keys.groupBy(slot.alias("slot")).agg(F.sum("n_bytes").alias("size")).collect()}
@@ -138,8 +137,9 @@ def exact_duplicates(
 
     One row per input row: doc_id, keep_id (smallest id of the class), group_size, kept, text_sha256 (of the normalised
     text). Every row's 64-bit key is counted. A key that only one row has is settled by that; texts of the others are
-    read again, written to the index's bucket files and compared byte by byte by the owners of the buckets. A key whose
-    rows outgrow a bucket is dealt to several owners, whose distinct contents meet in a next round.
+    read again, written to the index's bucket files and compared byte by byte by the owners of the buckets. Buckets split
+    by the bytes of all rows, copies included, so an owner of many keys gets about a bucket. A key whose rows outgrow a
+    bucket is dealt to several owners, whose distinct contents meet in a next round.
 
     Null and empty texts are equal to each other. Rows with a null id never give a class its keep_id unless all its ids
     are null. Of repeated rows (same id, same text) one is kept, all count in group_size. An empty table gives no rows.
@@ -148,14 +148,15 @@ def exact_duplicates(
     source = id_and_text(docs, id_col, text_col)
     keys = materialize(source.mapInArrow(_keys(key_of), "doc_id long, key long, n_bytes long, text_sha256 string"), "exact-keys")
     shared = materialize(
-        keys.groupBy("key").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("size"), F.max("n_bytes").alias("n_bytes")).where("n > 1"),
+        keys.groupBy("key").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("size")).where("n > 1"),
         "exact-shared",
     )
     n_shared = shared.count()
-    depth, slots = directory(shared, bucket_bytes)
+    owners = _owners(F.col("n"), F.col("size"), bucket_bytes)
+    depth, slots = directory(shared.select("key", F.ceil(F.col("size") / owners).cast("long").alias("n_bytes")), bucket_bytes)
     slot = F.shiftrightunsigned(F.col("key"), 64 - depth) if depth else F.lit(0).cast("long")
     pointers = docs.sparkSession.createDataFrame(list(enumerate(slots)), "slot long, bucket long")
-    wanted = shared.select("key", _owners(F.col("n"), F.col("size"), bucket_bytes).alias("owners"), slot.alias("slot"))
+    wanted = shared.select("key", owners.alias("owners"), slot.alias("slot"))
     wanted = wanted.join(maybe_broadcast(pointers, len(slots), 16), "slot").drop("slot")
     texts = source.mapInArrow(_texts(key_of), "doc_id long, key long, content binary")
     rows = texts.join(maybe_broadcast(wanted, n_shared, 32), "key")

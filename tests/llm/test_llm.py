@@ -93,6 +93,17 @@ def test_directory_splits_until_buckets_fit(spark):
     assert max(sizes.values()) <= 20_000
 
 
+def test_buckets_split_by_the_bytes_of_all_copies(spark, monkeypatch, tmp_path):
+    path = lambda _, label: str(tmp_path / f"{label}-{len(list(tmp_path.iterdir()))}")
+    monkeypatch.setattr(exact_dedup, "table_path", path)
+    texts = [f"text {i:02d} " + "x" * 92 for i in range(60)] * 40 + ["hot " * 20] * 2000
+    got = by_id(exact_dedup.exact_duplicates(table(spark, texts), bucket_bytes=20_000))
+    assert all(got[i].keep_id == (i % 60 if i < 2400 else 2400) and got[i].group_size == (40 if i < 2400 else 2000) for i in got)
+    index = spark.read.parquet(str(next(tmp_path.glob("exact-index*")) / "level-0"))
+    owners = index.groupBy("bucket", "salt").agg(F.sum(F.length("content")).alias("n")).collect()
+    assert sum(r.n for r in owners) > 380_000 and max(r.n for r in owners) <= 45_000
+
+
 # Suffix dedup
 
 

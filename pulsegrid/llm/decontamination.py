@@ -10,7 +10,7 @@ from pulsegrid.llm.common import materialize, maybe_broadcast, words_native
 SHINGLE = 5
 LEAST_SIMILARITY = 0.8
 BITS, BLOCKS = 64, 8
-#: Two fingerprints this close agree on some block but for RADIUS // BLOCKS bits.
+#: Two fingerprints this close agree on some block but for RADIUS // BLOCKS bits; the index finds these.
 RADIUS = 15
 
 
@@ -67,8 +67,9 @@ def leaks(
     A window of as many words as an item has is compared with the items of that length. Windows come from places where
     document and item share a five-word shingle; only pairs that share too few shingles for any window to reach
     LEAST_SIMILARITY are left out before. Each window's SimHash is looked up in a multi-index whose blocks find every
-    item within RADIUS bits; exact similarity of the shingle multisets (Jaccard, weighted by occurrences) decides. The
-    best window of each document and item is returned (the first of equals).
+    item within RADIUS bits; an item further off that shares the window's place is compared, too, as words that repeat
+    where a passage was cut can turn half of the bits. Exact similarity of the shingle multisets (Jaccard, weighted by
+    occurrences) decides. The best window of each document and item is returned (the first of equals).
 
     Items of fewer than five words have no shingle and match nothing, as do null and empty texts. Repeated rows count as
     one. Items with equal texts are reported each. Other columns are ignored.
@@ -88,20 +89,26 @@ def leaks(
     hits = hits.select("doc_id", "row", "item_id", "n_words", "n_shingles", "q", (F.col("p") - F.col("q")).alias("start"))
     pairs = hits.groupBy("doc_id", "row", "item_id", "n_words", "n_shingles").agg(F.collect_set("q").alias("q"), F.collect_set("start").alias("starts"))
     pairs = pairs.where(F.size("q") >= F.lit(LEAST_SIMILARITY) * F.col("n_shingles"))
-    wanted = pairs.select("doc_id", "row", F.explode("starts").alias("start"), "n_words")
-    wanted = wanted.select("doc_id", "row", F.greatest("start", F.lit(0)).alias("start"), "n_words").distinct()
+    wanted = pairs.select("doc_id", "row", "item_id", F.explode("starts").alias("start"), "n_words")
+    wanted = wanted.select("doc_id", "row", "item_id", F.greatest("start", F.lit(0)).alias("start"), "n_words").distinct()
     wanted = materialize(wanted, "leak-windows")
-    by_doc = wanted.groupBy(F.col("doc_id").alias("d"), F.col("row").alias("r")).agg(F.collect_list(F.struct("start", "n_words")).alias("windows"))
+    by_doc = wanted.select("doc_id", "row", "start", "n_words").distinct().groupBy(F.col("doc_id").alias("d"), F.col("row").alias("r")).agg(F.collect_list(F.struct("start", "n_words")).alias("windows"))
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r"))
-    windows = source.join(maybe_broadcast(by_doc, wanted.count(), 32), same).select("doc_id", words_native(F.col("text")).alias("w"), F.explode("windows").alias("x"))
-    windows = windows.select("doc_id", "x.start", "x.n_words", F.slice("w", F.col("x.start") + 1, F.col("x.n_words")).alias("window")).distinct()
-    windows = windows.select("doc_id", "start", "n_words", simhash(F.col("window")).alias("print"), _shingles(F.col("window")).alias("shingles"))
+    windows = source.join(maybe_broadcast(by_doc, wanted.count(), 32), same).select("doc_id", "row", words_native(F.col("text")).alias("w"), F.explode("windows").alias("x"))
+    windows = windows.select("doc_id", "row", "x.start", "x.n_words", F.slice("w", F.col("x.start") + 1, F.col("x.n_words")).alias("window")).distinct()
+    windows = windows.select("doc_id", "row", "start", "n_words", simhash(F.col("window")).alias("print"), _shingles(F.col("window")).alias("shingles"))
+    windows = materialize(windows, "leak-prints")
     index = item_table.select("item_id", "n_words", "item_print", "item_shingles", F.explode(blocks(F.col("item_print"))).alias("b"))
     index = index.select("item_id", "n_words", "item_print", F.col("b.block").alias("block"), F.explode(_near(F.col("b.bits"))).alias("bits"))
-    look = windows.select("doc_id", "start", "n_words", "print", "shingles", F.explode(blocks(F.col("print"))).alias("b"))
-    look = look.select("doc_id", "start", "n_words", "print", "shingles", F.col("b.block").alias("block"), F.col("b.bits").alias("bits"))
-    near = look.join(index, ["n_words", "block", "bits"]).withColumn("hamming", F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))))
-    near = near.where(F.col("hamming") <= RADIUS).drop("block", "bits").dropDuplicates(["doc_id", "start", "n_words", "item_id"])
+    look = windows.select("*", F.explode(blocks(F.col("print"))).alias("b")).select(*windows.columns, F.col("b.block").alias("block"), F.col("b.bits").alias("bits"))
+    hamming = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))).alias("hamming")
+    near = look.join(index, ["n_words", "block", "bits"]).select(*windows.columns, "item_id", hamming)
+    near = near.where(F.col("hamming") <= RADIUS).dropDuplicates(["doc_id", "row", "start", "n_words", "item_id"])
+    # What the index can't find: items beyond its radius, at the places that they share with the document.
+    known = wanted.select(F.col("doc_id").alias("d"), F.col("row").alias("r"), F.col("start").alias("s"), F.col("n_words").alias("n"), "item_id")
+    at = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")) & (F.col("start") == F.col("s")) & (F.col("n_words") == F.col("n"))
+    far = windows.join(known, at).join(item_table.select("item_id", "n_words", "item_print"), ["item_id", "n_words"])
+    near = near.unionByName(far.select(*windows.columns, "item_id", hamming).where(F.col("hamming") > RADIUS))
     near = near.join(item_table.select("item_id", "n_words", "item_shingles"), ["item_id", "n_words"])
     common = shared_weight(F.col("shingles"), F.col("item_shingles"))
     near = near.withColumn("common", common)

@@ -452,3 +452,20 @@ def test_hamming_blocks_find_all_within_radius(spark):
     index = df.select("i", F.explode(decontamination.blocks(F.col("a"))).alias("x")).select("i", "x.block", F.explode(decontamination._near(F.col("x.bits"))).alias("bits"))
     look = df.select("i", F.explode(decontamination.blocks(F.col("b"))).alias("x")).select("i", "x.block", "x.bits")
     assert look.join(index, ["i", "block", "bits"]).select("i").distinct().count() == 300
+
+
+def test_decontamination_of_passages_cut_at_the_least_similarity(spark):
+    random = np.random.default_rng(3)
+    items, texts = [], []
+    for i in range(120):
+        n = int(random.integers(40, 150))
+        cut = (n - 4) // 9  # so many shingles less and as many others: a similarity of 0.8 to 0.82
+        tail = [f"again{i}"] * cut if i % 2 else [f"t{i}x{j}" for j in range(cut)]
+        head = [f"h{i}x{j}" for j in range(n - cut)]
+        items.append(" ".join(head + tail))
+        texts.append(" ".join(head + [f"other{i}x{j}" for j in range(cut)]))
+    got = decontamination.leaks(table(spark, texts), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i in range(120)}
+    assert all(0.8 <= r.similarity < 0.86 for r in got) and max(r.hamming for r in got) > decontamination.RADIUS
+    null = table(spark, texts).withColumn("doc_id", F.lit(None).cast("long"))
+    assert decontamination.leaks(null, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).count() == 120

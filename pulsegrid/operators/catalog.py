@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
@@ -120,23 +122,29 @@ def budget_prefix(df: DataFrame, scope: list[str], order: str, size: str, budget
 def size_chunks(df: DataFrame, scope: list[str], order: str, size: str, limit: int) -> DataFrame:
     """Column ``chunk``: files in order, a new chunk where the limit would be passed; an oversize file is alone.
 
-    Each scope's sizes are folded in one row as (order, size) pairs, which must fit there; scopes run in parallel.
+    Each scope is streamed in order through one task, whose only state is the current chunk and what it holds, so a scope
+    of any length passes in linear time; scopes run in parallel. Each row comes out once; rows without an order are last.
     """
-    pairs = df.groupBy(*scope).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("s")))).alias("f"))
-    start = F.struct(F.lit(-1).alias("chunk"), F.lit(0).cast("long").alias("used"), F.array().cast("array<struct<o:bigint,chunk:int>>").alias("out"))
-
-    def step(acc, x):
-        fresh = (acc["chunk"] < 0) | (acc["used"] + x["s"] > limit)
-        chunk = F.when(fresh, acc["chunk"] + 1).otherwise(acc["chunk"])
-        used = F.when(fresh, x["s"]).otherwise(acc["used"] + x["s"])
-        return F.struct(chunk.alias("chunk"), used.alias("used"), F.concat(acc["out"], F.array(F.struct(x["o"].cast("long").alias("o"), chunk.alias("chunk")))).alias("out"))
-
-    folded = pairs.select(*scope, F.explode(F.aggregate("f", start, step)["out"]).alias("x"))
-    folded = folded.select(*[F.col(k).alias(f"__{k}") for k in scope], F.col("x.o").alias("__o"), F.col("x.chunk").alias("chunk"))
-    condition = F.col(order) == F.col("__o")
-    for k in scope:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    return df.join(folded, condition).drop("__o", *[f"__{k}" for k in scope])
+    rows = df.repartition(*scope).sortWithinPartitions(*scope, F.col(order).asc_nulls_last(), size)
+    at_keys, at_size = [df.columns.index(c) for c in scope], df.columns.index(size)
+    schema = T.StructType([*df.schema.fields, T.StructField("chunk", T.IntegerType())])
+
+    def run(batches):
+        scope, used, chunk = None, 0, -1
+        for batch in batches:
+            keys = zip(*[batch.column(i).to_pylist() for i in at_keys], strict=True)
+            out = []
+            for key, n in zip(keys, batch.column(at_size).to_pylist(), strict=True):
+                if key != scope:
+                    scope, used, chunk = key, 0, -1
+                # As in SQL, an unknown sum is not over the limit.
+                total = None if used is None or n is None else used + n
+                fresh = chunk < 0 or (total is not None and total > limit)
+                used, chunk = (n, chunk + 1) if fresh else (total, chunk)
+                out.append(chunk)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int32())], schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def chunk_matrix(df: DataFrame, scope: list[str], order: str, k: int) -> DataFrame:

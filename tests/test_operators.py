@@ -162,6 +162,25 @@ def test_size_chunks(spark):
     assert flags(catalog.size_chunks(df, ["s"], "i", "n", 4), "chunk") == [0, 0, 1, 2, 2, 2]
 
 
+def test_size_chunks_streams_long_scopes(spark):
+    n = 200_000
+    df = spark.range(n + 10).select(F.when(F.col("id") < n, 1).alias("s"), F.col("id").alias("i"), (F.col("id") % 7 + 1).alias("n"))
+    out = catalog.size_chunks(df, ["s"], "i", "n", 20)
+    assert "collect_list" not in out._jdf.queryExecution().toString()
+    twice = catalog.size_chunks(spark.createDataFrame([("s", 1, 3), ("s", 1, 3), ("s", None, 1)], "s string, i int, n int"), ["s"], "i", "n", 4)
+    assert sorted((r.i is None, r.chunk) for r in twice.collect()) == [(False, 0), (False, 1), (True, 1)]
+    want, used, chunk = [], 0, -1
+    for i in range(n + 10):
+        size = i % 7 + 1
+        if i in (0, n):
+            used, chunk = 0, -1
+        if chunk < 0 or used + size > 20:
+            used, chunk = 0, chunk + 1
+        used += size
+        want.append(chunk)
+    assert flags(out, "chunk") == want
+
+
 def test_split_keeps_units_together(spark):
     df = spark.range(1000).select((F.col("id") % 50).alias("u"))
     got = learning.split(df, "u").groupBy("u").agg(F.countDistinct("part").alias("n"))

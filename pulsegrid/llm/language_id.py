@@ -131,9 +131,24 @@ def forward(vocab: Vocabulary, words: np.ndarray, prob: np.ndarray):
 def expected(vocab: Vocabulary, words: np.ndarray, weight: np.ndarray, prob: np.ndarray, out: np.ndarray) -> None:
     """Adds the expected count of every piece, over all segmentations, for words weighted by language."""
     n, length = words.shape
-    if length > 40:  # rare words this long would need scaled sums; they still count where they are scored
-        return
     edges = vocab.lattice(words)
+    if length > 40:
+        # The sums of words this long can leave the range of numbers, so they are kept as logarithms.
+        low = np.log(np.maximum(prob, 1e-300))
+        ahead, back = (np.full((length + 1, n, prob.shape[1]), -np.inf) for _ in range(2))
+        ahead[0] = back[length] = 0
+        for end in range(1, length + 1):
+            for begin, rows, piece in edges[end]:
+                ahead[end, rows] = np.logaddexp(ahead[end, rows], ahead[begin, rows] + low[piece])
+        for end in range(length, 0, -1):
+            for begin, rows, piece in edges[end]:
+                back[begin, rows] = np.logaddexp(back[begin, rows], low[piece] + back[end, rows])
+        for end in range(1, length + 1):
+            for begin, rows, piece in edges[end]:
+                got = np.exp(ahead[begin, rows] + low[piece] + back[end, rows] - ahead[length, rows]) * weight[rows]
+                for k in range(prob.shape[1]):
+                    out[:, k] += np.bincount(piece, got[:, k], len(out))
+        return
     alpha = np.zeros((length + 1, n, prob.shape[1]))
     beta = np.zeros_like(alpha)
     alpha[0] = 1

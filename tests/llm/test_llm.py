@@ -285,6 +285,22 @@ def test_forward_sums_all_segmentations():
     assert np.isfinite(language_id.forward(vocab, np.frombuffer(b"q" * 96, np.uint8)[None, :], prob / prob.sum(0))[0]).all()
 
 
+@pytest.mark.parametrize("length", [20, 41, 96])
+def test_expected_counts_cover_words_of_any_length(length):
+    vocab = language_id.vocabulary(public_tokenizers.path(PIECES))
+    with open(public_tokenizers.path(PIECES), "rb") as f:
+        pieces = {language_id.base64.b64decode(line.split()[0]) for line in f}
+    pieces = sorted({p for p in pieces if len(p) <= language_id.MAX_PIECE} | {bytes([i]) for i in range(256)})
+    size = np.array([len(p) for p in pieces])
+    text = ("今日は天気がいいので散歩に行きました" * 4).encode()[: length - 1]
+    words = np.frombuffer(b" " + text, np.uint8)[None, :]
+    prob = np.random.default_rng(1).random((vocab.size, 2)) * [1 / vocab.size, 1e-9]
+    out = np.zeros((vocab.size, 2))
+    language_id.expected(vocab, words, np.array([[3.0, 2.0]]), prob, out)
+    # The pieces of each segmentation cover the word once.
+    assert np.allclose(size @ out, [3.0 * length, 2.0 * length])
+
+
 def test_language_id(spark):
     de, en = ["der hund und die katze", "ich bin nicht das kind"], ["the dog and the cat", "i am not that child"]
     rows = [(i, t, lang) for i, (t, lang) in enumerate([(x, "de") for x in de * 10] + [(x, "en") for x in en * 10])] + [(90 + i, t, None) for i, t in enumerate(ODD)]

@@ -81,6 +81,19 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def release() -> None:
+    """Gives what a task has freed back to the system: a worker is reused, and what it keeps adds up."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def slices(batch: pa.RecordBatch, text_index: int, most_bytes: int = 2 << 20):
     """A batch in row slices of about ``most_bytes`` of text, so that arrays made from them stay small."""
     import pyarrow.compute as pc

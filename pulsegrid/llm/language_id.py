@@ -11,40 +11,68 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import slices
+from pulsegrid.llm.common import materialize, maybe_broadcast, release, slices
 
-#: The model is fitted on about so many documents at most, chosen by a hash of their ids.
+#: The model is fitted on about so many documents at most, chosen by a hash of their ids; every language has its share.
 MAX_TRAIN_DOCS = 20_000
-MAX_LANGUAGES = 256
-MAX_PIECE = 12
-#: Words longer than this are scored in parts of so many bytes.
+#: A run of letters longer than this is read as several words, cut between characters.
 MAX_WORD = 96
+#: Sums over words of up to so many bytes stay within the range of numbers; those of longer ones are logarithms.
+SHORT = 30
 EM_ROUNDS = 2
-CACHE_ENTRIES = 300_000
-LETTER = re.compile(r"[^\W\d_]")
+#: Words that a task remembers: two generations of so many at most.
+CACHE_ENTRIES = 60_000
 #: Digits and ASCII punctuation carry no language.
 _WORDS = bytes(c if c >= 128 or 65 <= c <= 90 or 97 <= c <= 122 else 32 for c in range(256))
+#: So do general, ideographic and full-width punctuation and spaces.
+_BREAKS = re.compile("[\u2000-\u206f\u3000-\u303f\uff01-\uff20\uff3b-\uff40\uff5b-\uff65]+")
+_LETTER = re.compile("[A-Za-z]")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+def has_letter(text: str | None) -> bool:
+    return bool(text) and (bool(_LETTER.search(text)) or any(map(str.isalpha, text)))
+
+
+def parts(word: bytes) -> list[bytes]:
+    """A word in parts of MAX_WORD bytes at most, each of whole characters."""
+    out, begin = [], 0
+    while len(word) - begin > MAX_WORD:
+        end = begin + MAX_WORD
+        while end > begin + 1 and word[end] & 0xC0 == 0x80:
+            end -= 1
+        out.append(word[begin:end])
+        begin = end
+    return [*out, word[begin:]]
+
+
 def letters(text: str) -> list[bytes]:
     """The lower-cased words of a text, each with a space before it as the vocabulary has them."""
-    raw = text.lower().encode("utf-8", "surrogatepass").translate(_WORDS).split()
+    if not text.isascii():
+        text = _BREAKS.sub(" ", text)
     out = []
-    for w in raw:
+    for w in text.lower().encode("utf-8", "surrogatepass").translate(_WORDS).split():
         w = b" " + w
-        out += [w] if len(w) <= MAX_WORD else [w[i : i + MAX_WORD] for i in range(0, len(w), MAX_WORD)]
+        out += [w] if len(w) <= MAX_WORD else parts(w)
     return out
 
 
 class Vocabulary:
     """Byte pieces of a public rank file, found by hash; every single byte is a piece, so every word has a segmentation."""
 
+    #: Up to so many bytes every piece is tried; beyond, only where some longer piece begins with them.
+    STEM = 12
+
     def __init__(self, path: str):
         with open(path, "rb") as f:
             pieces = {base64.b64decode(line.split()[0]) for line in f}
-        pieces = sorted({p for p in pieces if len(p) <= MAX_PIECE} | {bytes([i]) for i in range(256)})
+        # Pieces with other bytes than words have can't occur.
+        inside = lambda p: not p[p[:1] == b" " :].translate(None, bytes(c for c in range(256) if _WORDS[c] != 32))
+        pieces = sorted({p for p in pieces if inside(p)} | {bytes([i]) for i in range(256)})
+        self.pieces = pieces
         self.size = len(pieces)
+        self.longest = max(map(len, pieces))
+        self.stems = np.unique(np.array([self.hash(p[: self.STEM]) for p in pieces if len(p) > self.STEM], np.uint64))
         hashes = np.array([self.hash(p) for p in pieces], np.uint64)
         order = np.argsort(hashes)
         self.hashes, self.ids = hashes[order], order.astype(np.int32)
@@ -80,13 +108,18 @@ class Vocabulary:
         n, length = words.shape
         edges = [[] for _ in range(length + 1)]
         for begin in range(length):
-            h = np.zeros(n, np.uint64)
-            for end in range(begin + 1, min(length, begin + MAX_PIECE) + 1):
-                h = self.extend(h, words[:, end - 1])
+            h, own = np.zeros(n, np.uint64), None
+            for end in range(begin + 1, min(length, begin + self.longest) + 1):
+                h = self.extend(h, words[:, end - 1] if own is None else words[own, end - 1])
                 piece = self.find(h)
                 rows = np.flatnonzero(piece >= 0)
                 if len(rows):
-                    edges[end].append((begin, rows, piece[rows]))
+                    edges[end].append((begin, rows if own is None else own[rows], piece[rows]))
+                if end - begin == self.STEM:
+                    own = np.flatnonzero(np.isin(h, self.stems))
+                    h = h[own]
+                    if not len(own):
+                        break
         return edges
 
 
@@ -110,59 +143,52 @@ def by_length(words: list[bytes], most: int = 20_000):
             yield part, np.frombuffer(b"".join(words[i] for i in part), np.uint8).reshape(len(part), length)
 
 
-def forward(vocab: Vocabulary, words: np.ndarray, prob: np.ndarray):
-    """log of the summed probability of all segmentations, per word and language; prob: pieces by languages."""
-    n, length = words.shape
-    alpha = np.zeros((length + 1, n, prob.shape[1]))
-    alpha[0] = 1
-    scale = np.zeros(n)
-    edges = vocab.lattice(words)
+def _ahead(edges, n: int, length: int, prob: np.ndarray) -> tuple[np.ndarray, bool]:
+    """Summed probability of all segmentations up to each byte, and whether the sums (of long words) are logarithms."""
+    if length <= SHORT:
+        alpha = np.zeros((length + 1, n, prob.shape[1]))
+        alpha[0] = 1
+        for end in range(1, length + 1):
+            for begin, rows, piece in edges[end]:
+                alpha[end, rows] += alpha[begin, rows] * prob[piece]
+        return alpha, False
+    low = np.log(np.maximum(prob, 1e-300))
+    alpha = np.full((length + 1, n, prob.shape[1]), -np.inf)
+    alpha[0] = 0
     for end in range(1, length + 1):
         for begin, rows, piece in edges[end]:
-            alpha[end, rows] += alpha[begin, rows] * prob[piece]
-        if end % 8 == 0:  # keep the numbers in range: all that later steps read is divided alike
-            top = alpha[end].max(axis=1)
-            low = max(0, end - MAX_PIECE)
-            alpha[low : end + 1] /= top[None, :, None]
-            scale += np.log(top)
-    return np.log(np.maximum(alpha[length], 1e-300)) + scale[:, None], edges, alpha
+            alpha[end, rows] = np.logaddexp(alpha[end, rows], alpha[begin, rows] + low[piece])
+    return alpha, True
+
+
+def forward(vocab: Vocabulary, words: np.ndarray, prob: np.ndarray) -> np.ndarray:
+    """log of the summed probability of all segmentations, per word and language; prob: pieces by languages."""
+    n, length = words.shape
+    alpha, logs = _ahead(vocab.lattice(words), n, length, prob)
+    return alpha[length] if logs else np.log(np.maximum(alpha[length], 1e-300))
 
 
 def expected(vocab: Vocabulary, words: np.ndarray, weight: np.ndarray, prob: np.ndarray, out: np.ndarray) -> None:
     """Adds the expected count of every piece, over all segmentations, for words weighted by language."""
     n, length = words.shape
     edges = vocab.lattice(words)
-    if length > 40:
-        # The sums of words this long can leave the range of numbers, so they are kept as logarithms.
-        low = np.log(np.maximum(prob, 1e-300))
-        ahead, back = (np.full((length + 1, n, prob.shape[1]), -np.inf) for _ in range(2))
-        ahead[0] = back[length] = 0
-        for end in range(1, length + 1):
-            for begin, rows, piece in edges[end]:
-                ahead[end, rows] = np.logaddexp(ahead[end, rows], ahead[begin, rows] + low[piece])
-        for end in range(length, 0, -1):
-            for begin, rows, piece in edges[end]:
-                back[begin, rows] = np.logaddexp(back[begin, rows], low[piece] + back[end, rows])
-        for end in range(1, length + 1):
-            for begin, rows, piece in edges[end]:
-                got = np.exp(ahead[begin, rows] + low[piece] + back[end, rows] - ahead[length, rows]) * weight[rows]
-                for k in range(prob.shape[1]):
-                    out[:, k] += np.bincount(piece, got[:, k], len(out))
-        return
-    alpha = np.zeros((length + 1, n, prob.shape[1]))
-    beta = np.zeros_like(alpha)
-    alpha[0] = 1
-    beta[length] = 1
-    for end in range(1, length + 1):
-        for begin, rows, piece in edges[end]:
-            alpha[end, rows] += alpha[begin, rows] * prob[piece]
+    alpha, logs = _ahead(edges, n, length, prob)
+    low = np.log(np.maximum(prob, 1e-300)) if logs else prob
+    beta = np.full_like(alpha, -np.inf if logs else 0)
+    beta[length] = 0 if logs else 1
     for end in range(length, 0, -1):
         for begin, rows, piece in edges[end]:
-            beta[begin, rows] += prob[piece] * beta[end, rows]
-    share = weight / np.maximum(alpha[length], 1e-300)
+            if logs:
+                beta[begin, rows] = np.logaddexp(beta[begin, rows], low[piece] + beta[end, rows])
+            else:
+                beta[begin, rows] += low[piece] * beta[end, rows]
+    share = None if logs else weight / np.maximum(alpha[length], 1e-300)
     for end in range(1, length + 1):
         for begin, rows, piece in edges[end]:
-            got = alpha[begin, rows] * prob[piece] * beta[end, rows] * share[rows]
+            if logs:
+                got = np.exp(alpha[begin, rows] + low[piece] + beta[end, rows] - alpha[length, rows]) * weight[rows]
+            else:
+                got = alpha[begin, rows] * low[piece] * beta[end, rows] * share[rows]
             for k in range(prob.shape[1]):
                 out[:, k] += np.bincount(piece, got[:, k], len(out))
 
@@ -172,32 +198,46 @@ class Model:
 
     def __init__(self, languages: list[str], prior: list[float], prob: np.ndarray, path: str):
         self.languages, self.prior, self.prob, self.path = languages, prior, prob, path
-        self.known: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
-    def __getstate__(self):
-        return {**self.__dict__, "known": {}}
+    def forget(self) -> None:
+        self.young, self.old = {}, {}
 
-    def learn_words(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > CACHE_ENTRIES:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
+    def __getstate__(self):
+        return {**self.__dict__, "young": {}, "old": {}}
+
+    def of_words(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Scores of words as bytes; those of the last words are remembered."""
+        if len(self.young) > CACHE_ENTRIES:
+            self.young, self.old = {}, self.young
+        known, new, young, old = {}, [], self.young, self.old
+        for w in words:
+            s = young.get(w)
+            if s is None:
+                s = old.get(w)
+                if s is None:
+                    new.append(w)
+                    continue
+                young[w] = s
+            known[w] = s
         vocab = vocabulary(self.path)
         for at, rows in by_length(new):
-            scores, _, _ = forward(vocab, rows, self.prob)
-            for i, s in zip(at, scores.astype(np.float32), strict=True):
-                self.known[new[i]] = s.tobytes()
+            for i, s in zip(at, forward(vocab, rows, self.prob).astype(np.float32), strict=True):
+                known[new[i]] = young[new[i]] = s.tobytes()
+        return known
 
     def score(self, texts: list[str]) -> np.ndarray:
         """Log-probability of each text's words in each language."""
         if not self.languages:
             return np.zeros((len(texts), 0))
         split = [letters(t) for t in texts]
-        self.learn_words(set().union(*split) if split else set())
+        known = self.of_words(set().union(*split) if split else set())
         k = len(self.languages)
         out = np.zeros((len(texts), k))
         for i, words in enumerate(split):
             if words:
-                rows = np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.float32).reshape(-1, k)
+                rows = np.frombuffer(b"".join(map(known.__getitem__, words)), np.float32).reshape(-1, k)
                 out[i] = rows.sum(axis=0, dtype=np.float64)
         return out
 
@@ -205,7 +245,7 @@ class Model:
         lang, score = [], []
         scores = self.score([t or "" for t in texts]) + np.log(self.prior)
         for text, row in zip(texts, scores, strict=True):
-            if not text or not LETTER.search(text) or not self.languages:
+            if not self.languages or not has_letter(text):
                 lang.append("und")
                 score.append(0.0)
                 continue
@@ -220,42 +260,43 @@ def fit(
 ) -> Model:
     """Fits piece probabilities by expectation-maximisation over all segmentations, on at most about ``max_docs`` rows.
 
-    Rows with null text or language don't count. A table without any gives a model that answers ``und``.
+    Each language gives as many rows as the others, or all it has. Rows with null text or language don't count. A table
+    without any gives a model that answers ``und``. Repeated rows count as often as they stand there.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where("text is not null and lang is not null")
-    total = rows.select("lang").count()
+    # One row per language, as many as the model has columns.
+    total = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not total:
         return Model([], [], np.zeros((1, 0)), path)
-    if total > max_docs:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1 << 30)) < int(max_docs / total * (1 << 30)))
+    if sum(total.values()) > max_docs:
+        left, share = max_docs, {}
+        for i, x in enumerate(sorted(total, key=total.get)):
+            share[x] = min(total[x], max(1, left // (len(total) - i)))
+            left -= share[x]
+        least = [(x, int(share[x] / total[x] * (1 << 30))) for x in share]
+        shares = docs.sparkSession.createDataFrame(least, "lang string, share long")
+        rows = rows.join(maybe_broadcast(shares, len(least), 64), "lang")
+        rows = rows.where(F.pmod(F.xxhash64("doc_id", "text", F.lit("train")), F.lit(1 << 30)) < F.col("share"))
 
     def count(batches):
         for batch in batches:
             for part in slices(batch, 0):
                 seen: dict[str, Counter] = {}
-                docs_of: Counter = Counter()
                 for text, lang in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    docs_of[lang] += 1
                     seen.setdefault(lang, Counter()).update(letters(text))
                 flat = [(lang, w, n) for lang, c in seen.items() for w, n in c.items()]
-                flat += [(lang, None, n) for lang, n in docs_of.items()]
-                lang, word, n = zip(*flat, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(word, pa.binary()), pa.array(n, pa.int64())], ["lang", "word", "n"])
-
-    from pulsegrid.llm.common import materialize
+                lang, word, n = zip(*flat, strict=True) if flat else ((), (), ())
+                yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(word, pa.binary()), pa.array(n, pa.int64())], ["lang", "word", "n"])
 
     counts = rows.select("text", "lang").mapInArrow(count, "lang string, word binary, n long")
     counts = materialize(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
-    seen = {r["lang"]: r["n"] for r in counts.where("word is null").collect()}
-    if len(seen) > MAX_LANGUAGES:
-        raise ValueError(f"{len(seen)} languages; at most {MAX_LANGUAGES}")
-    languages = sorted(seen)
-    prior = [seen[x] / sum(seen.values()) for x in languages]
+    languages = sorted(total)
+    prior = [total[x] / sum(total.values()) for x in languages]
     size, k = vocabulary(path).size, len(languages)
     index = {x: i for i, x in enumerate(languages)}
     prob = np.full((size, k), 1 / size)
-    words = counts.where("word is not null")
+    words = counts
     for _ in range(EM_ROUNDS):
 
         def step(batches, prob=prob):
@@ -269,6 +310,7 @@ def fit(
                 for at, rows in by_length(flat, 4_000):
                     expected(vocab, rows, np.array([table[flat[i]] for i in at]), prob, total)
             piece, at = np.nonzero(total > 1e-9)
+            release()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(piece.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(total[piece, at])], ["piece", "at", "n"]
             )
@@ -284,8 +326,9 @@ def fit(
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred and score (posterior probability of lang_pred) for every row, whole texts.
 
-    A null text and one without a letter are ``und`` with score 0. Ids may be null or repeated: every row has its answer.
-    Other columns are ignored.
+    A null text and one without a letter are ``und`` with score 0. Ids may be null or repeated: every row has its answer,
+    the same for the same text. Of languages with equal scores the first by name is the answer. An empty table gives no
+    rows. Other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by vocabulary and languages
@@ -296,6 +339,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             for part in slices(batch, 1, 1 << 20):
                 lang, score = model.predict(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang), pa.array(score)], ["doc_id", "lang_pred", "score"])
+        model.forget()
+        release()
 
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -10,12 +11,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import slices
+from pulsegrid.llm.common import release, slices
 
 CAPACITY = 1024
 MAX_SEGMENTS = 64
+#: Loss-bearing tokens of a sequence, and the share of a document's tokens, at its head, that bear no loss (its prompt).
+MAX_LOSS = 896
+PROMPT_SHARE = 0.25
 POOL = 1024
-CACHE_ENTRIES = 400_000
+#: Remembered pieces of text: two generations of so many at most, none longer than LONGEST characters.
+CACHE_ENTRIES = 120_000
+LONGEST = 48
 
 OUT = pa.schema(
     [
@@ -31,16 +37,15 @@ OUT = pa.schema(
 )
 
 
-def _split_pattern():
-    #: A space before white space: such texts aren't cut at spaces.
-    return re.compile(r" (?=\s)")
+#: A space before white space: such texts aren't cut at spaces.
+_ODD = re.compile(r" (?=\s)")
 
 
 class Encoder:
     """Ids of a byte-level BPE vocabulary, as little-endian unsigned 32-bit integers in bytes.
 
     A space between two characters that aren't white space always begins a pre-token, so a text is cut there and each
-    piece (with its space) is encoded once and remembered. The memory is bounded: it is emptied when full.
+    piece (with its space) is encoded once and remembered for a while: what two generations of pieces hold.
     """
 
     def __init__(self, vocabulary: str):
@@ -48,162 +53,155 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = _split_pattern()
-        # The same ranks in a faster library, if they lie beside the file and give the same ids.
-        self.fast = self._ranks(vocabulary)
-        self.known = _Known(self.piece)
-
-    @staticmethod
-    def _ranks(vocabulary: str):
-        import base64
-        import os
-
-        import public_tokenizers
-        import tiktoken
-
-        ranks = vocabulary.removesuffix(".json") + ".tiktoken"
-        if not os.path.exists(ranks):
-            return None
-        with open(ranks, "rb") as f:
-            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        return tiktoken.Encoding(
-            "packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}
-        )
-
-    def whole(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def piece(self, text: str) -> bytes:
-        if self.fast is None:
-            return self.whole(text)
-        return np.asarray(self.fast.encode_ordinary(text), dtype="<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if any(s in text for s in self.special):
-            return self.whole(text)
-        if self.odd.search(text):
-            return self.piece(text)
-        head, *rest = text.split(" ")
-        if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
-        # Each piece but the first has lost its space; _Known puts it back before encoding.
-        return (self.piece(head) if head else b"") + b"".join(map(self.known.__getitem__, rest))
-
-
-class _Known(dict):
-    def __init__(self, encode):
-        self.encode = encode
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self[word] = self.encode(" " + word)
-        return ids
+        #: Bytes of each id: a byte-level vocabulary writes each byte as one character.
+        self.width = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.width[i] = len(token)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of words that each begin a pre-token: many are encoded as one text, which is cut by the bytes of its ids."""
+        out: list[bytes] = []
+        for k in range(0, len(words), 256):
+            part = words[k : k + 256]
+            ids = np.asarray(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.cumsum([len(w.encode("utf-8", "surrogatepass")) for w in part])
+            covered = np.cumsum(self.width[ids])
+            at = np.searchsorted(covered, ends)
+            if len(ids) and at[-1] == len(ids) - 1 and np.array_equal(covered[at], ends):
+                raw, stops = ids.tobytes(), (4 * (at + 1)).tolist()
+                out += [raw[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
+            else:
+                out += self.whole(part)
+        return out
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        parts: list[list[str] | None] = []
+        wanted: set[str] = set()
+        for t in texts:
+            if any(s in t for s in self.special) or _ODD.search(t):
+                parts.append(None)
+            else:
+                head, *rest = t.split(" ")
+                # Each part but the first has lost its space.
+                parts.append(([head] if head else []) + [" " + r for r in rest])
+                wanted.update(parts[-1])
+        if len(self.young) > CACHE_ENTRIES:
+            self.young, self.old = {}, self.young
+        known, young, old = {}, self.young, self.old
+        new = []
+        for w in wanted:
+            ids = young.get(w)
+            if ids is None:
+                ids = old.get(w)
+                if ids is None:
+                    new.append(w)
+                    continue
+                young[w] = ids
+            known[w] = ids
+        # A text's head has no space before it and is encoded for itself.
+        heads = [w for w in new if w[0] != " "]
+        new = [w for w in new if w[0] == " "]
+        for w, ids in zip(heads + new, self.whole(heads) + self.words(new), strict=True):
+            known[w] = ids
+            if len(w) <= LONGEST:
+                young[w] = ids
+        odd = iter(self.whole([t for t, p in zip(texts, parts, strict=True) if p is None]))
+        return [next(odd) if p is None else b"".join(map(known.__getitem__, p)) for p in parts]
 
 
 class Packer:
     """Fills one sequence after another from a pool of pieces.
 
     The next piece is the one with the greatest dot product between its demands (tokens, one segment, loss tokens; each
-    as a share of its limit) and what the sequence has left. If none fits, the best one is cut to fill what is left.
+    as a share of its limit) and what the sequence has left. A piece demands what of it a whole sequence can hold. If
+    none fits, the best one is cut to fill what is left. A sequence that a limit closes before it is full gives back what
+    it has beyond a power of two, so that it needs no padding.
     """
 
     def __init__(self, capacity: int, max_segments: int, max_loss: int, first_sequence: int):
         self.capacity, self.max_segments, self.max_loss = capacity, max_segments, max_loss
-        self.limits = np.array([capacity, max_segments, max_loss], float)
         self.next_sequence = first_sequence
-        self.pieces: list = []  # [doc_id, start, ids, doc_tokens, loss_from]
-        self.need = np.zeros((0, 3))
+        self.pieces: list = []  # [doc_id, start of what is left, all ids, tokens, first loss-bearing token, end]
         self.rows: list[tuple] = []
 
-    def loss(self, start: int, length: int, loss_from: int) -> int:
+    @staticmethod
+    def loss(start: int, length: int, loss_from: int) -> int:
         return max(0, start + length - max(start, loss_from))
 
-    def emit(self, piece, start: int, length: int, offset: int) -> None:
-        doc_id, origin, ids, total, loss_from = piece
-        at = 4 * (start - origin)
-        self.rows.append(
-            (doc_id, start, length, ids[at : at + 4 * length], total, self.loss(start, length, loss_from), self.next_sequence, offset)
-        )
-
     def fitting(self, start: int, length: int, loss_from: int, tokens: int, loss: int) -> int:
-        """The longest prefix of a piece within both limits."""
+        """The longest prefix of what is left of a piece within both limits."""
         length = min(length, tokens)
         return length if self.loss(start, length, loss_from) <= loss else max(0, loss_from - start) + loss
 
-    def add(self, doc_id, ids: bytes, loss_tokens: int | None) -> None:
+    def add(self, doc_id, ids: bytes, loss_tokens: int) -> None:
         total = len(ids) // 4
-        loss_from = 0 if loss_tokens is None else total - min(total, max(0, loss_tokens))
-        piece, start = (doc_id, 0, ids, total, loss_from), 0
-        # What fills a sequence alone needs no choice.
-        while total - start >= self.capacity:
-            length = self.fitting(start, total - start, loss_from, self.capacity, self.max_loss)
-            if length < self.capacity:
-                break
-            self.emit(piece, start, length, 0)
-            self.next_sequence += 1
-            start += length
-        if start < total:
-            self.pieces.append([doc_id, start, ids[4 * start :], total, loss_from])
+        loss_from = total - min(total, max(0, loss_tokens))
+        # What a sequence can't hold whole is cut where its loss begins: the parts fill up different sequences best.
+        cuts = [0, loss_from, total] if total > self.capacity and 0 < loss_from < total else [0, total]
+        self.pieces += [[doc_id, a, ids, total, loss_from, b] for a, b in zip(cuts, cuts[1:])]
 
-    def _arrays(self):
-        length = np.array([len(p[2]) // 4 for p in self.pieces], np.int64)
-        loss = np.array([self.loss(p[1], len(p[2]) // 4, p[4]) for p in self.pieces], np.int64)
-        return length, loss
+    def _demand(self, p) -> tuple[int, int]:
+        take = self.fitting(p[1], p[5] - p[1], p[4], self.capacity, self.max_loss)
+        return take, self.loss(p[1], take, p[4])
 
-    def pack(self, leave: int) -> None:
+    def pack(self, leave: int, last: bool = False) -> None:
         """Fill sequences until at most ``leave`` pieces are in the pool, or too few tokens to fill one more."""
-        if len(self.pieces) <= leave or not self.pieces:
+        if not self.pieces or (len(self.pieces) <= leave and not last):
             return
-        length, loss = self._arrays()
-        alive = np.ones(len(length), bool)
-        left_over = int(length.sum())
+        need = np.array([self._demand(p) for p in self.pieces], np.int64)
+        length, loss = need[:, 0].copy(), need[:, 1].copy()
         live = len(length)
-        while live > leave and left_over >= self.capacity:
-            used, tokens, segments, loss_left = 0, self.capacity, self.max_segments, self.max_loss
-            while tokens and segments and live:
+        left_over = sum(p[5] - p[1] for p in self.pieces)
+        while live and (last or (live > leave and left_over >= self.capacity)):
+            tokens, loss_left = self.capacity, self.max_loss
+            if left_over < self.capacity:  # the rest, in sequences of powers of two
+                tokens = 1 << (left_over.bit_length() - 1)
+            room, chosen = tokens, []
+            while tokens and len(chosen) < self.max_segments and live:
                 score = length * (tokens / self.capacity**2) + loss * (loss_left / self.max_loss**2)
-                score[~alive] = -1
+                score[length == 0] = -1
                 fits = np.where((length <= tokens) & (loss <= loss_left), score, -1)
                 i = int(fits.argmax())
                 if fits[i] < 0:
-                    i = int(score.argmax())
+                    # Of those that must be cut, one that gives something.
+                    order = np.argsort(-score, kind="stable")
+                    order = order[score[order] >= 0]
+                    i = next((int(j) for j in order if self._take(j, tokens, loss_left)), -1)
+                    if i < 0:
+                        break
+                take = self._take(i, tokens, loss_left)
                 p = self.pieces[i]
-                take = self.fitting(p[1], int(length[i]), p[4], tokens, loss_left)
-                if take <= 0:
-                    break
-                self.emit(p, p[1], take, used)
-                used, tokens, segments = used + take, tokens - take, segments - 1
+                chosen.append((i, p[1], take))
+                tokens -= take
                 loss_left -= self.loss(p[1], take, p[4])
-                left_over -= take
-                if take == length[i]:
-                    alive[i] = False
-                    live -= 1
-                else:
-                    p[1], p[2] = p[1] + take, p[2][4 * take :]
-                    length[i] -= take
-                    loss[i] = self.loss(p[1], int(length[i]), p[4])
-            self.next_sequence += 1
-        self.pieces = [p for p, a in zip(self.pieces, alive, strict=True) if a]
-
-    def finish(self) -> None:
-        """The rest, less than a sequence, goes to sequences whose lengths are powers of two: no padding."""
-        self.pack(0)
-        while self.pieces:
-            rest = sum(len(p[2]) // 4 for p in self.pieces)
-            room = min(self.capacity, 1 << (rest.bit_length() - 1))
-            used, segments, loss_left = 0, self.max_segments, self.max_loss
-            while used < room and segments and self.pieces:
-                p = self.pieces[-1]
-                take = self.fitting(p[1], len(p[2]) // 4, p[4], room - used, loss_left)
-                if take <= 0:
-                    break
-                self.emit(p, p[1], take, used)
-                used, segments, loss_left = used + take, segments - 1, loss_left - self.loss(p[1], take, p[4])
-                p[1], p[2] = p[1] + take, p[2][4 * take :]
-                if not p[2]:
-                    self.pieces.pop()
+                p[1] += take
+                length[i], loss[i] = self._demand(p)
+                live -= p[1] == p[5]
+            used = room - tokens
+            keep = used if used == self.capacity else 1 << (used.bit_length() - 1)
+            offset = 0
+            for i, start, take in chosen:
+                doc_id, at, ids, total, loss_from, end = p = self.pieces[i]
+                n = min(take, keep - offset)
+                if n:
+                    self.rows.append((doc_id, start, n, ids[4 * start : 4 * (start + n)], total, self.loss(start, n, loss_from), self.next_sequence, offset))
+                    offset += n
+                if n < take:  # given back; pieces of one document in a sequence stand in order, so the first cut counts
+                    live += at == end
+                    p[1] = min(at, start + n)
+                    length[i], loss[i] = self._demand(p)
+            left_over -= keep
             self.next_sequence += 1
+        self.pieces = [p for p in self.pieces if p[1] < p[5]]
+
+    def _take(self, i: int, tokens: int, loss_left: int) -> int:
+        p = self.pieces[i]
+        return self.fitting(p[1], p[5] - p[1], p[4], tokens, loss_left)
 
     def drain(self) -> pa.RecordBatch:
         rows, self.rows = self.rows, []
@@ -213,21 +211,13 @@ class Packer:
         )
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def _encoder(vocabulary: str) -> Encoder:
-    if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = Encoder(vocabulary)
-    return _ENCODERS[vocabulary]
-
-
 def pack_documents(
     docs: DataFrame,
     vocabulary: str,
     id_col: str = "doc_id",
     text_col: str = "text",
     loss_col: str | None = None,
+    prompt_share: float = 0.0,
     end_id: int = 0,
     capacity: int = CAPACITY,
     max_segments: int = MAX_SEGMENTS,
@@ -238,11 +228,13 @@ def pack_documents(
 
     One row per piece: doc_id, start, length, token_ids (little-endian unsigned 32-bit integers), doc_tokens (with
     ``end_id``), loss_tokens, sequence_id, offset. ``loss_col`` counts the last tokens of a document that bear loss;
-    without it all do. Each task packs the rows of its own input split, so nothing is shuffled and no sequence needs
-    another task; a task's last few tokens go to sequences of a power of two.
+    without it all do but the first ``prompt_share`` of them. Each task packs the rows of its own input split, so
+    nothing is shuffled and no sequence needs another task. A sequence that isn't full has a power of two of tokens: a
+    task's last few, and those that the limits on segments or loss close early.
 
-    A null text is empty and gives ``end_id`` alone; a null id stays null; repeated rows are packed each for itself;
-    an empty table gives no rows; other columns are ignored whatever their names.
+    A null text is empty and gives ``end_id`` alone; a null id stays null; repeated rows are packed each for itself; of
+    pieces with equal scores the one that came first is taken; an empty table gives no rows; other columns are ignored
+    whatever their names.
     """
     max_loss = max_loss or capacity
     loss = F.col(loss_col).cast("long") if loss_col else F.lit(None).cast("long")
@@ -251,20 +243,26 @@ def pack_documents(
     )
 
     def run(batches):
-        encoder = _encoder(vocabulary)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        encoder = Encoder(vocabulary)
         packer = Packer(capacity, max_segments, max_loss, TaskContext.get().partitionId() << 32)
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
             for part in slices(batch, 1, 1 << 20):
-                for doc_id, text, loss_tokens in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    packer.add(doc_id, encoder.encode(text or "") + end, loss_tokens)
+                doc_id, text, loss_tokens = (c.to_pylist() for c in part.columns)
+                for d, ids, n in zip(doc_id, encoder.encode([t or "" for t in text]), loss_tokens, strict=True):
+                    ids += end
+                    total = len(ids) // 4
+                    packer.add(d, ids, total - int(total * prompt_share) if n is None else n)
                     if len(packer.pieces) >= pool:
                         packer.pack(pool // 2)
                 if packer.rows:
                     yield packer.drain()
-        packer.finish()
+        packer.pack(0, last=True)
         if packer.rows:
             yield packer.drain()
+        del encoder, packer
+        release()
 
     schema = "doc_id long, start long, length long, token_ids binary, doc_tokens long, loss_tokens long, sequence_id long, offset long"
     return source.mapInArrow(run, schema)

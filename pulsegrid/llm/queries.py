@@ -49,8 +49,9 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path(BPE))
-    return pieces.select("doc_id", "start", "length", F.crc32("token_ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    docs = documents(spark, sf_dir)
+    pieces = packing.pack_documents(docs, public_tokenizers.path(BPE), prompt_share=packing.PROMPT_SHARE, max_loss=packing.MAX_LOSS)
+    return pieces.select("doc_id", "start", "length", F.crc32("token_ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "loss_tokens")
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

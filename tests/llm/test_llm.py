@@ -253,6 +253,23 @@ def test_packing_round_trip(spark):
     assert all(n == 1024 or n & (n - 1) == 0 for n in sizes)
 
 
+def test_short_documents_need_no_padding(spark):
+    df = spark.createDataFrame([(i, "one two three four five six") for i in range(1000)] + [(None, None), (7, "one two three four five six")], "doc_id long, text string")
+    pieces = packing.pack_documents(df, public_tokenizers.path(BPE), prompt_share=0.25, max_loss=700).toPandas()
+    own = pieces.groupby("sequence_id")
+    sizes = own.length.sum()
+    assert all(n & (n - 1) == 0 for n in sizes) and sizes.median() >= 256 and own.loss_tokens.sum().max() <= 700 and own.size().max() <= packing.MAX_SEGMENTS
+    assert pieces.length.sum() == pieces.drop_duplicates("doc_id").doc_tokens.sum() + 7
+
+
+def test_the_loss_limit_binds_on_long_documents(spark):
+    df = spark.createDataFrame([(i, prose(i, 1000)) for i in range(60)], "doc_id long, text string").coalesce(1)
+    pieces = packing.pack_documents(df, public_tokenizers.path(BPE), prompt_share=0.25, max_loss=896).toPandas()
+    own = pieces.groupby("sequence_id")
+    assert own.loss_tokens.sum().max() <= 896 and (own.length.sum() == 1024).mean() > 0.8
+    assert (pieces.groupby("doc_id").length.sum() == pieces.groupby("doc_id").doc_tokens.first()).all()
+
+
 def test_packing_limits(spark):
     df = spark.createDataFrame([(i, prose(i, 12), 5 * (i % 4)) for i in range(60)], "doc_id long, text string, bears int")
     pieces = packing.pack_documents(df, public_tokenizers.path(BPE), loss_col="bears", capacity=256, max_segments=4, max_loss=40, pool=16).toPandas()
@@ -280,18 +297,15 @@ def test_forward_sums_all_segmentations():
     def total(at):
         return np.ones(2) if at == len(word) else sum(prob[p] * total(e) for (b, e), p in ids.items() if b == at)
 
-    got, _, _ = language_id.forward(vocab, np.frombuffer(word, np.uint8)[None, :], prob)
+    got = language_id.forward(vocab, np.frombuffer(word, np.uint8)[None, :], prob)
     assert np.allclose(got[0], np.log(total(0)))
-    assert np.isfinite(language_id.forward(vocab, np.frombuffer(b"q" * 96, np.uint8)[None, :], prob / prob.sum(0))[0]).all()
+    assert np.isfinite(language_id.forward(vocab, np.frombuffer(b"q" * 96, np.uint8)[None, :], prob / prob.sum(0))).all()
 
 
 @pytest.mark.parametrize("length", [20, 41, 96])
 def test_expected_counts_cover_words_of_any_length(length):
     vocab = language_id.vocabulary(public_tokenizers.path(PIECES))
-    with open(public_tokenizers.path(PIECES), "rb") as f:
-        pieces = {language_id.base64.b64decode(line.split()[0]) for line in f}
-    pieces = sorted({p for p in pieces if len(p) <= language_id.MAX_PIECE} | {bytes([i]) for i in range(256)})
-    size = np.array([len(p) for p in pieces])
+    size = np.array([len(p) for p in vocab.pieces])
     text = ("今日は天気がいいので散歩に行きました" * 4).encode()[: length - 1]
     words = np.frombuffer(b" " + text, np.uint8)[None, :]
     prob = np.random.default_rng(1).random((vocab.size, 2)) * [1 / vocab.size, 1e-9]
@@ -314,6 +328,48 @@ def test_language_id(spark):
     assert {r.lang_pred for r in language_id.predict(df, none).collect()} == {"und"}
 
 
+def test_every_piece_of_the_vocabulary_is_found():
+    vocab = language_id.vocabulary(public_tokenizers.path(PIECES))
+    for p in sorted(vocab.pieces, key=len)[-200:]:
+        edges = vocab.lattice(np.frombuffer(p, np.uint8)[None, :])
+        assert any(begin == 0 and vocab.pieces[piece[0]] == p for begin, _, piece in edges[len(p)])
+    assert vocab.longest > vocab.STEM
+
+
+def test_letters_and_parts():
+    assert not any(map(language_id.has_letter, [None, "", "½ ² Ⅷ 12 !?", "_"])) and all(map(language_id.has_letter, ["é", "x1", "日"]))
+    text = "今日は天気がいいので散歩に行きました" * 20
+    words = language_id.letters(text)
+    assert b"".join(words) == b" " + text.encode() and max(map(len, words)) <= language_id.MAX_WORD
+    assert all(w.decode() for w in words)
+    assert language_id.letters("今日，明日。") == [" 今日".encode(), " 明日".encode()]
+
+
+def test_languages_without_spaces_are_told_apart(spark):
+    base = {
+        "zh": "我们今天在学校学习中文老师说这个问题很重要学生们都认真听讲然后回家做作业",
+        "ja": "私たちは今日学校で日本語を勉強しました先生はこの問題がとても大切だと言いました",
+        "th": "วันนี้เราเรียนภาษาไทยที่โรงเรียนครูบอกว่าปัญหานี้สำคัญมากนักเรียนทุกคนตั้งใจฟัง",
+    }
+    random = np.random.default_rng(5)
+    rows = []
+    for lang, text in base.items():
+        for _ in range(60):
+            at = random.integers(0, len(text) - 8, 12)
+            rows.append((len(rows), "".join(text[a : a + 8] for a in at), lang))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(df.where(~language_id.held_out()), public_tokenizers.path(PIECES))
+    got = by_id(language_id.predict(df.where(language_id.held_out()), model))
+    assert len(got) > 20 and all(got[i].lang_pred == rows[i][2] for i in got)
+
+
+def test_a_rare_language_is_learnt(spark):
+    many = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("the dog and the cat"), F.col("id")).alias("text"), F.lit("en").alias("lang"))
+    few = spark.createDataFrame([(90000 + i, "der hund und die katze", "de") for i in range(3)], "doc_id long, text string, lang string")
+    model = language_id.fit(many.unionByName(few), public_tokenizers.path(PIECES), max_docs=200)
+    assert model.languages == ["de", "en"] and model.predict(["die katze und der hund", "the cat"])[0] == ["de", "en"]
+
+
 # Language model
 
 

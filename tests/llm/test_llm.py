@@ -391,16 +391,72 @@ def test_language_model(spark):
     assert by_id(language_model.score(df, F.lit(False)))[0].n_known == 0
 
 
+def counts_of(n_tokens=1200):
+    hashes = np.array([hash_of(i) for i in range(n_tokens)], np.uint64)
+    counts = np.arange(n_tokens, 0, -1)
+    leaves = np.zeros(language_model.WIDTH**2)
+    tail = (hashes[language_model.SYMBOLS :] >> np.uint64(64 - 2 * language_model.DIGIT)).astype(int)
+    np.add.at(leaves, tail, counts[language_model.SYMBOLS :] + 1.0)
+    return language_model.Counts(hashes, counts, int(counts.sum()), n_tokens, 2, leaves), hashes
+
+
+def hash_of(i):
+    return int.from_bytes(hashlib.sha256(str(i).encode()).digest()[:8], "little")
+
+
 def test_language_model_probabilities_sum_to_one():
-    w = language_model.Weights()
-    random = np.random.default_rng(0)
-    w.cls[:] = random.normal(0, 1, w.cls.shape)
-    w.mem[:] = random.normal(0, 1, w.mem.shape)
-    symbols = np.arange(language_model.SYMBOLS)
+    counts, hashes = counts_of()
+    w = np.random.default_rng(0).normal(0, 1, (1 << counts.bits, language_model.WIDTH)).astype(np.float32)
     total = 0.0
-    for s in symbols:
-        total += math.exp(language_model.Batch(np.array([5, 9, s]), np.array([3]), 0).log_prob(w)[2])
-    assert total == pytest.approx(1.0, abs=1e-4)
+    for i, h in enumerate(hashes):
+        text, size = np.array([hashes[3], hashes[900], h], np.uint64), np.array([3])
+        symbol = counts.symbol(counts.find(text))
+        way = language_model.log_prob(w, counts, text, size, symbol)[2]
+        total += math.exp(way) * (1 if i < language_model.SYMBOLS else (len(hashes) - i + 1) / 10 ** counts.leaves[counts.leaf(h[None])[0]])
+    # The rest is an unknown token's in each leaf.
+    assert 0.97 < total < 1
+    leaves = np.unique(counts.leaf(hashes[language_model.SYMBOLS :]), return_index=True)[1] + language_model.SYMBOLS
+    empty = 1 - sum(math.exp(language_model.log_prob(w, counts, t := np.array([hashes[3], hashes[900], hashes[i]], np.uint64), np.array([3]), counts.symbol(counts.find(t)))[2]) for i in [*range(language_model.SYMBOLS), *leaves])
+    unknown = sum(math.exp(language_model.log_prob(w, counts, t := np.array([hashes[3], hashes[900], hashes[i]], np.uint64), np.array([3]), counts.symbol(counts.find(t)))[2]) / 10 ** counts.leaves[counts.leaf(hashes[i : i + 1])[0]] for i in leaves)
+    assert total + empty + unknown == pytest.approx(1.0, abs=1e-3)
+
+
+def test_sums_by_row():
+    random = np.random.default_rng(2)
+    values = random.normal(size=(300, language_model.WIDTH)).astype(np.float32)
+    rows = np.concatenate([random.integers(0, 200, 300), random.integers(0, 3, 300)])
+    u, times, total = language_model.sums_by_row(rows, values)
+    want = np.zeros((200, language_model.WIDTH))
+    np.add.at(want, rows, np.concatenate([values, values]))
+    assert sorted(u) == sorted(set(rows)) and np.allclose(want[u], total, atol=1e-4) and (times == np.bincount(rows)[u]).all()
+
+
+def sentences(seed, n):
+    """Text whose words depend on the word before: one of three may follow each."""
+    random, at, out = np.random.default_rng(seed), 0, []
+    for _ in range(n):
+        out.append(f"w{at}")
+        at = (at * 7 + int(random.integers(0, 3)) * 611 + 1) % 2000
+    return " ".join(out)
+
+
+def test_language_model_beats_counts_on_held_out_texts_however_the_input_is_split(spark):
+    df = spark.createDataFrame([(i, sentences(i, 800)) for i in range(120)], "doc_id long, text string")
+    held = language_id.held_out(folds=7, fold=2)
+    scores = []
+    for parts in (2, 8):
+        got = language_model.score(df.repartition(parts), ~held).where(held)
+        r = got.agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+        scores.append(r[0] / r[2])
+        assert r[0] > r[1] + 0.15 * r[2]
+    assert abs(scores[0] - scores[1]) < 0.02 * abs(scores[0])
+
+
+def test_language_model_null_repeated_and_tied(spark):
+    df = spark.createDataFrame([(None, "a b"), (None, "b a"), (1, "a b"), (1, "a b"), (2, None)], "doc_id long, text string")
+    got = language_model.score(df, F.lit(True)).collect()
+    assert len(got) == 5 and len({r.score for r in got if r.n_tokens == 3}) == 2 and {r.train_tokens for r in got} == {13}
+    assert language_model.score(df, F.lit(False)).where("score < 0").count() == 5
 
 
 def test_language_model_head_and_tail_agree(spark, monkeypatch):
@@ -510,6 +566,16 @@ def test_decontamination(spark):
     assert decontamination.leaks(table(spark, texts).limit(0), table_items).count() == 0
 
 
+def test_simhash_counts_votes(spark):
+    random = np.random.default_rng(1)
+    rows = [[int(x) for x in random.integers(-(1 << 63), (1 << 63) - 1, n)] for n in (1, 2, 11, 55, 300)] + [[7, 7, 7, 9]]
+    got = spark.createDataFrame([(r,) for r in rows], "s array<long>").select("s", decontamination.simhash(F.col("s")).alias("p"), decontamination.numbered(F.col("s")).alias("n")).collect()
+    for r in got:
+        want = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in r.s) > len(r.s))
+        assert r.p == (want - (1 << 64) if want >> 63 else want)
+    assert all(r.n == r.s for r in got[:-1]) and len(set(got[-1].n)) == 4 and got[-1].n[0] == 7 and got[-1].n[3] == 9
+
+
 def test_hamming_blocks_find_all_within_radius(spark):
     random = np.random.default_rng(0)
     rows = []
@@ -538,6 +604,6 @@ def test_decontamination_of_passages_cut_at_the_least_similarity(spark):
         texts.append(" ".join(head + [f"other{i}x{j}" for j in range(cut)]))
     got = decontamination.leaks(table(spark, texts), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i in range(120)}
-    assert all(0.8 <= r.similarity < 0.86 for r in got) and max(r.hamming for r in got) > decontamination.RADIUS
+    assert all(0.8 <= r.similarity < 0.86 and r.hamming <= decontamination.RADIUS for r in got) and max(r.hamming for r in got) > 12
     null = table(spark, texts).withColumn("doc_id", F.lit(None).cast("long"))
     assert decontamination.leaks(null, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).count() == 120

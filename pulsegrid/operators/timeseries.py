@@ -286,3 +286,37 @@ def label_segments(df: DataFrame, keys: list[str], ts: str, label: Column) -> Da
 
 def any_of(*flags: Column) -> Column:
     return reduce(lambda a, b: a | b, [F.coalesce(f, F.lit(False)) for f in flags])
+
+
+def time_unit(value: Column) -> Column:
+    """What a numeric time column counts, by its greatest value: ms, s or index."""
+    return F.when(value > 1e11, "ms").when(value > 1e7, "s").otherwise("index")
+
+
+def resolve_time(df: DataFrame, keys: list[str], order: str, text: str, elapsed: str, fs: float, fmt: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
+    """Columns t_s (seconds from the recording's start) and method, decided per recording.
+
+    ``file``: over half of the texts are times; ``elapsed``: over half of the elapsed values are numbers, none negative,
+    and over a second in all (milliseconds); else ``reconstructed``: the row's place over the sampling rate.
+    """
+    rows = df.withColumn("__t", F.unix_micros(F.try_to_timestamp(text, F.lit(fmt))) / 1e6).withColumn("__e", F.col(elapsed).try_cast("double"))
+    whole = Window.partitionBy(*keys)
+    half = F.count("*").over(whole) * 0.5
+    method = (
+        F.when(F.count("__t").over(whole) > half, "file")
+        .when((F.count("__e").over(whole) > half) & (F.min("__e").over(whole) >= 0) & (F.max("__e").over(whole) > 1000), "elapsed")
+        .otherwise("reconstructed")
+    )
+    rows = rows.withColumn("method", method).withColumn("__i", F.row_number().over(series(keys, order)) - 1)
+    t = (
+        F.when(F.col("method") == "file", F.col("__t") - F.min("__t").over(whole))
+        .when(F.col("method") == "elapsed", (F.col("__e") - F.min("__e").over(whole)) / 1000)
+        .otherwise(F.col("__i") / fs)
+    )
+    return rows.withColumn("t_s", t).drop("__t", "__e", "__i")
+
+
+def within_seconds(df: DataFrame, keys: list[str], time: str, value: str, before_s: float) -> DataFrame:
+    """Column ``recent_mean`` over the samples of the last ``before_s`` seconds, by a range frame over whole microseconds."""
+    w = Window.partitionBy(*keys).orderBy(micros(F.col(time))).rangeBetween(-int(before_s * 1e6), 0)
+    return df.withColumn("recent_mean", F.avg(value).over(w)).withColumn("recent_n", F.count(value).over(w))

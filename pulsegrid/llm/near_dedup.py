@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import id_and_text, materialize, maybe_broadcast, slices, words_of
@@ -116,45 +116,33 @@ def _contents(batches):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(node, pa.binary()), pa.array(rows, pa.binary())], ["doc_id", "node", "content"])
 
 
-#: 64-bit words of the masks that hold where two shingle sets differ.
-MASK_WORDS = 8
-
-
 def elements(content: bytes) -> np.ndarray:
     """A sorted multiset of shingles as a set: the k-th occurrence of a shingle is an element of its own."""
     v = np.frombuffer(content, "<u8")
     return mix(v + _STEP * (np.arange(len(v)) - np.searchsorted(v, v)).astype(np.uint64))
 
 
-def mask(elements: np.ndarray) -> np.ndarray:
-    """Bits of the elements' hashes."""
-    bits = np.zeros(64 * MASK_WORDS, bool)
-    bits[(elements >> np.uint64(55)).astype(np.int64) % len(bits)] = True
-    return np.packbits(bits).view(np.int64)
-
-
-def compare(a: bytes, b: bytes):
-    """Whether two multisets are similar; sizes of both, what b lacks of a and has beyond it, as counts and masks."""
-    x, y = elements(a), elements(b)
-    common = np.intersect1d(x, y, assume_unique=True)
-    n, m, c = len(x), len(y), len(common)
-    similar = c >= LEAST_SIMILARITY * (n + m - c) and c > 0
-    return similar, n, m, n - c, m - c, mask(np.setdiff1d(x, common, True)), mask(np.setdiff1d(y, common, True))
-
-
-_LACKS, _NEW = ([f"{k}{i}" for i in range(MASK_WORDS)] for k in ("lacks_", "new_"))
-_COMPARED = "a binary, b binary, similar boolean, size_a int, size int, n_lacks int, n_new int, " + ", ".join(f"{c} long" for c in [*_LACKS, *_NEW])
+def similar(a: bytes, b: bytes) -> bool:
+    """Whether two sorted multisets of shingles have a Jaccard similarity of LEAST_SIMILARITY or more."""
+    n, m = len(a) // 8, len(b) // 8
+    if not min(n, m) or min(n, m) < LEAST_SIMILARITY * max(n, m):
+        return False
+    c = len(np.intersect1d(elements(a), elements(b), assume_unique=True))
+    return c >= LEAST_SIMILARITY * (n + m - c)
 
 
 def _compare(batches):
     for batch in batches:
         a, b, x, y = (batch.column(i) for i in range(4))
-        rows = [compare(p.as_py(), q.as_py()) for p, q in zip(x, y, strict=True)]
-        if not rows:
-            continue
-        flat = [pa.array([r[i] for r in rows], pa.int32() if i else pa.bool_()) for i in range(5)]
-        words = [pa.array(c) for k in (5, 6) for c in np.array([r[k] for r in rows]).T]
-        yield pa.RecordBatch.from_arrays([a, b, *flat, *words], [f.split()[0] for f in _COMPARED.split(", ")])
+        found = [similar(p.as_py(), q.as_py()) for p, q in zip(x, y, strict=True)]
+        yield pa.RecordBatch.from_arrays([a, b, pa.array(found, pa.bool_())], ["a", "b", "similar"])
+
+
+def _elements(batches):
+    for batch in batches:
+        node, content = batch.column(0), batch.column(1)
+        rows = [elements(c.as_py()).view(np.int64) for c in content]
+        yield pa.RecordBatch.from_arrays([node, pa.array([len(r) for r in rows], pa.int32()), pa.array(rows, pa.list_(pa.int64()))], ["node", "size", "elements"])
 
 
 def star_pairs(buckets: DataFrame) -> DataFrame:
@@ -165,29 +153,35 @@ def star_pairs(buckets: DataFrame) -> DataFrame:
     return buckets.join(pivot, "bucket").where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def open_pairs(compared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of nodes compared with one pivot but in different classes, that can still be similar: (a, b).
+def open_nodes(compared: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, label) of those that share a pivot with a node of another class: some of them may still be similar."""
+    rows = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"))
+    rows = rows.unionByName(compared.select(F.col("a").alias("pivot"), F.col("a").alias("node")).distinct())
+    rows = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    several = rows.groupBy("pivot").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("pivot")
+    return rows.join(several, "pivot", "left_semi").select("node", "label").distinct()
+
+
+def prefix_pairs(nodes: DataFrame, contents: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes of different classes that can be similar, by a prefix filter; no similar pair is left out.
 
-    What a node lacks of the pivot and has beyond it bounds what two nodes share: at most the pivot's size less what
-    either lacks, plus what both have beyond it. Masks bound both from the safe side, so no similar pair is left out.
+    Two sets of similarity 0.8 share an element of their prefixes: of n elements, rarest first, all but 0.8 n, and one.
+    What a template gives to many texts is frequent, so it comes last and joins nothing.
     """
-    nodes = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "size", "size_a", "n_lacks", "n_new", *_LACKS, *_NEW)
-    zero = [F.lit(0).cast(t).alias(c) for c, t in [("n_lacks", "int"), ("n_new", "int"), *[(c, "long") for c in [*_LACKS, *_NEW]]]]
-    own = compared.select(F.col("a").alias("pivot"), F.col("a").alias("node"), F.col("size_a").alias("size"), "size_a").distinct().select("*", *zero)
-    rows = nodes.unionByName(own).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    several = rows.groupBy("pivot").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("pivot")
-    rows = materialize(rows.join(several, "pivot", "left_semi"), "near-open")
-    x, y = rows.alias("x"), rows.alias("y")
-    c = F.col
-    beyond = lambda names, p, q: sum((F.bit_count(c(f"{p}.{n}").bitwiseAND(F.bitwise_not(c(f"{q}.{n}")))) for n in names[1:]), F.bit_count(c(f"{p}.{names[0]}").bitwiseAND(F.bitwise_not(c(f"{q}.{names[0]}")))))
-    kept = c("x.size_a") - c("x.n_lacks") - beyond(_LACKS, "y", "x")
-    most = kept + F.least(c("x.n_new") - beyond(_NEW, "x", "y"), c("y.n_new") - beyond(_NEW, "y", "x"))
-    sizes = c("x.size") + c("y.size")
-    possible = F.least(most, c("x.size"), c("y.size")) * (1 + LEAST_SIMILARITY) >= LEAST_SIMILARITY * sizes - 1e-9
-    pairs = x.join(y, (c("x.pivot") == c("y.pivot")) & (c("x.label") < c("y.label")) & possible)
-    pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    done = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pairs.join(done, ["a", "b"], "left_anti")
+    sets = contents.join(nodes, "node").select("node", "content", "label")
+    sets = materialize(sets.select("node", "content").mapInArrow(_elements, "node binary, size int, elements array<long>").join(nodes, "node"), "near-elements")
+    flat = sets.select("node", "label", "size", F.explode("elements").alias("element"))
+    often = flat.groupBy("element").agg(F.count("*").alias("often")).where("often > 1")
+    # Elements of one node alone come first in its prefix; they join nothing and need only be counted.
+    flat = flat.join(often, "element")
+    shared = Window.partitionBy("node")
+    place = F.row_number().over(shared.orderBy("often", "element")) + F.col("size") - F.count("*").over(shared)
+    prefix = flat.withColumn("place", place).where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * LEAST_SIMILARITY) + 1)
+    prefix = materialize(prefix.select("element", "node", "label", "size"), "near-prefixes")
+    x, y, c = prefix.alias("x"), prefix.alias("y"), F.col
+    sizes = F.least("x.size", "y.size") >= F.greatest("x.size", "y.size") * LEAST_SIMILARITY
+    pairs = x.join(y, (c("x.element") == c("y.element")) & (c("x.node") < c("y.node")) & (c("x.label") != c("y.label")) & sizes)
+    return pairs.select(c("x.node").alias("a"), c("y.node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -195,13 +189,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Two texts are linked if the multisets of their five-word shingles have a Jaccard similarity of 0.8 or more. Texts of
     equal words are one node. Nodes that share a band of the signature are a bucket. A bucket's nodes are compared with
-    its pivot; then those of them that this left in different classes are compared with each other, unless what is known
-    from the pivot rules out that they are similar. So every similar pair that shares a bucket ends in one class. A
-    similarity of 0.8 shares a bucket with probability 0.9999.
+    its pivot; those of them that this left in different classes are joined by a prefix filter, and what it can't rule
+    out is compared, too. So every similar pair that shares a bucket ends in one class. The signature estimates
+    probability Jaccard, which is that of the multisets where shingles don't repeat; then a similarity of 0.8 shares a
+    bucket with probability 0.9999. Tests measure the share for texts with repeated words.
 
     Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. A text of one to four words has them as
     its one shingle; null, empty and wordless texts are alone. Repeated rows are each in the class. A null id never
-    names a class unless all its ids are null. Other columns are ignored.
+    names a class unless all its ids are null. An empty table gives no rows. Other columns are ignored.
     """
     source = id_and_text(docs, id_col, text_col)
     sketch = materialize(source.mapInArrow(_sketch, "doc_id long, node binary, bands array<long>"), "near-sketch")
@@ -221,14 +216,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def verified(pairs: DataFrame, label: str) -> DataFrame:
         both = pairs.join(contents.select(F.col("node").alias("b"), F.col("content").alias("y")), "b")
         both = both.join(contents.select(F.col("node").alias("a"), F.col("content").alias("x")), "a").select("a", "b", "x", "y")
-        return materialize(both.mapInArrow(_compare, _COMPARED), label)
+        return materialize(both.mapInArrow(_compare, "a binary, b binary, similar boolean"), label)
 
     compared = verified(star_pairs(buckets), "near-stars")
     edges = compared.where("similar").select("a", "b")
     labels = materialize(components(edges), "near-labels")
-    more = verified(open_pairs(compared, labels), "near-more").where("similar").select("a", "b")
-    if not more.isEmpty():
-        labels = materialize(components(edges.unionByName(more)), "near-labels")
+    nodes = materialize(open_nodes(compared, labels), "near-open")
+    if not nodes.isEmpty():
+        more = verified(prefix_pairs(nodes, contents), "near-more").where("similar").select("a", "b")
+        if not more.isEmpty():
+            labels = materialize(components(edges.unionByName(more)), "near-labels")
     out = sketch.select("doc_id", "node")
     out = out.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     classes = out.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))

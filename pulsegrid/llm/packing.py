@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ MAX_SEGMENTS = 64
 #: Loss-bearing tokens of a sequence, and the share of a document's tokens, at its head, that bear no loss (its prompt).
 MAX_LOSS = 896
 PROMPT_SHARE = 0.25
-POOL = 1024
+POOL = 512
 #: Remembered pieces of text: two generations of so many at most, none longer than LONGEST characters.
 CACHE_ENTRIES = 120_000
 LONGEST = 48
@@ -37,15 +38,29 @@ OUT = pa.schema(
 )
 
 
-#: A space before white space: such texts aren't cut at spaces.
-_ODD = re.compile(r" (?=\s)")
+#: Texts that aren't cut at all: a space before white space; the marks that stand for cuts below.
+_WHOLE = re.compile(r" \s|[\x02\x03]")
+#: Texts that aren't cut at line ends: longer runs of white space, and those that end a text.
+_LINES = re.compile(r"\s\s\s|\n[^\S\n]|\s\s\Z")
+#: A mark of punctuation between a letter or digit and white space.
+_MARK = re.compile(r"(?<=[A-Za-z0-9])([,.;:!?])(?=[ \n])")
+
+
+#: ASCII white space other than space and line end.
+_OTHER = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+
+
+def _plain(text: str) -> bool:
+    """Whether a text has no white space and marks but single spaces and line ends; most have not."""
+    return text.isascii() and "  " not in text and " \n" not in text and not any(c in text for c in _OTHER + "\x02\x03")
 
 
 class Encoder:
     """Ids of a byte-level BPE vocabulary, as little-endian unsigned 32-bit integers in bytes.
 
-    A space between two characters that aren't white space always begins a pre-token, so a text is cut there and each
-    piece (with its space) is encoded once and remembered for a while: what two generations of pieces hold.
+    Where one space or line end stands between other characters a pre-token begins; so does one with a mark of punctuation
+    after a letter or digit. Texts are cut there, and each part is encoded once and remembered for a while: what two
+    generations of parts hold.
     """
 
     def __init__(self, vocabulary: str):
@@ -60,6 +75,9 @@ class Encoder:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def words(self, words: list[str]) -> list[bytes]:
         """Ids of words that each begin a pre-token: many are encoded as one text, which is cut by the bytes of its ids."""
         out: list[bytes] = []
@@ -76,42 +94,49 @@ class Encoder:
                 out += self.whole(part)
         return out
 
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts: list[list[str] | None] = []
-        wanted: set[str] = set()
-        for t in texts:
-            if any(s in t for s in self.special) or _ODD.search(t):
-                parts.append(None)
-            else:
-                head, *rest = t.split(" ")
-                # Each part but the first has lost its space.
-                parts.append(([head] if head else []) + [" " + r for r in rest])
-                wanted.update(parts[-1])
+    def cut(self, text: str) -> str | None:
+        """A text with a space before every part: line ends begin parts, \\x02 a mark of punctuation, \\x03 the head."""
+        plain = _plain(text)
+        if not plain and _WHOLE.search(text) or any(s in text for s in self.special):
+            return None
+        odd = "\n\n\n" in text or "\n " in text or text.endswith("\n\n") if plain else _LINES.search(text)
+        text = _MARK.sub(" \x02\\1", text)
+        return "\x03" + (text if odd else text.replace("\n", " \n"))
+
+    def of_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts, which are remembered."""
         if len(self.young) > CACHE_ENTRIES:
             self.young, self.old = {}, self.young
-        known, young, old = {}, self.young, self.old
-        new = []
-        for w in wanted:
-            ids = young.get(w)
-            if ids is None:
-                ids = old.get(w)
-                if ids is None:
-                    new.append(w)
-                    continue
-                young[w] = ids
-            known[w] = ids
-        # A text's head has no space before it and is encoded for itself.
-        heads = [w for w in new if w[0] != " "]
-        new = [w for w in new if w[0] == " "]
-        for w, ids in zip(heads + new, self.whole(heads) + self.words(new), strict=True):
-            known[w] = ids
-            if len(w) <= LONGEST:
-                young[w] = ids
-        odd = iter(self.whole([t for t, p in zip(texts, parts, strict=True) if p is None]))
-        return [next(odd) if p is None else b"".join(map(known.__getitem__, p)) for p in parts]
+        young, old = self.young, self.old
+        out = list(map(young.get, parts))
+        at = [i for i, ids in enumerate(out) if ids is None]
+        for i in at:
+            out[i] = old.get(parts[i])
+        new = [i for i in at if out[i] is None]
+        alone = [i for i in new if parts[i][:1] in ("\x02", "\x03")]
+        rest = [i for i in new if parts[i][:1] not in ("\x02", "\x03")]
+        found = self.whole([parts[i][1:] for i in alone]) + self.words([w if (w := parts[i])[:1] == "\n" else " " + w for i in rest])
+        for i, ids in zip(alone + rest, found, strict=True):
+            out[i] = ids
+        young.update((parts[i], out[i]) for i in at if len(parts[i]) <= LONGEST)
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        cut = [self.cut(t) for t in texts]
+        odd = iter(self.whole([t for t, c in zip(texts, cut, strict=True) if c is None]))
+        lists = pc.split_pattern(pa.array([c for c in cut if c is not None], pa.large_string()), " ")
+        flat = lists.flatten().dictionary_encode()
+        if not len(flat):
+            return list(odd)
+        ids = self.of_parts(flat.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        table = pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes))), pa.array(np.frombuffer(b"".join(ids), "<u4")))
+        every = table.take(flat.indices).flatten().to_numpy()
+        # Where each text ends, in parts and then in ids.
+        ends = np.append(0, np.cumsum(sizes[flat.indices.to_numpy()]))[lists.offsets.to_numpy()]
+        raw, stops = every.astype("<u4").tobytes(), (4 * ends).tolist()
+        known = iter([raw[a:b] for a, b in zip(stops, stops[1:])])
+        return [next(odd) if c is None else next(known) for c in cut]
 
 
 class Packer:

@@ -282,6 +282,20 @@ def test_packing_round_trip(spark):
     assert all(n == 1024 or n & (n - 1) == 0 for n in sizes)
 
 
+@given(st.lists(st.text(alphabet=st.sampled_from("ab1é. ,!?\n\t'(日½"), max_size=30), min_size=1, max_size=8))
+@settings(max_examples=300, deadline=None)
+def test_encoder_gives_the_ids_of_tokenizers(texts):
+    from tokenizers import Tokenizer
+
+    global _TOKENS
+    if "_TOKENS" not in globals():
+        _TOKENS = (Tokenizer.from_file(public_tokenizers.path(BPE)), packing.Encoder(public_tokenizers.path(BPE)))
+    tokenizer, encoder = _TOKENS
+    texts = [*texts, "x\n\n\ny z.\n\nq. r\ns", "lines.\nNext one,\nand\n\nmore ", "it's, we'll."]
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_short_documents_need_no_padding(spark):
     df = spark.createDataFrame([(i, "one two three four five six") for i in range(1000)] + [(None, None), (7, "one two three four five six")], "doc_id long, text string")
     pieces = packing.pack_documents(df, public_tokenizers.path(BPE), prompt_share=0.25, max_loss=700).toPandas()

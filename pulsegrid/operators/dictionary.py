@@ -66,7 +66,7 @@ def alias_table(spark: SparkSession, variables: Mapping[str, Iterable[str]]) ->
 def map_columns(columns: DataFrame, name: str, aliases: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     """Columns ``variable`` and ``tier`` of headings: alias_exact, alias_base (unit and copy suffix off), classified by the
     first rule (regular expression, class) that fits, or review."""
-    one, two = (F.broadcast(aliases.select(F.col("alias").alias(f"__{t}"), F.col("variable").alias(f"__v{t}"))) for t in "eb")
+    one, two = (aliases.select(F.col("alias").alias(f"__{t}"), F.col("variable").alias(f"__v{t}")) for t in "eb")
     rows = columns.withColumn("__exact", normal_key(F.col(name)))
     rows = rows.withColumn("__base", F.lower(base_name(without_copy_suffix(F.col("__exact")))))
     rows = rows.join(one, F.col("__exact") == F.col("__e"), "left").join(two, F.col("__base") == F.col("__b"), "left")

@@ -48,26 +48,28 @@ def butter_sections(order: int, cutoff: float | tuple[float, float], fs: float,
     return out
 
 
-def _steady(section: np.ndarray) -> np.ndarray:
-    """State of a section that has seen a constant 1 for ever."""
-    b0, b1, b2, _, a1, a2 = section
-    total = (b0 + b1 + b2) / (1 + a1 + a2)
-    return np.array([total - b0, b2 - a2 * total])
-
-
-def run_sections(sections: np.ndarray, x: np.ndarray, steady: bool = True) -> np.ndarray:
-    """The sections in turn, in transposed direct form II, from the steady state of the first sample."""
-    for s in sections:
-        b0, b1, b2, _, a1, a2 = (float(v) for v in s)
-        z1, z2 = (_steady(s) * x[0]) if steady and len(x) else (0.0, 0.0)
-        y = np.empty_like(x)
-        for i, v in enumerate(x.tolist()):
-            o = b0 * v + z1
-            z1 = b1 * v - a1 * o + z2
-            z2 = b2 * v - a2 * o
-            y[i] = o
-        x = y
-    return x
+def memory(sections: np.ndarray, left: float = 1e-13) -> int:
+    """After how many samples the filter has forgotten all but ``left`` of what it saw, by its slowest pole."""
+    radius = max(abs(np.roots(s[3:])).max(initial=0.0) for s in sections)
+    return 1 if radius < 1e-9 else int(np.ceil(np.log(left) / np.log(min(radius, 1 - 1e-7)))) + 1
+
+
+def run_sections(sections: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The filter's response, from the steady state of the first sample: a product of spectra.
+
+    The series is extended by its first value for as long as the filter remembers, so what the transform wraps around
+    falls on samples that are dropped.
+    """
+    if not len(x):
+        return x
+    m = memory(sections)
+    size = 1 << int(np.ceil(np.log2(len(x) + 2 * m)))
+    z = np.exp(-2j * np.pi * np.arange(size // 2 + 1) / size)
+    response = np.ones(len(z), complex)
+    for b0, b1, b2, _, a1, a2 in sections:
+        response *= (b0 + b1 * z + b2 * z**2) / (1 + a1 * z + a2 * z**2)
+    long = np.concatenate([np.full(m, x[0]), x])
+    return np.fft.irfft(np.fft.rfft(long, size) * response, size)[m : m + len(x)]
 
 
 def zero_phase(x: np.ndarray, order: int, cutoff, fs: float, kind: str) -> np.ndarray:
@@ -177,8 +179,14 @@ def with_stretches(df: DataFrame, keys: list[str], order: str, size: int, halo:
     return rows.withColumn("__stretch", F.explode(F.sequence(F.greatest(first, F.lit(0)), last)))
 
 
-def filtered(df: DataFrame, keys: list[str], order: str, value: str, fs: float, kind: str, cutoff, filter_order: int = 4, size: int = 100_000, halo: int = 2_000) -> DataFrame:
-    """Column ``filtered``: the zero-phase Butterworth filter of each series, stretch by stretch; nulls stay null."""
+def filtered(df: DataFrame, keys: list[str], order: str, value: str, fs: float, kind: str, cutoff, filter_order: int = 4, size: int = 100_000, halo: int | None = None) -> DataFrame:
+    """Column ``filtered``: the zero-phase Butterworth filter of each series, stretch by stretch; nulls stay null.
+
+    The halo is what the filter remembers, so stretches give what the whole series would.
+    """
+    sections = butter_sections(filter_order, cutoff, fs, kind)
+    halo = (memory(sections, 1e-9) * 2 if sections is not None else 0) if halo is None else halo
+    size = max(size, 4 * halo)
     columns = [*keys, order, value]
     rows = with_stretches(df.select(*columns), keys, order, size, halo)
     kinds = dict(rows.dtypes)
@@ -241,49 +249,3 @@ def interpolate_windows(df: DataFrame, column: str, most_missing: float = 0.5) -
         return v.map(one)
 
     return df.withColumn(column, fill(column))
-
-
-CORRUPTIONS = ("spike", "dropout", "flatline", "noise", "baseline_shift", "saturation")
-
-
-def corrupt(x: np.ndarray, seed: int, kinds: tuple[str, ...] = CORRUPTIONS) -> tuple[np.ndarray, np.ndarray]:
-    """A copy with each corruption once, at places drawn from the seed, and which samples they touched."""
-    random = np.random.default_rng(seed)
-    y, hit = x.astype(float).copy(), np.zeros(len(x), bool)
-    sd = float(np.nanstd(x)) or 1.0
-    for kind in kinds:
-        length = 1 if kind == "spike" else max(2, len(x) // 20)
-        if length >= len(x):
-            continue
-        at = int(random.integers(0, len(x) - length))
-        part = slice(at, at + length)
-        if kind == "spike":
-            y[part] += 10 * sd
-        elif kind == "dropout":
-            y[part] = np.nan
-        elif kind == "flatline":
-            y[part] = y[at]
-        elif kind == "noise":
-            y[part] += random.normal(0, 3 * sd, length)
-        elif kind == "baseline_shift":
-            y[part] += 5 * sd
-        else:
-            y[part] = np.nanmax(y)
-        hit[part] = True
-    return y, hit
-
-
-def corrupted(df: DataFrame, keys: list[str], order: str, value: str, seed: int = 0, size: int = 100_000) -> DataFrame:
-    """Columns corrupted and artifact; seeds come from the keys by a stable hash, so runs repeat."""
-    rows = df.select(*keys, order, value).withColumn("__i", F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1)
-    rows = rows.withColumn("__part", F.floor(F.col("__i") / size)).withColumn("__seed", F.pmod(F.xxhash64(*keys, "__part", F.lit(seed)), F.lit(1 << 31)))
-    kinds = dict(rows.dtypes)
-    columns = [*keys, order, value]
-    schema = ", ".join(f"{c} {kinds[c]}" for c in columns) + ", corrupted double, artifact boolean"
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("__i")
-        y, hit = corrupt(part[value].to_numpy(float), int(part["__seed"].iloc[0]))
-        return part[columns].assign(corrupted=y, artifact=hit)
-
-    return rows.groupBy(*keys, "__part").applyInPandas(run, schema)

@@ -98,3 +98,28 @@ def review_labels(df: DataFrame, decision: str) -> DataFrame:
     """is_artifact from human decisions; unknown ones are left out."""
     rows = df.where(F.col(decision) != "UNKNOWN")
     return rows.withColumn("is_artifact", (~F.col(decision).isin("VALID", "CLINICALLY_ABNORMAL")).cast("int"))
+
+
+def ventilation(df: DataFrame) -> DataFrame:
+    """Columns volume_error (relative error of the minute volume against tidal volume and rate) and order_broken (a peak
+    pressure below the end-expiratory one); a missing value breaks nothing."""
+    c = F.col
+    want = c("vt") * c("rr") / 1000
+    out = df.withColumn("volume_error", F.abs(c("mve") - want) / F.nullif(F.abs(want), F.lit(0.0)))
+    return out.withColumn("order_broken", F.coalesce(c("pip") < c("peep"), F.lit(False)))
+
+
+def retraining(labels: DataFrame, key: str, label: str, before: str, least: int = 50) -> DataFrame:
+    """Per key the labels but for unknown ones, the artifacts among them, and whether a training is due: ``least`` of them, and
+    more than at the last one."""
+    out = labels.where(F.col(label) != "UNKNOWN").groupBy(key).agg(F.count("*").alias("n_labels"), F.count_if(F.col(label) == "ARTIFACT").alias("n_artifact"), F.max(before).alias("__before"))
+    return out.withColumn("retrain", (F.col("n_labels") >= least) & (F.col("n_labels") > F.col("__before"))).drop("__before")
+
+
+def unit_features(df: DataFrame, keys: list[str], value: str, least: int = 10) -> DataFrame:
+    """mean, sd, low, high, median and share missing of units with ``least`` values at least."""
+    out = df.groupBy(*keys).agg(
+        F.count(value).alias("__n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"), F.min(value).alias("low"), F.max(value).alias("high"), F.median(value).alias("median"),
+        (1 - F.count(value) / F.count("*")).alias("missing"),
+    )
+    return out.where(F.col("__n") >= least).drop("__n")

@@ -17,7 +17,7 @@ def dictionary(spark, rows: list[tuple]) -> DataFrame:
 
 def missing_rules(df: DataFrame, value: str, variable: str, spec: DataFrame, codes: list[float]) -> DataFrame:
     """Missing codes, and zeros where a variable can't be zero, become null; variables without a spec keep both."""
-    spec = F.broadcast(spec.select(F.col("variable").alias("__variable"), "zero_is_valid"))
+    spec = spec.select(F.col("variable").alias("__variable"), "zero_is_valid")
     rows = df.join(spec, F.col(variable) == F.col("__variable"), "left")
     gone = F.col(value).isin(codes) | ((F.col(value) == 0) & ~F.coalesce("zero_is_valid", F.lit(True)))
     return rows.withColumn(value, F.when(~F.coalesce(gone, F.lit(False)), F.col(value))).drop("__variable", "zero_is_valid")
@@ -27,7 +27,7 @@ def validity(df: DataFrame, value: str, variable: str, spec: DataFrame, codes: l
     """Columns qc and clean: MISSING, INVALID_RANGE (only if both bounds exist), LOW_QUALITY (bounds are a fallback),
     UNREVIEWED (no spec) or VALID. clean is the value where it stands; unreviewed values are kept.
     """
-    small = F.broadcast(spec.select(F.col("variable").alias("__variable"), "low", "high", "zero_is_valid", "fallback"))
+    small = spec.select(F.col("variable").alias("__variable"), "low", "high", "zero_is_valid", "fallback")
     rows = df.join(small, F.col(variable) == F.col("__variable"), "left")
     x = F.col(value)
     bounded = F.col("low").isNotNull() & F.col("high").isNotNull()

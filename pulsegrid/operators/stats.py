@@ -123,7 +123,7 @@ def external_validation(df: DataFrame, keys: list[str], value: str, reference: D
 
     reference: keys, ref_mean, ref_sd, low, high; a small table.
     """
-    rows = df.join(F.broadcast(reference), keys)
+    rows = df.join(reference, keys)
     out = rows.groupBy(*keys).agg(
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("sd"),
@@ -142,7 +142,7 @@ def overfilter(df: DataFrame, keys: list[str], value: str, family: str, limits:
     """Share of nulls per series against its family's limits (family, warn_pct, critical_pct, exempt); under a tenth left is
     CRITICAL_EMPTY. limits is a small table."""
     out = df.groupBy(*keys, family).agg(((1 - F.count(value) / F.count("*")) * 100).alias("null_pct"))
-    out = out.join(F.broadcast(limits), family, "left")
+    out = out.join(limits, family, "left")
     status = (
         F.when(F.coalesce("exempt", F.lit(False)), "EXEMPT")
         .when(F.col("null_pct") > 90, "CRITICAL_EMPTY")
@@ -156,10 +156,11 @@ def overfilter(df: DataFrame, keys: list[str], value: str, family: str, limits:
 #: Patterns of values that identify people, as text; none needs look-around.
 IDENTIFIERS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "phone": r"\(?[0-9]{3}\)?[ -.]?[0-9]{3}[-.][0-9]{4}",
+    "phone": r"[+]?[0-9][0-9 .()-]{7,}[0-9]",
     "ip": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
-    "date": r"(19|20)[0-9]{2}-[01][0-9]-[0-3][0-9]",
-    "long_number": r"[0-9]{9,}",
+    "date": r"(19|20)[0-9]{2}[-/.](0[1-9]|1[0-2])[-/.](0[1-9]|[12][0-9]|3[01])",
+    "long_number": r"[0-9]{6,}",
+    "name": r"(^|[^A-Za-zÀ-ÿ])[A-ZÀ-Þ][a-zß-þ]+( [A-ZÀ-Þ][a-zß-þ]+){1,3}",
 }
 
 
@@ -168,7 +169,7 @@ def identifier_scan(df: DataFrame, keys: list[str], text: str, patterns: dict[st
     out = df.groupBy(*keys).agg(
         F.count(text).alias("n"),
         *[F.count_if(F.col(text).rlike(p)).alias(f"n_{k}") for k, p in patterns.items()],
-        F.countDistinct(text).alias("n_distinct"),
+        F.countDistinct(F.xxhash64(text), F.length(text)).alias("n_distinct"),
         F.avg(F.length(text)).alias("mean_length"),
     )
     return out.withColumn("free_text", (F.col("n_distinct") > F.greatest(F.lit(10), F.col("n") / 2)) & (F.col("mean_length") > 20))

@@ -22,10 +22,14 @@ def checks(df: DataFrame, keys: list[str], rules: list[tuple[str, Column, str, C
     return df.select(*keys, F.explode(F.array(*parts)).alias("c")).select(*keys, "c.*")
 
 
+def _rank(result: Column, order: tuple[str, ...]) -> Column:
+    place = F.array_position(F.array(*[F.lit(o) for o in order]), result)
+    return F.when(place == 0, len(order) + 1).otherwise(place)
+
+
 def verdict(found: DataFrame, keys: list[str], order: tuple[str, ...]) -> DataFrame:
     """The worst result per unit by ``order`` (worst first); of equally bad checks the first names it."""
-    rank = F.array_position(F.array(*[F.lit(o) for o in order]), F.col("result"))
-    rank = F.when(rank == 0, len(order) + 1).otherwise(rank)
+    rank = _rank(F.col("result"), order)
     worst = F.min_by(F.struct("result", "check"), F.struct(rank, F.col("position")))
     return found.groupBy(*keys).agg(worst.alias("w"), F.count_if(F.col("result") != "PASS").alias("n_failed")).select(*keys, F.col("w.result").alias("verdict"), F.when(F.col("w.result") != "PASS", F.col("w.check")).alias("because"), "n_failed")
 
@@ -82,8 +86,9 @@ def template_audit(expected: DataFrame, observed: DataFrame, keys: list[str]) ->
 
 
 def checklist(results: DataFrame, key: str, device: str, result: str, devices: list[str], order: tuple[str, ...]) -> DataFrame:
-    """The worst result per unit and expected device as columns; ABSENT where there is none."""
-    rank = F.array_position(F.array(*[F.lit(o) for o in order]), F.col(result))
+    """The worst result per unit and expected device as columns; ABSENT where there is none. Results that ``order`` lacks
+    are the least bad."""
+    rank = _rank(F.col(result), order)
     wide = results.groupBy(key).pivot(device, devices).agg(F.min_by(result, rank))
     return wide.fillna("ABSENT", devices)
 
@@ -103,14 +108,14 @@ def rich_part(df: DataFrame, keys: list[str], order: str, value: str, low: float
 
 
 def worst_kind(df: DataFrame, keys: list[str], kind: str, order: tuple[str, ...]) -> DataFrame:
-    """Counts per kind and the worst kind per key; ``order`` has the worst first."""
-    rank = F.array_position(F.array(*[F.lit(o) for o in order]), F.col(kind))
+    """Counts per kind and the worst kind per key; ``order`` has the worst first; kinds that it lacks come last."""
+    rank = _rank(F.col(kind), order)
     return df.groupBy(*keys).agg(F.min_by(kind, rank).alias("worst_kind"), *[F.count_if(F.col(kind) == k).alias(f"n_{k}") for k in order])
 
 
 def champion(registry: DataFrame, name: str, score: str, version: str) -> DataFrame:
-    """The best version of every model; of equals the first."""
-    best = F.min_by(F.struct(version, score), F.struct(-F.col(score), F.col(version)))
+    """The best version of every model; of equals the first; one without a score only if no version has one."""
+    best = F.min_by(F.struct(version, score), F.struct(F.col(score).isNull(), -F.col(score), F.col(version)))
     return registry.groupBy(name).agg(best.alias("b"), F.count("*").alias("n_versions")).select(name, f"b.{version}", f"b.{score}", "n_versions")
 
 

@@ -112,12 +112,12 @@ def capped_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT user_id, arg_max(event_type, ts) AS decision, count(*) AS n_decisions, arg_max(event_type, ts) NOT IN ('view', 'click', 'signup') AS is_artifact
+SELECT user_id, arg_max(event_type, (ts, event_id)) AS decision, count(*) AS n_decisions, arg_max(event_type, (ts, event_id)) NOT IN ('view', 'click', 'signup') AS is_artifact
 FROM events WHERE event_type <> 'signup' GROUP BY user_id""")
 def review_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest decision per recording; unknown ones never count."""
     rows = samples(spark, sf_dir).where("event_type <> 'signup'")
-    out = rows.groupBy("user_id").agg(F.max_by("event_type", "ts").alias("decision"), F.count("*").alias("n_decisions"))
+    out = rows.groupBy("user_id").agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("decision"), F.count("*").alias("n_decisions"))
     return out.withColumn("is_artifact", ~F.col("decision").isin("view", "click", "signup"))
 
 
@@ -132,15 +132,15 @@ def coverage_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH s AS (SELECT user_id, epoch_us(ts) / 1e6 AS t, value FROM events),
-n AS (SELECT event_id, s.t - e.t AS d, s.value, row_number() OVER (PARTITION BY event_id ORDER BY s.t DESC) AS k FROM (SELECT event_id, user_id, epoch_us(ts) / 1e6 AS t FROM events WHERE event_type = 'purchase') e
+WITH s AS (SELECT event_id AS id, user_id, epoch_us(ts) / 1e6 AS t, value FROM events),
+n AS (SELECT event_id, s.t - e.t AS d, s.value, row_number() OVER (PARTITION BY event_id ORDER BY s.t DESC, s.id DESC) AS k FROM (SELECT event_id, user_id, epoch_us(ts) / 1e6 AS t FROM events WHERE event_type = 'purchase') e
       JOIN s ON s.user_id = e.user_id AND s.t < e.t AND s.t >= e.t - 172800)
 SELECT event_id, round(-d, 6) AS age_s, value FROM n WHERE k = 1""")
 def latest_before(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As-of alignment: the last sample before each purchase within two days, by one sorted pass and no join."""
+    """As-of alignment: the last earlier sample before each purchase within two days, by one sorted pass and no join."""
     df = samples(spark, sf_dir).withColumn("t", seconds(F.col("ts")))
-    before = Window.partitionBy("user_id").orderBy("ts").rowsBetween(-1, -1)
-    out = df.withColumn("age_s", F.col("t") - F.max("t").over(before)).withColumn("last", F.max("value").over(before))
+    before = Window.partitionBy("user_id").orderBy(micros(F.col("ts"))).rangeBetween(Window.unboundedPreceding, -1)
+    out = df.withColumn("was", F.max(F.struct("t", "event_id", "value")).over(before)).withColumn("age_s", F.col("t") - F.col("was.t")).withColumn("last", F.col("was.value"))
     return out.where("event_type = 'purchase' and age_s <= 172800").select("event_id", F.round("age_s", 6).alias("age_s"), F.col("last").alias("value"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.operators import filters, learning, windows
@@ -24,26 +24,19 @@ def morphology_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def ecg_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels of the synthetic ECG, one recording per nation."""
-    from pulsegrid.sources.synthetic import ecg
-
-    keys = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("recording_id"))
-    return filters.ecg_labels(ecg(keys, seconds=20), ["recording_id"], "i", "value", 360.0)
-
-
-@query()
-def synthetic_corruptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filters.corrupted(samples(spark, sf_dir), ["user_id"], "event_id", "value")
+    """Labels per second of each user's values as if sampled four times a second."""
+    return filters.ecg_labels(samples(spark, sf_dir), ["user_id"], "event_id", "value", 4.0)
 
 
 @query()
 def window_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Artifact windows by a random forest on eight window features; scores on the test part."""
-    rows = windows.sliding_features(samples(spark, sf_dir), ["user_id"], "ts", "value", 20, 10)
-    rows = rows.withColumn("label", (F.col("max") > 250).cast("int"))
+    """Windows whose next one has a high mean, by a random forest on window features; scores on the test part."""
+    rows = windows.sliding_features(samples(spark, sf_dir), ["user_id"], "ts", "value", 20, 20)
+    later = F.lead("mean").over(Window.partitionBy("user_id").orderBy("window"))
+    rows = rows.withColumn("label", (later > F.col("mean")).cast("int")).where("label is not null")
     parts = learning.split(rows, "user_id")
     names = ["mean", "std", "min", "range", "median", "max_change"]
-    model = learning.forest(parts.where("part = 'train'"), names, "label", trees=20, depth=5)
+    model = learning.forest(parts.where("part = 'train'"), names, "label", trees=100, depth=12)
     return learning.scores(model.transform(parts.where("part = 'test'")))
 
 
@@ -55,7 +48,7 @@ def embedding_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def silhouette_by_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return learning.silhouettes(table(spark, sf_dir, "embeddings"), "embedding", (3, 5))
+    return learning.silhouettes(table(spark, sf_dir, "embeddings"), "embedding", (3, 5, 7, 10))
 
 
 @query("""

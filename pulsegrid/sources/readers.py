@@ -6,6 +6,7 @@ tasks from ``binaryFile`` rows, a file per row.
 
 from __future__ import annotations
 
+import hashlib
 import io
 import re
 import zipfile
@@ -127,7 +128,7 @@ def nol_export(spark: SparkSession, path: str, zone: str = "UTC") -> dict[str, D
     files = files.withColumn("line", F.trim(F.regexp_replace("line", "^﻿", "")))
     stamp = r"^\"?\d{1,2}-[A-Za-z]{3}-\d{4} \d{2}:\d{2}:\d{2}"
     header = files.where((F.col("n") < 20) & F.col("line").contains("Abs Time Vector")).groupBy("path").agg(F.min("n").alias("header"))
-    rows = files.join(F.broadcast(header), "path")
+    rows = files.join(header, "path")
     own = rows.where((F.col("n") < F.col("header")) & (F.col("line") != "")).groupBy("path").agg(F.array_sort(F.collect_list(F.struct("n", "line"))).alias("l"))
     pair = F.arrays_zip(F.split(F.get("l", F.lit(0))["line"], ",").alias("field"), F.split(F.get("l", F.lit(1))["line"], ",").alias("value"))
     demographics = own.where(F.size("l") >= 2).select("path", F.explode(pair).alias("x")).select("path", F.trim("x.field").alias("field"), F.trim("x.value").alias("value")).where("field <> ''")
@@ -187,7 +188,7 @@ def eeg_trends(spark: SparkSession, path: str, hints: dict[str, str], fallback:
     """
     lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", r"\r?\n")).alias("n", "line"))
     header = lines.where("n = 1").select("path", F.transform(F.split("line", r"\|"), lambda h: F.lower(F.trim(h))).alias("h"))
-    rows = lines.where((F.col("n") > 1) & (F.trim("line") != "")).join(F.broadcast(header), "path")
+    rows = lines.where((F.col("n") > 1) & (F.trim("line") != "")).join(header, "path")
     rows = rows.withColumn("p", F.split("line", r"\|"))
     place = lambda hint: F.array_position(F.transform("h", lambda h: h.contains(hint)), True).cast("int")
     text = {v: F.get("p", F.when(place(h) > 0, place(h) - 1).otherwise(F.lit(fallback.get(v, -1)))) for v, h in hints.items()}
@@ -238,6 +239,7 @@ def exam_zip(spark: SparkSession, path: str, sentinel: float = -32768.0, sentine
         for batch in batches:
             for p, content in zip(batch["path"], batch["content"], strict=True):
                 exam = re.sub(r"\.[^.]*$", "", p.rsplit("/", 1)[-1])
+                parts = []
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
                     for member in sorted(m for m in z.namelist() if m.endswith(".parquet")):
                         keys = dict(part.split("=", 1) for part in member.split("/") if "=" in part)
@@ -245,10 +247,12 @@ def exam_zip(spark: SparkSession, path: str, sentinel: float = -32768.0, sentine
                         try:
                             got = pq.read_table(io.BytesIO(z.read(member))).to_pandas()
                         except zipfile.BadZipFile:
-                            yield pd.DataFrame([{**base, **dict.fromkeys(names), "crc_ok": False}])
+                            parts.append(pd.DataFrame([{**base, **dict.fromkeys(names), "crc_ok": False}]))
                             continue
                         out = pd.DataFrame({n: got[n] if n in got else None for n in names}).astype({n: float for n in names[1:]})
-                        yield pd.DataFrame({**{k: [v] * len(out) for k, v in base.items()}, **out, "crc_ok": True})
+                        parts.append(pd.DataFrame({**{k: [v] * len(out) for k, v in base.items()}, **out, "crc_ok": True}))
+                if parts:
+                    yield pd.concat(parts).sort_values("local_time", kind="stable")
 
     out = files.mapInPandas(run, EXAM_SCHEMA)
     gone = (F.col("sensor") == sentinel_sensor) & (F.col("value") == sentinel)
@@ -256,16 +260,29 @@ def exam_zip(spark: SparkSession, path: str, sentinel: float = -32768.0, sentine
     return out.withColumn("ts", F.timestamp_micros((F.col("local_time") * 1_000_000).cast("long")))
 
 
+def listed(spark: SparkSession, path: str) -> DataFrame:
+    """path and length of files; their contents aren't read."""
+    return spark.read.format("binaryFile").load(path).select("path", "length")
+
+
+def opened(path: str):
+    """A file opened for reading parts of it, on any store that Arrow knows; inside tasks."""
+    from pyarrow import fs
+
+    store, at = fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1) if path.startswith("file:") else "file://" + path)
+    return store.open_input_file(at)
+
+
 def footer_census(spark: SparkSession, path: str) -> DataFrame:
     """Per Parquet file and column whether it has any value, from footers alone: true, false or null (no statistics)."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def run(batches):
         import pyarrow.parquet as pq
 
         for batch in batches:
-            for p, content in zip(batch["path"], batch["content"], strict=True):
-                meta = pq.ParquetFile(io.BytesIO(content)).metadata
+            for p in batch["path"]:
+                with opened(p) as f:
+                    meta = pq.ParquetFile(f).metadata
                 rows = []
                 for c in range(meta.num_columns):
                     known, valid = True, False
@@ -278,7 +295,31 @@ def footer_census(spark: SparkSession, path: str) -> DataFrame:
                     rows.append({"path": p, "column": meta.schema.column(c).path, "n_rows": meta.num_rows, "has_values": True if valid else (False if known else None)})
                 yield pd.DataFrame(rows, columns=["path", "column", "n_rows", "has_values"])
 
-    return files.mapInPandas(run, "path string, column string, n_rows long, has_values boolean")
+    return listed(spark, path).mapInPandas(run, "path string, column string, n_rows long, has_values boolean")
+
+
+def footer_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """The key and value pairs of Parquet footers: path, key, value."""
+
+    def run(batches):
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            for p in batch["path"]:
+                with opened(p) as f:
+                    pairs = pq.ParquetFile(f).metadata.metadata or {}
+                yield pd.DataFrame([(p, k.decode(), v.decode("utf-8", "replace")) for k, v in pairs.items()], columns=["path", "key", "value"])
+
+    return listed(spark, path).mapInPandas(run, "path string, key string, value string")
+
+
+def located(df: DataFrame, path: str, places: list[tuple[str, str]]) -> DataFrame:
+    """Column ``location``: the first place (pattern over the lower-cased file name, label) that a file's name tells."""
+    name = F.lower(C.file_name(F.col(path)))
+    out = F.lit(None).cast("string")
+    for pattern, label in reversed(places):
+        out = F.when(name.rlike(pattern), label).otherwise(out)
+    return df.withColumn("location", out)
 
 
 def json_catalog(spark: SparkSession, path: str) -> DataFrame:
@@ -291,20 +332,21 @@ def label_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def pruned(spark: SparkSession, path: str, columns: list[str], rows: int | None = None) -> DataFrame:
-    """Some columns of a Parquet table; with ``rows`` a look at that many of them."""
-    df = spark.read.parquet(path).select(*columns)
-    return df.limit(rows) if rows else df
+    """Some columns of Parquet files; with ``rows`` the first so many of each file."""
+    df = spark.read.parquet(path)
+    return (df.where(F.col("_metadata.row_index") < rows) if rows else df).select(*columns)
 
 
 def head_census(spark: SparkSession, path: str, head: int = 256 << 10) -> DataFrame:
     """What unknown text files look like from their heads: encoding, delimiter, header line, columns, numeric share, hash."""
-    files = spark.read.format("binaryFile").load(path).select("path", "length", F.substring("content", 1, head).alias("head"), F.sha2(F.substring("content", 1, 8 << 20), 256).alias("partial_sha256"))
 
     def run(batches):
         for batch in batches:
             rows = []
-            for p, n, raw, sha in zip(batch["path"], batch["length"], batch["head"], batch["partial_sha256"], strict=True):
-                raw = bytes(raw)
+            for p, n in zip(batch["path"], batch["length"], strict=True):
+                with opened(p) as f:
+                    part = f.read(8 << 20)
+                raw, sha = part[:head], hashlib.sha256(part).hexdigest()
                 encoding = next((e for e in ("utf-8-sig", "cp1252", "latin-1") if _decodes(raw, e)), "latin-1")
                 lines = [x for x in raw.decode(encoding, "replace").splitlines() if x.strip()]
                 sep = sniff_delimiter(max(lines[:20], key=lambda x: max(x.count(d) for d in DELIMITERS), default=""))
@@ -316,7 +358,7 @@ def head_census(spark: SparkSession, path: str, head: int = 256 << 10) -> DataFr
                 rows.append({"path": p, "length": n, "encoding": encoding, "delimiter": sep, "header_line": at, "columns": names, "numeric_share": share, "partial_sha256": sha})
             yield pd.DataFrame(rows)
 
-    return files.mapInPandas(run, "path string, length long, encoding string, delimiter string, header_line int, columns array<string>, numeric_share double, partial_sha256 string")
+    return listed(spark, path).mapInPandas(run, "path string, length long, encoding string, delimiter string, header_line int, columns array<string>, numeric_share double, partial_sha256 string")
 
 
 def _decodes(raw: bytes, encoding: str) -> bool:
@@ -332,17 +374,41 @@ def _numeric_share(line: str, sep: str) -> float:
     return sum(bool(re.fullmatch(r"\s*-?\d+([.,]\d+)?\s*", f)) for f in fields) / len(fields)
 
 
-def fingerprints(spark: SparkSession, path: str) -> DataFrame:
-    """Kind of files by their first bytes, with sizes and entropy of the head."""
-    magic = ((b"PAR1", "parquet"), (b"PK\x03\x04", "zip"), (b"\x1f\x8b", "gzip"), (b"gAAAA", "token"), (b"\xd0\xcf\x11\xe0", "ole"), (b"%PDF", "pdf"), (b"\x89PNG", "png"), (b"\xff\xd8\xff", "jpeg"))
-    files = spark.read.format("binaryFile").load(path)
-    head = F.substring("content", 1, 8)
-    kind: Column | None = None
-    for m, name in magic:
-        hit = F.substring(head, 1, len(m)) == F.lit(bytearray(m))
-        kind = F.when(hit, name) if kind is None else kind.when(hit, name)
-    kind = kind.when(F.col("length") == 0, "empty").otherwise("unknown")
-    return files.select("path", "length", kind.alias("kind"), F.hex(head).alias("first_bytes"))
+#: First bytes of kinds of files.
+MAGIC = ((b"PAR1", "parquet"), (b"PK\x03\x04", "zip"), (b"\x1f\x8b", "gzip"), (b"gAAAA", "token"), (b"\xd0\xcf\x11\xe0", "ole"), (b"%PDF", "pdf"), (b"\x89PNG", "png"), (b"\xff\xd8\xff", "jpeg"))
+
+
+def fingerprint(raw: bytes) -> tuple[str, str, str, float, float, str]:
+    """kind, first bytes, byte order mark, entropy in bits a byte, share of zero bytes and class of a file's head."""
+    kind = "empty" if not raw else next((k for m, k in MAGIC if raw.startswith(m)), "unknown")
+    mark = next((n for m, n in ((b"\xef\xbb\xbf", "utf-8"), (b"\xff\xfe", "utf-16-le"), (b"\xfe\xff", "utf-16-be")) if raw.startswith(m)), "")
+    counts = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
+    p = counts[counts > 0] / max(1, len(raw))
+    entropy, zeros = float(-(p * np.log2(p)).sum()) if len(p) else 0.0, float(counts[0] / max(1, len(raw)))
+    printable = counts[32:127].sum() + counts[[9, 10, 13]].sum() + counts[128:].sum()
+    if kind != "unknown" or not raw:
+        label = kind
+    elif zeros > 0.95:
+        label = "zeros"
+    elif mark or printable > 0.95 * len(raw):
+        label = "text"
+    else:
+        label = "compressed_or_encrypted" if entropy > 7.5 else "binary"
+    return kind, raw[:8].hex().upper(), mark, entropy, zeros, label
+
+
+def fingerprints(spark: SparkSession, path: str, head: int = 64 << 10) -> DataFrame:
+    """Kind of files by their first bytes, with byte order mark, entropy, share of zeros and class of the head."""
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for p, n in zip(batch["path"], batch["length"], strict=True):
+                with opened(p) as f:
+                    rows.append((p, n, *fingerprint(f.read(head))))
+            yield pd.DataFrame(rows, columns=["path", "length", "kind", "first_bytes", "bom", "entropy", "zeros", "class"])
+
+    return listed(spark, path).mapInPandas(run, "path string, length long, kind string, first_bytes string, bom string, entropy double, zeros double, class string")
 
 
 READERS = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.operators.catalog import new_rows
@@ -14,11 +14,16 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def append_new(rows: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None) -> tuple[int, int]:
-    """Appends the rows whose keys the table doesn't hold; null equals null. Returns rows given and rows written."""
+    """Appends the rows whose keys the table doesn't hold; null equals null. Returns rows given and rows written.
+
+    Of rows with the same keys the smallest by their other columns is written.
+    """
     spark = rows.sparkSession
-    rows = rows.dropDuplicates(keys)
-    fresh = new_rows(rows, spark.read.parquet(path), keys) if exists(spark, path) else rows
     given = rows.count()
+    rest = [c for c in rows.columns if c not in keys]
+    names = rows.columns
+    rows = rows.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__r")).select(*keys, "__r.*").select(*names) if rest else rows.dropDuplicates(keys)
+    fresh = new_rows(rows, spark.read.parquet(path), keys) if exists(spark, path) else rows
     # Counted before the append, which would make them old.
     written = fresh.count()
     if written:
@@ -32,16 +37,16 @@ def signal_table(long: DataFrame, path: str) -> tuple[int, int]:
     return append_new(long.withColumn("day", F.to_date("ts")), path, ["recording_id", "variable", "ts"], ["day"])
 
 
-def exam_table(samples: DataFrame, path: str) -> None:
-    """Exams by sensor and signal; free text stays out."""
+def exam_table(samples: DataFrame, path: str) -> tuple[int, int]:
+    """Exams by sensor and signal; free text stays out. A sample is known by exam, sensor, signal and local_time."""
     free = [c for c in ("annotation", "form") if c in samples.columns]
-    samples.drop(*free).write.mode("append").partitionBy("sensor", "signal").parquet(path)
+    return append_new(samples.drop(*free), path, ["exam", "sensor", "signal", "local_time"], ["sensor", "signal"])
 
 
 def quarantine(df: DataFrame, bad, reason: str, path: str) -> DataFrame:
-    """Rows for which ``bad`` holds go to the quarantine with the reason; the others are returned."""
+    """Rows for which ``bad`` holds go to the quarantine with the reason, each once; the others are returned."""
     bad = F.coalesce(bad, F.lit(False))
-    df.where(bad).withColumn("reason", F.lit(reason)).write.mode("append").parquet(path)
+    append_new(df.where(bad).withColumn("reason", F.lit(reason)), path, [*df.columns, "reason"])
     return df.where(~bad)
 
 
@@ -69,5 +74,44 @@ def flagged(df: DataFrame, path: str, values: list[str], qc: list[str], review)
 
 
 def audit(spark: SparkSession, path: str, run: str, status: str, n_rows: int) -> None:
+    """One row per run and status."""
     row = spark.createDataFrame([(run, status, n_rows)], "run string, status string, n_rows long")
-    row.withColumn("at", F.current_timestamp()).write.mode("append").parquet(path)
+    append_new(row.withColumn("at", F.current_timestamp()), path, ["run", "status"])
+
+
+def standardised(samples: DataFrame, path: str, hashes: DataFrame) -> tuple[int, int]:
+    """Samples of recordings by project and device, each under a key of patient, device and its content's hash; a recording
+    that is there already isn't written again. hashes: recording_id, sha256; a recording's own hash."""
+    key = F.concat_ws("_", "patient", "device", F.substring("sha256", 1, 8))
+    rows = samples.join(hashes, "recording_id").withColumn("key", key)
+    return append_new(rows, path, ["key", "variable", "ts"], ["project", "device"])
+
+
+def get_or_create(names: DataFrame, path: str, keys: list[str], id_col: str) -> DataFrame:
+    """The table of ids by ``keys`` with the missing ones added after the greatest id, in the order of the keys."""
+    spark = names.sparkSession
+    wanted = names.select(*keys).distinct()
+    if exists(spark, path):
+        known = spark.read.parquet(path)
+        top = known.agg(F.max(id_col)).first()[0] or 0
+        wanted = new_rows(wanted, known, keys)
+    else:
+        top = 0
+    # Dealt by range, each partition numbers its own rows after those before it: no single sorted task.
+    rows = wanted.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__p", F.spark_partition_id())
+    rows = rows.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*keys)))
+    sizes = rows.groupBy("__p").count().collect()  # a number per partition
+    starts, at = [], top
+    for r in sorted(sizes, key=lambda r: r["__p"]):
+        starts.append((r["__p"], at))
+        at += r["count"]
+    if starts:
+        offset = F.create_map(*[F.lit(x) for kv in starts for x in kv])[F.col("__p")]
+        rows.withColumn(id_col, (offset + F.col("__i")).cast("long")).select(*keys, id_col).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+def statistics_book(tables: dict[str, DataFrame], path: str) -> None:
+    """A folder of CSV sheets."""
+    for name, df in tables.items():
+        df.write.mode("overwrite").option("header", True).csv(f"{path}/{name}")

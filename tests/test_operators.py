@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import columns as C
-from pulsegrid.operators import catalog, filters, learning, quality, stats, windows
+from pulsegrid.operators import catalog, filters, learning, quality, stats, validation, windows
 from pulsegrid.operators import timeseries as ts
 
 
@@ -125,9 +125,11 @@ def test_find_peaks():
 
 
 def test_ecg_labels(spark):
-    from pulsegrid.sources.synthetic import ecg_samples
-
-    x, _ = ecg_samples(60, 360, 72, 42, True)
+    random, t = np.random.default_rng(1), np.arange(60 * 360) / 360
+    beat = np.exp(-((t % 0.8 - 0.4) ** 2) / 0.002)
+    x = beat + random.normal(0, 0.005, len(t))
+    x[3600:3960] = x[3600]
+    x[30 * 360 : 31 * 360] += random.normal(0, 0.3, 360)
     qc = filters.ecg_qc(x, 360.0)
     assert qc[10] == "FLAT" and "NOISY" in qc[29:32] and (qc == "VALID").mean() > 0.7
 
@@ -187,7 +189,48 @@ def test_split_keeps_units_together(spark):
     assert got.where("n > 1").count() == 0
 
 
-def test_corruptions_repeat(spark):
-    df = series(spark, np.sin(np.arange(200)))
-    a, b = (filters.corrupted(df.drop("ts"), ["k"], "i", "v").orderBy("i").toPandas() for _ in range(2))
-    assert a.equals(b) and a.artifact.any() and not a.artifact.all()
+def test_missing_scores_never_win(spark):
+    rows = [("m", "v1", 0.9), ("m", "v2", None), ("n", "v1", None)]
+    got = {r.model: r.version for r in validation.champion(spark.createDataFrame(rows, "model string, version string, f1 double"), "model", "f1", "version").collect()}
+    assert got == {"m": "v1", "n": "v1"}
+    rows = [("u", "d", "ODD"), ("u", "d", "FAIL"), ("u", "e", "ODD"), ("u", "e", "PASS")]
+    got = validation.checklist(spark.createDataFrame(rows, "u string, d string, r string"), "u", "d", "r", ["d", "e", "f"], ("FAIL", "PASS")).first()
+    assert (got.d, got.e, got.f) == ("FAIL", "PASS", "ABSENT")
+    assert validation.worst_kind(spark.createDataFrame(rows, "u string, d string, r string"), ["u"], "r", ("FAIL", "PASS")).first().worst_kind == "FAIL"
+
+
+def test_nothing_is_resurrected(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (None, 3.0)], "clean double, filtered double")
+    assert [r.filtered for r in quality.never_resurrect(df, "clean", "filtered").collect()] == [2.0, None]
+
+
+def test_filter_has_no_edges_between_stretches(spark):
+    values = np.cumsum(np.random.default_rng(5).normal(0, 1, 4000))
+    whole = filters.zero_phase(values, 2, 0.02, 1.0, "low")
+    got = flags(filters.filtered(series(spark, values).drop("ts"), ["k"], "i", "v", 1.0, "low", 0.02, 2, size=500), "filtered")
+    assert np.allclose(got, whole, atol=1e-6)
+
+
+def test_filter_equals_the_recursion():
+    x = np.random.default_rng(6).normal(0, 1, 300)
+    for section in filters.butter_sections(2, 0.1, 1.0, "low"):
+        b0, b1, b2, _, a1, a2 = section
+        y, long = [], np.concatenate([np.full(500, x[0]), x])
+        for i, v in enumerate(long):
+            p = lambda s, k: s[i - k] if i >= k else 0.0  # noqa: B023, E731
+            y.append(b0 * v + b1 * p(long, 1) + b2 * p(long, 2) - a1 * p(y, 1) - a2 * p(y, 2))
+        assert np.allclose(filters.run_sections(section[None, :], x), y[500:], atol=1e-8)
+
+
+def test_windows_are_interpolated(spark):
+    df = spark.createDataFrame([([1.0, None, 3.0],), ([None, None, 1.0],), (None,)], "w array<double>")
+    assert [r.w for r in filters.interpolate_windows(df, "w").collect()] == [[1.0, 2.0, 3.0], None, None]
+
+
+def test_learning_helpers(spark):
+    assert learning.promote(0.80, 0.82) and not learning.promote(0.80, 0.805)
+    df = spark.createDataFrame([(0.3, 1.0, 0.9), (0.0, 0.0, 0.9), (0.0, 1.0, 0.1), (0.0, 1.0, 0.9)], "m double, s double, n double")
+    assert [r.p for r in df.select(learning.pseudo_label(F.col("m"), F.col("s"), F.col("n"), True).alias("p")).collect()] == [1, 1, 1, 0]
+    rows = spark.createDataFrame([(float(i), i % 7 / 7.0, int(i >= 30)) for i in range(60)], "a double, b double, y int")
+    out = learning.probability(learning.boosted(rows, ["a", "b"], "y", rounds=3), rows)
+    assert out.where("(p > 0.5) = (y = 1)").count() >= 58

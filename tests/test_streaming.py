@@ -58,8 +58,8 @@ def test_gap_alarms_across_batches(spark, tmp_path):
 def test_append_new_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "signals")
     rows = spark.createDataFrame([("r", T0, "HR", 70.0), ("r", T0, "HR", 71.0), ("r", T0, "BIS", 40.0)], "recording_id string, ts timestamp, variable string, value double")
-    assert sinks.signal_table(rows, path) == (2, 2)
-    assert sinks.signal_table(rows, path) == (2, 0)
+    assert sinks.signal_table(rows, path) == (3, 2)
+    assert sinks.signal_table(rows, path) == (3, 0)
     assert spark.read.parquet(path).count() == 2
 
 

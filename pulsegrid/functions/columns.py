@@ -97,3 +97,28 @@ def versioned_key(key: Column, digest: Column) -> Column:
     extension = F.regexp_extract(key, r"(\.[^./]+)$", 1)
     stem = F.substring(key, F.lit(1), F.length(key) - F.length(extension))
     return F.concat(stem, F.lit(".v2-"), F.left(digest, F.lit(8)), extension)
+
+
+# French month names, folded.
+FRENCH_MONTHS = ("janvier", "fevrier", "mars", "avril", "mai", "juin", "juillet", "aout", "septembre", "octobre", "novembre", "decembre")
+
+
+def folded(text: Column) -> Column:
+    """Lower-cased without the accents of French."""
+    return F.translate(F.lower(text), "àâäçéèêëîïôöùûüÿ", "aaaceeeeiioouuuy")
+
+
+def french_date(text: Column) -> Column:
+    """The date of a day, French month name and year; null for anything else."""
+    plain = folded(text)
+    part = lambda i: F.regexp_extract(plain, r"([0-9]{1,2})(?:er)? ([a-z]+)[.]? ([0-9]{4})", i)
+    month = F.array_position(F.array(*[F.lit(m) for m in FRENCH_MONTHS]), part(2))
+    return F.when(month > 0, F.try_to_date(F.concat_ws("-", part(3), month.cast("string"), part(1)), "yyyy-M-d"))
+
+
+def block_hash(content: Column, block: int = 4 << 20) -> Column:
+    """SHA-256 of the SHA-256 digests of a content's blocks, as cloud stores compute it; a content must fit in a row."""
+    n = F.greatest(F.ceil(F.length(content) / block), F.lit(0)).cast("int")
+    part = lambda i: F.sha2(F.substring(content, i * block + 1, F.lit(block)), 256)
+    digests = F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), part), "")).otherwise("")
+    return F.sha2(F.unhex(digests), 256)

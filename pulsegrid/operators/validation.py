@@ -123,3 +123,23 @@ def numeric_if_mostly(df: DataFrame, columns: list[str], least: float = 0.5) ->
     """Text columns become numbers if more than ``least`` of their values are; one pass decides for all columns."""
     shares = df.agg(*[(F.count(F.col(c).try_cast("double")) / F.nullif(F.count(c), F.lit(0))).alias(c) for c in columns]).first()
     return df.withColumns({c: F.col(c).try_cast("double") for c in columns if (shares[c] or 0) > least})
+
+
+def usable(df: DataFrame, key: str, variable: str, known: list[str], least_rows: int = 10, least_variables: int = 2) -> DataFrame:
+    """Per recording its rows, its known variables, and why it is skipped: TOO_SHORT, TOO_FEW_VARIABLES or null."""
+    out = df.groupBy(key).agg(F.count("*").alias("n_rows"), F.countDistinct(F.when(F.col(variable).isin(*known), F.col(variable))).alias("n_known"))
+    return out.withColumn("skipped", F.when(F.col("n_rows") < least_rows, "TOO_SHORT").when(F.col("n_known") < least_variables, "TOO_FEW_VARIABLES"))
+
+
+def issues(results: DataFrame, key: str, device: str, result: str, good: str = "PASS", most: int = 8) -> DataFrame:
+    """Per unit the number of results that aren't good and the first ``most`` of them as device:result."""
+    bad = results.where(F.col(result) != good).select(key, F.concat_ws(":", device, result).alias("__i")).distinct()
+    rows = bad.withColumn("__k", F.row_number().over(Window.partitionBy(key).orderBy("__i")))
+    found = rows.groupBy(key).agg(F.count("*").alias("n_issues"), F.array_sort(F.collect_list(F.when(F.col("__k") <= most, F.col("__i")))).alias("issues"))
+    out = results.select(key).distinct().join(found, key, "left")
+    return out.select(key, F.coalesce("n_issues", F.lit(0)).alias("n_issues"), F.coalesce("issues", F.array().cast("array<string>")).alias("issues"))
+
+
+def artifact_labels(df: DataFrame, raw: str, clean: str, most: float = 20.0) -> DataFrame:
+    """Column ``artifact``: the clean value is missing where the raw one isn't, or differs from it by more than ``most``."""
+    return df.withColumn("artifact", F.col(raw).isNotNull() & (F.col(clean).isNull() | F.coalesce(F.abs(F.col(raw) - F.col(clean)) > most, F.lit(False))))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,10 +32,13 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        # Unset only in local runs, where driver and executors are one process.
-        path = "file://" + tempfile.mkdtemp(prefix="pulsegrid-shared-")
-        spark.conf.set("spark.pulsegrid.shared.dir", spark.conf.get("spark.pulsegrid.shared.dir", path))
-        path = spark.conf.get("spark.pulsegrid.shared.dir")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        # Driver and executors are one process.
+        path = spark.conf.get("spark.pulsegrid.shared.dir", None)
+        if not path:
+            path = "file://" + tempfile.mkdtemp(prefix="pulsegrid-shared-")
+            spark.conf.set("spark.pulsegrid.shared.dir", path)
     return path.rstrip("/")
 
 

@@ -37,7 +37,8 @@ def numbered(shingles: Column) -> Column:
 
 
 def simhash(elements: Column) -> Column:
-    """64-bit SimHash of a set of 64-bit hashes: each votes on each bit. More votes than a lane counts give null."""
+    """64-bit SimHash of a set of 64-bit hashes (a column, as it is named twice): each votes on each bit. More votes than a
+    lane counts give null."""
     long = lambda x: F.lit(x).cast("long")
 
     def spread(h, k):
@@ -45,15 +46,15 @@ def simhash(elements: Column) -> Column:
         return x.bitwiseOR(F.shiftleft(x, 15)).bitwiseOR(F.shiftleft(x, 30)).bitwiseOR(F.shiftleft(x, 45)).bitwiseAND(long(0x0001000100010001))
 
     names = [f"c{k}" for k in range(BITS // _LANES)]
-    zero = F.struct(*[long(0).alias(c) for c in names])
-    add = lambda a, h: F.struct(*[(a[c] + spread(h, k)).alias(c) for k, c in enumerate(names)])
+    zero = F.struct(*[long(0).alias(c) for c in names], F.lit(0).alias("n"))
+    add = lambda a, h: F.struct(*[(a[c] + spread(h, k)).alias(c) for k, c in enumerate(names)], (a["n"] + 1).alias("n"))
 
     def finish(a):
         out = long(0)
         for k, c in enumerate(names):
             for i in range(_LANES):
                 votes = F.shiftrightunsigned(a[c], 16 * i).bitwiseAND(long(0xFFFF))
-                out = out.bitwiseOR(F.when(votes * 2 > F.size(elements), F.shiftleft(long(1), _LANES * k + i)).otherwise(long(0)))
+                out = out.bitwiseOR(F.when(votes * 2 > a["n"], F.shiftleft(long(1), _LANES * k + i)).otherwise(long(0)))
         return out
 
     return F.when(F.size(elements) < _MOST_VOTES, F.aggregate(elements, zero, add, finish))
@@ -103,8 +104,8 @@ def leaks(
     """
     item_words = items.select(F.col(item_id_col).cast("long").alias("item_id"), words_native(F.col(item_text_col).cast("string")).alias("item_words"))
     item_words = item_words.select("item_id", F.size("item_words").alias("n_words"), _shingles(F.col("item_words")).alias("item_shingles"))
-    item_words = item_words.where(F.size("item_shingles") > 0).withColumn("item_print", simhash(numbered(F.col("item_shingles"))))
-    item_table = materialize(item_words.distinct(), "leak-items")
+    item_words = item_words.where(F.size("item_shingles") > 0).distinct().withColumn("item_elements", numbered(F.col("item_shingles")))
+    item_table = materialize(item_words.withColumn("item_print", simhash(F.col("item_elements"))), "leak-items")
     n_items = item_table.count()
     # The sizes of items that hold a shingle; a shingle may be in many items and texts, but no pairs of them are made.
     grams = item_table.select("n_words", F.explode("item_shingles").alias("gram")).groupBy("gram").agg(F.collect_set("n_words").alias("sizes"))
@@ -129,17 +130,20 @@ def leaks(
     by_doc = wanted.groupBy(F.col("doc_id").alias("d"), F.col("row").alias("r")).agg(F.collect_list(F.struct("start", "n_words")).alias("windows"))
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r"))
     windows = source.join(maybe_broadcast(by_doc, wanted.count(), 40), same).dropDuplicates(["doc_id", "row"])
-    windows = windows.select("doc_id", "row", _shingles(words_native(F.col("text"))).alias("s"), "windows").select("doc_id", "row", "s", F.explode("windows").alias("x"))
+    windows = windows.select("doc_id", "row", words_native(F.col("text")).alias("w"), "windows")
+    # Words, shingles and elements are columns of their own: an expression within a lambda would be run for each element.
+    windows = windows.select("doc_id", "row", _shingles(F.col("w")).alias("s"), "windows").select("doc_id", "row", "s", F.explode("windows").alias("x"))
     windows = windows.select("doc_id", "row", "x.start", "x.n_words", F.slice("s", F.col("x.start") + 1, F.col("x.n_words") - (SHINGLE - 1)).alias("shingles"))
-    windows = materialize(windows.withColumn("print", simhash(numbered(F.col("shingles")))), "leak-prints")
+    windows = windows.withColumn("elements", numbered(F.col("shingles")))
+    windows = materialize(windows.withColumn("print", simhash(F.col("elements"))), "leak-prints")
     index = item_table.select("item_id", "n_words", "item_print", F.explode(blocks(F.col("item_print"))).alias("b"))
     index = index.select("item_id", "n_words", "item_print", F.col("b.block").alias("block"), F.explode(_near(F.col("b.bits"))).alias("bits"))
     look = windows.select("*", F.explode(blocks(F.col("print"))).alias("b")).select(*windows.columns, F.col("b.block").alias("block"), F.col("b.bits").alias("bits"))
     near = look.join(maybe_broadcast(index, n_items * BLOCKS * 37, 64), ["n_words", "block", "bits"])
     difference = F.col("print").bitwiseXOR(F.col("item_print"))
     near = near.withColumn("hamming", F.bit_count(difference)).where((F.col("hamming") <= RADIUS) & (_first_block(difference) == F.col("block")))
-    near = near.select(*windows.columns, "item_id", "hamming").join(item_table.select("item_id", "n_words", "item_shingles"), ["item_id", "n_words"])
-    near = near.withColumn("common", F.size(F.array_intersect(numbered(F.col("shingles")), numbered(F.col("item_shingles")))))
+    near = near.select(*windows.columns, "item_id", "hamming").join(item_table.select("item_id", "n_words", "item_shingles", "item_elements"), ["item_id", "n_words"])
+    near = near.withColumn("common", F.size(F.array_intersect("elements", "item_elements")))
     similarity = F.col("common") / (F.size("shingles") + F.size("item_shingles") - F.col("common"))
     near = near.withColumn("similarity", similarity).where(F.col("similarity") >= LEAST_SIMILARITY)
     in_place = F.exists(F.zip_with("shingles", "item_shingles", lambda a, b: a.eqNullSafe(b) & a.isNotNull()), lambda x: x)

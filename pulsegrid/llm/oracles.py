@@ -28,9 +28,10 @@ apart AS (
   FROM diagonals WINDOW w AS (PARTITION BY doc_id, template ORDER BY diagonal)
 ),
 placed AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS place FROM apart),
+banded AS (SELECT *, (diagonal - min(diagonal) OVER (PARTITION BY doc_id, template, place)) // {lic.BAND} AS band FROM placed),
 spans AS (
-  SELECT doc_id, template, place, n_grams, base, label, min(diagonal) AS start, count(DISTINCT q) / n_grams AS score
-  FROM hits JOIN placed USING (doc_id, template, n_grams, diagonal) GROUP BY doc_id, template, place, n_grams, base, label
+  SELECT doc_id, template, place, band, n_grams, base, label, min(diagonal) AS start, count(DISTINCT q) / n_grams AS score
+  FROM hits JOIN banded USING (doc_id, template, n_grams, diagonal) GROUP BY doc_id, template, place, band, n_grams, base, label
 ),
 good AS (SELECT * FROM spans WHERE score >= CASE WHEN n_grams < {lic.SHORT} THEN 1.0 ELSE {lic.LEAST_SCORE} END)
 SELECT d.doc_id, len(any_value(w)) AS n_words, count(start) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,

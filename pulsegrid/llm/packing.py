@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,19 @@ _LINES = re.compile(r"\s\s\s|\n[^\S\n]|\s\s\Z")
 _MARK = re.compile(r"(?<=[A-Za-z0-9])([,.;:!?])(?=[ \n])")
 
 
+#: How a byte-level vocabulary writes bytes: those that print as themselves, the others from 256 on, in order.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_CHARACTERS = {b: b if b in _PRINTED else 256 + sum(x not in _PRINTED for x in range(b)) for b in range(256)}
+
+
+_SPACE = chr(_CHARACTERS[32])
+
+
+def _letters(word: str) -> bool:
+    """Whether a word is Latin letters alone, which are one pre-token, with a space before it or not."""
+    return word.isalpha() and (word.isascii() or max(word) < "\u0250")
+
+
 #: ASCII white space other than space and line end.
 _OTHER = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 
@@ -78,6 +92,13 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def merged(self, letters: str, before: str = "") -> bytes:
+        """Ids of one pre-token of letters after ``before`` (as the vocabulary writes it): only the merges are left to do."""
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(_CHARACTERS)
+        ids = [t.id for t in self.tokenizer.model.tokenize(before + letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def words(self, words: list[str]) -> list[bytes]:
         """Ids of words that each begin a pre-token: many are encoded as one text, which is cut by the bytes of its ids."""
         out: list[bytes] = []
@@ -114,7 +135,16 @@ class Encoder:
             out[i] = old.get(parts[i])
         new = [i for i in at if out[i] is None]
         alone = [i for i in new if parts[i][:1] in ("\x02", "\x03")]
-        rest = [i for i in new if parts[i][:1] not in ("\x02", "\x03")]
+        rest = []
+        line = self.merged("", chr(_CHARACTERS[10]))
+        for i in new:
+            w = parts[i]
+            if _letters(w):
+                out[i] = self.merged(w, _SPACE)
+            elif w[:1] == "\n" and _letters(w[1:]):
+                out[i] = line + self.merged(w[1:])
+            elif w[:1] not in ("\x02", "\x03"):
+                rest.append(i)
         found = self.whole([parts[i][1:] for i in alone]) + self.words([w if (w := parts[i])[:1] == "\n" else " " + w for i in rest])
         for i, ids in zip(alone + rest, found, strict=True):
             out[i] = ids

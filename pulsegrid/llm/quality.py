@@ -14,6 +14,8 @@ from pulsegrid.llm.common import materialize, maybe_broadcast, slices, words_of
 
 #: The machine is fitted on about so many labelled documents at most, chosen by a hash of their ids.
 MAX_TRAIN_DOCS = 10_000
+#: If these have more features than this in all, fewer documents are taken, by another hash.
+MAX_TRAIN_FEATURES = 10_000_000
 WORD_BITS = 16
 RANK = 8
 #: Structure statistics, each by its bin; then the bias of a bin.
@@ -114,7 +116,8 @@ def fit(
 ) -> Machine:
     """Fits the machine to labelled documents (label 1 or 0), about ``max_docs`` at most.
 
-    Null labels, and labels without a document, don't count. Without any the machine answers its prior, one half.
+    Null labels, and labels without a document, don't count; of several labels of one document the greatest does.
+    Without any the machine answers its prior, one half.
     """
     marked = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label")).where("__id is not null and __label is not null")
     marked = marked.groupBy("__id").agg(F.max("__label").alias("__label"))
@@ -134,8 +137,12 @@ def fit(
                     ["id", "label", "index", "value"],
                 )
 
-    # A bounded sample: at most about max_docs rows of features come to the driver.
-    got = rows.mapInArrow(extract, f"id {dict(rows.dtypes)['__id']}, label int, index array<int>, value array<float>").toPandas().sort_values("id")
+    found = materialize(rows.mapInArrow(extract, f"id {dict(rows.dtypes)['__id']}, label int, index array<int>, value array<float>"), "quality-features")
+    size = found.agg(F.sum(F.size("index"))).first()[0] or 0
+    if size > MAX_TRAIN_FEATURES:
+        found = found.where(F.pmod(F.xxhash64("id", F.lit("features")), F.lit(1 << 30)) < int(MAX_TRAIN_FEATURES / size * (1 << 30)))
+    # A bounded sample: at most about max_docs rows, and MAX_TRAIN_FEATURES features, come to the driver.
+    got = found.toPandas().sort_values("id")
     sample = [(np.asarray(i, np.int64), np.asarray(x, float)) for i, x in zip(got["index"], got["value"], strict=True)]
     return train(sample, (got.label.to_numpy() > 0).astype(float))
 
@@ -143,7 +150,8 @@ def fit(
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and score (0 to 1, higher: label 1 likelier) for every row, whole texts; null texts are empty.
 
-    Ids may be null or repeated; other columns, labels among them, are never read.
+    Ids may be null or repeated, and every row has its score, the same for the same text. An empty table gives no rows.
+    Other columns, labels among them, are never read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(machine)  # a fixed number of weights

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import decontamination, exact_dedup, language_id, language_model, license_scan, near_dedup, oracles, packing, quality, secret_scan, suffix_dedup
-from pulsegrid.llm.common import documents
+from pulsegrid.llm.common import documents, materialize
 
 BPE = "byte_bpe_50k.json"
 PIECES = "byte_bpe_multi_50k.tiktoken"
@@ -73,6 +73,16 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def secret_scan_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second scan with the first one's stored ledger: the same spans for every document, and no blob scanned anew."""
+    docs = documents(spark, sf_dir)
+    _, found, ledger = secret_scan.scan_versions(docs)
+    found, ledger = materialize(found, "secret-stored-findings"), materialize(ledger, "secret-stored-ledger")
+    paths, _, after = secret_scan.scan_versions(docs, ledger=ledger, findings=found)
+    new = after.count() - ledger.count()
+    return paths.select(F.col("path").cast("long").alias("doc_id"), secret_scan.spans_text(F.col("spans")).alias("spans"), F.lit(new).alias("n_new"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_decontamination": op2_decontamination,
@@ -84,12 +94,14 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
+    "secret_scan_again": secret_scan_again,
 }
 
 ORACLE_SQL = {
     "op1_license_scan": oracles.license_sql(),
     "op2_decontamination": oracles.LEAKS,
     "op10_secret_scan": oracles.secret_sql(),
+    "secret_scan_again": f"SELECT doc_id, spans, 0 AS n_new FROM ({oracles.secret_sql()})",
     "op5_exact_dedup": r"""
 WITH n AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents

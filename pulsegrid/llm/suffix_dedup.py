@@ -94,29 +94,28 @@ def _encoded(texts) -> list[bytes]:
     return [(t or "").encode("utf-8", "surrogatepass") for t in texts]
 
 
-_RUNS = "doc_id long, unit long, n_bytes long, anchors array<long>, contexts array<long>, firsts array<int>, lasts array<int>"
+_RUNS = "doc_id long, a long, b long, n_bytes long, anchors array<long>, contexts array<long>, checks array<long>, firsts array<int>, lasts array<int>"
 
 
 def _find_anchors(batches):
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("unit", pa.int64()), ("n_bytes", pa.int64())]
-        + [(c, pa.list_(pa.int64())) for c in ("anchors", "contexts")]
+        [(c, pa.int64()) for c in ("doc_id", "a", "b", "n_bytes")]
+        + [(c, pa.list_(pa.int64())) for c in ("anchors", "contexts", "checks")]
         + [(c, pa.list_(pa.int32())) for c in ("firsts", "lasts")]
     )
     for batch in batches:
-        for part in slices(batch, 2, CHUNK):
-            raw = _encoded(part.column(2).to_pylist())
+        for part in slices(batch, 3, CHUNK):
+            raw = _encoded(part.column(3).to_pylist())
             doc, h, first, last = anchors(raw)
             # A context is all bytes of the run's windows: equal contexts repeat each other's every window.
-            context = np.fromiter(
-                (xxhash.xxh3_64_intdigest(raw[d][f : e + LENGTH]) for d, f, e in zip(doc.tolist(), first.tolist(), last.tolist(), strict=True)), np.uint64, len(doc)
-            )
+            digests = [xxhash.xxh3_128_digest(raw[d][f : e + LENGTH]) for d, f, e in zip(doc.tolist(), first.tolist(), last.tolist(), strict=True)]
+            context = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(raw)))]).astype(np.int32)
             lists = [
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(c))
-                for c in (h.view(np.int64), context.view(np.int64), first.astype(np.int32), last.astype(np.int32))
+                for c in (h.view(np.int64), context[:, 0].copy(), context[:, 1].copy(), first.astype(np.int32), last.astype(np.int32))
             ]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(r) for r in raw], pa.int64()), *lists], schema=schema)
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array([len(r) for r in raw], pa.int64()), *lists], schema=schema)
 
 
 def _cut(batches):
@@ -125,14 +124,14 @@ def _cut(batches):
         for part in slices(batch, 0, CHUNK):
             raw = _encoded(part.column(0).to_pylist())
             rows = [
-                (x["anchor"], x["context"], x["n"], r[x["first"] : x["last"] + LENGTH])
+                (x["anchor"], x["context"], x["check"], x["n"], r[x["first"] : x["last"] + LENGTH])
                 for r, xs in zip(raw, part.column(1).to_pylist(), strict=True)
                 for x in xs
             ]
             if rows:
-                a, c, n, b = zip(*rows, strict=True)
+                a, c, d, n, b = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, pa.int64()), pa.array(c, pa.int64()), pa.array(n, pa.int64()), pa.array(b, pa.binary())], ["anchor", "context", "n", "content"]
+                    [*(pa.array(x, pa.int64()) for x in (a, c, d, n)), pa.array(b, pa.binary())], ["anchor", "context", "check", "n", "content"]
                 )
 
 
@@ -161,29 +160,36 @@ def suffix_order(codes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]
 def repeated(codes: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """Which positions begin a string of ``length`` codes that begins elsewhere, too.
 
-    ``length`` is a multiple of STEP. Suffixes are put in the order of the Burrows-Wheeler transform, and its inverse
-    step, taken STEP codes at a time, extends all intervals at once: breadth first, common prefixes of 8, 16, 24 and so
-    on. Neighbours still in one interval share that long a prefix. It stops at ``length``.
+    ``length`` is a multiple of STEP. The Burrows-Wheeler transform, with symbols of STEP codes, holds what stands before
+    each suffix; its last-to-first step leads from the occurrences of a symbol to neighbouring suffixes that begin with
+    it. All intervals are extended backward at once, breadth first: neighbours are parted as soon as a border of the
+    level before lies between the occurrences that they come from. So common prefixes of 8, 16, 24 and
+    so on are told apart by increasing value, and it stops at ``length``. Code 0 parts strings.
     """
     n = len(codes)
     order, key = suffix_order(codes, length)
-    place = np.empty(n + STEP, np.int64)
+    place = np.empty(n, np.int64)
     place[order] = np.arange(n)
-    place[n:] = n  # past the end: an interval of its own
-    back = place[order + STEP]
+    parted_by = np.concatenate([[0], np.cumsum(codes == 0), np.full(STEP, (codes == 0).sum())])
+    whole = parted_by[STEP : STEP + n] == parted_by[:n]  # symbols without a separator
     ordered = key[order]
     apart = np.ones(n, bool)
-    apart[1:] = ordered[1:] != ordered[:-1]
+    apart[1:] = (ordered[1:] != ordered[:-1]) | ~whole[order[1:]]  # what holds a separator is like nothing else
+    # Last to first: a suffix leads back to the one that has the transform's symbol before it.
+    at = np.flatnonzero(order >= STEP)
+    at = at[whole[order[at] - STEP]]
+    origin = np.full(n, -1)
+    origin[place[order[at] - STEP]] = at
+    apart[1:] |= (origin[1:] < 0) | (origin[:-1] < 0)
     together = np.flatnonzero(~apart)
-    interval = np.empty(n + 1, np.int64)
+    left, right = origin[together - 1], origin[together]
+    border = np.empty(n, np.int64)
     shared = STEP
     while shared < length and len(together):
-        np.cumsum(apart, out=interval[:n])
-        interval[n] = -1
-        right, left = back[together], back[together - 1]
-        parted = (interval[right] != interval[left]) | (right == n) | (left == n)
+        np.cumsum(apart, out=border)
+        parted = border[right] != border[left]
         apart[together[parted]] = True
-        together = together[~parted]
+        left, right, together = left[~parted], right[~parted], together[~parted]
         shared += STEP
     out = np.zeros(n, bool)
     out[order[together]] = True
@@ -216,18 +222,18 @@ def repeated_windows(contents: list[bytes], length: int = LENGTH) -> list[list[t
 
 
 def _expand(batches):
-    """Blocks of whole anchors (rows come sorted by anchor): anchor, context, runs of repeated window starts in it."""
+    """Blocks of whole anchors (rows come sorted by anchor): anchor, context, check, runs of repeated window starts in it."""
     held: list[tuple] = []
     size = 0
 
     def flush(rows):
-        runs = repeated_windows([r[3] for r in rows])
+        runs = repeated_windows([r[4] for r in rows])
         # A context that stands in several places repeats itself.
-        runs = [[(0, len(r[3]) - LENGTH)] if r[2] > 1 else x for r, x in zip(rows, runs, strict=True)]
+        runs = [[(0, len(r[4]) - LENGTH)] if r[3] > 1 else x for r, x in zip(rows, runs, strict=True)]
         return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())]
+            [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]
             + [pa.array([[x[i] for x in xs] for xs in runs], pa.list_(pa.int32())) for i in (0, 1)],
-            ["anchor", "context", "firsts", "lasts"],
+            ["anchor", "context", "check", "firsts", "lasts"],
         )
 
     for batch in batches:
@@ -236,7 +242,7 @@ def _expand(batches):
                 yield flush(held)
                 held, size = [], 0
             held.append(row)
-            size += len(row[3])
+            size += len(row[4])
     if held:
         yield flush(held)
 
@@ -244,15 +250,15 @@ def _expand(batches):
 def _windows(batches):
     """Every window of the contexts by its hash."""
     for batch in batches:
-        for part in slices(batch, 3, 64 << 10):
-            for anchor, context, _, content in zip(*(c.to_pylist() for c in part.columns), strict=True):
+        for part in slices(batch, 4, 64 << 10):
+            for anchor, context, mark, _, content in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 data = np.frombuffer(content, np.uint8)
                 h = rolling(data, LENGTH).view(np.int64)
                 check = np.fromiter((xxhash.xxh3_64_intdigest(content[i : i + LENGTH]) for i in range(len(h))), np.uint64, len(h)).view(np.int64)
                 n = len(h)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), pa.array(check), pa.array(np.full(n, anchor)), pa.array(np.full(n, context)), pa.array(np.arange(n, dtype=np.int32))],
-                    ["h", "check", "anchor", "context", "at"],
+                    [pa.array(h), pa.array(check), pa.array(np.full(n, anchor)), pa.array(np.full(n, context)), pa.array(np.full(n, mark)), pa.array(np.arange(n, dtype=np.int32))],
+                    ["h", "same", "anchor", "context", "check", "at"],
                 )
 
 
@@ -293,61 +299,61 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     tasks. Copies of a text are one unit; each is repeated as a whole.
 
     A null text is empty; texts under 200 bytes stay whole. Repeated rows repeat each other. An empty table gives no
-    rows. Other columns are ignored. Texts, contexts and windows of hot anchors are told apart by 64-bit hashes (128 for
-    windows).
+    rows; ids may be null or repeated. Other columns are ignored. Texts, contexts and windows of hot anchors are told apart
+    by 128 bits of hash.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("unit"), text.alias("text"))
+    # Two independent hashes tell texts apart; a text's unit is a number of the written table.
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"), text.alias("text"))
     runs = source.mapInArrow(_find_anchors, _RUNS)
-    units = runs.groupBy("unit").agg(
-        F.min(F.struct("doc_id")).alias("at"), F.count("*").alias("copies"), F.first("n_bytes").alias("n_bytes"),
-        *[F.first(c).alias(c) for c in ("anchors", "contexts", "firsts", "lasts")],
-    )
-    units = materialize(units.withColumn("rep", F.col("at.doc_id")).drop("at"), "suffix-units")
-    flat = units.select("unit", F.explode(F.arrays_zip("anchors", "contexts", "firsts", "lasts")).alias("x"))
-    flat = flat.select("unit", F.col("x.anchors").alias("anchor"), F.col("x.contexts").alias("context"), F.col("x.firsts").alias("first"), F.col("x.lasts").alias("last"))
-    known = flat.groupBy("anchor").agg(F.count("*").alias("n"), (F.min("context") != F.max("context")).alias("several")).where("n > 1")
+    arrays = ("anchors", "contexts", "checks", "firsts", "lasts")
+    units = runs.groupBy("a", "b").agg(F.min(F.struct("doc_id")).alias("at"), F.count("*").alias("copies"), F.first("n_bytes").alias("n_bytes"), *[F.first(c).alias(c) for c in arrays])
+    units = materialize(units.withColumn("rep", F.col("at.doc_id")).drop("at").withColumn("unit", F.monotonically_increasing_id()), "suffix-units")
+    flat = units.select("unit", F.explode(F.arrays_zip(*arrays)).alias("x"))
+    names = ("anchor", "context", "check", "first", "last")
+    flat = flat.select("unit", *[F.col(f"x.{c}").alias(n) for c, n in zip(arrays, names, strict=True)])
+    place = F.struct("context", "check")
+    known = flat.groupBy("anchor").agg(F.count("*").alias("n"), (F.min(place) != F.max(place)).alias("several")).where("n > 1")
     known = materialize(known.select("anchor", "several"), "suffix-anchors")
     # Joins with places, texts and spans are never hinted: all grow with the input, and sizes on disk tell Spark enough.
     places = materialize(flat.join(known, "anchor"), "suffix-places")
     # One place of each distinct context of anchors with several: its bytes go to a block.
-    distinct = places.where("several").groupBy("anchor", "context").agg(
-        F.count("*").alias("n"), F.min(F.struct("unit", "first", "last")).alias("at")
-    )
-    wanted = distinct.select(F.col("at.unit").alias("u"), F.struct("anchor", "context", "n", F.col("at.first").alias("first"), F.col("at.last").alias("last")).alias("x"))
-    wanted = wanted.groupBy("u").agg(F.collect_list("x").alias("xs"))
-    wanted = materialize(wanted.join(units.select(F.col("unit").alias("u"), F.col("rep").alias("r")), "u"), "suffix-wanted")
-    same = (F.col("unit") == F.col("u")) & F.col("doc_id").eqNullSafe(F.col("r"))
-    contents = source.join(wanted, same).select("text", "xs")
-    contents = contents.mapInArrow(_cut, "anchor long, context long, n long, content binary")
+    same_context = ["anchor", "context", "check"]
+    distinct = places.where("several").groupBy(*same_context).agg(F.count("*").alias("n"), F.min(F.struct("unit", "first", "last")).alias("at"))
+    wanted = distinct.select(F.col("at.unit").alias("unit"), F.struct(*same_context, "n", F.col("at.first").alias("first"), F.col("at.last").alias("last")).alias("x"))
+    wanted = wanted.groupBy("unit").agg(F.collect_list("x").alias("xs")).join(units.select("unit", F.col("a").alias("ua"), F.col("b").alias("ub"), F.col("rep").alias("r")), "unit")
+    wanted = materialize(wanted.drop("unit"), "suffix-wanted")
+    same = (F.col("a") == F.col("ua")) & (F.col("b") == F.col("ub"))
+    contents = source.join(wanted, same & F.col("doc_id").eqNullSafe(F.col("r"))).select("text", "xs")
+    contents = contents.mapInArrow(_cut, "anchor long, context long, check long, n long, content binary")
     contents = materialize(contents, "suffix-contents")
     weight = contents.groupBy("anchor").agg(F.sum(F.length("content")).alias("size")).where(F.col("size") > HOT_BYTES)
     hot = materialize(weight.select(F.col("anchor").alias("hot")), "suffix-hot")
     n_hot = hot.count()
     hot = maybe_broadcast(hot, n_hot, 16)
     cool = contents.join(hot, F.col("anchor") == F.col("hot"), "left_anti") if n_hot else contents
-    blocks = cool.repartition("anchor").sortWithinPartitions("anchor").dropDuplicates(["anchor", "context"])
-    blocks = blocks.sortWithinPartitions("anchor").select("anchor", "context", "n", "content")
-    found = blocks.mapInArrow(_expand, "anchor long, context long, firsts array<int>, lasts array<int>")
+    blocks = cool.repartition("anchor").sortWithinPartitions("anchor").dropDuplicates(same_context)
+    blocks = blocks.sortWithinPartitions("anchor").select(*same_context, "n", "content")
+    found = blocks.mapInArrow(_expand, "anchor long, context long, check long, firsts array<int>, lasts array<int>")
     if n_hot:
-        rows = contents.join(hot, F.col("anchor") == F.col("hot"), "left_semi").dropDuplicates(["anchor", "context"])
-        windows = rows.select("anchor", "context", "n", "content").mapInArrow(_windows, "h long, check long, anchor long, context long, at int")
-        often = windows.groupBy("h", "check").agg(F.count("*").alias("times")).where("times > 1").select("h", "check")
-        again = windows.join(often, ["h", "check"]).select("anchor", "context", "at")
-        whole = rows.where("n > 1").select("anchor", "context", F.explode(F.sequence(F.lit(0), F.length("content") - LENGTH)).alias("at"))
-        again = again.unionByName(whole).groupBy("anchor", "context").agg(F.array_sort(F.collect_set("at")).alias("firsts"))
-        found = found.unionByName(again.select("anchor", "context", "firsts", F.col("firsts").alias("lasts")))
+        rows = contents.join(hot, F.col("anchor") == F.col("hot"), "left_semi").dropDuplicates(same_context)
+        windows = rows.select(*same_context, "n", "content").mapInArrow(_windows, "h long, same long, anchor long, context long, check long, at int")
+        often = windows.groupBy("h", "same").agg(F.count("*").alias("times")).where("times > 1").select("h", "same")
+        again = windows.join(often, ["h", "same"]).select(*same_context, "at")
+        whole = rows.where("n > 1").select(*same_context, F.explode(F.sequence(F.lit(0), F.length("content") - LENGTH)).alias("at"))
+        again = again.unionByName(whole).groupBy(*same_context).agg(F.array_sort(F.collect_set("at")).alias("firsts"))
+        found = found.unionByName(again.select(*same_context, "firsts", F.col("firsts").alias("lasts")))
     found = materialize(found.where(F.size("firsts") > 0), "suffix-found")
     alone = places.where("not several").select("unit", "first", "last")
-    mixed = places.where("several").join(found, ["anchor", "context"])
+    mixed = places.where("several").join(found, same_context)
     mixed = mixed.select("unit", "first", F.explode(F.arrays_zip("firsts", "lasts")).alias("x"))
     mixed = mixed.select("unit", (F.col("first") + F.col("x.firsts")).alias("first"), (F.col("first") + F.col("x.lasts")).alias("last"))
     copies = units.where((F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH))
     copies = copies.select("unit", F.lit(0).alias("first"), (F.col("n_bytes") - LENGTH).cast("int").alias("last"))
     spans = alone.unionByName(mixed).unionByName(copies)
-    spans = spans.groupBy(F.col("unit").alias("u")).agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-    spans = materialize(spans, "suffix-spans")
-    out = source.join(spans, F.col("unit") == F.col("u"), "left").select("doc_id", "text", "runs")
+    spans = spans.groupBy("unit").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    spans = materialize(spans.join(units.select("unit", F.col("a").alias("ua"), F.col("b").alias("ub")), "unit").drop("unit"), "suffix-spans")
+    out = source.join(spans, same, "left").select("doc_id", "text", "runs")
     return out.mapInArrow(
         _finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<start:bigint,stop:bigint>>"
     )

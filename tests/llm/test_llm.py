@@ -144,6 +144,14 @@ def test_suffix_dedup(spark, monkeypatch, hot):
         assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want, i
 
 
+def test_suffix_dedup_repeated_and_null_ids(spark):
+    text = prose(3, 60)
+    df = spark.createDataFrame([(1, text), (1, text), (None, prose(4, 60)), (None, text[:250]), (2, prose(5, 60))], "doc_id long, text string")
+    got = sorted((r.n_bytes, r.n_removed) for r in suffix_dedup.remove_repeats(df).collect())
+    want = sorted(w[:2] for w in brute_suffix([r.text for r in df.collect()]))
+    assert got == want and sum(n for _, n in want) == 2 * len(text.encode()) + 250
+
+
 def test_suffix_dedup_empty(spark):
     assert suffix_dedup.remove_repeats(table(spark, ["x"]).limit(0)).count() == 0
 
@@ -524,6 +532,25 @@ def test_quality(spark):
     assert all(0 < r.score < 1 for r in quality.score(df, empty).collect())
 
 
+def test_quality_scores_equal_brute_force(spark):
+    texts = [prose(i, 12) for i in range(20)] + [" ".join(f"{w}##" for w in prose(i, 8).split()) for i in range(20, 40)] + [None, "", "same text", "same text"]
+    df = table(spark, texts).unionByName(table(spark, ["no id"]).withColumn("doc_id", F.lit(None).cast("long")))
+    labels = spark.createDataFrame([(i, int(i < 20)) for i in range(0, 40, 2)] + [(1, None), (None, 1), (0, 0)], "doc_id long, quality int")
+    machine = quality.fit(df, labels)
+    got = {(r.doc_id): r.score for r in quality.score(df, machine).collect()}
+    assert len(got) == len(texts) + 1 and quality.score(df.limit(0), machine).count() == 0
+    # The same rows in the same order give the same machine.
+    marked = sorted((i, int(i < 20)) for i in range(0, 40, 2))
+    rows = [tuple(np.asarray(x, np.float32 if k else np.int64).astype(float if k else np.int64) for k, x in enumerate(quality.features(texts[i]))) for i, _ in marked]
+    again = quality.train(rows, np.array([float(y) for _, y in marked]))
+    assert np.allclose(again.w, machine.w) and np.allclose(again.v, machine.v) and again.bias == pytest.approx(machine.bias)
+    for i, t in enumerate(texts):
+        index, value = quality.features(t)
+        raw = machine.bias + sum(machine.w[a] * x for a, x in zip(index, value))
+        raw += sum(float(machine.v[index[a]] @ machine.v[index[b]]) * value[a] * value[b] for a in range(len(index)) for b in range(a))
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-raw)), abs=1e-9)
+
+
 def test_factorisation_machine_identity():
     random = np.random.default_rng(0)
     m = quality.Machine(0.3, random.normal(0, 1, quality.SIZE), random.normal(0, 1, (quality.SIZE, quality.RANK)))
@@ -552,8 +579,25 @@ def test_license_scan(spark):
 
 def test_license_scan_repeated_rows(spark):
     df = spark.createDataFrame([(1, "mit license"), (1, "mit license"), (None, "cc by")], "doc_id long, text string")
-    got = {(r.doc_id, r.n_base, r.labels) for r in license_scan.scan(df).collect()}
-    assert got == {(1, 1, "mit"), (None, 1, "cc-by")}
+    got = sorted(((r.doc_id, r.n_base, r.labels) for r in license_scan.scan(df).collect()), key=str)
+    assert got == [(1, 1, "mit"), (1, 1, "mit"), (None, 1, "cc-by")]
+
+
+def test_license_texts_of_any_length(spark):
+    words = dict((label, phrase) for phrase, label in license_scan.MORE_PHRASES)["mit-full"].split()
+    assert len(words) > 150
+    changed = [*words[:40], "really", *words[40:90], *words[93:]]
+    texts = ["Copyright 2020 X. " + " ".join(words).title(), " ".join(changed), " ".join(words[:60]), "SPDX-License-Identifier: Apache-2.0", "spdx license identifier apache 2.1"]
+    got = by_id(license_scan.scan(table(spark, texts)))
+    assert got[0].labels == "mit,mit-full" and got[1].labels.split(",")[-1] == "mit-full" and 0.9 < got[1].score <= 1
+    assert "mit-full" not in got[2].labels and got[3].labels == "spdx:apache-2.0" and got[4].labels == ""
+
+
+def test_license_places_do_not_drift(spark):
+    """Pieces of a notice on diagonals that drift apart are no notice."""
+    words = license_scan.MORE_PHRASES[12][0].split()
+    spread = " ".join(f"{a} {b} x y" for a, b in zip(words[::2], words[1::2]))
+    assert by_id(license_scan.scan(table(spark, [spread])))[0].labels == ""
 
 
 SECRETS = 'x password: "hunter22" token=abc AKIA' + "A" * 16 + " " + "0123456789abcdef" * 2 + " Api_Key='k/9=zz' é secret=token: abcdefgh"
@@ -581,6 +625,13 @@ def test_secret_scan(spark):
     assert [s["kind"] for s in got[6]] == ["private_key"]
 
 
+def test_secret_scan_again_finds_the_same(spark, sf_dir):
+    from pulsegrid.llm import queries
+
+    one, two = queries.op10_secret_scan(spark, sf_dir), queries.secret_scan_again(spark, sf_dir)
+    assert sorted((r.doc_id, r.spans, 0) for r in one.collect()) == sorted((r.doc_id, r.spans, r.n_new) for r in two.collect())
+
+
 def test_secret_ledger_scans_each_blob_once(spark):
     one = spark.createDataFrame([("a", SECRETS), ("b", "clean")], "path string, content string")
     _, found, ledger = secret_scan.scan_versions(one, "path", "content")

@@ -18,7 +18,7 @@ SYMBOLS = (WIDTH - 1) * WIDTH
 #: The tail is a tree of classes by the tokens' hashes, deep enough that a leaf has about so many tokens; at most DEEPEST.
 LEAF, DEEPEST = 8192, 4
 #: The weight table has as many rows as training has distinct tokens, rounded up to a power of two within these.
-LEAST_BITS, MOST_BITS = 12, 17
+LEAST_BITS, MOST_BITS = 12, 16
 #: Tokens whose counts tasks hold; the counts of others reach their documents by a join.
 HEAD = 1 << 17
 #: Averagings in a pass over the training documents, and passes.
@@ -27,7 +27,7 @@ ROUNDS, PASSES = 2, 1
 UPDATE_BYTES = 64 << 10
 RATE, FIRST_SQUARE = 0.15, 0.1
 #: Small partitions are joined until a task learns from about so many tokens: means of few updates are poor.
-LEARN_TOKENS = 1_000_000
+LEARN_TOKENS = 4_000_000
 FAN_IN = 32
 BLOCK_ROWS = 512
 END = xxhash.xxh3_64_intdigest(b"\n", 1)
@@ -213,8 +213,8 @@ def _learn(source: DataFrame, counts, weights: np.ndarray, share: int, which: in
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([int(x[0]) // BLOCK_ROWS for x in own], pa.int32()), pa.array([task] * len(own), pa.int64()),
-                    pa.array([x.astype("<i4").tobytes() for x in own]), pa.array([learner.used[x].astype("<i8").tobytes() for x in own]),
-                    pa.array([learner.w[x].astype("<f4").tobytes() for x in own]),
+                    pa.array([x.astype("<i4").tobytes() for x in own]), pa.array([learner.used[x].astype("<i4").tobytes() for x in own]),
+                    pa.array([learner.w[x].astype("<f2").tobytes() for x in own]),
                 ],
                 ["block", "task", "rows", "used", "w"],
             )
@@ -225,12 +225,12 @@ def _learn(source: DataFrame, counts, weights: np.ndarray, share: int, which: in
         block = rows.column("block")[0].as_py()
         used, total = np.zeros(BLOCK_ROWS), np.zeros((BLOCK_ROWS, WIDTH))
         for at, n, w in zip(*(rows.column(c) for c in ("rows", "used", "w")), strict=True):
-            at, n = np.frombuffer(at.as_py(), "<i4") - block * BLOCK_ROWS, np.frombuffer(n.as_py(), "<i8")
+            at, n = np.frombuffer(at.as_py(), "<i4") - block * BLOCK_ROWS, np.frombuffer(n.as_py(), "<i4")
             used[at] += n
-            total[at] += np.frombuffer(w.as_py(), "<f4").reshape(-1, WIDTH) * n[:, None]
+            total[at] += np.frombuffer(w.as_py(), "<f2").reshape(-1, WIDTH).astype(float) * n[:, None]
         at = np.flatnonzero(used)
-        w = (total[at] / used[at, None]).astype("<f4").tobytes()
-        row = [block, rows.column("task")[0].as_py(), (at + block * BLOCK_ROWS).astype("<i4").tobytes(), used[at].astype("<i8").tobytes(), w]
+        w = (total[at] / used[at, None]).astype("<f2").tobytes()
+        row = [block, rows.column("task")[0].as_py(), (at + block * BLOCK_ROWS).astype("<i4").tobytes(), np.minimum(used[at], 2**31 - 1).astype("<i4").tobytes(), w]
         return pa.table([pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["block", "task", "rows", "used", "w"])
 
     schema = "block int, task long, rows binary, used binary, w binary"
@@ -242,7 +242,7 @@ def _learn(source: DataFrame, counts, weights: np.ndarray, share: int, which: in
         tasks = -(-tasks // FAN_IN)
     out = weights.copy()
     for r in sums.select("rows", "w").collect():  # as large as the weights
-        out[np.frombuffer(r["rows"], "<i4")] = np.frombuffer(r["w"], "<f4").reshape(-1, WIDTH)
+        out[np.frombuffer(r["rows"], "<i4")] = np.frombuffer(r["w"], "<f2").reshape(-1, WIDTH)
     return out
 
 

@@ -20,7 +20,7 @@ MAX_SEGMENTS = 64
 #: Loss-bearing tokens of a sequence, and the share of a document's tokens, at its head, that bear no loss (its prompt).
 MAX_LOSS = 896
 PROMPT_SHARE = 0.25
-POOL = 512
+POOL = 256
 #: Remembered pieces of text: two generations of so many at most, none longer than LONGEST characters.
 CACHE_ENTRIES = 120_000
 LONGEST = 48

@@ -57,18 +57,18 @@ def gap_alarms(df: DataFrame, key: str, ts: str, limit_s: float) -> DataFrame:
     """
 
     def step(k: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        times = pd.concat([p[ts] for p in parts]).sort_values()
-        seconds = times.astype("datetime64[us]").astype("int64") / 1e6
+        # Whole microseconds, which a double holds exactly.
+        last = int(state.get[0]) if state.exists else None
+        times = pd.concat([p[ts] for p in parts]).sort_values().astype("datetime64[us]").astype("int64")
         begins, gaps = [], []
-        for t in seconds:
-            if last is not None and t - last > limit_s:
+        for t in times.tolist():
+            if last is not None and t - last > limit_s * 1e6:
                 begins.append(last)
-                gaps.append(float(t - last))
-            last = float(t) if last is None else max(last, float(t))
-        state.update((last,))
+                gaps.append((t - last) / 1e6)
+            last = t if last is None else max(last, t)
+        state.update((float(last),))
         if gaps:
-            yield pd.DataFrame({key: [k[0]] * len(gaps), "gap_start": pd.to_datetime(pd.Series(begins), unit="s"), "gap_s": gaps})
+            yield pd.DataFrame({key: [k[0]] * len(gaps), "gap_start": pd.to_datetime(pd.Series(begins), unit="us"), "gap_s": gaps})
 
     kind = dict(df.dtypes)[key]
     return df.select(key, ts).groupBy(key).applyInPandasWithState(step, f"{key} {kind}, gap_start timestamp, gap_s double", "last double", "append", GroupStateTimeout.NoTimeout)

@@ -103,11 +103,6 @@ def versioned_key(key: Column, digest: Column) -> Column:
 FRENCH_MONTHS = ("janvier", "fevrier", "mars", "avril", "mai", "juin", "juillet", "aout", "septembre", "octobre", "novembre", "decembre")
 
 
-def folded(text: Column) -> Column:
-    """Lower-cased without the accents of French."""
-    return F.translate(F.lower(text), "àâäçéèêëîïôöùûüÿ", "aaaceeeeiioouuuy")
-
-
 def french_date(text: Column) -> Column:
     """The date of a day, French month name and year; null for anything else."""
     plain = folded(text)

@@ -74,9 +74,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def secret_scan_again(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second scan with the first one's stored ledger: the same spans for every document, and no blob scanned anew."""
+    """All documents after a first scan of the English ones: the same spans, and only the other blobs are scanned anew."""
     docs = documents(spark, sf_dir)
-    _, found, ledger = secret_scan.scan_versions(docs)
+    _, found, ledger = secret_scan.scan_versions(docs.where("lang = 'en'"))
     found, ledger = materialize(found, "secret-stored-findings"), materialize(ledger, "secret-stored-ledger")
     paths, _, after = secret_scan.scan_versions(docs, ledger=ledger, findings=found)
     new = after.count() - ledger.count()
@@ -101,7 +101,10 @@ ORACLE_SQL = {
     "op1_license_scan": oracles.license_sql(),
     "op2_decontamination": oracles.LEAKS,
     "op10_secret_scan": oracles.secret_sql(),
-    "secret_scan_again": f"SELECT doc_id, spans, 0 AS n_new FROM ({oracles.secret_sql()})",
+    "secret_scan_again": f"""
+WITH en AS (SELECT DISTINCT coalesce(text, '') AS t FROM documents WHERE lang = 'en')
+SELECT doc_id, spans, (SELECT count(DISTINCT coalesce(text, '')) FROM documents WHERE coalesce(text, '') NOT IN (SELECT t FROM en)) AS n_new
+FROM ({oracles.secret_sql()})""",
     "op5_exact_dedup": r"""
 WITH n AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents

@@ -629,7 +629,29 @@ def test_secret_scan_again_finds_the_same(spark, sf_dir):
     from pulsegrid.llm import queries
 
     one, two = queries.op10_secret_scan(spark, sf_dir), queries.secret_scan_again(spark, sf_dir)
-    assert sorted((r.doc_id, r.spans, 0) for r in one.collect()) == sorted((r.doc_id, r.spans, r.n_new) for r in two.collect())
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    new = len({r.text for r in docs} - {r.text for r in docs if r.lang == "en"})
+    assert 0 < new < len(docs)
+    assert sorted((r.doc_id, r.spans, new) for r in one.collect()) == sorted((r.doc_id, r.spans, r.n_new) for r in two.collect())
+
+
+PARTS = ["A ", "-----BEGIN ", "eyJ", ".eyJ", ".eyJabcdefgh", "ghp_", "ghp_a", "xoxb-", "://", "://a:", "://a", "a:", "password", 'token" ', "secret=", "AKIA", "0f", "a://"]
+
+
+def test_secret_rules_read_long_runs_of_their_parts(spark):
+    """Repeated parts neither end the stack of the regex engine nor take more than about linear time."""
+    texts = ["-----BEGIN " + "A " * 100_000 + "x", *[p * 100_000 for p in PARTS], "x://" + "u" * 300 + ":" + "p" * 300 + "@h"]
+    paths, _, _ = secret_scan.scan_versions(table(spark, texts))
+    got = {r.path: r.spans for r in paths.collect()}
+    assert len(got) == len(texts)
+    assert got[0] == [] and [(s["kind"], s["start"], s["end"]) for s in got[len(texts) - 1]] == [("url_login", 1, 606)]
+    for i, t in enumerate(texts):
+        assert ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in got[i] if s["rank"] < 3) == brute_spans(t), i
+
+
+def test_secret_scan_of_an_empty_table(spark):
+    paths, found, ledger = secret_scan.scan_versions(table(spark, ["x"]).where("false"))
+    assert paths.count() == found.count() == ledger.count() == 0
 
 
 def test_secret_ledger_scans_each_blob_once(spark):

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import decontamination, exact_dedup, language_id, language_model, license_scan, near_dedup, oracles, packing, quality, secret_scan, suffix_dedup
+from pulsegrid.llm import decontamination, exact_dedup, language_id, language_model, license_scan, near_dedup, oracles, packing, periodic_runs, quality, secret_scan, suffix_dedup
 from pulsegrid.llm.common import documents, materialize
 
 BPE = "byte_bpe_50k.json"
@@ -83,6 +83,37 @@ def secret_scan_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paths.select(F.col("path").cast("long").alias("doc_id"), secret_scan.spans_text(F.col("spans")).alias("spans"), F.lit(new).alias("n_new"))
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` with the tails of about a tenth of the texts replaced by repeats of a few of their words, as op13 asks."""
+    code = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(code / 10)
+    words = F.when(code % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    out = docs.select("doc_id", "text", g.alias("g"), words.alias("words")).withColumn("n", F.size("words"))
+    out = out.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    out = out.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    again = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")))
+    tail = F.slice(again, F.lit(1), F.col("n") - F.col("a"))
+    text = F.when(F.col("n") > 0, F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")).otherwise(F.col("text"))
+    return out.select("doc_id", text.alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_periods(documents(spark, sf_dir)))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    line = lambda r: F.concat(F.concat_ws(",", *[r[k].cast("string") for k in ("start", "length", "period")]), F.lit("\n"))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.encode(F.array_join(F.transform("runs", line), ""), "UTF-8"), 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_decontamination": op2_decontamination,
@@ -94,6 +125,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
+    "op13_periodic_runs": op13_periodic_runs,
     "secret_scan_again": secret_scan_again,
 }
 

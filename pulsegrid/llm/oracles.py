@@ -71,6 +71,36 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM d LEFT JOIN j USING (doc_id)"""
 
 
+DIVERGENCE = rf"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS id,
+         regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT id) AS docs FROM (SELECT lang, source, id, unnest(w) AS term FROM d) GROUP BY ALL),
+t AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING sum(docs) >= 10),
+l AS (SELECT lang, count(term) AS v, coalesce(sum(n), 0) AS n FROM (SELECT DISTINCT lang FROM d) LEFT JOIN t USING (lang) GROUP BY lang),
+k AS (SELECT c.* FROM c JOIN t USING (lang, term)),
+g AS (SELECT lang, source, coalesce(sum(n), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN k USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, t.term, coalesce(k.n, 0) AS n,
+         (1 + 1000000000::HUGEINT * (coalesce(k.n, 0) + 2) // (g.n + 2 * l.v))::BIGINT AS p,
+         (1 + 1000000000::HUGEINT * (t.n + 2) // (l.n + 2 * l.v))::BIGINT AS q
+  FROM g JOIN t USING (lang) JOIN l USING (lang) LEFT JOIN k USING (lang, source, term)
+),
+f AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q
+),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM r)
+SELECT * FROM o WHERE part = 'pair' OR rank <= 10"""
+
+
 LEAKS = rf"""
 WITH iw AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_WORDS}') AS w FROM benchmark),
 ip AS (SELECT item_id, len(w) AS n_words, len(w) - 4 AS n_shingles, unnest(range(len(w) - 4)) AS q, w FROM iw WHERE len(w) >= 5),

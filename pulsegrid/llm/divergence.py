@@ -1,8 +1,8 @@
 """Source divergence audit: how far each source's use of words lies from the others' in its language, in whole numbers.
 
-Heavy-light split. Terms that stand in many groups make dense numpy tiles of terms by groups; the others are summed as if
-each pair of groups shared none of them, from counts of counts, and each pair of a term's postings is corrected. All sums
-are of integers, so the parts add up exactly whatever the split.
+Heavy-light split. Terms that stand in many groups make dense numpy tiles of terms by groups. The others are summed as if
+no pair of groups shared any, from counts of counts, and each pair of a term's postings is corrected. All sums are of
+integers, so the parts add up exactly whatever the split.
 """
 
 from __future__ import annotations
@@ -127,7 +127,10 @@ def _sides(key: tuple, markers: pa.Table, block: int) -> list[tuple[np.ndarray,
 
 
 def dense_tile(key: tuple, table: pa.Table, block: int) -> pa.Table:
-    """Sums over a tile's terms for each pair of groups of its two blocks; absent counts are zeros of the matrix."""
+    """What a tile's terms add to ``base_tile`` for each pair of groups of its two blocks.
+
+    Absent counts are zeros of the matrix; terms absent from both blocks have no row here and add nothing.
+    """
     mark = table.column("term").is_null()
     markers, cells = table.filter(mark), table.filter(pc.invert(mark))
     total = markers.column("total").to_numpy()
@@ -141,25 +144,27 @@ def dense_tile(key: tuple, table: pa.Table, block: int) -> pa.Table:
     sums = np.empty((len(a), len(b)), np.int64)
     for i, column in enumerate(left):
         sums[i] = apart_of(p[:, column, None], p[:, right]).sum(axis=0)
+    none = share_of(np.zeros(len(total), np.int64), total)
+    sums -= len(count) * apart_of(none[left][:, None], none[right])
     return _pairs(key[0].as_py(), a, b, sums)
 
 
 def base_tile(key: tuple, table: pa.Table, block: int) -> pa.Table:
-    """The light terms' sums for each pair of groups as if none stood in both.
+    """All kept terms' sums for each pair of groups as if heavy terms stood in neither and light ones in one at most.
 
     Slice 0 has the terms of neither, with negative multiplicity where terms in both count twice.
     """
     mark = table.column("n").is_null()
     markers, cells = table.filter(mark), table.filter(pc.invert(mark))
-    total, own, all_light = (markers.column(c).to_numpy() for c in ("total", "own", "all_light"))
+    total, own, kept = (markers.column(c).to_numpy() for c in ("total", "own", "kept"))
     (a, left), (b, right) = _sides(key, markers, block)
     if not total.any():  # no term is kept
         return _pairs(key[0].as_py(), a, b, np.zeros((len(a), len(b)), np.int64))
     none = share_of(np.zeros(len(total), np.int64), total)
     sums = np.zeros((len(a), len(b)), np.int64)
     if key[1].as_py() == 0:
-        both = all_light[left][:, None] - own[left][:, None] - own[right]
-        sums += both * apart_of(none[left][:, None], none[right])
+        neither = kept[left][:, None] - own[left][:, None] - own[right]
+        sums += neither * apart_of(none[left][:, None], none[right])
     at, n, times = (cells.column(c).to_numpy() for c in ("at", "n", "times"))
     order = np.argsort(at, kind="stable")
     at, n, times = at[order], n[order], times[order]
@@ -227,7 +232,7 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = 10, light: i
         "own",
         (F.col("n") + 2 * v).alias("total"),
         (F.sum("n").over(lang) + 2 * v).alias("lang_total"),
-        F.sum("light_terms").over(lang).alias("all_light"),
+        v.alias("kept"),
         F.ceil((v - F.sum("light_terms").over(lang)) / tile).cast("int").alias("tiles"),
         F.ceil(F.count("*").over(lang) / block).cast("int").alias("blocks"),
         F.greatest(F.ceil(F.max("sorts").over(lang) / slice_size), F.lit(1)).cast("int").alias("slices"),
@@ -244,9 +249,9 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = 10, light: i
     heavy = _dealt(heavy, "blocks", block).groupBy(*key).applyInArrow(lambda k, t: dense_tile(k, t, block), _SUMS)
 
     nothing = F.lit(None).cast("long")
-    bins = posted.where(few).groupBy("lang", "at", "n", "total", "own", "all_light", "blocks", "slices").agg(F.count("*").alias("times"))
+    bins = posted.where(few).groupBy("lang", "at", "n", "total", "own", "kept", "blocks", "slices").agg(F.count("*").alias("times"))
     bins = bins.withColumn("tile", F.expr("cast(pmod(n, slices) as int)")).drop("slices")
-    bins = bins.unionByName(marks("slices").select("lang", "at", "total", "own", "all_light", "blocks", "tile", nothing.alias("n"), nothing.alias("times")))
+    bins = bins.unionByName(marks("slices").select("lang", "at", "total", "own", "kept", "blocks", "tile", nothing.alias("n"), nothing.alias("times")))
     base = _dealt(bins, "blocks", block).groupBy(*key).applyInArrow(lambda k, t: base_tile(k, t, block), _SUMS)
 
     shares = posted.where(few & (F.col("groups") > 1)).select(

@@ -25,7 +25,7 @@ LEAST_DOCS = 10
 #: Terms of more groups of their language than this are heavy.
 LIGHT = 8
 #: Sides of a tile: heavy terms, and groups of each of its two blocks.
-TILE, BLOCK = 2048, 64
+TILE, BLOCK = 512, 64
 #: Counts that one slice of counts of counts has of a group.
 SLICE = 4096
 #: Counts that a task holds before it hands them on.

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pulsegrid.llm import license_scan as lic
-from pulsegrid.llm import secret_scan
+from pulsegrid.llm import mixing, secret_scan
 
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -101,6 +101,47 @@ o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY valu
 SELECT * FROM o WHERE part = 'pair' OR rank <= 10"""
 
 
+_B = mixing.BLOCK_WORDS
+
+MIX = rf"""
+WITH s AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         substr(md5(concat(coalesce(doc_id::VARCHAR, ''), ' ', coalesce(text, ''))), 1, 15) AS key FROM documents
+),
+z AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS nth FROM s GROUP BY source),
+w AS (SELECT *, [5, 2, 1][nth % 3 + 1] AS weight FROM z),
+o AS (
+  SELECT *, sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER e, 0) AS rest, sum(weight) OVER () - coalesce(sum(weight) OVER e, 0) AS "left"
+  FROM w WINDOW e AS (ORDER BY source_size::DOUBLE / weight, nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+level AS (SELECT arg_min(rest, source_size::DOUBLE / weight) AS rest, arg_min("left", source_size::DOUBLE / weight) AS "left" FROM o WHERE weight * rest <= 3 * source_size * "left"),
+t AS (
+  SELECT source, source_size, nth, CASE WHEN weight * l.rest > 3 * source_size * l."left" THEN (3 * source_size)::DOUBLE ELSE (weight * l.rest)::DOUBLE / l."left"::DOUBLE END AS target
+  FROM w, level l
+),
+k AS (SELECT *, floor(target)::BIGINT AS take, ((floor(target)::BIGINT + {_B - 1}) // {_B}) AS blocks FROM t),
+n AS (SELECT sum(take) AS words, sum(blocks)::BIGINT AS n, greatest(1, ceil(log2(greatest(sum(blocks), 1))))::INTEGER AS k FROM k),
+lines AS (
+  SELECT nth, blocks, ((sum(take) OVER (ORDER BY nth) - take)::HUGEINT * (1::HUGEINT << n.k)) // words AS low, (sum(take) OVER (ORDER BY nth))::HUGEINT * (1::HUGEINT << n.k) // words AS high
+  FROM k, n
+),
+points AS (SELECT slot, ('0b' || reverse(lpad(bin(slot), n.k, '0')))::BIGINT AS point FROM n, range(n.n) r(slot)),
+slots AS (SELECT nth, slot, row_number() OVER (PARTITION BY nth ORDER BY slot) - 1 AS rank FROM points JOIN lines ON low <= point AND point < high),
+d AS (
+  SELECT *, row_number() OVER () AS id, sum(size) OVER (PARTITION BY nth ORDER BY key, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) - size AS pos
+  FROM s JOIN k ON s.source IS NOT DISTINCT FROM k.source
+),
+used AS (SELECT *, unnest(range(3)) AS epoch FROM d WHERE size > 0 AND pos < take),
+spread AS (SELECT id, nth, blocks, epoch * source_size + pos AS "begin", least(epoch * source_size + pos + size, take)::BIGINT AS "end" FROM used WHERE epoch * source_size + pos < take),
+cut AS (SELECT *, unnest(range(("begin" // {_B})::BIGINT, (("end" - 1) // {_B} + 1)::BIGINT)) AS rank FROM spread),
+p AS (
+  SELECT id, least("end", (rank + 1) * {_B}) - greatest("begin", rank * {_B}) AS length, slot, coalesce(slot, (2 * rank + 1) * (SELECT n FROM n) // (2 * blocks))::BIGINT AS turn
+  FROM cut LEFT JOIN slots USING (nth, rank)
+),
+g AS (SELECT id, sum(length) AS taken, min(turn) AS first_slot, sum(length) FILTER (slot IS NULL) AS late FROM p GROUP BY id)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, first_slot, coalesce(late, 0) AS late FROM d LEFT JOIN g USING (id)"""
+
+
 LEAKS = rf"""
 WITH iw AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_WORDS}') AS w FROM benchmark),
 ip AS (SELECT item_id, len(w) AS n_words, len(w) - 4 AS n_shingles, unnest(range(len(w) - 4)) AS q, w FROM iw WHERE len(w) >= 5),

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import decontamination, divergence, exact_dedup, language_id, language_model, license_scan, near_dedup, oracles, packing, periodic_runs, quality, secret_scan, suffix_dedup
+from pulsegrid.llm import decontamination, divergence, exact_dedup, language_id, language_model, license_scan, mixing, near_dedup, oracles, packing, periodic_runs, quality, secret_scan, suffix_dedup
 from pulsegrid.llm.common import documents, materialize
 
 BPE = "byte_bpe_50k.json"
@@ -87,6 +87,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(documents(spark, sf_dir))
 
 
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
 def with_periods(docs: DataFrame) -> DataFrame:
     """``docs`` with the tails of about a tenth of the texts replaced by repeats of a few of their words, as op13 asks."""
     code = F.crc32(F.col("doc_id").cast("string"))
@@ -130,6 +134,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
     "op11_source_divergence": op11_source_divergence,
+    "op12_source_mix": op12_source_mix,
     "op13_periodic_runs": op13_periodic_runs,
     "secret_scan_again": secret_scan_again,
 }
@@ -139,6 +144,7 @@ ORACLE_SQL = {
     "op2_decontamination": oracles.LEAKS,
     "op10_secret_scan": oracles.secret_sql(),
     "op11_source_divergence": oracles.DIVERGENCE,
+    "op12_source_mix": oracles.MIX,
     "secret_scan_again": f"""
 WITH en AS (SELECT DISTINCT coalesce(text, '') AS t FROM documents WHERE lang = 'en')
 SELECT doc_id, spans, (SELECT count(DISTINCT coalesce(text, '')) FROM documents WHERE coalesce(text, '') NOT IN (SELECT t FROM en)) AS n_new

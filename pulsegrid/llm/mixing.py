@@ -97,7 +97,7 @@ def _slots(sources: DataFrame, n: int, stretch_bits: int) -> DataFrame:
     k = max(1, math.ceil(math.log2(n))) if n > 1 else 1
     cut = max(0, k - CELL_BITS)
     grid = lambda c: F.call_function("div", c.cast("decimal(20,0)") * F.lit(1 << k).cast("decimal(18,0)"), F.col("all").cast("decimal(20,0)"))
-    all_words = sources.agg(F.sum("take")).first()[0]
+    all_words = sources.agg(F.sum("take")).first()[0] or 1
     lines = sources.withColumn("all", F.lit(all_words)).select("nth", grid(F.col("before")).alias("low"), grid(F.col("before") + F.col("take")).alias("high"))
     lines = lines.where("low < high").select("*", F.explode(F.expr(f"sequence(shiftright(low, {cut}), shiftright(high - 1, {cut}))")).alias("cell"))
     lines = materialize(lines, "mix-cells")

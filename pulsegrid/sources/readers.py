@@ -1,7 +1,7 @@
 """Readers of device exports.
 
-Text formats are read by Spark's readers as strings and cast by expressions; binary ones are decoded by numpy within
-tasks from ``binaryFile`` rows, a file per row.
+Device exports as text are read by the data source of ``device.py``, other text by Spark's readers, as strings that
+expressions cast; binary ones are decoded by numpy within tasks from ``binaryFile`` rows, a file per row.
 """
 
 from __future__ import annotations
@@ -17,15 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import columns as C
-
-DELIMITERS = (";", ",", "\t", "|")
-
-
-def first_line(spark: SparkSession, path: str) -> str:
-    """The first line of the first file of a path, read by Spark, so that any store works."""
-    row = spark.read.text(path).where(F.trim("value") != "").first()
-    return row["value"].lstrip("﻿") if row else ""
-
+from pulsegrid.sources.device import DELIMITERS, RANGE_BYTES, device_csv, headings
 
 def sniff_delimiter(header: str, default: str = ",") -> str:
     counts = {d: header.count(d) for d in DELIMITERS}
@@ -33,89 +25,79 @@ def sniff_delimiter(header: str, default: str = ",") -> str:
     return best if counts[best] else default
 
 
-def headings(line: str, sep: str) -> list[str]:
-    """Column names without quotes; repeated ones get .1, .2 as suffix."""
-    out: list[str] = []
-    for raw in line.split(sep):
-        name = raw.strip().strip("\"'").strip() or "unnamed"
-        k = sum(1 for o in out if o == name or re.fullmatch(re.escape(name) + r"\.\d+", o))
-        out.append(f"{name}.{k}" if k else name)
-    return out
+def _name(path: Column) -> Column:
+    return F.regexp_replace(C.file_name(path), r"\.[^.]*$", "")
 
 
-def csv_strings(spark: SparkSession, path: str, sep: str | None = None, encoding: str = "UTF-8") -> tuple[DataFrame, list[str]]:
-    """A CSV as strings under positional names c0, c1, ..., its headings, and path and position of each row.
+def monitor_csv(spark: SparkSession, path: str, time_heading: str, aliases: dict[str, str], codes: list[float], zone: str = "UTC", range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Monitor exports, about one row a second: recording_id, ts, variable, value; each file by its own heading.
 
-    Positional names keep headings that differ only by case apart.
+    Times are yyyyMMddHHmmss of the zone, fractions dropped; rows without a time go; of repeated times the first row
+    stays; missing codes and rows without any value go. Files without the time column give nothing; see ``unread``.
     """
-    line = first_line(spark, path)
-    sep = sep or sniff_delimiter(line)
-    names = headings(line, sep)
-    schema = ", ".join(f"c{i} string" for i in range(len(names)))
-    df = spark.read.csv(path, schema=schema, sep=sep, header=True, encoding=encoding, enforceSchema=True, mode="PERMISSIVE")
-    return df.withColumns({"path": F.col("_metadata.file_path"), "pos": F.monotonically_increasing_id()}), names
-
-
-def resolve(names: list[str], aliases: dict[str, str]) -> dict[str, str]:
-    """Heading to standard name; matching ignores case, quotes, repeated spaces, units and copy suffixes; the first
-    heading of a standard name wins and unknown headings keep theirs."""
-    key = lambda s: re.sub(r"\s+", " ", s.replace('"', "").replace("'", "")).strip().lower()
-    index = {key(k): v for k, v in aliases.items()}
-    out, taken = {}, set()
-    for name in names:
-        plain = re.sub(r"(\.\d+)+$", "", name)
-        found = next((index[k] for k in (key(name), key(plain), key(re.sub(r"\s*\(.*$", "", plain))) if k in index), None)
-        target = found if found and found not in taken else name
-        taken.add(target)
-        out[name] = target
-    return out
-
-
-def to_long(df: DataFrame, keys: list[str], values: dict[str, str], number=C.numeric) -> DataFrame:
-    """Wide to long: keys, variable, value; ``values`` maps columns to variables."""
-    pairs = F.array(*[F.struct(F.lit(v).alias("variable"), number(F.col(c)).alias("value")) for c, v in values.items()])
-    return df.select(*keys, F.explode(pairs).alias("x")).select(*keys, "x.variable", "x.value")
-
-
-def monitor_csv(spark: SparkSession, path: str, time_heading: str, aliases: dict[str, str], codes: list[float], zone: str = "UTC") -> DataFrame:
-    """Monitor export, about one row a second: recording_id, ts, variable, value.
-
-    The delimiter is the header's most frequent one. Times are yyyyMMddHHmmss of the zone, fractions dropped; rows
-    without a time go; of repeated times the first row stays; missing codes and rows without any value go.
-    """
-    df, names = csv_strings(spark, path)
-    mapping = resolve(names, aliases)
-    t = names.index(time_heading)
-    local = F.try_to_timestamp(F.left(F.regexp_replace(F.col(f"c{t}"), "[\"']", ""), F.lit(14)), F.lit("yyyyMMddHHmmss"))
-    rows = df.withColumn("ts", C.local_to_utc(local, zone)).where("ts is not null")
-    rows = rows.withColumn("recording_id", F.regexp_replace(C.file_name(F.col("path")), r"\.[^.]*$", ""))
-    rows = rows.withColumn("__k", F.row_number().over(Window.partitionBy("recording_id", "ts").orderBy("pos"))).where("__k = 1")
-    values = {f"c{i}": mapping[n] for i, n in enumerate(names) if i != t}
-    long = to_long(rows, ["recording_id", "ts"], values)
+    df = device_csv(spark, path, time_heading=time_heading, aliases=aliases, range_bytes=range_bytes).where("error is null")
+    local = F.try_to_timestamp(F.left(F.regexp_replace("time", "[\"']", ""), F.lit(14)), F.lit("yyyyMMddHHmmss"))
+    rows = df.select(_name(F.col("path")).alias("recording_id"), C.local_to_utc(local, zone).alias("ts"), "offset", "cells").where("ts is not null")
+    rows = rows.withColumn("__k", F.row_number().over(Window.partitionBy("recording_id", "ts").orderBy("offset"))).where("__k = 1")
+    long = rows.select("recording_id", "ts", F.explode("cells").alias("x")).select("recording_id", "ts", "x.variable", C.numeric(F.col("x.value")).alias("value"))
     return long.where(F.col("value").isNotNull() & ~F.col("value").isin(codes))
 
 
-def waveform_slices(spark: SparkSession, path: str, time_heading: str = "Time (msecs)", zone: str = "UTC") -> DataFrame:
-    """Waveform export in slices name-1.csv, name-2.csv, ... of one recording: recording_id, slice, ts, variable, value.
+def export_metadata(long: DataFrame, recognised: list[str]) -> DataFrame:
+    """What monitor rows show of each recording: rows, start and end, columns known and unknown, median, least and greatest
+    interval in seconds with the rate they make, and whether it is physiological at all."""
+    times = long.groupBy("recording_id", "ts").agg(F.count("*").alias("n"))
+    before = F.lag("ts").over(Window.partitionBy("recording_id").orderBy("ts"))
+    step = (F.unix_micros("ts") - F.unix_micros(before)) / 1e6
+    rates = times.withColumn("step", step).groupBy("recording_id").agg(
+        F.count("*").alias("n_rows"),
+        F.min("ts").alias("starts"),
+        F.max("ts").alias("ends"),
+        F.percentile("step", F.lit(0.5)).alias("median_interval_s"),
+        F.min("step").alias("min_interval_s"),
+        F.max("step").alias("max_interval_s"),
+    )
+    known = F.col("variable").isin(recognised)
+    columns = long.groupBy("recording_id").agg(F.countDistinct(F.when(known, F.col("variable"))).alias("n_recognised"), F.countDistinct(F.when(~known, F.col("variable"))).alias("n_unknown"))
+    out = rates.join(columns, "recording_id").withColumn("estimated_hz", F.round(1 / F.nullif("median_interval_s", F.lit(0.0)), 6))
+    return out.withColumn("export_type", F.when(F.col("n_recognised") > 0, "physiological").otherwise("non_physiological_or_unrecognised"))
+
+
+def unread(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Files that ``device_csv`` can't read by these options, and why: path, error."""
+    return device_csv(spark, path, **options).where("error is not null").select("path", "error")
+
 
-    Decimal commas; times are elapsed milliseconds after the start in the file name.
+def waveform_slices(spark: SparkSession, path: str, time_heading: str = "Time (msecs)", zone: str = "UTC", range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Waveform exports in slices name-1.csv, name-2.csv, ... of one recording: recording_id, slice, ts, variable, value;
+    each slice by its own heading.
+
+    Decimal commas; times are elapsed milliseconds after the start in the file name; of repeated times the first stays.
     """
-    df, names = csv_strings(spark, path)
-    t = names.index(time_heading)
+    df = device_csv(spark, path, time_heading=time_heading, range_bytes=range_bytes).where("error is null")
     name = C.file_name(F.col("path"))
-    start = C.start_clock(name, zone)
-    elapsed = C.decimal_comma(F.col(f"c{t}"))
-    rows = df.withColumns(
-        {
-            "recording_id": F.regexp_replace(name, r"(-\d+)?\.csv$", ""),
-            "slice": F.coalesce(C.slice_number(name), F.lit(1)),
-            "elapsed_ms": elapsed,
-            "ts": F.timestamp_micros(F.unix_micros(start) + (elapsed * 1000).cast("long")),
-        }
-    )
-    values = {f"c{i}": n for i, n in enumerate(names) if i != t}
-    keys = ["recording_id", "slice", "elapsed_ms", "ts"]
-    return to_long(rows.where("elapsed_ms is not null"), keys, values, number=C.decimal_comma)
+    rows = df.select(
+        F.regexp_replace(name, r"(-\d+)?\.csv$", "").alias("recording_id"),
+        F.coalesce(C.slice_number(name), F.lit(1)).alias("slice"),
+        C.decimal_comma(F.col("time")).alias("elapsed_ms"),
+        C.start_clock(name, zone).alias("start"),
+        "offset",
+        "cells",
+    ).where("elapsed_ms is not null")
+    first = F.row_number().over(Window.partitionBy("recording_id", "elapsed_ms").orderBy("slice", "offset"))
+    rows = rows.withColumn("__k", first).where("__k = 1")
+    ts = F.timestamp_micros(F.unix_micros("start") + (F.col("elapsed_ms") * 1000).cast("long"))
+    rows = rows.select("recording_id", "slice", "elapsed_ms", ts.alias("ts"), F.explode("cells").alias("x"))
+    return rows.select("recording_id", "slice", "elapsed_ms", "ts", "x.variable", C.decimal_comma(F.col("x.value")).alias("value"))
+
+
+def slice_order(samples: DataFrame) -> DataFrame:
+    """Slices of each recording with their reach, and whether one is missing before them or starts before the last ended."""
+    out = samples.groupBy("recording_id", "slice").agg(F.min("elapsed_ms").alias("starts_ms"), F.max("elapsed_ms").alias("ends_ms"), F.countDistinct("elapsed_ms").alias("n_rows"))
+    before = Window.partitionBy("recording_id").orderBy("slice")
+    gap = F.col("slice") - F.coalesce(F.lag("slice").over(before), F.lit(0)) - 1
+    overlap = F.coalesce(F.col("starts_ms") <= F.max("ends_ms").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))
+    return out.select("*", gap.alias("missing_before"), overlap.alias("overlaps"))
 
 
 def nol_export(spark: SparkSession, path: str, zone: str = "UTC") -> dict[str, DataFrame]:
@@ -209,16 +191,22 @@ def eeg_pairs(raw: DataFrame, trends: DataFrame, most_difference_s: float = 5.0)
     return out.withColumn("duration_mismatch", F.coalesce(F.abs(F.col("raw_s") - F.col("trend_s")) > most_difference_s, F.lit(False)))
 
 
-def pump_events(spark: SparkSession, path: str, zone: str = "UTC") -> DataFrame:
-    """Pump event log: recording_id, ts and the other columns as strings; day first; date and time may be two columns."""
-    df, names = csv_strings(spark, path)
-    when = [i for i, n in enumerate(names) if re.search("time|date|heure", n.lower())][:2]
-    stamp = F.trim(F.concat_ws(" ", *[F.col(f"c{i}") for i in when]))
+def pump_events(spark: SparkSession, path: str, zone: str = "UTC", range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Pump event logs: recording_id, ts and the other columns as strings; day first; date and time may be two columns.
+
+    Files may have different columns: the result has all of them, null where a file lacks one.
+    """
+    df = device_csv(spark, path, time_pattern="time|date|heure", range_bytes=range_bytes).where("error is null")
+    stamp = F.trim("time")
     patterns = ("dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm", "dd-MM-yyyy HH:mm:ss", "yyyy-MM-dd HH:mm:ss")
     ts = F.coalesce(*[F.try_to_timestamp(stamp, F.lit(p)) for p in patterns])
-    rest = [F.trim(f"c{i}").alias(re.sub(r"\W+", "_", n.lower()).strip("_")) for i, n in enumerate(names) if i not in when]
-    name = F.regexp_replace(C.file_name(F.col("path")), r"\.[^.]*$", "")
-    return df.select(name.alias("recording_id"), C.local_to_utc(ts, zone).alias("ts"), *rest)
+    tidy = lambda h: F.trim(F.regexp_replace(F.lower(h), r"\W+", "_"), F.lit("_"))
+    cells = F.transform("cells", lambda x: F.struct(tidy(x["heading"]).alias("key"), F.trim(x["value"]).alias("value")))
+    rows = df.select(_name(F.col("path")).alias("recording_id"), C.local_to_utc(ts, zone).alias("ts"), cells.alias("cells"))
+    # Headings are few, whatever the number of rows: those of a device's exports.
+    names = sorted(r[0] for r in rows.select(F.explode("cells.key").alias("k")).distinct().collect())
+    value = lambda n: F.get(F.filter("cells", lambda x: x["key"] == n), F.lit(0))["value"].alias(n)
+    return rows.select("recording_id", "ts", *[value(n) for n in names])
 
 
 EXAM_SCHEMA = "exam string, sensor string, signal string, dimension string, local_time double, remote_time double, received_time double, value double, crc_ok boolean"
@@ -352,7 +340,7 @@ def head_census(spark: SparkSession, path: str, head: int = 256 << 10) -> DataFr
                 sep = sniff_delimiter(max(lines[:20], key=lambda x: max(x.count(d) for d in DELIMITERS), default=""))
                 # The header is the first line with most fields that are hardly numbers.
                 at = next((i for i, x in enumerate(lines[:20]) if x.count(sep) >= 1 and _numeric_share(x, sep) <= 0.34), None)
-                names = headings(lines[at], sep) if at is not None else []
+                names = headings(lines[at].split(sep)) if at is not None else []
                 body = lines[at + 1 : at + 200] if at is not None else []
                 share = float(np.mean([_numeric_share(x, sep) for x in body])) if body else 0.0
                 rows.append({"path": p, "length": n, "encoding": encoding, "delimiter": sep, "header_line": at, "columns": names, "numeric_share": share, "partial_sha256": sha})

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from pulsegrid.sources import device
 from pulsegrid.sources import readers as r
 
 
@@ -25,11 +26,11 @@ def test_sniff_delimiter():
 
 
 def test_headings_number_repeats():
-    assert r.headings('"HR";HR;HR; x ', ";") == ["HR", "HR.1", "HR.2", "x"]
+    assert device.headings(['"HR"', "HR", "HR", " x "]) == ["HR", "HR.1", "HR.2", "x"]
 
 
 def test_resolve_first_source_wins():
-    got = r.resolve(["HR (/min)", "hr", "HR.1", "Odd"], {"HR": "HR", "ART M": "ART_MEAN"})
+    got = device.resolve(["HR (/min)", "hr", "HR.1", "Odd"], {"HR": "HR", "ART M": "ART_MEAN"})
     assert got == {"HR (/min)": "HR", "hr": "hr", "HR.1": "HR.1", "Odd": "Odd"}
 
 

@@ -1,7 +1,8 @@
 """Ordered operators per recording and variable: runs, moving statistics, time bases.
 
 All take the keys of a series, its order column and its value column. Moving statistics use row frames, so partitions by
-key are sorted once and every operator that follows reuses them.
+key are sorted once and every operator that follows reuses them. Where recordings are too long to be sorted by one task
+each, ``size`` makes an operator work on stretches of so many rows (see ``scans``), with the same result.
 """
 
 from __future__ import annotations
@@ -11,10 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def micros(ts: Column) -> Column:
-    """Microseconds since 1970 of a timestamp with or without time zone; zones play no part in the latter."""
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
+from pulsegrid.functions.columns import micros
+from pulsegrid.operators import scans
+from pulsegrid.operators.scans import in_stretches
 
 
 def seconds(ts: Column) -> Column:
@@ -41,14 +41,18 @@ def run_id(changed: Column, keys: list[str], order: str) -> Column:
     return F.sum(F.when(changed, 1).otherwise(0)).over(series(keys, order))
 
 
-def runs_of(df: DataFrame, keys: list[str], order: str, flag: Column) -> DataFrame:
+def runs_of(df: DataFrame, keys: list[str], order: str, flag: Column, size: int | None = None) -> DataFrame:
     """Maximal runs of rows on which ``flag`` is equal: keys, flag, first and last order value, n rows."""
     rows = df.withColumn("flag", flag)
-    previous = F.lag("flag").over(series(keys, order))
-    rows = rows.withColumn("run", run_id(~F.col("flag").eqNullSafe(previous), keys, order))
+    if size is None:
+        previous = F.lag("flag").over(series(keys, order))
+        rows = rows.withColumn("run", run_id(~F.col("flag").eqNullSafe(previous), keys, order))
+    else:
+        rows = scans.with_changes(rows, keys, order, lambda before: ~F.col("flag").eqNullSafe(before("flag")), size).withColumnRenamed("__run", "run")
     return rows.groupBy(*keys, "run", "flag").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n"))
 
 
+@in_stretches(lambda least: (least, least))
 def flag_long_runs(df: DataFrame, keys: list[str], order: str, flag: Column, least: int, name: str) -> DataFrame:
     """``name`` is true on rows of runs of at least ``least`` rows on which ``flag`` holds."""
     rows = df.withColumn("__flag", F.coalesce(flag, F.lit(False)))
@@ -58,21 +62,34 @@ def flag_long_runs(df: DataFrame, keys: list[str], order: str, flag: Column, lea
     return rows.withColumn(name, F.col("__flag") & long).drop("__flag", "__run")
 
 
-def saturation(df: DataFrame, keys: list[str], order: str, value: str, least: int = 5) -> DataFrame:
+def saturation(df: DataFrame, keys: list[str], order: str, value: str, least: int = 5, size: int | None = None) -> DataFrame:
     """Runs of at least ``least`` samples at the series' minimum or maximum, as column ``saturated``."""
-    whole = Window.partitionBy(*keys)
-    at = (F.col(value) == F.min(value).over(whole)) | (F.col(value) == F.max(value).over(whole))
-    rows = df.withColumn("__at", F.when(at, F.col(value)))
+    if size is None:
+        whole = Window.partitionBy(*keys)
+        low, high = F.min(value).over(whole), F.max(value).over(whole)
+        rows = df.withColumn("__at", F.when((F.col(value) == low) | (F.col(value) == high), F.col(value)))
+    else:
+        ends = df.groupBy(*keys).agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
+        at = (F.col(value) == F.col("__low")) | (F.col(value) == F.col("__high"))
+        rows = scans.join_on(df, ends, keys).withColumn("__at", F.when(at, F.col(value))).drop("__low", "__high")
+    return _held_at(rows, keys, order, least, size=size)
+
+
+@in_stretches(lambda least: (least, least))
+def _held_at(rows: DataFrame, keys: list[str], order: str, least: int) -> DataFrame:
     rows = rows.withColumn("__run", run_id(~F.col("__at").eqNullSafe(F.lag("__at").over(series(keys, order))), keys, order))
     n = F.count("*").over(Window.partitionBy(*keys, "__run"))
     return rows.withColumn("saturated", F.col("__at").isNotNull() & (n >= least)).drop("__at", "__run")
 
 
-def longest_unchanged(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
+def longest_unchanged(df: DataFrame, keys: list[str], order: str, value: str, size: int | None = None) -> DataFrame:
     """Per series the longest run of equal non-null samples, counted in repeats of the first."""
     rows = df.where(F.col(value).isNotNull())
-    previous = F.lag(value).over(series(keys, order))
-    rows = rows.withColumn("__run", run_id(previous.isNull() | (F.col(value) != previous), keys, order))
+    if size is None:
+        previous = F.lag(value).over(series(keys, order))
+        rows = rows.withColumn("__run", run_id(previous.isNull() | (F.col(value) != previous), keys, order))
+    else:
+        rows = scans.with_changes(rows, keys, order, lambda before: before(value).isNull() | (F.col(value) != before(value)), size)
     runs = rows.groupBy(*keys, "__run").agg((F.count("*") - 1).alias("n"))
     return runs.groupBy(*keys).agg(F.max("n").alias("longest"))
 
@@ -92,6 +109,7 @@ def held_channel(df: DataFrame, keys: list[str], order: str, value: str, interva
     return out.withColumn("status", status)
 
 
+@in_stretches(lambda window: (max(window, 3), max(window, 3)))
 def flatline(df: DataFrame, keys: list[str], order: str, value: str, window: int, eps: float = 1e-12) -> DataFrame:
     """Column ``flatline``: the variance of a full centred window is under ``eps``."""
     n = max(window, 3)
@@ -103,6 +121,7 @@ def _median_over(value: str | Column, w) -> Column:
     return F.percentile(value, F.lit(0.5)).over(w)
 
 
+@in_stretches(lambda window: (2 * window, 2 * window))
 def mad_score(df: DataFrame, keys: list[str], order: str, value: str, window: int, full: bool = True) -> DataFrame:
     """Columns local_median and mad of centred windows; with ``full`` both need full windows."""
     w = centred(keys, order, window)
@@ -112,6 +131,7 @@ def mad_score(df: DataFrame, keys: list[str], order: str, value: str, window: in
     return rows.withColumn("mad", guard("__dev", _median_over("__dev", w)))
 
 
+@in_stretches(lambda window: (2 * window, 2 * window))
 def spikes(df: DataFrame, keys: list[str], order: str, value: str, window: int, n_sigma: float = 5.0) -> DataFrame:
     """Column ``spike``: further from the local median than ``n_sigma`` scaled deviations; a zero deviation never hits."""
     rows = mad_score(df, keys, order, value, window)
@@ -119,6 +139,7 @@ def spikes(df: DataFrame, keys: list[str], order: str, value: str, window: int,
     return rows.withColumn("spike", F.coalesce(z > n_sigma, F.lit(False))).drop("__dev", "local_median", "mad")
 
 
+@in_stretches(lambda window: (2 * window, 2 * window))
 def robust_smooth(df: DataFrame, keys: list[str], order: str, value: str, window: int, n_sigma: float = 3.0) -> DataFrame:
     """Column ``smoothed``: outliers replaced by the local median; windows may be partial, deviations are 1e-9 at least."""
     rows = mad_score(df, keys, order, value, window, full=False)
@@ -141,6 +162,7 @@ def ontology_scalar(df: DataFrame, keys: list[str], order: str, value: str, wind
     return rows.unionByName(df.where(F.col(value).isNull()).withColumn("qc", F.lit("MISSING")))
 
 
+@in_stretches(lambda: (1, 0))
 def counter(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
     """Columns increment and qc of a counter: a fall is SUSPICIOUS (a reset), a negative value INVALID."""
     rows = df.withColumn("increment", F.col(value) - F.lag(value).over(series(keys, order)))
@@ -148,6 +170,7 @@ def counter(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame
     return rows.withColumn("qc", qc.otherwise("VALID"))
 
 
+@in_stretches(lambda: (1, 0))
 def step_rule(df: DataFrame, keys: list[str], order: str, value: str, most: float, zero_is_artifact: bool = False) -> DataFrame:
     """Column ``step``: the change from the sample before is over ``most``, or the value is 0 where that is no reading."""
     hit = F.abs(F.col(value) - F.lag(value).over(series(keys, order))) > most
@@ -155,12 +178,14 @@ def step_rule(df: DataFrame, keys: list[str], order: str, value: str, most: floa
     return df.withColumn("step", F.coalesce(hit, F.lit(False)))
 
 
+@in_stretches(lambda window: (window, window))
 def ratio_rule(df: DataFrame, keys: list[str], order: str, value: str, window: int, high: float = 1.8, low: float = 0.55) -> DataFrame:
     """Column ``off_ratio``: the ratio to the centred median is outside low to high."""
     ratio = F.col(value) / F.nullif(_median_over(value, centred(keys, order, window)), F.lit(0.0))
     return df.withColumn("off_ratio", F.coalesce((ratio > high) | (ratio < low), F.lit(False)))
 
 
+@in_stretches(lambda span: (2 * span, 2 * span))
 def drop_rule(df: DataFrame, keys: list[str], order: str, value: str, span: int, most: float = 2.0) -> DataFrame:
     """Column ``in_drop``: the rows of every span over which the value falls by more than ``most``, all of them."""
     w = series(keys, order)
@@ -168,15 +193,20 @@ def drop_rule(df: DataFrame, keys: list[str], order: str, value: str, span: int,
     return rows.withColumn("in_drop", F.max("__hit").over(w.rowsBetween(0, span)) == 1).drop("__hit")
 
 
+@in_stretches(lambda before, after: (after, before))
 def expand(df: DataFrame, keys: list[str], order: str, flag: str, before: int = 10, after: int = 10) -> DataFrame:
     """Column ``near``: within ``before`` rows before or ``after`` rows after a flagged one."""
     w = series(keys, order).rowsBetween(-after, before)
     return df.withColumn("near", F.max(F.col(flag).cast("int")).over(w) == 1)
 
 
-def gap_segments(df: DataFrame, keys: list[str], ts: str, value: str, max_gap_s: float) -> DataFrame:
+def gap_segments(df: DataFrame, keys: list[str], ts: str, value: str, max_gap_s: float, size: int | None = None) -> DataFrame:
     """Column ``segment``: number of the stretch of valid samples without a pause of more than ``max_gap_s``."""
     rows = df.where(F.col(value).isNotNull())
+    if size is not None:
+        at = rows.withColumn("__us", micros(F.col(ts)))
+        rows = scans.with_changes(at, keys, ts, lambda before: (F.col("__us") - before("__us")) / 1e6 > max_gap_s, size)
+        return rows.withColumnRenamed("__run", "segment").drop("__us", "__changed", "__i", "__stretch")
     gap = step_s(ts, series(keys, ts))
     return rows.withColumn("segment", run_id(F.coalesce(gap > max_gap_s, F.lit(False)), keys, ts))
 
@@ -230,12 +260,12 @@ def gap_check(df: DataFrame, keys: list[str], ts: str, limit_s: float) -> DataFr
     return rows.groupBy(*keys).agg(F.max("__dt").alias("worst_gap_s"), F.count_if(F.col("__dt") > limit_s).alias("n_gaps"))
 
 
-def missingness(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
+def missingness(df: DataFrame, keys: list[str], order: str, value: str, size: int | None = None) -> DataFrame:
     """Share of nulls, longest run of them and the kind: complete, sparse_isolated, gappy, high_missing, entirely_missing.
 
     A series without any value has no longest run.
     """
-    null_runs = runs_of(df, keys, order, F.col(value).isNull())
+    null_runs = runs_of(df, keys, order, F.col(value).isNull(), size)
     out = null_runs.groupBy(*keys).agg(
         F.sum("n").alias("n"),
         F.coalesce(F.sum(F.when(F.col("flag"), F.col("n"))), F.lit(0)).alias("n_missing"),
@@ -254,8 +284,14 @@ def missingness(df: DataFrame, keys: list[str], order: str, value: str) -> DataF
     return out.withColumn("kind", kind)
 
 
-def flat_runs(df: DataFrame, keys: list[str], ts: str, value: str, min_seconds: float) -> DataFrame:
+def flat_runs(df: DataFrame, keys: list[str], ts: str, value: str, min_seconds: float, size: int | None = None) -> DataFrame:
     """Column ``flat``: samples that repeat the one before in a run that lasts at least ``min_seconds``; not the first."""
+    if size is not None:
+        rows = scans.with_changes(df, keys, ts, lambda before: ~F.col(value).eqNullSafe(before(value)) | F.col(value).isNull() | (F.col("__i") == 0), size)
+        at = seconds(F.col(ts))
+        rows = scans.of_runs(rows, keys, __from=(F.min, at), __to=(F.max, at))
+        flat = F.col(value).isNotNull() & ~F.col("__changed") & (F.col("__to") - F.col("__from") >= min_seconds)
+        return rows.withColumn("flat", flat).drop("__from", "__to", "__changed", "__run", "__i", "__stretch")
     w = series(keys, ts)
     previous = F.lag(value).over(w)
     rows = df.withColumn("__run", run_id(~F.col(value).eqNullSafe(previous) | F.col(value).isNull(), keys, ts))
@@ -265,15 +301,15 @@ def flat_runs(df: DataFrame, keys: list[str], ts: str, value: str, min_seconds:
     return rows.withColumn("flat", F.col(value).isNotNull() & ~first & (lasts >= min_seconds)).drop("__run")
 
 
-def missing_gaps(df: DataFrame, keys: list[str], order: str, value: str, least: int) -> DataFrame:
+def missing_gaps(df: DataFrame, keys: list[str], order: str, value: str, least: int, size: int | None = None) -> DataFrame:
     """Column ``qc``: GAP on runs of at least ``least`` nulls, MISSING on other nulls, else VALID."""
-    rows = flag_long_runs(df, keys, order, F.col(value).isNull(), least, "__gap")
+    rows = flag_long_runs(df, keys, order, F.col(value).isNull(), least, "__gap", size=size)
     return rows.withColumn("qc", F.when(F.col("__gap"), "GAP").when(F.col(value).isNull(), "MISSING").otherwise("VALID")).drop("__gap")
 
 
-def label_segments(df: DataFrame, keys: list[str], ts: str, label: Column) -> DataFrame:
+def label_segments(df: DataFrame, keys: list[str], ts: str, label: Column, size: int | None = None) -> DataFrame:
     """Runs of equal labels as segments start_s, end_s, label, n; seconds from the series' first sample."""
-    runs = runs_of(df, keys, ts, label)
+    runs = runs_of(df, keys, ts, label, size)
     origin = F.min("first").over(Window.partitionBy(*keys))
     return runs.select(
         *keys,

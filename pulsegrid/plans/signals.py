@@ -90,10 +90,10 @@ WITH f AS (
 c AS (SELECT *, CASE WHEN v IS NOT DISTINCT FROM lag(v) OVER w AND row_number() OVER w > 1 THEN 0 ELSE 1 END AS new FROM f WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 r AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS run FROM c)
 SELECT event_id, v IS NOT NULL AND count(*) OVER (PARTITION BY user_id, run) >= 3 AS saturated FROM r""")
-def saturation_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def saturation_runs(spark: SparkSession, sf_dir: str, size: int | None = None) -> DataFrame:
     """Values clipped to 100..300, so that the ends are reached again and again."""
     df = samples(spark, sf_dir).withColumn("clipped", F.least(F.greatest(F.round("value"), F.lit(100.0)), F.lit(300.0)))
-    return ts.saturation(df, ["user_id"], "ts", "clipped", 3).select("event_id", "saturated")
+    return ts.saturation(df, ["user_id"], "ts", "clipped", 3, size=size).select("event_id", "saturated")
 
 
 @query("""
@@ -102,9 +102,9 @@ c AS (SELECT *, CASE WHEN lag(v) OVER w = v THEN 0 ELSE 1 END AS new FROM s WIND
 r AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS run FROM c),
 n AS (SELECT user_id, run, count(*) - 1 AS n FROM r GROUP BY ALL)
 SELECT user_id, max(n) AS longest FROM n GROUP BY user_id""")
-def longest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def longest_run(spark: SparkSession, sf_dir: str, size: int | None = None) -> DataFrame:
     df = samples(spark, sf_dir).withColumn("v", F.floor(F.col("value") / 100))
-    return ts.longest_unchanged(df, ["user_id"], "ts", "v")
+    return ts.longest_unchanged(df, ["user_id"], "ts", "v", size=size)
 
 
 @query("""
@@ -122,9 +122,9 @@ def held_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH s AS (SELECT event_id, user_id, ts, floor(value / 150) AS v FROM events)
 SELECT event_id, coalesce(count(v) OVER w = 4 AND var_samp(v) OVER w < 1e-12, false) AS flatline
 FROM s WINDOW w AS (PARTITION BY user_id ORDER BY ts ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING)""")
-def flatline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flatline(spark: SparkSession, sf_dir: str, size: int | None = None) -> DataFrame:
     df = samples(spark, sf_dir).withColumn("v", F.floor(F.col("value") / 150).cast("double"))
-    return ts.flatline(df, ["user_id"], "ts", "v", 4).select("event_id", "flatline")
+    return ts.flatline(df, ["user_id"], "ts", "v", 4, size=size).select("event_id", "flatline")
 
 
 @query("""
@@ -134,8 +134,8 @@ d AS (SELECT *, abs(value - med) AS dev FROM m),
 z AS (SELECT *, CASE WHEN count(dev) OVER w = 11 THEN median(dev) OVER w END AS mad FROM d
       WINDOW w AS (PARTITION BY user_id ORDER BY ts ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING))
 SELECT event_id, coalesce(dev / (1.4826 * nullif(mad, 0)) > 3, false) AS spike FROM z""")
-def spike_mad(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ts.spikes(samples(spark, sf_dir), ["user_id"], "ts", "value", 11, 3.0).select("event_id", "spike")
+def spike_mad(spark: SparkSession, sf_dir: str, size: int | None = None) -> DataFrame:
+    return ts.spikes(samples(spark, sf_dir), ["user_id"], "ts", "value", 11, 3.0, size=size).select("event_id", "spike")
 
 
 @query("""
@@ -143,8 +143,8 @@ WITH m AS (SELECT *, median(value) OVER w AS med FROM events WINDOW w AS (PARTIT
 d AS (SELECT *, abs(value - med) AS dev FROM m),
 z AS (SELECT *, median(dev) OVER w AS mad FROM d WINDOW w AS (PARTITION BY user_id ORDER BY ts ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING))
 SELECT event_id, round(CASE WHEN dev / (1.4826 * greatest(mad, 1e-9)) > 3 THEN med ELSE value END, 6) AS smoothed FROM z""")
-def robust_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = ts.robust_smooth(samples(spark, sf_dir), ["user_id"], "ts", "value", 7)
+def robust_smooth(spark: SparkSession, sf_dir: str, size: int | None = None) -> DataFrame:
+    out = ts.robust_smooth(samples(spark, sf_dir), ["user_id"], "ts", "value", 7, size=size)
     return out.select("event_id", F.round("smoothed", 6).alias("smoothed"))
 
 
@@ -167,43 +167,43 @@ WITH s AS (SELECT event_id, user_id, event_type, ts, CASE WHEN value >= 20 THEN
 i AS (SELECT *, v - lag(v) OVER w AS inc FROM s {_W})
 SELECT event_id, round(inc, 6) AS increment,
        CASE WHEN v IS NULL THEN 'MISSING' WHEN v < 0 THEN 'INVALID' WHEN inc < 0 THEN 'SUSPICIOUS' ELSE 'VALID' END AS qc FROM i""")
-def counter_qc(spark: SparkSession, sf_dir: str) -> DataFrame:
+def counter_qc(spark: SparkSession, sf_dir: str, size: int | None = None) -> DataFrame:
     df = samples(spark, sf_dir).withColumn("v", F.when(F.col("value") >= 20, F.col("value") - 50))
-    return ts.counter(df, KEYS, "ts", "v").select("event_id", F.round("increment", 6).alias("increment"), "qc")
+    return ts.counter(df, KEYS, "ts", "v", size=size).select("event_id", F.round("increment", 6).alias("increment"), "qc")
 
 
 @query(f"SELECT event_id, coalesce(abs(value - lag(value) OVER w) > 60 OR value = 0, false) AS step FROM events {_W}")
-def step_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ts.step_rule(samples(spark, sf_dir), KEYS, "ts", "value", 60.0, zero_is_artifact=True).select("event_id", "step")
+def step_rule(spark: SparkSession, sf_dir: str, size: int | None = None) -> DataFrame:
+    return ts.step_rule(samples(spark, sf_dir), KEYS, "ts", "value", 60.0, zero_is_artifact=True, size=size).select("event_id", "step")
 
 
 @query("""
 WITH m AS (SELECT event_id, value / nullif(median(value) OVER w, 0) AS r FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING))
 SELECT event_id, coalesce(r > 1.8 OR r < 0.55, false) AS off_ratio FROM m""")
-def ratio_to_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ts.ratio_rule(samples(spark, sf_dir), ["user_id"], "ts", "value", 9).select("event_id", "off_ratio")
+def ratio_to_median(spark: SparkSession, sf_dir: str, size: int | None = None) -> DataFrame:
+    return ts.ratio_rule(samples(spark, sf_dir), ["user_id"], "ts", "value", 9, size=size).select("event_id", "off_ratio")
 
 
 @query("""
 WITH h AS (SELECT event_id, user_id, ts, coalesce((lag(value, 4) OVER w - value > 40)::INT, 0) AS hit FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts))
 SELECT event_id, max(hit) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) = 1 AS in_drop FROM h""")
-def temperature_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ts.drop_rule(samples(spark, sf_dir), ["user_id"], "ts", "value", 4, 40.0).select("event_id", "in_drop")
+def temperature_drop(spark: SparkSession, sf_dir: str, size: int | None = None) -> DataFrame:
+    return ts.drop_rule(samples(spark, sf_dir), ["user_id"], "ts", "value", 4, 40.0, size=size).select("event_id", "in_drop")
 
 
 @query("""
 SELECT event_id, max((value > 200)::INT) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING) = 1 AS near FROM events""")
-def artifact_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+def artifact_expand(spark: SparkSession, sf_dir: str, size: int | None = None) -> DataFrame:
     df = samples(spark, sf_dir).withColumn("artifact", F.col("value") > 200)
-    return ts.expand(df, ["user_id"], "ts", "artifact", before=1, after=2).select("event_id", "near")
+    return ts.expand(df, ["user_id"], "ts", "artifact", before=1, after=2, size=size).select("event_id", "near")
 
 
 @query(f"""
 WITH s AS (SELECT event_id, user_id, ts, epoch_us(ts) / 1e6 AS t FROM events WHERE value >= 100),
 g AS (SELECT *, coalesce(t - lag(t) OVER (PARTITION BY user_id ORDER BY ts) > 43200, false)::INT AS new FROM s)
 SELECT event_id, sum(new) OVER (PARTITION BY user_id ORDER BY ts)::BIGINT AS segment FROM g""")
-def gap_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ts.gap_segments(with_missing(samples(spark, sf_dir)), ["user_id"], "ts", "v", 43200).select("event_id", "segment")
+def gap_segments(spark: SparkSession, sf_dir: str, size: int | None = None) -> DataFrame:
+    return ts.gap_segments(with_missing(samples(spark, sf_dir)), ["user_id"], "ts", "v", 43200, size=size).select("event_id", "segment")
 
 
 @query(f"""
@@ -216,8 +216,8 @@ b AS (SELECT *, n_missing / n AS f, CASE WHEN n = n_missing THEN 0 ELSE l END AS
 SELECT user_id, event_type, n::BIGINT AS n, n_missing::BIGINT AS n_missing, longest::BIGINT AS longest, round(f, 6) AS missing_fraction,
        CASE WHEN n_missing = 0 THEN 'complete' WHEN n_missing = n THEN 'entirely_missing' WHEN f > 0.5 THEN 'high_missing'
             WHEN longest >= 10 THEN 'gappy' ELSE 'sparse_isolated' END AS kind FROM b""")
-def missing_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = ts.missingness(with_missing(samples(spark, sf_dir)), KEYS, "ts", "v")
+def missing_runs(spark: SparkSession, sf_dir: str, size: int | None = None) -> DataFrame:
+    out = ts.missingness(with_missing(samples(spark, sf_dir)), KEYS, "ts", "v", size=size)
     return out.withColumn("missing_fraction", F.round("missing_fraction", 6))
 
 
@@ -226,9 +226,9 @@ WITH s AS (SELECT event_id, user_id, ts, epoch_us(ts) / 1e6 AS t, floor(value /
 c AS (SELECT *, CASE WHEN lag(v) OVER w = v THEN 0 ELSE 1 END AS new FROM s WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 r AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS run FROM c)
 SELECT event_id, new = 0 AND max(t) OVER x - min(t) OVER x >= 100000 AS flat FROM r WINDOW x AS (PARTITION BY user_id, run)""")
-def flat_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flat_runs(spark: SparkSession, sf_dir: str, size: int | None = None) -> DataFrame:
     df = samples(spark, sf_dir).withColumn("v", F.floor(F.col("value") / 150))
-    return ts.flat_runs(df, ["user_id"], "ts", "v", 100000).select("event_id", "flat")
+    return ts.flat_runs(df, ["user_id"], "ts", "v", 100000, size=size).select("event_id", "flat")
 
 
 @query(f"""
@@ -236,8 +236,8 @@ WITH s AS (SELECT event_id, user_id, ts, {_V} IS NULL AS m FROM events),
 c AS (SELECT *, CASE WHEN lag(m) OVER w = m THEN 0 ELSE 1 END AS new FROM s WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 r AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS run FROM c)
 SELECT event_id, CASE WHEN m AND count(*) OVER (PARTITION BY user_id, run) >= 3 THEN 'GAP' WHEN m THEN 'MISSING' ELSE 'VALID' END AS qc FROM r""")
-def missing_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ts.missing_gaps(with_missing(samples(spark, sf_dir)), ["user_id"], "ts", "v", 3).select("event_id", "qc")
+def missing_gaps(spark: SparkSession, sf_dir: str, size: int | None = None) -> DataFrame:
+    return ts.missing_gaps(with_missing(samples(spark, sf_dir)), ["user_id"], "ts", "v", 3, size=size).select("event_id", "qc")
 
 
 @query(f"""
@@ -247,6 +247,6 @@ r AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS run FROM c),
 o AS (SELECT user_id, min(epoch_us(ts)) / 1e6 AS t0 FROM events GROUP BY user_id)
 SELECT user_id, round(min(epoch_us(ts)) / 1e6 - any_value(t0), 6) AS start_s, round(max(epoch_us(ts)) / 1e6 - any_value(t0), 6) AS end_s, label, count(*) AS n
 FROM r JOIN o USING (user_id) GROUP BY user_id, run, label""")
-def label_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = ts.label_segments(samples(spark, sf_dir), ["user_id"], "ts", (F.col("value") > 150).cast("int"))
+def label_segments(spark: SparkSession, sf_dir: str, size: int | None = None) -> DataFrame:
+    out = ts.label_segments(samples(spark, sf_dir), ["user_id"], "ts", (F.col("value") > 150).cast("int"), size=size)
     return out.select("user_id", F.round("start_s", 6).alias("start_s"), F.round("end_s", 6).alias("end_s"), "label", "n")

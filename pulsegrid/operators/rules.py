@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pulsegrid.operators.peaks import peaks
 from pulsegrid.operators.quality import safety_rails
 from pulsegrid.operators.timeseries import series
 
@@ -173,8 +174,8 @@ def normalised(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 def window_shape(df: DataFrame, keys: list[str], order: str, value: str, low: float, high: float, least: int = 10) -> DataFrame:
     """Nineteen features per window (a group of ``keys``) with at least ``least`` values.
 
-    Peaks are samples that are higher than the two before and as high as the two after. A flat run is one of steps under
-    a ten-thousandth of the range. Spikes are steps over five times the median one.
+    Peaks are local maxima three samples apart (see ``peaks``). A flat run is one of steps under a ten-thousandth of the
+    range. Spikes are steps over five times the median one.
     """
     w = series(keys, order)
     whole = Window.partitionBy(*keys)
@@ -183,9 +184,9 @@ def window_shape(df: DataFrame, keys: list[str], order: str, value: str, low: fl
     x = F.col(value)
     v = v.withColumn("__step", F.abs(x - F.lag(value).over(w)))
     v = v.withColumn("__bend", F.abs(x - 2 * F.lag(value).over(w) + F.lag(value, 2).over(w)))
-    peak = (x > F.lag(value).over(w)) & (x > F.coalesce(F.lag(value, 2).over(w), x - 1)) & (x >= F.lead(value).over(w)) & (x >= F.coalesce(F.lead(value, 2).over(w), x))
-    v = v.withColumn("__peak", F.when(peak, F.col("__i")))
-    v = v.withColumn("__gap", F.col("__peak") - F.last("__peak", True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    tops = peaks(df, keys, order, value, distance=3)
+    gap = F.col("at") - F.lag("at").over(Window.partitionBy(*keys).orderBy("at"))
+    tops = tops.withColumn("__gap", gap).groupBy(*keys).agg(F.count("*").alias("__peaks"), F.avg("__gap").alias("__gap_mean"), F.stddev_pop("__gap").alias("__gap_sd"))
     span = F.max(value).over(whole) - F.min(value).over(whole)
     v = v.withColumn("__flat", F.col("__step") < F.greatest(F.lit(1e-9), span * 1e-4))
     v = v.withColumn("__run", F.sum(F.when(F.col("__flat"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -195,13 +196,12 @@ def window_shape(df: DataFrame, keys: list[str], order: str, value: str, low: fl
         F.avg(value).alias("mean"), F.stddev_pop(value).alias("sd"), F.median(value).alias("median"), F.min(value).alias("min"), F.max(value).alias("max"),
         (F.max(value) - F.min(value)).alias("range"),
         (F.percentile(value, F.lit(0.75)) - F.percentile(value, F.lit(0.25))).alias("iqr"),
-        F.count("__peak").alias("n_peaks"), F.avg("__gap").alias("__gap_mean"), F.stddev_pop("__gap").alias("__gap_sd"),
         F.countDistinct(value).alias("__distinct"), F.max("__step").alias("max_step"),
         F.count_if(F.col("__step") > 5 * F.col("__mid_step") + 1e-9).alias("n_spikes"),
         F.avg("__bend").alias("__bend"), F.regr_slope(x, F.col("__i").cast("double")).alias("__slope"),
         F.avg(x.between(low, high).cast("double")).alias("in_norm"), F.avg((x == 0).cast("double")).alias("zero"), F.avg((x < 0).cast("double")).alias("negative"),
     )
-    out = n_all.join(a, keys).join(runs, keys, "left")
+    out = n_all.join(a, keys).join(runs, keys, "left").join(tops, keys, "left").withColumn("n_peaks", F.coalesce("__peaks", F.lit(0)))
     regular = F.when(F.col("n_peaks") >= 3, F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - F.col("__gap_sd") / (F.col("__gap_mean") + 1e-9)))).otherwise(0.0)
     out = out.withColumns({
         "missing": 1 - F.col("__n") / F.col("__all"),

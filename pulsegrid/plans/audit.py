@@ -133,20 +133,22 @@ def normalised_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH s AS (SELECT user_id, event_id, CASE WHEN value >= 30 THEN floor(value / 10) END AS v, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 40 AS w FROM events),
 n AS (SELECT user_id, w, count(*) AS n_all, count(v) AS n FROM s GROUP BY ALL HAVING count(v) >= 10),
 a AS (SELECT s.*, row_number() OVER o AS i, abs(v - lag(v) OVER o) AS step, abs(v - 2 * lag(v) OVER o + lag(v, 2) OVER o) AS bend,
-        CASE WHEN v > lag(v) OVER o AND v > coalesce(lag(v, 2) OVER o, v - 1) AND v >= lead(v) OVER o AND v >= coalesce(lead(v, 2) OVER o, v) THEN row_number() OVER o END AS peak,
         max(v) OVER g - min(v) OVER g AS span
       FROM s WHERE v IS NOT NULL WINDOW o AS (PARTITION BY user_id, w ORDER BY event_id), g AS (PARTITION BY user_id, w)),
-b AS (SELECT *, peak - last_value(peak IGNORE NULLS) OVER (PARTITION BY user_id, w ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS gap, step < greatest(1e-9, span * 1e-4) AS flat,
+k AS (SELECT user_id, w, i, v, lag(v) OVER o AS was FROM a WINDOW o AS (PARTITION BY user_id, w ORDER BY i)),
+t AS (SELECT user_id, w, (lag(i) OVER o + i - 1) // 2 AS pos, was AS h FROM k WHERE v <> was WINDOW o AS (PARTITION BY user_id, w ORDER BY i) QUALIFY lag(v > was) OVER o AND v < was),
+p AS (SELECT user_id, w, unnest(list_reduce(list_sort(list({'h': h, 'a': pos}), 'DESC'), lambda kept, x: CASE WHEN len(list_filter(kept, lambda y: abs(y.a - x.a) < 3)) = 0 THEN list_append(kept, x) ELSE kept END, []::STRUCT(h DOUBLE, a BIGINT)[])).a AS pos FROM t GROUP BY user_id, w),
+q AS (SELECT user_id, w, count(*) AS n_peaks, avg(gap) AS gm, stddev_pop(gap) AS gs FROM (SELECT *, pos - lag(pos) OVER (PARTITION BY user_id, w ORDER BY pos) AS gap FROM p) GROUP BY ALL),
+b AS (SELECT *, step < greatest(1e-9, span * 1e-4) AS flat,
         median(step) OVER (PARTITION BY user_id, w) AS mid FROM a),
 r AS (SELECT *, sum(CASE WHEN flat THEN 0 ELSE 1 END) OVER (PARTITION BY user_id, w ORDER BY event_id) AS run FROM b),
 l AS (SELECT user_id, w, max(k) AS longest FROM (SELECT user_id, w, run, count(*) AS k FROM r WHERE flat GROUP BY ALL) GROUP BY ALL),
-f AS (SELECT user_id, w, avg(v) AS mean, stddev_pop(v) AS sd, median(v) AS median, min(v) AS low, max(v) AS high, quantile_cont(v, 0.75) - quantile_cont(v, 0.25) AS iqr, count(peak) AS n_peaks,
-        avg(gap) AS gm, stddev_pop(gap) AS gs, count(DISTINCT v) AS d, max(step) AS max_step, count(*) FILTER (step > 5 * mid + 1e-9) AS n_spikes, avg(bend) AS bend, regr_slope(v, i) AS slope,
+f AS (SELECT user_id, w, avg(v) AS mean, stddev_pop(v) AS sd, median(v) AS median, min(v) AS low, max(v) AS high, quantile_cont(v, 0.75) - quantile_cont(v, 0.25) AS iqr, count(DISTINCT v) AS d, max(step) AS max_step, count(*) FILTER (step > 5 * mid + 1e-9) AS n_spikes, avg(bend) AS bend, regr_slope(v, i) AS slope,
         avg((v BETWEEN 5 AND 15)::INT) AS in_norm, avg((v = 0)::INT) AS zero, avg((v < 0)::INT) AS negative FROM r GROUP BY ALL)
-SELECT user_id, w, round(1 - n / n_all, 5) AS missing, round(mean, 5) AS mean, round(sd, 5) AS sd, median, low AS "min", high AS "max", high - low AS "range", round(iqr, 5) AS iqr, n_peaks,
+SELECT user_id, w, round(1 - n / n_all, 5) AS missing, round(mean, 5) AS mean, round(sd, 5) AS sd, median, low AS "min", high AS "max", high - low AS "range", round(iqr, 5) AS iqr, coalesce(n_peaks, 0) AS n_peaks,
        round(CASE WHEN n_peaks >= 3 THEN greatest(0, least(1, 1 - gs / (gm + 1e-9))) ELSE 0 END, 5) AS peak_regularity, round(coalesce(longest, 0) / n, 5) AS flat, round(d / n, 5) AS "unique", max_step, n_spikes,
        round(coalesce(bend, 0) / (high - low + 1e-9), 5) AS smoothness, round(slope * 100 / (sd + 1e-9), 4) AS trend, round(in_norm, 5) AS in_norm, round(zero, 5) AS zero, round(negative, 5) AS negative
-FROM n JOIN f USING (user_id, w) LEFT JOIN l USING (user_id, w)""")
+FROM n JOIN f USING (user_id, w) LEFT JOIN l USING (user_id, w) LEFT JOIN q USING (user_id, w)""")
 def window_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = samples(spark, sf_dir).withColumn("w", F.floor((F.row_number().over(ts.series(["user_id"], "event_id")) - 1) / 40))
     rows = rows.withColumn("v", F.when(c("value") >= 30, F.floor(c("value") / 10)).cast("double"))

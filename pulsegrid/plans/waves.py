@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.operators import filters, learning, windows
+from pulsegrid.operators import filters, learning, peaks, windows
 from pulsegrid.plans.registry import query
 from pulsegrid.plans.signals import samples
 from pulsegrid.session import table
@@ -17,9 +17,29 @@ def zero_phase_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.filtered(samples(spark, sf_dir), ["user_id"], "event_id", "value", 1.0, "low", 0.1)
 
 
-@query()
+@query("""
+WITH x AS (SELECT user_id, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 40 AS w, event_id, value AS v FROM events),
+s AS (SELECT *, row_number() OVER o - 1 AS i, v - lag(v) OVER o AS d FROM x WINDOW o AS (PARTITION BY user_id, w ORDER BY event_id)),
+a AS (SELECT user_id, w, count(*) AS n, max(v) AS high, min(v) AS low, max(d) FILTER (d > 0) AS max_rise, avg(d) FILTER (d > 0) AS mean_rise, sum(v) - (arg_min(v, i) + arg_max(v, i)) / 2 AS total FROM s GROUP BY ALL),
+t AS (SELECT user_id, w, (lag(i) OVER o + i - 1) // 2 AS pos, v - d AS h, i FROM s WHERE d <> 0 WINDOW o AS (PARTITION BY user_id, w ORDER BY i) QUALIFY lag(d) OVER o > 0 AND d < 0),
+h AS (SELECT t.user_id, t.w, t.pos, s.v AS h FROM t JOIN s ON s.user_id = t.user_id AND s.w = t.w AND s.i = t.pos),
+p AS (SELECT user_id, w, unnest(list_reduce(list_sort(list({'h': h, 'a': pos}), 'DESC'), lambda kept, x: CASE WHEN len(list_filter(kept, lambda y: abs(y.a - x.a) < 10)) = 0 THEN list_append(kept, x) ELSE kept END, []::STRUCT(h DOUBLE, a BIGINT)[])).a AS pos FROM h GROUP BY user_id, w),
+e AS (SELECT p.user_id, p.w, p.pos, h.h, coalesce(max(s.i) FILTER (s.i < p.pos AND s.v > h.h), -1) AS l, coalesce(min(s.i) FILTER (s.i > p.pos AND s.v > h.h), 1000) AS r
+      FROM p JOIN h USING (user_id, w, pos) JOIN s USING (user_id, w) GROUP BY ALL),
+m AS (SELECT e.user_id, e.w, e.pos, e.h - greatest(min(s.v) FILTER (s.i <= e.pos AND s.i > e.l), min(s.v) FILTER (s.i >= e.pos AND s.i < e.r)) AS prominence FROM e JOIN s USING (user_id, w) GROUP BY e.user_id, e.w, e.pos, e.h),
+b AS (SELECT m.user_id, m.w, m.pos, m.pos - lag(m.pos) OVER o AS gap, lag(m.pos) OVER o AS was FROM m JOIN a USING (user_id, w) WHERE prominence >= CASE WHEN high > low THEN 0.1 * (high - low) ELSE 1.0 END WINDOW o AS (PARTITION BY m.user_id, m.w ORDER BY m.pos)),
+c AS (SELECT *, (SELECT count(*) FROM h WHERE h.user_id = b.user_id AND h.w = b.w AND h.pos > b.was AND h.pos < b.pos) AS between_ FROM b),
+g AS (SELECT user_id, w, count(*) AS n_beats, avg(gap) AS gap, stddev_pop(gap) AS sd, count(*) FILTER (gap > 10 AND between_ > 0) AS notches FROM c GROUP BY ALL)
+SELECT user_id, w AS "window", round(CASE WHEN n >= 20 THEN high ELSE 0 END, 7) AS highest, round(CASE WHEN n >= 20 THEN low ELSE 0 END, 7) AS lowest, round(CASE WHEN n >= 20 THEN high - low ELSE 0 END, 7) AS pulse,
+       round(CASE WHEN n >= 20 THEN coalesce(max_rise, 0) ELSE 0 END, 7) AS max_rise, round(CASE WHEN n >= 20 THEN coalesce(mean_rise, 0) ELSE 0 END, 7) AS mean_rise, CASE WHEN n >= 20 THEN coalesce(n_beats, 0)::DOUBLE ELSE 0 END AS n_beats,
+       round(CASE WHEN n >= 20 AND n_beats >= 2 THEN gap ELSE 0 END, 7) AS interval, round(CASE WHEN n >= 20 AND n_beats >= 2 THEN sd / (gap + 1e-6) ELSE 0 END, 7) AS interval_spread,
+       round(CASE WHEN n >= 20 AND n_beats >= 2 THEN notches / (n_beats - 1) ELSE 0 END, 7) AS notch_share, round(CASE WHEN n >= 20 THEN high / (low + 1e-6) ELSE 0 END, 7) AS high_to_low, round(CASE WHEN n >= 20 THEN total - low * (n - 1) ELSE 0 END, 7) AS area
+FROM a LEFT JOIN g USING (user_id, w)""")
 def morphology_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filters.morphology_features(samples(spark, sf_dir), ["user_id"], "event_id", "value", 4.0, 40)
+    """Features of the pulse in windows of 40 samples, as of a pressure wave."""
+    rows = samples(spark, sf_dir).withColumn("window", F.floor((F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1) / 40))
+    out = peaks.pulse_features(rows, ["user_id", "window"], "event_id", "value")
+    return out.withColumns({c: F.round(c, 7) for c in out.columns if c not in ("user_id", "window")})
 
 
 @query()

@@ -1,15 +1,15 @@
-"""Filters and waveform features that need whole stretches of samples: numpy inside grouped pandas functions.
-
-Long recordings are dealt in stretches with a halo, so that no group grows with a recording's length.
-"""
+"""Filters of series. The recursive ones run in blocks, between which a scan carries the filter's state."""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulsegrid.operators.scans import join_on, numbered
+
 
 def butter_sections(order: int, cutoff: float | tuple[float, float], fs: float, kind: str) -> np.ndarray | None:
     """Second-order sections of a digital Butterworth filter by the bilinear transform; None if the cut-offs don't lie
@@ -48,46 +48,39 @@ def butter_sections(order: int, cutoff: float | tuple[float, float], fs: float,
     return out
 
 
-def memory(sections: np.ndarray, left: float = 1e-13) -> int:
-    """After how many samples the filter has forgotten all but ``left`` of what it saw, by its slowest pole."""
-    radius = max(abs(np.roots(s[3:])).max(initial=0.0) for s in sections)
-    return 1 if radius < 1e-9 else int(np.ceil(np.log(left) / np.log(min(radius, 1 - 1e-7)))) + 1
-
-
-def run_sections(sections: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """The filter's response, from the steady state of the first sample: a product of spectra.
-
-    The series is extended by its first value for as long as the filter remembers, so what the transform wraps around
-    falls on samples that are dropped.
-    """
-    if not len(x):
-        return x
-    m = memory(sections)
-    size = 1 << int(np.ceil(np.log2(len(x) + 2 * m)))
-    z = np.exp(-2j * np.pi * np.arange(size // 2 + 1) / size)
-    response = np.ones(len(z), complex)
+def steady_state(sections: np.ndarray) -> np.ndarray:
+    """Two numbers a section: the state that an endless input of 1 leaves the cascade in."""
+    out, level = [], 1.0
     for b0, b1, b2, _, a1, a2 in sections:
-        response *= (b0 + b1 * z + b2 * z**2) / (1 + a1 * z + a2 * z**2)
-    long = np.concatenate([np.full(m, x[0]), x])
-    return np.fft.irfft(np.fft.rfft(long, size) * response, size)[m : m + len(x)]
-
-
-def zero_phase(x: np.ndarray, order: int, cutoff, fs: float, kind: str) -> np.ndarray:
-    """Forward and backward over odd extensions; nulls are left out and put back.
-
-    Too few samples (under 3 * order + 1) or cut-offs that don't fit the rate leave the series as it is.
-    """
-    sections = butter_sections(order, cutoff, fs, kind)
-    good = ~np.isnan(x)
-    if sections is None or good.sum() < 3 * order + 1:
-        return x
-    v = x[good]
-    pad = min(3 * (2 * len(sections) + 1), len(v) - 1)
-    long = np.concatenate([2 * v[0] - v[pad:0:-1], v, 2 * v[-1] - v[-2 : -pad - 2 : -1]])
-    y = run_sections(sections, run_sections(sections, long)[::-1])[::-1]
-    out = x.copy()
-    out[good] = y[pad : len(y) - pad]
-    return out
+        after = level * (b0 + b1 + b2) / (1 + a1 + a2)
+        out += [after - b0 * level, b2 * level - a2 * after]
+        level = after
+    return np.array(out)
+
+
+def cascade(sections: np.ndarray, x: np.ndarray, lengths: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The recursion itself, sample by sample, for many blocks side by side: a block a row of ``x``, of so many samples,
+    from its row of ``state``. Returns the outputs and the states after each block's last sample."""
+    z, y, last = state.T.copy(), np.zeros_like(x), state.copy()
+    for t in range(x.shape[1]):
+        v = x[:, t]
+        for k, (b0, b1, b2, _, a1, a2) in enumerate(sections):
+            out = b0 * v + z[2 * k]
+            z[2 * k] = b1 * v - a1 * out + z[2 * k + 1]
+            z[2 * k + 1] = b2 * v - a2 * out
+            v = out
+        y[:, t] = v
+        done = lengths == t + 1
+        if done.any():
+            last[done] = z[:, done].T
+    return y, last
+
+
+def step_matrix(sections: np.ndarray, samples: int) -> np.ndarray:
+    """What so many samples make of a state: linear, whatever the input."""
+    n = 2 * len(sections)
+    one = cascade(sections, np.zeros((n, 1)), np.ones(n), np.eye(n))[1].T
+    return np.linalg.matrix_power(one, samples)
 
 
 def fft_band(x: np.ndarray, fs: float, low: float, high: float) -> np.ndarray:
@@ -98,55 +91,6 @@ def fft_band(x: np.ndarray, fs: float, low: float, high: float) -> np.ndarray:
     return np.fft.irfft(spectrum, len(x))
 
 
-def find_peaks(x: np.ndarray, distance: int = 1, prominence: float = 0.0) -> np.ndarray:
-    """Local maxima (middles of plateaus), those of lower height dropped within ``distance``, by least prominence."""
-    n = len(x)
-    if n < 3:
-        return np.zeros(0, int)
-    edges = np.flatnonzero(np.diff(x) != 0)
-    starts = np.concatenate([[0], edges + 1])
-    ends = np.concatenate([edges, [n - 1]])
-    level = x[starts]
-    top = np.zeros(len(level), bool)
-    top[1:-1] = (level[1:-1] > level[:-2]) & (level[1:-1] > level[2:])
-    peaks = (starts[top] + ends[top]) // 2
-    keep = np.ones(len(peaks), bool)
-    for i in np.argsort(-x[peaks], kind="stable"):
-        if keep[i]:
-            close = (np.abs(peaks - peaks[i]) < distance) & (np.arange(len(peaks)) != i)
-            keep &= ~close | (x[peaks] > x[peaks[i]])
-    peaks = peaks[keep]
-    if prominence > 0:
-        found = []
-        for p in peaks:
-            higher = np.flatnonzero(x > x[p])
-            left = higher[higher < p].max(initial=-1) + 1
-            right = higher[higher > p].min(initial=n)
-            if x[p] - max(x[left : p + 1].min(), x[p:right].min()) >= prominence:
-                found.append(p)
-        peaks = np.array(found, int)
-    return peaks
-
-
-def morphology(x: np.ndarray, fs: float) -> dict[str, float]:
-    """Twelve features of a pressure wave: beats, rate and their spread, pulse, slopes, area and shape."""
-    x = x[~np.isnan(x)]
-    names = ("n_beats", "rate", "rr_sd", "pulse_mean", "pulse_sd", "sys_mean", "dia_mean", "up_slope", "down_slope", "area", "skew", "kurtosis")
-    if len(x) < 10 or np.ptp(x) == 0:
-        return dict.fromkeys(names, 0.0)
-    peaks = find_peaks(x, max(1, int(0.3 * fs)), 0.2 * np.ptp(x))
-    feet = find_peaks(-x, max(1, int(0.3 * fs)), 0.2 * np.ptp(x))
-    gaps = np.diff(peaks) / fs
-    pulse = np.array([x[p] - x[feet[feet < p][-1]] for p in peaks if (feet < p).any()])
-    d, z = np.diff(x) * fs, (x - x.mean()) / x.std()
-    mean = lambda v: float(v.mean()) if len(v) else 0.0
-    values = (
-        len(peaks), 60 / mean(gaps) if len(gaps) else 0.0, float(gaps.std()) if len(gaps) else 0.0, mean(pulse), float(pulse.std()) if len(pulse) else 0.0,
-        mean(x[peaks]), mean(x[feet]), float(d.max()), float(d.min()), float(np.trapezoid(x) / fs), float((z**3).mean()), float((z**4).mean() - 3),
-    )
-    return dict(zip(names, map(float, values), strict=True))
-
-
 def ecg_qc(x: np.ndarray, fs: float) -> np.ndarray:
     """Label per second of an ECG, in this order of priority: FLAT, SATURATED, NOISY, DRIFT, VALID."""
     n = max(1, int(fs))
@@ -172,47 +116,100 @@ def ecg_qc(x: np.ndarray, fs: float) -> np.ndarray:
     return out
 
 
-def with_stretches(df: DataFrame, keys: list[str], order: str, size: int, halo: int) -> DataFrame:
-    """Rows numbered per key and dealt to stretches of ``size`` rows; rows within ``halo`` of an edge are in both."""
-    rows = df.withColumn("__i", F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1)
-    first, last = F.floor((F.col("__i") - halo) / size), F.floor((F.col("__i") + halo) / size)
-    return rows.withColumn("__stretch", F.explode(F.sequence(F.greatest(first, F.lit(0)), last)))
+#: Samples of a block.
+BLOCK = 1024
 
 
-def filtered(df: DataFrame, keys: list[str], order: str, value: str, fs: float, kind: str, cutoff, filter_order: int = 4, size: int = 100_000, halo: int | None = None) -> DataFrame:
-    """Column ``filtered``: the zero-phase Butterworth filter of each series, stretch by stretch; nulls stay null.
+def _blocks(rows: DataFrame, keys: list[str], order: str, value: str, block: int) -> DataFrame:
+    """keys, __block, __s (order and value of its samples in turn), __blocks: the non-null samples of each series in blocks,
+    of which the last has up to twice as many samples."""
+    rows = numbered(rows, keys, order, block)
+    sizes = rows.groupBy(*keys).agg(F.greatest(F.floor(F.count("*") / block), F.lit(1)).cast("int").alias("__blocks"), F.count("*").alias("__n"))
+    rows = join_on(rows, sizes, keys).withColumn("__block", F.least(F.col("__stretch"), F.col("__blocks") - 1).cast("int"))
+    samples = F.array_sort(F.collect_list(F.struct("__i", F.col(order).alias("o"), F.col(value).cast("double").alias("x"))))
+    return rows.groupBy(*keys, "__block", "__blocks", "__n").agg(samples.alias("__s"))
 
-    The halo is what the filter remembers, so stretches give what the whole series would.
-    """
-    sections = butter_sections(filter_order, cutoff, fs, kind)
-    halo = (memory(sections, 1e-9) * 2 if sections is not None else 0) if halo is None else halo
-    size = max(size, 4 * halo)
-    columns = [*keys, order, value]
-    rows = with_stretches(df.select(*columns), keys, order, size, halo)
-    kinds = dict(rows.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in columns) + ", filtered double"
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("__i")
-        y = zero_phase(part[value].to_numpy(float), filter_order, cutoff, fs, kind)
-        own = (part["__i"] // size == part["__stretch"]).to_numpy()
-        return part.loc[own, columns].assign(filtered=y[own])
+def _run_blocks(df: DataFrame, sections: np.ndarray, out: str) -> DataFrame:
+    """Each row's array __x through the filter from its __state: the array ``out``, and __end, the state after it."""
+    columns = [c for c in df.columns if c != out]
+    schema = ", ".join(f"`{c}` {t}" for c, t in df.select(*columns).dtypes) + f", {out} array<double>, __end array<double>"
 
-    return rows.groupBy(*keys, "__stretch").applyInPandas(run, schema)
+    def run(batches):
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 256):
+                part = batch.slice(begin, 256)
+                xs = [np.array(v) for v in part.column(part.schema.get_field_index("__x")).to_pylist()]
+                lengths = np.array([len(v) for v in xs])
+                wide = np.zeros((len(xs), max(lengths)))
+                for row, v in zip(wide, xs):
+                    row[: len(v)] = v
+                y, end = cascade(sections, wide, lengths, np.array(part.column(part.schema.get_field_index("__state")).to_pylist()))
+                arrays = [*part.columns, pa.array([row[:n] for row, n in zip(y, lengths)], pa.list_(pa.float64())), pa.array(list(end), pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*part.schema.names, out, "__end"])
 
+    return df.select(*columns).mapInArrow(run, schema)
 
-def morphology_features(df: DataFrame, keys: list[str], order: str, value: str, fs: float, size: int) -> DataFrame:
-    """The twelve features per window of ``size`` samples."""
-    rows = df.select(*keys, order, value).withColumn("window", F.floor((F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1) / size))
-    kinds = dict(rows.dtypes)
-    names = list(morphology(np.zeros(0), fs))
-    schema = ", ".join(f"{c} {kinds[c]}" for c in [*keys, "window"]) + "".join(f", {n} double" for n in names)
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        found = morphology(part.sort_values(order)[value].to_numpy(float), fs)
-        return pd.DataFrame([{**{c: part[c].iloc[0] for c in [*keys, "window"]}, **found}])
+def _pass(blocks: DataFrame, keys: list[str], sections: np.ndarray, block: int, most: int, out: str) -> DataFrame:
+    """One pass over the arrays __x of the blocks, in the order of __nth, from the steady state of the first sample.
 
-    return rows.groupBy(*keys, "window").applyInPandas(run, schema)
+    A block changes a state by an affine map: all but the first by the same matrix, plus the state it ends in from rest.
+    These maps compose, so the states between blocks come from a scan that doubles its reach each round, over one row a
+    block; then every block runs once more from the state it starts in.
+    """
+    size = 2 * len(sections)
+    start = F.transform(F.array(*[F.lit(float(v)) for v in steady_state(sections)]), lambda v: v * F.get("__x", F.lit(0)))
+    rest = F.array(*[F.lit(0.0)] * size)
+    rows = blocks.withColumn("__state", F.when(F.col("__nth") == 0, start).otherwise(rest))
+    ends = _run_blocks(rows, sections, "__y").select(*keys, "__nth", *[F.get("__end", F.lit(i)).alias(f"__z{i}") for i in range(size)])
+    w = Window.partitionBy(*keys).orderBy("__nth")
+    power, reach = step_matrix(sections, block), 1
+    while reach < most:
+        old = lambda i: F.coalesce(F.lag(f"__z{i}", reach).over(w), F.lit(0.0))  # noqa: B023, E731
+        ends = ends.withColumns({f"__z{i}": F.col(f"__z{i}") + sum(F.lit(float(power[i, j])) * old(j) for j in range(size)) for i in range(size)})
+        power, reach = power @ power, 2 * reach
+    entry = F.when(F.col("__nth") > 0, F.array(*[F.lag(f"__z{i}").over(w) for i in range(size)]))
+    rows = join_on(rows, ends.select(*keys, "__nth", entry.alias("__entry")), [*keys, "__nth"])
+    return _run_blocks(rows.withColumn("__state", F.coalesce("__entry", "__state")).drop("__entry"), sections, out).drop("__end", "__state")
+
+
+def filtered(df: DataFrame, keys: list[str], order: str, value: str, fs: float, kind: str, cutoff, filter_order: int = 4, size: int = BLOCK) -> DataFrame:
+    """Column ``filtered``: the zero-phase Butterworth filter of each series, in blocks of ``size`` samples.
+
+    Forward and backward over odd extensions of both ends; nulls are left out and stay null. Series with too few samples
+    (under 3 * order + 1) and cut-offs that don't fit the rate leave values as they are. Blocks give what one recursion
+    over the whole series gives, whatever the filter remembers.
+    """
+    sections = butter_sections(filter_order, cutoff, fs, kind)
+    columns = [*keys, order, value]
+    same = df.select(*columns, F.col(value).cast("double").alias("filtered"))
+    if sections is None:
+        return same
+    pad = 3 * (2 * len(sections) + 1)
+    size = max(size, pad + 1)
+    blocks = _blocks(df.select(*columns).where(F.col(value).isNotNull()), keys, order, value, size)
+    # Kept as a table of their own: both passes and their scans read them.
+    blocks = blocks.persist()
+    most = blocks.agg(F.max("__blocks")).first()[0] or 1
+    short = blocks.where(F.col("__n") < 3 * filter_order + 1)
+    rows = blocks.where(F.col("__n") >= 3 * filter_order + 1).withColumn("__v", F.transform("__s", lambda s: s["x"]))
+    n = F.least(F.lit(pad), F.col("__n").cast("int") - 1)
+    first, last = F.get("__v", F.lit(0)), F.element_at("__v", -1)
+    head = F.transform(F.reverse(F.slice("__v", F.lit(2), n)), lambda x: 2 * first - x)
+    tail = F.transform(F.reverse(F.slice("__v", F.size("__v") - n, n)), lambda x: 2 * last - x)
+    none = F.array().cast("array<double>")
+    is_first, is_last = F.col("__block") == 0, F.col("__block") == F.col("__blocks") - 1
+    rows = rows.withColumn("__x", F.concat(F.when(is_first, head).otherwise(none), "__v", F.when(is_last, tail).otherwise(none)))
+    rows = rows.withColumn("__from", F.when(is_first, n).otherwise(0)).withColumn("__nth", F.col("__block")).drop("__v", "__n")
+    forth = _pass(rows, keys, sections, size, most, "__forth")
+    turned = forth.withColumn("__x", F.reverse("__forth")).withColumn("__nth", F.col("__blocks") - 1 - F.col("__block")).drop("__forth")
+    back = _pass(turned, keys, sections, size, most, "__back")
+    y = F.slice(F.reverse("__back"), F.col("__from") + 1, F.size("__s"))
+    out = back.select(*keys, F.explode(F.arrays_zip(F.col("__s").alias("s"), y.alias("y"))).alias("p"))
+    out = out.select(*keys, F.col("p.s.o").alias(order), F.col("p.s.x").alias(value), F.col("p.y").alias("filtered"))
+    few = short.select(*keys, F.explode("__s").alias("s")).select(*keys, F.col("s.o").alias(order), F.col("s.x").alias(value), F.col("s.x").alias("filtered"))
+    return out.unionByName(few).unionByName(same.where(F.col(value).isNull()))
 
 
 def ecg_labels(df: DataFrame, keys: list[str], order: str, value: str, fs: float, seconds: int = 60) -> DataFrame:

@@ -11,10 +11,57 @@ from pulsegrid.plans.signals import samples
 from pulsegrid.session import table
 
 
-@query()
+def _pass_sql(name: str, source: str, sections: list[list[float]]) -> str:
+    """A recursive table of one pass over ``source`` (user_id, t, x): user_id, t, y."""
+    first, later, level, at = [], [], "x", "x"
+    for k, (b0, b1, b2, _, a1, a2) in enumerate(sections):
+        steady = f"({level}) * {(b0 + b1 + b2) / (1 + a1 + a2)!r}"
+        first += [f"{steady} - ({level}) * {b0!r} AS p{k}", f"({level}) * {b2!r} - {steady} * {a2!r} AS q{k}"]
+        out = f"({at}) * {b0!r} + p{k}"
+        later += [f"({at}) * {b1!r} - ({out}) * {a1!r} + q{k} AS p{k}", f"({at}) * {b2!r} - ({out}) * {a2!r} AS q{k}"]
+        level, at = steady, out
+    return (
+        f"{name} AS (SELECT user_id, -1::BIGINT AS t, {', '.join(first)}, NULL::DOUBLE AS y FROM {source} WHERE t = 0 UNION ALL "
+        f"SELECT e.user_id, e.t, {', '.join(later)}, {at} AS y FROM {name} f JOIN {source} e ON e.user_id = f.user_id AND e.t = f.t + 1)"
+    )
+
+
+def _filter_sql(order: int, cutoff: float, fs: float, kind: str, least: int) -> str:
+    """The recursion in SQL, forward and backward over odd extensions, for series of ``least`` samples or more."""
+    sections = filters.butter_sections(order, cutoff, fs, kind).tolist()
+    pad = 3 * (2 * len(sections) + 1)
+    return f"""
+WITH RECURSIVE s AS (SELECT user_id, event_id, value AS v, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM events),
+p AS (SELECT user_id, n, least({pad}, n - 1) AS pad, max(v) FILTER (i = 0) AS head, max(v) FILTER (i = n - 1) AS tail FROM s WHERE n >= {least} GROUP BY ALL),
+j AS (SELECT s.*, pad, head, tail FROM s JOIN p USING (user_id, n)),
+e AS (SELECT user_id, pad + i AS t, v AS x FROM j UNION ALL SELECT user_id, pad - i, 2 * head - v FROM j WHERE i BETWEEN 1 AND pad
+      UNION ALL SELECT user_id, pad + 2 * (n - 1) - i, 2 * tail - v FROM j WHERE n - 1 - i BETWEEN 1 AND pad),
+{_pass_sql("f", "e", sections)},
+r AS (SELECT f.user_id, n + 2 * pad - 1 - t AS t, y AS x FROM f JOIN p USING (user_id) WHERE t >= 0),
+{_pass_sql("b", "r", sections)}
+SELECT s.user_id, event_id, v AS value, round(coalesce(b.y, v), 6) AS filtered
+FROM s LEFT JOIN p USING (user_id, n) LEFT JOIN b ON b.user_id = s.user_id AND b.t = n + pad - 1 - i"""
+
+
+@query(_filter_sql(4, 0.1, 1.0, "low", 13))
 def zero_phase_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Low-pass of each user's values as if sampled once a second."""
-    return filters.filtered(samples(spark, sf_dir), ["user_id"], "event_id", "value", 1.0, "low", 0.1)
+    out = filters.filtered(samples(spark, sf_dir), ["user_id"], "event_id", "value", 1.0, "low", 0.1)
+    return out.withColumn("filtered", F.round("filtered", 6))
+
+
+@query(_filter_sql(4, 0.1, 1.0, "low", 13))
+def zero_phase_filter_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in blocks shorter than the series: their states are scanned."""
+    out = filters.filtered(samples(spark, sf_dir), ["user_id"], "event_id", "value", 1.0, "low", 0.1, size=16)
+    return out.withColumn("filtered", F.round("filtered", 6))
+
+
+@query(_filter_sql(3, 0.02, 1.0, "high", 10))
+def high_pass_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a slow drift leaves: the filter remembers longer than the series."""
+    out = filters.filtered(samples(spark, sf_dir), ["user_id"], "event_id", "value", 1.0, "high", 0.02, 3)
+    return out.withColumn("filtered", F.round("filtered", 6))
 
 
 @query("""

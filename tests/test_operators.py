@@ -92,36 +92,62 @@ def test_text_helpers(spark):
     assert list(got) == ["heart rate", "HR", "age ete", 12.5, "a/aa##/a.aaa", "a/Bc12/x.v2-01234567.csv"]
 
 
+def plain_filter(x, order, cutoff, fs, kind):
+    """The recursion over the whole series, forward and backward, sample by sample."""
+    sections = filters.butter_sections(order, cutoff, fs, kind)
+    good = ~np.isnan(x)
+    if sections is None or good.sum() < 3 * order + 1:
+        return x
+    v = x[good]
+    pad = min(3 * (2 * len(sections) + 1), len(v) - 1)
+    y = np.concatenate([2 * v[0] - v[pad:0:-1], v, 2 * v[-1] - v[-2 : -pad - 2 : -1]])
+    for _ in range(2):
+        for b0, b1, b2, _one, a1, a2 in sections:
+            level = y[0] * (b0 + b1 + b2) / (1 + a1 + a2)
+            z1, z2, out = level - b0 * y[0], b2 * y[0] - a2 * level, []
+            for s in y:
+                out.append(b0 * s + z1)
+                z1, z2 = b1 * s - a1 * out[-1] + z2, b2 * s - a2 * out[-1]
+            y = np.array(out)
+        y = y[::-1]
+    got = x.copy()
+    got[good] = y[pad : len(y) - pad]
+    return got
+
+
 def test_butterworth_response():
     fs = 200.0
     t = np.arange(0, 5, 1 / fs)
     x = np.sin(2 * np.pi * t) + 0.5 * np.sin(2 * np.pi * 60 * t)
-    y = filters.zero_phase(x, 4, 10.0, fs, "low")
+    y = plain_filter(x, 4, 10.0, fs, "low")
     assert np.std((y - np.sin(2 * np.pi * t))[100:-100]) < 0.01
-    y = filters.zero_phase(x, 4, 30.0, fs, "high")
+    y = plain_filter(x, 4, 30.0, fs, "high")
     assert np.std((y - 0.5 * np.sin(2 * np.pi * 60 * t))[100:-100]) < 0.01
-    y = filters.zero_phase(x, 3, (40.0, 80.0), fs, "band")
+    y = plain_filter(x, 3, (40.0, 80.0), fs, "band")
     assert np.std((y - 0.5 * np.sin(2 * np.pi * 60 * t))[100:-100]) < 0.02
     # A gain of 1 / sqrt(2) at the cut-off, once per pass.
     sections = filters.butter_sections(4, 10.0, fs, "low")
     z = np.exp(2j * np.pi * 10 / fs)
     gain = np.prod([(s[0] * z**2 + s[1] * z + s[2]) / (z**2 + s[4] * z + s[5]) for s in sections])
     assert abs(gain) == pytest.approx(math.sqrt(0.5), rel=1e-6)
-    assert filters.zero_phase(x, 2, (0.5, 40.0), 1.0, "band") is x
-
-
-def test_filter_stretches_agree_with_whole(spark):
-    random = np.random.default_rng(1)
-    values = np.cumsum(random.normal(0, 1, 900))
-    whole = filters.zero_phase(values, 2, 0.1, 1.0, "low")
-    got = flags(filters.filtered(series(spark, values).drop("ts"), ["k"], "i", "v", 1.0, "low", 0.1, 2, size=300, halo=200), "filtered")
-    assert np.allclose(got[150:-150], whole[150:-150], atol=1e-3)
 
 
-def test_find_peaks():
-    assert filters.find_peaks(np.array([0, 2, 0, 3, 3, 0, 1, 0.0])).tolist() == [1, 3, 6]
-    assert filters.find_peaks(np.array([0, 2, 0, 3, 3, 0, 1, 0.0]), distance=3).tolist() == [3, 6]
-    assert filters.find_peaks(np.array([0, 2, 1.5, 3, 0, 0.0]), prominence=1.0).tolist() == [3]
+@pytest.mark.parametrize(
+    "order,cutoff,fs,kind,size",
+    [(2, 0.1, 1.0, "low", 50), (4, 0.003, 1.0, "low", 64), (4, 0.1, 1.0, "high", 100), (3, (0.05, 0.2), 1.0, "band", 37), (4, 0.1, 1.0, "low", 5000), (2, (0.5, 40.0), 1.0, "band", 50)],
+)
+def test_filter_in_blocks_equals_the_recursion(spark, order, cutoff, fs, kind, size):
+    """With a memory of many blocks too; nulls, short series, single blocks and a null key."""
+    random = np.random.default_rng(6)
+    waves = {"a": np.cumsum(random.normal(0, 1, 1203)), "b": random.normal(0, 1, 150), "c": random.normal(0, 1, 6), None: random.normal(5, 1, 333), "d": np.array([np.nan] * 9), "e": random.normal(0, 1, 14)}
+    waves["a"][random.random(1203) < 0.1] = np.nan
+    rows = [(k, i, None if np.isnan(v) else float(v)) for k, w in waves.items() for i, v in enumerate(w)]
+    df = spark.createDataFrame(rows, "k string, i long, v double").repartition(4)
+    got = {(r.k, r.i): r.filtered for r in filters.filtered(df, ["k"], "i", "v", fs, kind, cutoff, order, size=size).collect()}
+    assert len(got) == len(rows)
+    for k, w in waves.items():
+        y = np.array([np.nan if got[k, i] is None else got[k, i] for i in range(len(w))])
+        assert np.allclose(y, plain_filter(w, order, cutoff, fs, kind), atol=1e-9, equal_nan=True), k
 
 
 def test_ecg_labels(spark):
@@ -204,24 +230,6 @@ def test_nothing_is_resurrected(spark):
     assert [r.filtered for r in quality.never_resurrect(df, "clean", "filtered").collect()] == [2.0, None]
 
 
-def test_filter_has_no_edges_between_stretches(spark):
-    values = np.cumsum(np.random.default_rng(5).normal(0, 1, 4000))
-    whole = filters.zero_phase(values, 2, 0.02, 1.0, "low")
-    got = flags(filters.filtered(series(spark, values).drop("ts"), ["k"], "i", "v", 1.0, "low", 0.02, 2, size=500), "filtered")
-    assert np.allclose(got, whole, atol=1e-6)
-
-
-def test_filter_equals_the_recursion():
-    x = np.random.default_rng(6).normal(0, 1, 300)
-    for section in filters.butter_sections(2, 0.1, 1.0, "low"):
-        b0, b1, b2, _, a1, a2 = section
-        y, long = [], np.concatenate([np.full(500, x[0]), x])
-        for i, v in enumerate(long):
-            p = lambda s, k: s[i - k] if i >= k else 0.0  # noqa: B023, E731
-            y.append(b0 * v + b1 * p(long, 1) + b2 * p(long, 2) - a1 * p(y, 1) - a2 * p(y, 2))
-        assert np.allclose(filters.run_sections(section[None, :], x), y[500:], atol=1e-8)
-
-
 def test_windows_are_interpolated(spark):
     df = spark.createDataFrame([([1.0, None, 3.0],), ([None, None, 1.0],), (None,)], "w array<double>")
     assert [r.w for r in filters.interpolate_windows(df, "w").collect()] == [[1.0, 2.0, 3.0], None, None]

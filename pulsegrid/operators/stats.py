@@ -48,8 +48,8 @@ def midranks(df: DataFrame, value: str, scope: list[str] | None = None) -> DataF
 
 def rank_test(df: DataFrame, group: str, value: str, scope: list[str] | None = None) -> DataFrame:
     """Per scope: the number of groups with three values at least, Mann-Whitney's U of the first of two groups, the
-    Kruskal-Wallis H with tie correction, and the p-value: two-sided normal with continuity correction for two groups,
-    chi-square for more.
+    Kruskal-Wallis H with tie correction, the two-sided p-value and its method: ``exact`` for two groups without ties of
+    which one has at most EXACT values, ``normal`` (with continuity correction) for other two, ``chi2`` for more.
     """
     scope = scope or []
     rows = df.where(F.col(value).isNotNull())
@@ -60,23 +60,52 @@ def rank_test(df: DataFrame, group: str, value: str, scope: list[str] | None = N
     groups = rows.groupBy(*scope, group).agg(F.count("*").alias("m"), F.sum("midrank").alias("r"))
     part = F.col("r") * F.col("r") / F.col("m")
     first = F.min_by(F.struct("m", "r"), group)
-    out = groups.groupBy(*scope).agg(F.count("*").alias("n_groups"), F.sum("m").alias("n"), F.sum(part).alias("s"), first.alias("f"))
+    out = groups.groupBy(*scope).agg(F.count("*").alias("n_groups"), F.sum("m").alias("n"), F.sum(part).alias("__s"), first.alias("__f"))
     out = out.join(ties, scope) if scope else out.crossJoin(F.broadcast(ties))  # one row each
-    n, m1 = F.col("n"), F.col("f.m")
+    n, m1 = F.col("n"), F.col("__f.m")
     m2 = n - m1
-    u = F.col("f.r") - m1 * (m1 + 1) / 2
+    u = F.col("__f.r") - m1 * (m1 + 1) / 2
     correction = 1 - F.col("ties") / (n * n * n - n)
-    h = (12 / (n * (n + 1)) * F.col("s") - 3 * (n + 1)) / F.nullif(correction, F.lit(0.0))
+    h = (12 / (n * (n + 1)) * F.col("__s") - 3 * (n + 1)) / F.nullif(correction, F.lit(0.0))
     sd = F.sqrt(m1 * m2 / 12 * (n + 1 - F.col("ties") / (n * (n - 1))))
     z = (F.abs(u - m1 * m2 / 2) - 0.5) / F.nullif(sd, F.lit(0.0))
-    out = out.withColumns({"u": F.when(F.col("n_groups") == 2, u), "h": h, "__z": z})
+    small = (F.col("ties") == 0) & (F.least(m1, m2) <= EXACT)
+    method = F.when(F.col("n_groups") == 2, F.when(small, "exact").otherwise("normal")).when(F.col("n_groups") > 2, "chi2")
+    out = out.withColumns({"u": F.when(F.col("n_groups") == 2, u), "h": h, "__z": z, "method": method, "__m1": m1})
 
     @F.pandas_udf("double")
-    def p_value(z: pd.Series, h: pd.Series, k: pd.Series) -> pd.Series:
-        one = lambda z, h, k: None if k < 2 else min(1.0, math.erfc(max(z, 0) / math.sqrt(2))) if k == 2 else chi2_tail(h, k - 1)
-        return pd.Series([one(*row) for row in zip(z, h, k, strict=True)])
+    def p_value(method: pd.Series, u: pd.Series, z: pd.Series, h: pd.Series, k: pd.Series, n: pd.Series, m1: pd.Series) -> pd.Series:
+        def one(method, u, z, h, k, n, m1):
+            if method == "exact":
+                return exact_u(int(m1), int(n - m1), int(u))
+            if method == "normal":
+                return min(1.0, math.erfc(max(z, 0) / math.sqrt(2)))
+            return chi2_tail(h, k - 1) if method == "chi2" else None
 
-    return out.withColumn("p", p_value("__z", "h", "n_groups")).drop("f", "s", "ties", "__z")
+        return pd.Series([one(*row) for row in zip(method, u, z, h, k, n, m1, strict=True)], dtype="float64")
+
+    return out.withColumn("p", p_value("method", "u", "__z", "h", "n_groups", "n", "__m1")).drop("__f", "__s", "ties", "__z", "__m1")
+
+
+#: Up to so many values in the smaller of two groups without ties, p-values of ranks are exact.
+EXACT = 8
+
+
+def exact_u(m: int, n: int, u: int) -> float:
+    """Two-sided p-value of U: the share of all splits of the ranks that lie as far out, twice.
+
+    How many splits have a certain U are the coefficients of the product over i <= m of (1 - q^(n + i)) / (1 - q^i), in
+    whole numbers, taken as far as the smaller tail reaches.
+    """
+    m, n = min(m, n), max(m, n)
+    low = min(u, m * n - u)
+    splits = [1] + [0] * low
+    for i in range(1, m + 1):
+        for k in range(low, n + i - 1, -1):
+            splits[k] -= splits[k - n - i]
+        for k in range(i, low + 1):
+            splits[k] += splits[k - i]
+    return min(1.0, 2 * sum(splits) / math.comb(m + n, m))
 
 
 def chi2_tail(x: float, df: int) -> float:

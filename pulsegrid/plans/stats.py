@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.operators import catalog, quality, stats
@@ -62,6 +62,22 @@ def kruskal_wallis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.rank_test(rows, "g", "x", ["event_type"]).select("event_type", "n_groups", "n", F.round("h", 6).alias("h"))
 
 
+@query("""
+WITH s AS (SELECT user_id, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 10 AS w, event_id % 2 AS g, value AS v FROM events),
+z AS (SELECT user_id, w, g, count(*) AS m FROM s GROUP BY ALL HAVING count(*) >= 3),
+r AS (SELECT *, rank() OVER o + (count(*) OVER (PARTITION BY user_id, w, v) - 1) / 2 AS rank, count(*) OVER (PARTITION BY user_id, w, v) > 1 AS tied FROM s JOIN z USING (user_id, w, g) WINDOW o AS (PARTITION BY user_id, w ORDER BY v)),
+t AS (SELECT user_id, w, count(DISTINCT g) AS n_groups, count(*) AS n, arg_min(m, g)::BIGINT AS m1, sum(rank) FILTER (g = 0) AS r1, bool_or(tied) AS ties FROM r GROUP BY ALL),
+u AS (SELECT *, CASE WHEN n_groups = 2 THEN r1 - m1 * (m1 + 1) / 2 END AS u, n_groups = 2 AND NOT ties AS exact FROM t),
+f AS (SELECT n, m1, sum_ FROM (SELECT DISTINCT n, m1 FROM u WHERE exact) d, LATERAL (SELECT list_sum(list_transform(range(d.n), lambda k: ((mask >> k) & 1) * (k + 1))) AS sum_ FROM range((1::BIGINT << d.n)) x(mask) WHERE bit_count(mask) = d.m1)),
+p AS (SELECT user_id, w, least(1.0, 2 * avg((sum_ - u.m1 * (u.m1 + 1) / 2 <= least(u, u.m1 * (u.n - u.m1) - u))::INT)) AS p FROM u JOIN f USING (n, m1) WHERE exact GROUP BY user_id, w)
+SELECT user_id, w, n_groups, n, u, CASE WHEN exact THEN 'exact' WHEN n_groups = 2 THEN 'normal' END AS method, round(p, 9) AS p FROM u LEFT JOIN p USING (user_id, w)""")
+def exact_rank_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even against odd samples in windows of ten: p-values are exact where no two values are equal."""
+    rows = samples(spark, sf_dir).withColumn("w", F.floor((F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1) / 10))
+    out = stats.rank_test(rows.withColumn("g", F.col("event_id") % 2), "g", "value", ["user_id", "w"])
+    return out.select("user_id", "w", "n_groups", "n", "u", "method", F.round(F.when(F.col("method") == "exact", F.col("p")), 9).alias("p"))
+
+
 @query()
 def rank_test_p_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P-values of two and of three groups; tested against known tables."""

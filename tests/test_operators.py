@@ -160,12 +160,36 @@ def test_ecg_labels(spark):
     assert qc[10] == "FLAT" and "NOISY" in qc[29:32] and (qc == "VALID").mean() > 0.7
 
 
+@pytest.mark.parametrize("m,n", [(1, 1), (3, 3), (3, 5), (5, 4), (2, 8)])
+def test_exact_u_counts_all_splits(m, n):
+    from itertools import combinations
+
+    us = [sum(ranks) - m * (m + 1) // 2 for ranks in combinations(range(1, m + n + 1), m)]
+    for u in range(m * n + 1):
+        low = min(u, m * n - u)
+        assert stats.exact_u(m, n, u) == pytest.approx(min(1.0, 2 * sum(x <= low for x in us) / len(us)))
+
+
+def test_rank_test_methods(spark):
+    rows = [("small", "a", 1.0), ("small", "a", 2.0), ("small", "a", 3.0), ("small", "b", 4.0), ("small", "b", 5.0), ("small", "b", 6.0), ("small", "b", 9.0)]
+    rows += [("ties", g, float(i % 4)) for g in "ab" for i in range(5)] + [("large", "ab"[i % 2], float(i * 37 % 101)) for i in range(40)]
+    rows += [("three", "abc"[i % 3], float(i)) for i in range(12)] + [("one", "a", float(i)) for i in range(4)]
+    got = {r.s: r for r in stats.rank_test(spark.createDataFrame(rows, "s string, g string, v double"), "g", "v", ["s"]).collect()}
+    assert {k: r.method for k, r in got.items()} == {"small": "exact", "ties": "normal", "large": "normal", "three": "chi2", "one": None}
+    assert got["small"].u == 0 and got["small"].p == pytest.approx(2 / 35)
+    assert got["one"].p is None
+
+
 def test_rank_test_against_known_values(spark):
     # Ranks 1, 2, 3, 4 and 7 of ten: U = 17 - 15.
     rows = [("a", v) for v in (1.0, 2.0, 3.0, 4.0, 7.0)] + [("b", v) for v in (5.0, 6.0, 8.0, 9.0, 10.0)]
     got = stats.rank_test(spark.createDataFrame(rows, "g string, v double"), "g", "v").first()
     assert got.u == 2.0 and got.n_groups == 2
-    assert got.p == pytest.approx(math.erfc((12.5 - 2 - 0.5) / math.sqrt(25 * 11 / 12) / math.sqrt(2)))
+    # Small groups without ties are exact: of 252 splits 1, 1 and 2 give 0, 1 and 2. Nine against nine are not.
+    assert got.p == pytest.approx(2 * 4 / 252)
+    rows = [("a", float(v)) for v in range(9)] + [("b", v + 0.5) for v in range(9)]
+    got = stats.rank_test(spark.createDataFrame(rows, "g string, v double"), "g", "v").first()
+    assert got.p == pytest.approx(math.erfc((40.5 - 36 - 0.5) / math.sqrt(81 * 19 / 12) / math.sqrt(2)))
     assert stats.chi2_tail(5.991464547, 2) == pytest.approx(0.05)
     assert stats.chi2_tail(3.841458821, 1) == pytest.approx(0.05)
 

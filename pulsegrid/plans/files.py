@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pulsegrid.plans.registry import query
 from pulsegrid.plans.signals import samples
 from pulsegrid.session import table
-from pulsegrid.sources import readers, sinks
+from pulsegrid.sources import readers, sinks, tables
 from pulsegrid.streaming import incremental
 
 c = F.col
@@ -154,3 +154,42 @@ def stream_once_per_exam(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = incremental.once_per_exam(incremental.files(spark, f"{path}/in", _EVENTS), "user_id", "ts", "400 days")
     incremental.run_available(df, f"{path}/out", f"{path}/checkpoint")
     return spark.read.parquet(f"{path}/out").select("user_id", c("event_id").isNotNull().alias("seen"))
+
+
+@query("""
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN event_type = 'click' THEN value + 1000 ELSE value END AS value, CASE WHEN event_type = 'click' THEN 2 ELSE 1 END AS run FROM events
+UNION ALL SELECT -event_id, strftime(ts, '%Y-%m-%d'), value, 2 FROM events WHERE event_type = 'view'""")
+def replaced_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyed table by day, in which a second write replaces the clicks and adds a row for each view."""
+    path = scratch(spark, "replaced")
+    df = samples(spark, sf_dir).select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "value", F.lit(1).alias("run"), "event_type")
+    tables.replace(df.drop("event_type"), path, ["event_id"], "day")
+    clicks = df.where("event_type = 'click'").withColumn("value", c("value") + 1000)
+    views = df.where("event_type = 'view'").withColumn("event_id", -c("event_id"))
+    tables.replace(clicks.unionByName(views).withColumn("run", F.lit(2)).drop("event_type"), path, ["event_id"], "day")
+    return tables.read(spark, path)
+
+
+@query("""
+WITH e AS (SELECT c_mktsegment AS project, o_custkey AS patient, o_orderpriority AS device, sha256(o_orderkey::VARCHAR) AS sha256, CASE WHEN o_orderkey % 3 = 0 THEN 'parsed' WHEN o_orderkey % 3 = 1 THEN 'pending' ELSE 'failed' END AS parse_status
+           FROM orders JOIN customer ON c_custkey = o_custkey),
+p AS (SELECT *, dense_rank() OVER (ORDER BY project) AS project_id FROM e)
+SELECT dense_rank() OVER (ORDER BY sha256) AS recording_id, dense_rank() OVER (ORDER BY project_id, patient) AS participant_id, dense_rank() OVER (ORDER BY device) AS device_id, sha256, parse_status, 'RECEIVED' AS status FROM p""")
+def registered_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as recordings of their customers' segments: registered as pending, then with their status, then as duplicates."""
+    path = scratch(spark, "registered")
+    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), c("c_custkey") == c("o_custkey"))
+    rest = c("o_orderkey") % 3
+    status = F.when(rest == 0, "parsed").when(rest == 1, F.lit(None)).otherwise("failed")
+    rows = o.select(c("c_mktsegment").alias("project"), c("o_custkey").alias("patient"), c("o_orderpriority").alias("device"), F.sha2(c("o_orderkey").cast("string"), 256).alias("sha256"), status.alias("parse_status"))
+    sinks.register(rows.withColumn("parse_status", F.lit("pending")), path)
+    sinks.register(rows, path)
+    return sinks.register(rows.withColumn("parse_status", F.lit("duplicate")), path)
+
+
+@query("""
+WITH r AS (SELECT user_id, epoch_us(ts) AS us, sha256(concat_ws('|', event_type, value::VARCHAR)) AS h FROM events),
+g AS (SELECT user_id, us // 3600000000 AS hour, sha256(string_agg(h, '' ORDER BY us, h)) AS h FROM r GROUP BY ALL)
+SELECT user_id, sha256(string_agg(h, '' ORDER BY hour, h)) AS sha256 FROM g GROUP BY user_id""")
+def hashes_of_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sinks.content_hashes(samples(spark, sf_dir), "user_id", "ts", ["event_type", "value"])

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pulsegrid.functions.columns import micros
 from pulsegrid.operators.catalog import new_rows
+from pulsegrid.sources import tables
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -33,8 +35,9 @@ def append_new(rows: DataFrame, path: str, keys: list[str], partition_by: list[s
 
 
 def signal_table(long: DataFrame, path: str) -> tuple[int, int]:
-    """Samples (recording_id, ts, variable, value) into the signal table, partitioned by day."""
-    return append_new(long.withColumn("day", F.to_date("ts")), path, ["recording_id", "variable", "ts"], ["day"])
+    """Samples (recording_id, ts, variable, value) into the signal table, of which only the days of the samples are read;
+    ``tables.read`` gives it back."""
+    return tables.insert(long.withColumn("day", F.to_date("ts")), path, ["recording_id", "variable", "ts"], "day")
 
 
 def exam_table(samples: DataFrame, path: str) -> tuple[int, int]:
@@ -51,8 +54,8 @@ def quarantine(df: DataFrame, bad, reason: str, path: str) -> DataFrame:
 
 
 def upsert(current: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Current rows with the incoming ones in the place of those with their keys."""
-    return current.join(incoming.select(*keys), keys, "left_anti").unionByName(incoming, allowMissingColumns=True)
+    """Current rows with the incoming ones in the place of those with their keys; null equals null."""
+    return new_rows(current, incoming, keys).unionByName(incoming, allowMissingColumns=True)
 
 
 def catalog_files(catalog: DataFrame, json_path: str, csv_path: str, summary: list[str]) -> None:
@@ -79,6 +82,16 @@ def audit(spark: SparkSession, path: str, run: str, status: str, n_rows: int) ->
     append_new(row.withColumn("at", F.current_timestamp()), path, ["run", "status"])
 
 
+def content_hashes(samples: DataFrame, key: str, ts: str, columns: list[str]) -> DataFrame:
+    """key, sha256: a hash of each recording's rows, whatever order they come in. It is of its hours' digests in turn, each
+    of its rows' digests in the order of time, so that no recording is gathered in one row; nulls count as empty texts."""
+    line = F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256)
+    rows = samples.select(key, micros(F.col(ts)).alias("us"), line.alias("h"))
+    digest = lambda at: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at, "h"))), lambda x: x["h"]), ""), 256)
+    hours = rows.groupBy(key, F.floor(F.col("us") / 3_600_000_000).alias("hour")).agg(digest("us").alias("h"))
+    return hours.groupBy(key).agg(digest("hour").alias("sha256"))
+
+
 def standardised(samples: DataFrame, path: str, hashes: DataFrame) -> tuple[int, int]:
     """Samples of recordings by project and device, each under a key of patient, device and its content's hash; a recording
     that is there already isn't written again. hashes: recording_id, sha256; a recording's own hash."""
@@ -111,6 +124,29 @@ def get_or_create(names: DataFrame, path: str, keys: list[str], id_col: str) ->
     return spark.read.parquet(path)
 
 
+def register(entries: DataFrame, path: str) -> DataFrame:
+    """Registers files of a catalogue (project, patient, device, sha256, parse_status): projects, their participants, devices
+    and recordings get ids that stay, a recording being known by its content. A recording that is there already gets the
+    new parse status, but entries that only say ``duplicate`` leave it alone. Returns the recordings.
+
+    Each level's distinct names, not its files, are matched with the ids there are.
+    """
+    entries = entries.where(~F.coalesce(F.col("parse_status") == "duplicate", F.lit(False)))
+    ids = lambda rows, name, keys, id_col: get_or_create(rows.select(*keys), f"{path}/{name}", keys, id_col)
+
+    def with_id(rows: DataFrame, name: str, keys: list[str], id_col: str) -> DataFrame:
+        known = ids(rows, name, keys, id_col)
+        return rows.join(known, [rows[k].eqNullSafe(known[k]) for k in keys]).select(*[rows[c] for c in rows.columns], known[id_col])
+
+    rows = with_id(entries, "projects", ["project"], "project_id")
+    rows = with_id(rows, "participants", ["project_id", "patient"], "participant_id")
+    rows = with_id(rows, "devices", ["device"], "device_id")
+    rows = with_id(rows, "recording_ids", ["sha256"], "recording_id")
+    rows = rows.select("recording_id", "participant_id", "device_id", "sha256", F.coalesce("parse_status", F.lit("pending")).alias("parse_status"), F.lit("RECEIVED").alias("status"), F.left("sha256", F.lit(2)).alias("bucket"))
+    tables.replace(rows, f"{path}/recordings", ["sha256"], "bucket")
+    return tables.read(rows.sparkSession, f"{path}/recordings").drop("bucket")
+
+
 def statistics_book(tables: dict[str, DataFrame], path: str) -> None:
     """A folder of CSV sheets."""
     for name, df in tables.items():

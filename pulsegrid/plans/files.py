@@ -193,3 +193,30 @@ g AS (SELECT user_id, us // 3600000000 AS hour, sha256(string_agg(h, '' ORDER BY
 SELECT user_id, sha256(string_agg(h, '' ORDER BY hour, h)) AS sha256 FROM g GROUP BY user_id""")
 def hashes_of_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.content_hashes(samples(spark, sf_dir), "user_id", "ts", ["event_type", "value"])
+
+
+_RECORDINGS = """
+WITH t AS (SELECT user_id, epoch_us(ts) AS us FROM events), w AS (SELECT (max(us) // 1000 - 1000) * 1000 AS mark FROM t),
+l AS (SELECT user_id, max(us) AS last, count(*) AS n FROM t GROUP BY user_id), s AS (SELECT user_id, us, lag(us) OVER (PARTITION BY user_id ORDER BY us) AS before FROM t)"""
+
+
+@query(f"""{_RECORDINGS}
+SELECT user_id, 'gap' AS kind, count(*) AS n, round(sum((us - before) / 1e6), 3) AS gap_s FROM s WHERE us - before > 40000000000 GROUP BY user_id
+UNION ALL SELECT user_id, 'ended', 1, NULL FROM l, w WHERE ceil(last / 1000)::BIGINT + 21600000 <= mark // 1000""")
+def stream_of_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pauses of over 40,000 seconds, and recordings that had ended six hours before the last sample of all."""
+    path, (part,) = _stream_source(spark, sf_dir, 1)
+    part.write.parquet(f"{path}/in")
+    df = incremental.recordings(incremental.files(spark, f"{path}/in", _EVENTS), "user_id", "ts", 40_000, 21_600)
+    incremental.run_available(df, f"{path}/out", f"{path}/checkpoint")
+    return spark.read.parquet(f"{path}/out").groupBy("user_id", "kind").agg(F.count("*").alias("n"), F.round(F.sum("gap_s"), 3).alias("gap_s"))
+
+
+@query(f"{_RECORDINGS} SELECT user_id, last, n FROM l, w WHERE ceil(last / 1000)::BIGINT + 21600000 > mark // 1000")
+def states_of_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state that is left: that of recordings that haven't ended."""
+    path, (part,) = _stream_source(spark, sf_dir, 1)
+    part.write.parquet(f"{path}/in")
+    df = incremental.recordings(incremental.files(spark, f"{path}/in", _EVENTS), "user_id", "ts", 40_000, 21_600)
+    incremental.run_available(df, f"{path}/out", f"{path}/checkpoint")
+    return incremental.states(spark, f"{path}/checkpoint").withColumnRenamed("key", "user_id")

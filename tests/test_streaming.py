@@ -72,3 +72,25 @@ def test_quarantine_upsert_and_feed(spark, tmp_path):
     assert sorted((r.k, r.v) for r in merged.collect()) == [("a", 1), ("b", 5), ("c", 6)]
     sinks.feed(merged.orderBy("k"), str(tmp_path / "feed"))
     assert spark.read.json(str(tmp_path / "feed")).count() == 3
+
+
+def test_state_ends_with_the_recording(spark, tmp_path):
+    source, target, check = (str(tmp_path / x) for x in ("in", "out", "check"))
+    put(spark, source, [("a", 1, 0), ("a", 0, 0), ("b", 0, 0)])
+    run = lambda: inc.run_available(inc.recordings(inc.files(spark, source, SCHEMA), "k", "ts", 5.0, 60.0), target, check)
+    run()
+    assert sorted((r.key, r.n) for r in inc.states(spark, check).collect()) == [("a", 2), ("b", 1)]
+    put(spark, source, [("a", 31, 0)])
+    run()
+    put(spark, source, [("a", 70, 0), ("c", 75, 0)])
+    run()
+    # b's last sample lies over a minute before the watermark; what it kept is gone.
+    assert sorted((r.key, r.n) for r in inc.states(spark, check).collect()) == [("a", 4), ("c", 1)]
+    got = sorted((r.k, r.kind, r.at, r.gap_s, r.n_samples) for r in spark.read.parquet(target).collect())
+    at = lambda s: T0 + dt.timedelta(seconds=s)
+    assert [g[:4] for g in got[:2]] == [("a", "gap", at(1), 30.0), ("a", "gap", at(31), 39.0)]
+    assert got[2][:3] == ("b", "ended", at(0)) and got[2][4] == 1 and len(got) == 3
+    put(spark, source, [("b", 80, 0), ("c", 200, 0)])
+    run()
+    assert sorted((r.key, r.n) for r in inc.states(spark, check).collect()) == [("c", 2)]
+    assert sorted((r.k, r.n_samples) for r in spark.read.parquet(target).collect() if r.kind == "ended") == [("a", 4), ("b", 1), ("b", 1)]

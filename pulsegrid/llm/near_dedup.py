@@ -163,10 +163,12 @@ def open_nodes(compared: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def prefix_pairs(nodes: DataFrame, contents: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes of different classes that can be similar, by a prefix filter; no similar pair is left out.
+    """Pairs (a, b) of nodes of different classes that can be similar, by prefix and place; no similar pair is left out.
 
-    Two sets of similarity 0.8 share an element of their prefixes: of n elements, rarest first, all but 0.8 n, and one.
-    What a template gives to many texts is frequent, so it comes last and joins nothing.
+    Two sets of similarity 0.8, of n and m >= n elements, share 4 / 9 of n + m at least, which is 8 n / 9 and 0.8 m at least.
+    So, rarest first, the first element they share is among the first n / 9 and one of the smaller set, among the first
+    m / 5 and one of the larger one, and in both as many as they must share still follow, itself included. What a template
+    gives to many texts is frequent, so it comes late and joins little.
     """
     sets = contents.join(nodes, "node").select("node", "content", "label")
     sets = materialize(sets.select("node", "content").mapInArrow(_elements, "node binary, size int, elements array<long>").join(nodes, "node"), "near-elements")
@@ -176,12 +178,15 @@ def prefix_pairs(nodes: DataFrame, contents: DataFrame) -> DataFrame:
     flat = flat.join(often, "element")
     shared = Window.partitionBy("node")
     place = F.row_number().over(shared.orderBy("often", "element")) + F.col("size") - F.count("*").over(shared)
-    prefix = flat.withColumn("place", place).where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * LEAST_SIMILARITY) + 1)
-    prefix = materialize(prefix.select("element", "node", "label", "size"), "near-prefixes")
-    x, y, c = prefix.alias("x"), prefix.alias("y"), F.col
-    sizes = F.least("x.size", "y.size") >= F.greatest("x.size", "y.size") * LEAST_SIMILARITY
-    pairs = x.join(y, (c("x.element") == c("y.element")) & (c("x.node") < c("y.node")) & (c("x.label") != c("y.label")) & sizes)
-    return pairs.select(c("x.node").alias("a"), c("y.node").alias("b")).distinct()
+    rows = flat.select("element", "node", "label", "size", place.alias("place"))
+    # ``left`` elements follow, this one included; whole numbers, as the bounds are exact.
+    rows = rows.select("element", "node", "label", F.col("size").cast("long").alias("size"), (F.col("size") - F.col("place") + 1).cast("long").alias("left"))
+    rows = materialize(rows.where("5 * left >= 4 * size"), "near-prefixes")
+    x, y, c = rows.where("9 * left >= 8 * size").alias("x"), rows.alias("y"), F.col
+    smaller = (c("x.size") < c("y.size")) | ((c("x.size") == c("y.size")) & (c("x.node") < c("y.node")))
+    enough = 9 * F.least("x.left", "y.left") >= 4 * (c("x.size") + c("y.size"))
+    pairs = x.join(y, (c("x.element") == c("y.element")) & smaller & (c("x.label") != c("y.label")) & (5 * c("x.size") >= 4 * c("y.size")) & enough)
+    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

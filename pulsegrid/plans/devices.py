@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pulsegrid.plans.files import scratch
 from pulsegrid.plans.registry import query
 from pulsegrid.plans.signals import samples
-from pulsegrid.sources import readers, sinks
+from pulsegrid.sources import archives, readers, sinks
 
 c = F.col
 
@@ -188,3 +188,76 @@ def pairs_of_eeg_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     trends = readers.eeg_trends(spark, f"{path}/*.spa", {"time": "time", "BIS": "bis"}, {"time": 0, "BIS": 1})
     out = readers.eeg_pairs(readers.eeg_raw(spark, f"{path}/*.r2a"), trends)
     return out.select("recording_id", "raw_s", "flat_channel", (F.unix_seconds("t_start") - 1_767_225_600).alias("t_start"), "trend_s", "duration_mismatch")
+
+
+def _zips(spark: SparkSession, sf_dir: str) -> str:
+    """An exam for each user, a member for each kind of event, times in disorder; some exams are spoilt: by another id in the
+    footer, a damaged member, a wrong name, or by not being an archive."""
+    path = scratch(spark, "exams")
+
+    def pack(key, table):
+        import io
+        import zipfile
+
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        import pyarrow.parquet as pq
+
+        user, out = key[0].as_py(), io.BytesIO()
+        name = f"p_{user}_2026-01-05_12-00-00_{user:08x}_{user + 1:08x}.parquet.zip"
+        table = table.sort_by([("event_type", "ascending"), ("event_id", "descending")])
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED if user % 2 else zipfile.ZIP_STORED) as z:
+            for kind in pc.unique(table["event_type"]).to_pylist():
+                rows = table.filter(pc.equal(table["event_type"], kind))
+                value = pc.if_else(pc.equal(pc.bit_wise_and(rows["event_id"], 7), 0), -32768.0, rows["value"])
+                part = pa.table({"local_time": rows["event_id"].cast("float64"), "value": value, **({"extra": value} if kind == "view" else {})})
+                pairs = {"exam_guid": f"{user + 1 + (user % 10 == 3):08X}", "session_guid": f"{user:08x}", "sampling_frequency": f"['draeger_ecg={user}', 'other=2']"}
+                raw = io.BytesIO()
+                pq.write_table(part.replace_schema_metadata(pairs), raw)
+                z.writestr(f"time_bin=0/sensor={'draeger' if kind == 'click' else 'other'}/signal={kind}/x.parquet", raw.getvalue())
+        content = bytearray(out.getvalue())
+        if user % 10 == 4:
+            content[120] ^= 255
+        name = name.replace("_2026", "-2026") if user % 10 == 5 else name
+        return pa.table({"name": [name], "content": pa.array([b"none" if user % 10 == 6 else bytes(content)], pa.binary())})
+
+    files = samples(spark, sf_dir).select("user_id", "event_id", "event_type", "value").groupBy("user_id").applyInArrow(pack, "name string, content binary")
+    sinks.raw_files(files, path)
+    return path
+
+
+def _user() -> Column:
+    return F.regexp_extract("path", r"/p_([0-9]+)[_-]2026", 1).cast("long").alias("user_id")
+
+
+@query("""
+WITH f AS (SELECT user_id, min(event_type) AS first FROM events GROUP BY user_id)
+SELECT user_id, CASE WHEN event_type = 'click' THEN 'draeger' ELSE 'other' END AS sensor, event_type AS signal, event_id::DOUBLE AS local_time,
+       CASE WHEN event_id % 8 = 0 THEN CASE WHEN event_type <> 'click' THEN -32768.0 END ELSE value END AS value, true AS crc_ok
+FROM events JOIN f USING (user_id) WHERE user_id % 10 <> 6 AND NOT (user_id % 10 = 4 AND event_type = first)
+UNION ALL SELECT user_id, CASE WHEN first = 'click' THEN 'draeger' ELSE 'other' END, first, NULL, NULL, false FROM f WHERE user_id % 10 = 4""")
+def read_zipped_exams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples by member; a damaged member is one row, the others of its exam are read."""
+    path = _zips(spark, sf_dir)
+    got = readers.exam_zip(spark, path).withColumn("path", F.concat(F.lit("/"), "exam"))
+    return got.select(_user(), "sensor", "signal", "local_time", "value", "crc_ok")
+
+
+@query("""
+SELECT user_id, CASE WHEN user_id % 10 = 6 THEN 0 ELSE count(DISTINCT event_type) END AS n_members,
+       CASE user_id % 10 WHEN 3 THEN 'guid_mismatch' WHEN 4 THEN 'crc32_failure' WHEN 5 THEN 'bad_filename' WHEN 6 THEN 'unreadable_zip' END AS reason,
+       CASE WHEN user_id % 10 NOT IN (4, 6) THEN user_id::VARCHAR END AS ecg_hz, CASE WHEN user_id % 10 NOT IN (4, 6) THEN bool_or(event_type = 'view') END AS has_extra,
+       CASE WHEN user_id % 10 NOT IN (4, 6) THEN 5 END AS n_missing
+FROM events GROUP BY user_id""")
+def checked_exams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which exams to keep out, by name, directory, checksums and footers."""
+    out = archives.exams(archives.members(spark, _zips(spark, sf_dir)))
+    whole = ~F.coalesce(c("reason").isin("crc32_failure", "unreadable_zip"), F.lit(False))
+    return out.select(
+        _user(),
+        "n_members",
+        "reason",
+        F.when(whole, c("sampling_frequency")["draeger_ecg"]).alias("ecg_hz"),
+        F.when(whole, F.array_contains("unexpected", "extra")).alias("has_extra"),
+        F.when(whole, F.size("missing")).alias("n_missing"),
+    )

@@ -7,9 +7,7 @@ expressions cast; binary ones are decoded by numpy within tasks from ``binaryFil
 from __future__ import annotations
 
 import hashlib
-import io
 import re
-import zipfile
 
 import numpy as np
 import pandas as pd
@@ -17,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import columns as C
+from pulsegrid.sources import archives
 from pulsegrid.sources.device import DELIMITERS, RANGE_BYTES, device_csv, headings
 
 def sniff_delimiter(header: str, default: str = ",") -> str:
@@ -209,43 +208,18 @@ def pump_events(spark: SparkSession, path: str, zone: str = "UTC", range_bytes:
     return rows.select("recording_id", "ts", *[value(n) for n in names])
 
 
-EXAM_SCHEMA = "exam string, sensor string, signal string, dimension string, local_time double, remote_time double, received_time double, value double, crc_ok boolean"
-
-
 def exam_zip(spark: SparkSession, path: str, sentinel: float = -32768.0, sentinel_sensor: str = "draeger") -> DataFrame:
-    """Zipped exams of Parquet parts under sensor=/signal= folders: samples ordered by local_time within the exam.
+    """Samples of zipped exams of Parquet parts under sensor=/signal= folders, read member by member.
 
     A part whose checksum fails is one row with crc_ok false. The sentinel is null for its sensor only. Missing columns
-    are null; columns outside the schema are left out.
+    are null; columns outside the schema are left out. ``archives.exams`` tells which exams to keep out, and why.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    names = ["dimension", "local_time", "remote_time", "received_time", "value"]
-
-    def run(batches):
-        import pyarrow.parquet as pq
-
-        for batch in batches:
-            for p, content in zip(batch["path"], batch["content"], strict=True):
-                exam = re.sub(r"\.[^.]*$", "", p.rsplit("/", 1)[-1])
-                parts = []
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for member in sorted(m for m in z.namelist() if m.endswith(".parquet")):
-                        keys = dict(part.split("=", 1) for part in member.split("/") if "=" in part)
-                        base = {"exam": exam, "sensor": keys.get("sensor"), "signal": keys.get("signal")}
-                        try:
-                            got = pq.read_table(io.BytesIO(z.read(member))).to_pandas()
-                        except zipfile.BadZipFile:
-                            parts.append(pd.DataFrame([{**base, **dict.fromkeys(names), "crc_ok": False}]))
-                            continue
-                        out = pd.DataFrame({n: got[n] if n in got else None for n in names}).astype({n: float for n in names[1:]})
-                        parts.append(pd.DataFrame({**{k: [v] * len(out) for k, v in base.items()}, **out, "crc_ok": True}))
-                if parts:
-                    yield pd.concat(parts).sort_values("local_time", kind="stable")
-
-    out = files.mapInPandas(run, EXAM_SCHEMA)
+    out = archives.samples(archives.members(spark, path))
     gone = (F.col("sensor") == sentinel_sensor) & (F.col("value") == sentinel)
     out = out.withColumn("value", F.when(~F.coalesce(gone, F.lit(False)), C.no_nan(F.col("value"))))
-    return out.withColumn("ts", F.timestamp_micros((F.col("local_time") * 1_000_000).cast("long")))
+    exam = F.regexp_replace(C.file_name(F.col("path")), r"\.[^.]*$", "")
+    ts = F.timestamp_micros((F.col("local_time") * 1_000_000).cast("long"))
+    return out.select(exam.alias("exam"), "sensor", "signal", "dimension", "local_time", "remote_time", "received_time", "value", "crc_ok", ts.alias("ts"))
 
 
 def listed(spark: SparkSession, path: str) -> DataFrame:

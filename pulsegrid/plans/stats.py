@@ -245,26 +245,27 @@ def cohort_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH e AS (SELECT user_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_type END AS k FROM events WHERE event_id % 2 = 0),
-x AS (SELECT user_id, CASE WHEN event_id % 6 = 0 THEN NULL ELSE event_type END AS k FROM events WHERE event_id % 3 = 0)
+WITH e AS (SELECT user_id, CASE WHEN value >= 20 THEN event_type END AS k FROM events),
+x AS (SELECT user_id, CASE WHEN value > 200 THEN NULL WHEN value < 50 THEN 'old ' || event_type ELSE event_type END AS k FROM events)
 SELECT user_id, k, count(*) AS n FROM e WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.user_id = e.user_id AND x.k IS NOT DISTINCT FROM e.k) GROUP BY ALL""")
 def idempotent_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df, i = samples(spark, sf_dir), F.col("event_id")
-    rows = df.where(i % 2 == 0).select("user_id", F.when(i % 4 != 0, F.col("event_type")).alias("k"))
-    there = df.where(i % 3 == 0).select("user_id", F.when(i % 6 != 0, F.col("event_type")).alias("k"))
+    """Samples under keys of which some are null, beside a table that has all of them under its own names."""
+    df, v = samples(spark, sf_dir), F.col("value")
+    rows = df.select("user_id", F.when(v >= 20, F.col("event_type")).alias("k"))
+    there = df.select("user_id", F.when(v > 200, None).when(v < 50, F.concat(F.lit("old "), "event_type")).otherwise(F.col("event_type")).alias("k"))
     return catalog.new_rows(rows, there, ["user_id", "k"]).groupBy("user_id", "k").agg(F.count("*").alias("n"))
 
 
-_FILES_A = "SELECT doc_id, 'p' || doc_id AS path, n_chars AS size, sha256(text) AS h FROM documents WHERE doc_id % 3 <> 0"
-_FILES_B = "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'q' || doc_id ELSE 'p' || doc_id END AS path, CASE WHEN doc_id % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS size, CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 13 = 0 THEN 'x' ELSE sha256(text) END AS h FROM documents WHERE doc_id % 4 <> 0"
+_FILES_A = "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'a' ELSE 'p' END || doc_id AS path, n_chars AS size, sha256(text) AS h FROM documents"
+_FILES_B = "SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'b' WHEN doc_id % 5 = 0 THEN 'q' ELSE 'p' END || doc_id AS path, CASE WHEN doc_id % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS size, CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 13 = 0 THEN 'x' ELSE sha256(text) END AS h FROM documents"
 
 
 def _mirrors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All documents as files of two mirrors, which name some differently and differ in some sizes and hashes."""
     d = table(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").alias("size"), F.sha2("text", 256).alias("h"))
     i = F.col("doc_id")
-    p = F.concat(F.lit("p"), i)
-    a = d.where(i % 3 != 0).withColumn("path", p)
-    b = d.where(i % 4 != 0).withColumn("path", F.when(i % 5 == 0, F.concat(F.lit("q"), i)).otherwise(p))
+    a = d.withColumn("path", F.concat(F.when(i % 3 == 0, "a").otherwise("p"), i))
+    b = d.withColumn("path", F.concat(F.when(i % 4 == 0, "b").when(i % 5 == 0, "q").otherwise("p"), i))
     b = b.withColumn("size", F.when(i % 7 == 0, F.col("size") + 1).otherwise(F.col("size")))
     return a, b.withColumn("h", F.when(i % 11 == 0, None).when(i % 13 == 0, "x").otherwise(F.col("h")))
 
@@ -392,14 +393,15 @@ def schema_census(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH s AS (SELECT event_type AS path, user_id % 4 AS revision, CASE user_id % 3 WHEN 0 THEN 'ok' WHEN 1 THEN 'failed' ELSE 'unsupported' END AS status, user_id FROM events),
-l AS (SELECT path || '/' || user_id AS path, max(revision) AS revision, max(status) AS status FROM s WHERE user_id % 5 <> 0 GROUP BY ALL),
+l AS (SELECT path || '/' || user_id || CASE WHEN user_id % 5 = 0 THEN '/old' ELSE '' END AS path, max(revision) AS revision, max(status) AS status FROM s GROUP BY ALL),
 f AS (SELECT DISTINCT path || '/' || user_id AS path, CASE WHEN user_id % 7 = 0 THEN 9 ELSE user_id % 4 END AS revision FROM s)
 SELECT f.path, f.revision FROM f LEFT JOIN l ON f.path = l.path WHERE NOT coalesce(l.revision IS NOT DISTINCT FROM f.revision AND l.status IN ('ok', 'unsupported'), false)""")
 def incremental_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = F.col("user_id")
     rows = samples(spark, sf_dir).select("user_id", F.concat_ws("/", "event_type", u.cast("string")).alias("path")).distinct()
     status = F.when(u % 3 == 0, "ok").when(u % 3 == 1, "failed").otherwise("unsupported")
-    state = rows.where(u % 5 != 0).select("path", (u % 4).alias("revision"), status.alias("status"))
+    known = F.concat("path", F.when(u % 5 == 0, "/old").otherwise(""))
+    state = rows.select(known.alias("path"), (u % 4).alias("revision"), status.alias("status"))
     files = rows.select("path", F.when(u % 7 == 0, 9).otherwise(u % 4).alias("revision"))
     return catalog.to_process(files, state, "path", "revision").select("path", "revision")
 

@@ -67,11 +67,13 @@ def qc_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH e AS (SELECT DISTINCT c_nationkey AS nation, c_mktsegment AS segment FROM customer WHERE c_custkey % 2 = 0), o AS (SELECT DISTINCT c_nationkey AS nation, c_mktsegment AS segment FROM customer WHERE c_custkey % 5 = 1)
+WITH e AS (SELECT DISTINCT c_nationkey AS nation, c_mktsegment AS segment, floor(c_acctbal / 500)::BIGINT AS class FROM customer), o AS (SELECT DISTINCT c_nationkey AS nation, c_mktsegment AS segment, floor((c_acctbal + 100) / 500)::BIGINT AS class FROM customer)
 SELECT *, 'MISSING' AS status FROM (SELECT * FROM e EXCEPT SELECT * FROM o) UNION ALL SELECT *, 'UNEXPECTED' FROM (SELECT * FROM o EXCEPT SELECT * FROM e)""")
 def template_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"))
-    return validation.template_audit(c.where("c_custkey % 2 = 0"), c.where("c_custkey % 5 = 1"), ["nation", "segment"])
+    """Classes of balances that customers are expected in, and those they are in after a payment."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"), "c_acctbal")
+    side = lambda paid: c.withColumn("class", F.floor((F.col("c_acctbal") + paid) / 500)).drop("c_acctbal")
+    return validation.template_audit(side(0), side(100), ["nation", "segment", "class"])
 
 
 @query("""

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import id_and_text, materialize, maybe_broadcast, slices, words_of
+from pulsegrid.llm.common import id_and_text, materialize, maybe_broadcast, release, slices, words_of
 from pulsegrid.llm.graph import components
 
 SHINGLE = 5
@@ -102,6 +102,7 @@ def _sketch(batches):
             keys = band_keys(signatures(*weighted(shingle, owner), len(node)))
             bands = [None if n is None else k for n, k in zip(node, keys, strict=True)]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(node, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], schema=_SKETCH)
+    release()
 
 
 def _contents(batches):
@@ -114,6 +115,7 @@ def _contents(batches):
             ends = np.cumsum(np.bincount(owner, minlength=len(node)))
             rows = [shingle[e - n : e].tobytes() for e, n in zip(ends, np.bincount(owner, minlength=len(node)), strict=True)]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(node, pa.binary()), pa.array(rows, pa.binary())], ["doc_id", "node", "content"])
+    release()
 
 
 def elements(content: bytes) -> np.ndarray:
@@ -136,13 +138,15 @@ def _compare(batches):
         a, b, x, y = (batch.column(i) for i in range(4))
         found = [similar(p.as_py(), q.as_py()) for p, q in zip(x, y, strict=True)]
         yield pa.RecordBatch.from_arrays([a, b, pa.array(found, pa.bool_())], ["a", "b", "similar"])
+    release()
 
 
 def _elements(batches):
     for batch in batches:
-        node, content = batch.column(0), batch.column(1)
-        rows = [elements(c.as_py()).view(np.int64) for c in content]
-        yield pa.RecordBatch.from_arrays([node, pa.array([len(r) for r in rows], pa.int32()), pa.array(rows, pa.list_(pa.int64()))], ["node", "size", "elements"])
+        for part in slices(batch, 1):
+            rows = [elements(c.as_py()).view(np.int64) for c in part.column(1)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(r) for r in rows], pa.int32()), pa.array(rows, pa.list_(pa.int64()))], ["node", "size", "elements"])
+    release()
 
 
 def star_pairs(buckets: DataFrame) -> DataFrame:

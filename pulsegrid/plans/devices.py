@@ -261,3 +261,33 @@ def checked_exams(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(whole, F.array_contains("unexpected", "extra")).alias("has_extra"),
         F.when(whole, F.size("missing")).alias("n_missing"),
     )
+
+
+@query("""
+WITH n AS (SELECT user_id, least(count(*), 200) AS n FROM events GROUP BY user_id),
+k AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events),
+m AS (SELECT user_id, bool_or(event_type = 'error') AS hidden, bool_or(event_type = 'signup') AS blank FROM k WHERE i <= 200 GROUP BY user_id)
+SELECT user_id, CASE user_id % 4 WHEN 1 THEN ',' WHEN 2 THEN chr(9) WHEN 3 THEN '|' ELSE ';' END AS delimiter, CASE user_id % 4 WHEN 2 THEN 'cp1252' WHEN 3 THEN 'utf-8-sig' ELSE 'utf-8' END AS encoding,
+       3 AS n_columns, user_id % 4 = 3 AS stacked, CASE user_id % 4 WHEN 0 THEN 'Horodatage' WHEN 1 THEN 'b' WHEN 2 THEN 'Datum/Date' ELSE 'Abs Time Vector' END AS time_column,
+       CASE user_id % 4 WHEN 0 THEN 'YYYYMMDDHHMMSS' WHEN 1 THEN 'ISO datetime' WHEN 2 THEN 'DD/MM/YYYY' ELSE 'DD-Mon-YYYY HH:MM:SS' END AS time_format,
+       CASE WHEN blank AND hidden THEN '(blank),-1401' WHEN blank THEN '(blank)' WHEN hidden THEN '-1401' ELSE '' END AS tokens
+FROM events JOIN m USING (user_id) GROUP BY ALL""")
+def discovered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exports of four unknown kinds: delimiter, encoding, headings, the time column and its format, and missing tokens."""
+    from pulsegrid.sources import discovery
+
+    path = scratch(spark, "unknown")
+    df = samples(spark, sf_dir).withColumn("at", F.timestamp_seconds(F.lit(1_767_225_600) + c("event_id")))
+    cell = F.when(c("event_type") == "error", "-1401").when(c("event_type") == "signup", "").otherwise(c("value").cast("string"))
+    kinds = (
+        (";", "UTF-8", "Horodatage;a;n", [F.date_format("at", "yyyyMMddHHmmss"), cell, F.lit("7")]),
+        (",", "UTF-8", "a,b,n", [cell, F.date_format("at", "yyyy-MM-dd'T'HH:mm"), F.lit("7")]),
+        ("\t", "ISO-8859-1", "é\tDatum/Date\tn", [cell, F.date_format("at", "dd/MM/yyyy"), F.lit("7")]),
+        ("|", "UTF-8", "﻿Abs Time Vector|a|n\n1|2|3\nsecond|heading|n", [F.date_format("at", "dd-MMM-yyyy HH:mm:ss"), cell, F.lit("7")]),
+    )
+    for i, (sep, encoding, heading, cells) in enumerate(kinds):
+        name = F.concat(c("user_id").cast("string"), F.lit(".txt"))
+        sinks.raw_files(_files(df.where(c("user_id") % 4 == i), name, F.lit(heading), F.concat_ws(sep, *cells), encoding=encoding), path)
+    out = discovery.discovered(discovery.heads(spark, path))
+    user = F.regexp_extract("path", r"([0-9]+)\.txt$", 1).cast("long").alias("user_id")
+    return out.select(user, "delimiter", "encoding", "n_columns", "stacked", "time_column", "time_format", F.array_join("missing_tokens", ",").alias("tokens"))

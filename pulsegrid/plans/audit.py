@@ -101,14 +101,14 @@ def flag_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 WITH s AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i FROM events),
 k AS (SELECT s.*, w FROM s, unnest(range(greatest((floor((i - 20) / 10) + 1)::BIGINT, 0), i // 10 + 1)) AS t(w)),
-f AS (SELECT user_id, w FROM k GROUP BY ALL HAVING count(*) = 20 AND avg(value) > 105)
+f AS (SELECT user_id, w FROM k GROUP BY ALL HAVING count(*) = 20 AND avg(value) > 60)
 SELECT user_id, event_id, EXISTS (SELECT 1 FROM k JOIN f USING (user_id, w) WHERE k.user_id = s.user_id AND k.i = s.i) AS flagged FROM s""")
 def window_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 20 samples, every 10, whose mean is high, brought back to their samples."""
     from pulsegrid.operators import windows
 
     df = samples(spark, sf_dir)
-    scored = windows.sliding_features(df, ["user_id"], "event_id", "value", 20, 10).select("user_id", "window", (c("mean") > 105).alias("flagged"))
+    scored = windows.sliding_features(df, ["user_id"], "event_id", "value", 20, 10).select("user_id", "window", (c("mean") > 60).alias("flagged"))
     return rules.windows_to_samples(df, ["user_id"], "event_id", scored, 20, 10, "flagged").select("user_id", "event_id", "flagged")
 
 

@@ -41,10 +41,12 @@ def read_monitor_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT "column", has_values FROM (VALUES ('event_id', true), ('value', true), ('none', false)) t("column", has_values)""")
+SELECT 'event_id' AS "column", count(event_id) > 0 AS has_values FROM events UNION ALL SELECT 'value', count(value) > 0 FROM events
+UNION ALL SELECT 'high', count(CASE WHEN value > 400 THEN value END) > 0 FROM events UNION ALL SELECT 'none', count(CASE WHEN value < 0 THEN value END) > 0 FROM events""")
 def read_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "footers")
-    samples(spark, sf_dir).select("event_id", "value", F.lit(None).cast("double").alias("none")).write.parquet(path)
+    only = lambda keep: F.when(keep, c("value"))
+    samples(spark, sf_dir).select("event_id", "value", only(c("value") > 400).alias("high"), only(c("value") < 0).alias("none")).write.parquet(path)
     return readers.footer_census(spark, path).groupBy("column").agg(F.bool_or("has_values").alias("has_values"))
 
 
@@ -56,11 +58,14 @@ def read_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.label_csv(spark, path)
 
 
-@query("SELECT count(*) AS n_rows, count(DISTINCT event_type) AS n_types FROM events")
+@query("SELECT event_id, event_type, value FROM events")
 def read_catalog_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalogue for each user: one JSON array over many lines."""
     path = scratch(spark, "catalog")
-    samples(spark, sf_dir).write.json(path)
-    return spark.read.json(path).agg(F.count("*").alias("n_rows"), F.countDistinct("event_type").alias("n_types"))
+    entries = samples(spark, sf_dir).groupBy("user_id").agg(F.collect_list(F.struct("event_id", "event_type", "value")).alias("e"))
+    text = F.replace(F.to_json("e"), F.lit("},{"), F.lit("},\n  {"))
+    sinks.raw_files(entries.select(F.concat(c("user_id").cast("string"), F.lit(".json")).alias("name"), F.encode(text, "UTF-8").alias("content")), path)
+    return readers.json_catalog(spark, path).select("event_id", "event_type", "value")
 
 
 @query("SELECT 1 AS run, count(*) AS given, count(*) AS written FROM events UNION ALL SELECT 2, count(*), 0 FROM events UNION ALL SELECT 3, count(*), count(*) FILTER (event_type = 'view') FROM events WHERE event_type IN ('view', 'click')")

@@ -31,15 +31,21 @@ def read_footer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.footer_pairs(spark, path).where("key like 'org.apache.spark.%'").select("key").distinct()
 
 
-@query("SELECT * FROM (VALUES ('gzip', 'gzip', ''), ('parquet', 'parquet', ''), ('unknown', 'text', '')) t(kind, \"class\", bom)")
+@query("""
+WITH l AS (SELECT user_id, sum(length(event_type)) + count(*) - 1 AS n FROM events GROUP BY user_id)
+SELECT user_id, CASE user_id % 4 WHEN 1 THEN 2 * n + 2 WHEN 3 THEN n + 2 ELSE n END::BIGINT AS length, CASE user_id % 4 WHEN 3 THEN 'gzip' ELSE 'unknown' END AS kind,
+       CASE user_id % 4 WHEN 2 THEN 'zeros' WHEN 3 THEN 'gzip' ELSE 'text' END AS class, CASE user_id % 4 WHEN 1 THEN 'utf-16-be' ELSE '' END AS bom FROM l""")
 def read_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch(spark, "prints")
-    n = table(spark, sf_dir, "nation").select("n_name").coalesce(1)
-    n.write.parquet(f"{path}/a")
-    n.write.option("compression", "gzip").csv(f"{path}/b")
-    n.write.csv(f"{path}/c")
-    found = [readers.fingerprints(spark, f"{path}/{x}") for x in "abc"]
-    return found[0].unionByName(found[1]).unionByName(found[2]).select("kind", "class", "bom").distinct()
+    """A file for each user's kinds of events: as text, as text of two-byte characters, as zeros, and behind another kind's
+    first bytes."""
+    path, c = scratch(spark, "prints"), F.col
+    text = table(spark, sf_dir, "events").groupBy("user_id").agg(F.array_join(F.collect_list("event_type"), "\n").alias("t"))
+    kind = c("user_id") % 4
+    zeros, gzip = F.unhex(F.repeat(F.lit("00"), F.length("t"))), F.concat(F.unhex(F.lit("1F8B")), F.encode("t", "UTF-8"))
+    content = F.when(kind == 1, F.encode("t", "UTF-16")).when(kind == 2, zeros).when(kind == 3, gzip).otherwise(F.encode("t", "UTF-8"))
+    sinks.raw_files(text.select(F.concat(c("user_id").cast("string"), F.lit(".bin")).alias("name"), content.alias("content")), path)
+    found = readers.fingerprints(spark, path)
+    return found.select(F.regexp_extract("path", r"([0-9]+)\.bin$", 1).cast("long").alias("user_id"), "length", "kind", "class", "bom")
 
 
 @query("SELECT n_name, n_regionkey FROM nation")

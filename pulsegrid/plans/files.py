@@ -225,3 +225,17 @@ def states_of_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = incremental.recordings(incremental.files(spark, f"{path}/in", _EVENTS), "user_id", "ts", 40_000, 21_600)
     incremental.run_available(df, f"{path}/out", f"{path}/checkpoint")
     return incremental.states(spark, f"{path}/checkpoint").withColumnRenamed("key", "user_id")
+
+
+@query("""
+WITH n AS (SELECT count(DISTINCT user_id) AS all_units, count(DISTINCT CASE WHEN event_type = 'error' THEN user_id END) AS first FROM events)
+SELECT event_id, user_id, event_type, value, first, all_units - first AS later, first AS skipped FROM events, n""")
+def exported_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users with errors exported first, then all: the second export leaves the first one's files alone. All are read back."""
+    path = scratch(spark, "export")
+    df = samples(spark, sf_dir).select("event_id", "event_type", "value", "user_id")
+    with_errors = df.join(df.where("event_type = 'error'").select("user_id").distinct(), "user_id", "left_semi")
+    first, _ = sinks.csv_exports(with_errors, path, ["user_id"])
+    later, skipped = sinks.csv_exports(df, path, ["user_id"])
+    got = spark.read.csv(f"{path}/csv", header=True, schema="event_id long, event_type string, value double, user_id long")
+    return got.select("event_id", "user_id", "event_type", "value", F.lit(first).alias("first"), F.lit(later).alias("later"), F.lit(skipped).alias("skipped"))

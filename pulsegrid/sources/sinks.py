@@ -153,6 +153,28 @@ def statistics_book(tables: dict[str, DataFrame], path: str) -> None:
         df.write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
 
 
+def csv_exports(df: DataFrame, path: str, keys: list[str]) -> tuple[int, int]:
+    """Rows as CSV under a folder for each unit (``keys``, a project and patient, say), but for units that were exported before.
+    Returns units exported and units skipped.
+
+    An export is noted after its files are written, and files of a unit replace what an export that died left there. Null
+    keys are a unit of their own.
+    """
+    spark, done = df.sparkSession, f"{path}/_exported"
+    units = df.select(*keys).distinct()
+    n = units.count()
+    fresh = new_rows(units, spark.read.parquet(done), keys) if exists(spark, done) else units
+    # Kept, as what is noted below must be what was written.
+    fresh = fresh.persist()
+    added = fresh.count()
+    if added:
+        rows = df.join(fresh.select(*[F.col(k).alias(f"__{k}") for k in keys]), [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left_semi")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True).partitionBy(*keys).csv(f"{path}/csv")
+        fresh.write.mode("append").parquet(done)
+    fresh.unpersist()
+    return added, n - added
+
+
 def raw_files(files: DataFrame, path: str) -> None:
     """Each row's content (binary) as a file of its name under ``path``, written by the tasks; again the same, if repeated."""
 

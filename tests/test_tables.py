@@ -96,3 +96,13 @@ def test_content_hashes_know_rows_not_their_order(spark):
     got = {r.r: r.sha256 for r in sinks.content_hashes(df, "r", "ts", ["variable", "value"]).collect()}
     again = {r.r: r.sha256 for r in sinks.content_hashes(df.orderBy(F.rand(3)), "r", "ts", ["variable", "value"]).collect()}
     assert got == again and got["a"] == got["b"] and len({got["a"], got["c"], got["d"]}) == 3
+
+
+def test_csv_exports_are_made_once(spark, tmp_path):
+    path = str(tmp_path)
+    df = spark.createDataFrame([("p", 1, 1.5), ("p", 2, 2.5), (None, 1, 3.5)], "project string, patient int, v double")
+    assert sinks.csv_exports(df.where("patient = 1"), path, ["project", "patient"]) == (2, 0)
+    assert sinks.csv_exports(df.withColumn("v", F.col("v") + 1), path, ["project", "patient"]) == (1, 2)
+    assert sinks.csv_exports(df.where("false"), path, ["project", "patient"]) == (0, 0)
+    got = spark.read.csv(f"{path}/csv", header=True, schema="v double, project string, patient int").collect()
+    assert sorted((r.project or "", r.patient, r.v) for r in got) == [("", 1, 3.5), ("p", 1, 1.5), ("p", 2, 3.5)]

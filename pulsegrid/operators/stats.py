@@ -27,6 +27,16 @@ def describe(df: DataFrame, keys: list[str], value: str, rounded: bool = True) -
     return out.withColumns({c: F.bround(c, 1) for c in ("mean", "sd", "median", "p25", "p75", "min", "max", "missing_pct")})
 
 
+def correlation(a: Column, b: Column) -> Column:
+    """Pearson's correlation of the rows that have both; NaN where one is constant, null where no row has both.
+
+    ``F.corr`` divides by zero there, which is an error in ANSI mode.
+    """
+    both = a.isNotNull() & b.isNotNull()
+    spread = F.stddev_pop(F.when(both, a)) * F.stddev_pop(F.when(both, b))
+    return F.when(F.count_if(both) > 0, F.coalesce(F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0)), F.lit(float("nan"))))
+
+
 def extreme_quantiles(df: DataFrame, keys: list[str], value: str, shares: list[float]) -> DataFrame:
     """Exact quantiles far into both tails, one row per share."""
     q = df.groupBy(*keys).agg(F.percentile(value, F.array(*[F.lit(s) for s in shares])).alias("q"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.operators import learning, placement, rules
+from pulsegrid.operators import learning, placement, rules, stats
 from pulsegrid.operators import timeseries as ts
 from pulsegrid.plans.registry import query
 from pulsegrid.plans.signals import samples
@@ -181,7 +181,7 @@ SELECT user_id, count(*) FILTER (hr IS NOT NULL AND spo2 IS NOT NULL) AS n, roun
 def rate_saturation_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.floor(ts.micros(c("ts")) / 86_400_000_000)
     b = samples(spark, sf_dir).groupBy("user_id", day.alias("day")).agg(*[F.avg(F.when(c("event_type") == k, c("value"))).alias(v) for k, v in (("click", "hr"), ("view", "spo2"))])
-    out = b.groupBy("user_id").agg(F.count_if(c("hr").isNotNull() & c("spo2").isNotNull()).alias("n"), F.round(F.corr("hr", "spo2"), 6).alias("r"))
+    out = b.groupBy("user_id").agg(F.count_if(c("hr").isNotNull() & c("spo2").isNotNull()).alias("n"), F.round(stats.correlation(c("hr"), c("spo2")), 6).alias("r"))
     return out.where("n > 2")
 
 
@@ -219,8 +219,6 @@ WITH d AS (SELECT source, text FROM documents), t AS (SELECT source, count(*) AS
 SELECT source, n, n_hits, n_hits > 0 AS needs_review FROM t""")
 def identifier_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per file (a source): rows that hold an e-mail address, and whether it needs a look."""
-    from pulsegrid.operators import stats
-
     out = stats.identifier_scan(table(spark, sf_dir, "documents"), ["source"], "text", {"email": stats.IDENTIFIERS["email"]})
     return out.select("source", "n", c("n_email").alias("n_hits"), (c("n_email") > 0).alias("needs_review"))
 

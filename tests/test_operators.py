@@ -266,3 +266,9 @@ def test_learning_helpers(spark):
     rows = spark.createDataFrame([(float(i), i % 7 / 7.0, int(i >= 30)) for i in range(60)], "a double, b double, y int")
     out = learning.probability(learning.boosted(rows, ["a", "b"], "y", rounds=3), rows)
     assert out.where("(p > 0.5) = (y = 1)").count() >= 58
+
+
+def test_correlation_with_a_constant_is_no_error(spark):
+    rows = [("up", 1.0, 2.0), ("up", 2.0, 4.0), ("up", 3.0, 7.0), ("up", None, -9.0), ("flat", 5.0, 1.0), ("flat", 5.0, 2.0), ("none", 1.0, None)]
+    got = dict(spark.createDataFrame(rows, "k string, a double, b double").groupBy("k").agg(stats.correlation(F.col("a"), F.col("b")).alias("r")).collect())
+    assert got["up"] == pytest.approx(0.99339927) and math.isnan(got["flat"]) and got["none"] is None

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def append_new(rows: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None) -> tuple[int, int]:
     """Appends the rows whose keys the table doesn't hold; null equals null. Returns rows given and rows written.
 
@@ -110,8 +117,12 @@ def get_or_create(names: DataFrame, path: str, keys: list[str], id_col: str) ->
         wanted = new_rows(wanted, known, keys)
     else:
         top = 0
-    # Dealt by range, each partition numbers its own rows after those before it: no single sorted task.
-    rows = wanted.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__p", F.spark_partition_id())
+    # Dealt by range, each partition numbers its own rows after those before it: no single sorted task. Ranges are written
+    # before they are counted, as a second run of the same plan may cut them at other places.
+    ranged = f"{path.rstrip('/')}-ranged-{uuid.uuid4().hex}"
+    rows = wanted.repartitionByRange(*keys).withColumn("__p", F.spark_partition_id())
+    rows.write.parquet(ranged)
+    rows = spark.read.schema(rows.schema).parquet(ranged)
     rows = rows.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*keys)))
     sizes = rows.groupBy("__p").count().collect()  # a number per partition
     starts, at = [], top
@@ -121,6 +132,7 @@ def get_or_create(names: DataFrame, path: str, keys: list[str], id_col: str) ->
     if starts:
         offset = F.create_map(*[F.lit(x) for kv in starts for x in kv])[F.col("__p")]
         rows.withColumn(id_col, (offset + F.col("__i")).cast("long")).select(*keys, id_col).write.mode("append").parquet(path)
+    remove(spark, ranged)
     return spark.read.parquet(path)
 
 

@@ -106,3 +106,20 @@ def test_csv_exports_are_made_once(spark, tmp_path):
     assert sinks.csv_exports(df.where("false"), path, ["project", "patient"]) == (0, 0)
     got = spark.read.csv(f"{path}/csv", header=True, schema="v double, project string, patient int").collect()
     assert sorted((r.project or "", r.patient, r.v) for r in got) == [("", 1, 3.5), ("p", 1, 1.5), ("p", 2, 3.5)]
+
+
+def test_ids_follow_ranges_that_are_cut_once(spark, tmp_path):
+    import random
+
+    names = [f"{random.Random(i).random():.12f}" for i in range(20_000)]
+    df = spark.createDataFrame([(n,) for n in names], "name string").repartition(7)
+    # Ranges are cut by samples, which a second plan takes anew; so small ones would be joined.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.get_or_create(df.where("name < '0.5'"), f"{tmp_path}/ids", ["name"], "id")
+        got = sinks.get_or_create(df, f"{tmp_path}/ids", ["name"], "id").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    low, high = sorted(n for n in names if n < "0.5"), sorted(n for n in names if n >= "0.5")
+    assert sorted((r.id, r.name) for r in got) == list(enumerate(low + high, 1))
+    assert [p.name for p in tmp_path.iterdir()] == ["ids"]

@@ -285,7 +285,22 @@ def located(df: DataFrame, path: str, places: list[tuple[str, str]]) -> DataFram
 
 
 def json_catalog(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.json(path, multiLine=True)
+    """Catalogues, a JSON text a file: an object, or an array of which each element is a row; UTF-8, or UTF-16 with or without
+    a byte order mark.
+
+    Files are rows of texts that are parsed: Spark's reader of JSON over many lines hands the list of all files to each task.
+    """
+    raw = F.col("content")
+    mark, zero = F.hex(F.substring(raw, 1, 2)), F.lit("00")
+    text = (
+        F.when(mark.isin("FEFF", "FFFE"), F.decode(raw, "UTF-16"))
+        .when(F.substring(mark, 3, 2) == zero, F.decode(raw, "UTF-16LE"))
+        .when(F.substring(mark, 1, 2) == zero, F.decode(raw, "UTF-16BE"))
+        .otherwise(F.regexp_replace(raw.cast("string"), "^\ufeff", ""))
+    )
+    texts = spark.read.format("binaryFile").load(path).select(text.alias("value"))
+    strings = getattr(texts._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    return DataFrame(spark._jsparkSession.read().json(strings), spark)
 
 
 def label_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -123,3 +123,13 @@ def test_reader_registry():
     assert r.reader("monitor_csv") is r.monitor_csv
     with pytest.raises(KeyError):
         r.reader("nothing")
+
+
+def test_catalogues_are_read_as_texts(spark, tmp_path):
+    texts = {"a": ('[{"n": 1},\n {"n": 2}]', "utf-8"), "b": ('{"n": 3,\n "s": "é"}', "utf-8-sig"), "c": ('[{"n": 4}]', "utf-16"), "d": ('[{"n": 5}]', "utf-16-le"), "e": ("", "utf-8")}
+    for name, (text, encoding) in texts.items():
+        (tmp_path / f"{name}.json").write_bytes(text.encode(encoding))
+    got = r.json_catalog(spark, str(tmp_path))
+    assert sorted((x.n, x.s) for x in got.collect()) == [(1, None), (2, None), (3, "é"), (4, None), (5, None)]
+    # The reader of JSON over many lines takes time by the square of the number of files.
+    assert "FileScan json" not in got._jdf.queryExecution().executedPlan().toString()

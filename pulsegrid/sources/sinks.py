@@ -165,6 +165,60 @@ def statistics_book(tables: dict[str, DataFrame], path: str) -> None:
         df.write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
 
 
+#: Rows of one file of an export.
+FILE_ROWS = 1_000_000
+
+
+def _unit_files(rows: DataFrame, path: str, keys: list[str]) -> None:
+    """CSV files path/key=value/.../part-<i>.csv as Spark would partition them, written line by line by the task that a
+    unit's part is dealt to, under another name until they are whole; other files in a unit's folder go.
+
+    Spark's own writer makes folders and renames one after another, and on local disks starts a process for each.
+    """
+    columns = [c for c in rows.columns if c not in (*keys, "__parts")]
+    plain = lambda x: F.coalesce(F.nullif(x.cast("string"), F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    heading = rows.sparkSession.range(1).select(F.to_csv(F.struct(*[F.lit(c).alias(c) for c in columns]))).first()[0]
+    part = F.pmod(F.xxhash64(*columns), F.col("__parts")).cast("int")
+    lines = rows.select(F.array(*[plain(F.col(k)) for k in keys]).alias("unit"), part.alias("part"), "__parts", F.to_csv(F.struct(*columns)).alias("line"))
+    lines = lines.repartition("unit", "part").sortWithinPartitions("unit", "part")
+
+    def put(batches):
+        import re
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, at = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+        escaped = lambda x: re.sub(r"""[\x00-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", x)
+        now, out, draft, target = None, None, None, None
+
+        def whole() -> None:
+            if out is not None:
+                out.close()
+                store.move(draft, target)
+
+        for batch in batches:
+            for unit, i, parts, line in zip(*(c.to_pylist() for c in batch.columns)):
+                if (unit, i) != now:
+                    whole()
+                    now = unit, i
+                    folder = "/".join([at, *[f"{k}={escaped(v)}" for k, v in zip(keys, unit)]])
+                    store.create_dir(folder, recursive=True)
+                    kept = {f"part-{k:05}.csv" for k in range(parts)}
+                    for info in store.get_file_info(fs.FileSelector(folder)) if i == 0 else ():
+                        if info.type == fs.FileType.File and info.base_name[0] not in "._" and info.base_name not in kept:
+                            store.delete_file(info.path)
+                    target = f"{folder}/part-{i:05}.csv"
+                    draft = f"{folder}/.part-{i:05}.{uuid.uuid4().hex}"
+                    out = store.open_output_stream(draft)
+                    out.write(f"{heading}\n".encode())
+                out.write(f"{line}\n".encode())
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+        whole()
+
+    lines.mapInArrow(put, "n long").agg(F.sum("n")).collect()
+
+
 def csv_exports(df: DataFrame, path: str, keys: list[str]) -> tuple[int, int]:
     """Rows as CSV under a folder for each unit (``keys``, a project and patient, say), but for units that were exported before.
     Returns units exported and units skipped.
@@ -180,8 +234,11 @@ def csv_exports(df: DataFrame, path: str, keys: list[str]) -> tuple[int, int]:
     fresh = fresh.persist()
     added = fresh.count()
     if added:
-        rows = df.join(fresh.select(*[F.col(k).alias(f"__{k}") for k in keys]), [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left_semi")
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True).partitionBy(*keys).csv(f"{path}/csv")
+        names = {k: f"__{k}" for k in keys}
+        same = [F.col(k).eqNullSafe(F.col(names[k])) for k in keys]
+        rows = df.join(fresh.withColumnsRenamed(names), same, "left_semi")
+        sizes = rows.groupBy(*keys).agg(F.ceil(F.count("*") / FILE_ROWS).cast("int").alias("__parts")).withColumnsRenamed(names)
+        _unit_files(rows.join(sizes, same).drop(*names.values()), f"{path}/csv", keys)
         fresh.write.mode("append").parquet(done)
     fresh.unpersist()
     return added, n - added

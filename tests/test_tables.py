@@ -123,3 +123,19 @@ def test_ids_follow_ranges_that_are_cut_once(spark, tmp_path):
     low, high = sorted(n for n in names if n < "0.5"), sorted(n for n in names if n >= "0.5")
     assert sorted((r.id, r.name) for r in got) == list(enumerate(low + high, 1))
     assert [p.name for p in tmp_path.iterdir()] == ["ids"]
+
+
+def test_a_unit_is_exported_in_few_files(spark, tmp_path, monkeypatch):
+    path = str(tmp_path)
+    rows = [(u, i, f'a "{i}", \n' if i % 9 == 0 else "") for u in ("a/b=c", "d", "") for i in range(100)]
+    df = spark.createDataFrame(rows, "unit string, i int, s string").repartition(16, "i")
+    (tmp_path / "csv" / "unit=d").mkdir(parents=True)
+    (tmp_path / "csv" / "unit=d" / "part-77.csv").write_text("i,s\n-1,died\n")
+    assert sinks.csv_exports(df, path, ["unit"]) == (3, 0)
+    files = [p for p in (tmp_path / "csv").rglob("*") if p.is_file()]
+    assert sorted(p.parent.name for p in files) == ["unit=__HIVE_DEFAULT_PARTITION__", "unit=a%2Fb%3Dc", "unit=d"]
+    got = spark.read.csv(f"{path}/csv", header=True, multiLine=True, schema="i int, s string, unit string").collect()
+    assert sorted((r.unit or "", r.i, (r.s or "").strip()) for r in got) == sorted((u, i, s.strip()) for u, i, s in rows)
+    monkeypatch.setattr(sinks, "FILE_ROWS", 40)
+    assert sinks.csv_exports(df.withColumn("unit", F.lit("e")), path, ["unit"]) == (1, 0)
+    assert len(list((tmp_path / "csv" / "unit=e").glob("*.csv"))) == 8

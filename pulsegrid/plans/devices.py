@@ -218,7 +218,7 @@ def _zips(spark: SparkSession, sf_dir: str) -> str:
         content = bytearray(out.getvalue())
         if user % 10 == 4:
             content[120] ^= 255
-        name = name.replace("_2026", "-2026") if user % 10 == 5 else name
+        name = name.replace("_2026-01", "-2026-01") if user % 10 == 5 else name
         return pa.table({"name": [name], "content": pa.array([b"none" if user % 10 == 6 else bytes(content)], pa.binary())})
 
     files = samples(spark, sf_dir).select("user_id", "event_id", "event_type", "value").groupBy("user_id").applyInArrow(pack, "name string, content binary")

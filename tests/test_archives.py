@@ -71,3 +71,14 @@ def test_exam_zip_takes_the_sentinel_of_its_sensor(spark, tmp_path):
     pd.DataFrame({"local_time": [2.0], "value": [-32768.0]}).to_parquet(part_)
     put(tmp_path, "e.zip", {f"sensor={s}/signal=p/x.parquet": part_.getvalue() for s in ("draeger", "other")})
     assert {(x.sensor, x["value"]) for x in r.exam_zip(spark, str(tmp_path)).collect()} == {("draeger", None), ("other", -32768.0)}
+
+
+def test_a_user_whose_number_begins_like_the_year(spark, tmp_path):
+    from pulsegrid.plans import QUERIES
+
+    rows = [(i, u, t, i * 1.5) for u in (20265, 15) for i, t in enumerate(("click", "view", "view"))]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double")
+    events.withColumn("ts", F.timestamp_seconds("event_id").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    checked = QUERIES["checked_exams"](spark, str(tmp_path)).collect()
+    assert sorted((r.user_id, r.n_members, r.reason) for r in checked) == [(15, 2, "bad_filename"), (20265, 2, "bad_filename")]
+    assert sorted(r.user_id for r in QUERIES["read_zipped_exams"](spark, str(tmp_path)).collect()) == [15] * 3 + [20265] * 3

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -65,6 +66,43 @@ def tree(depth: int, bins: int = 2048) -> DecisionTreeClassifier:
     return DecisionTreeClassifier(maxDepth=depth, maxBins=bins, seed=7)
 
 
+def candidate_splits(df: DataFrame, features: list[str], label: str, bins: int) -> list[list[float]]:
+    """Where a tree may split each feature, at most ``bins`` - 1 places: quantiles, and in each bin between them whose labels
+    lie apart the place between the labels. So a feature that tells labels apart does so however many values it has.
+
+    What is collected are two extremes of each label for each bin.
+    """
+    half = bins // 2
+    quantiles = df.approxQuantile(features, [i / half for i in range(1, half)], 0.1 / bins)
+    splits = [[-math.inf, *(sorted(set(q)) or [0.0]), math.inf] for q in quantiles]
+    places = [f"__place_{i}" for i in range(len(features))]
+    rows = Bucketizer(splitsArray=splits, inputCols=features, outputCols=places, handleInvalid="skip").transform(df)
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(p).cast("int").alias("place"), F.col(f).cast("double").alias("v")) for i, (f, p) in enumerate(zip(features, places))]))
+    one = F.col(label) == 1
+    ends = [g(F.when(c, F.col("x.v"))).alias(n) for n, g, c in (("low0", F.min, ~one), ("high0", F.max, ~one), ("low1", F.min, one), ("high1", F.max, one))]
+    for r in rows.select(label, cells.alias("x")).groupBy("x.i", "x.place").agg(*ends).collect():
+        if r.low0 is None or r.low1 is None:
+            continue
+        for under, over in ((r.high0, r.low1), (r.high1, r.low0)):
+            if under < over:
+                middle = under / 2 + over / 2
+                splits[r.i].append(middle if under < middle <= over else over)
+    return [sorted(set(s)) for s in splits]
+
+
+def fitted(df: DataFrame, features: list[str], label: str, classifier=None) -> PipelineModel:
+    """The pipeline fitted on ``df``; a tree's splits are among ``candidate_splits``, since its own are quantiles alone."""
+    if not isinstance(classifier, DecisionTreeClassifier) or not classifier.getMaxDepth():
+        return pipeline(features, label, classifier).fit(df)
+    places = [f"__place_{f}" for f in features]
+    splits = candidate_splits(df, features, label, classifier.getMaxBins())
+    bucketizer = Bucketizer(splitsArray=splits, inputCols=features, outputCols=places, handleInvalid="skip")
+    # The bucketizer calls its places categories; sums are numbers in their order.
+    numbers = [f"__at_{i}" for i in range(len(features))]
+    ordered = SQLTransformer(statement=f"SELECT *, {', '.join(f'`{p}` + 0D AS {n}' for p, n in zip(places, numbers))} FROM __THIS__")
+    return Pipeline(stages=[bucketizer, ordered, *pipeline(numbers, label, classifier).getStages()]).fit(df)
+
+
 def with_probability(model, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("p", F.get(vector_to_array("probability"), F.lit(1)))
 
@@ -103,7 +141,7 @@ def train_families(train: DataFrame, test: DataFrame, family: str, features: lis
     def one(name: str) -> DataFrame:
         at = f"{path}/{name}/{version}"
         if not exists(spark, f"{at}/metadata"):
-            pipeline(features, label, classifier.copy() if classifier else None).fit(train.where(F.col(family) == name)).write().overwrite().save(at)
+            fitted(train.where(F.col(family) == name), features, label, classifier.copy() if classifier else None).write().overwrite().save(at)
         found = with_probability(PipelineModel.load(at), test.where(F.col(family) == name))
         row = scores(found, label).select("n", "f1").crossJoin(F.broadcast(auroc(found, label, "p").select("auroc")))  # one row each
         return row.select(F.lit(name).alias("family"), F.lit(version).alias("version"), "n", "f1", "auroc")

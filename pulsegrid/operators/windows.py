@@ -122,7 +122,10 @@ def fuller_column(df: DataFrame, keys: list[str], column: str, value: str) -> Da
 
 
 def sliding_features(df: DataFrame, keys: list[str], order: str, value: str, size: int = 100, stride: int = 50, least: int = 10) -> DataFrame:
-    """Eight statistics of overlapping windows of ``size`` rows every ``stride``; the last full window counts."""
+    """Eight statistics of overlapping windows of ``size`` rows every ``stride``; the last full window counts.
+
+    Means add values in the order of the rows, so that one near a threshold doesn't depend on how rows were dealt.
+    """
     rows = df.withColumn("__i", F.row_number().over(series(keys, order)) - 1)
     rows = rows.withColumn("__d", F.abs(F.col(value) - F.lag(value).over(series(keys, order))))
     n = F.count("*").over(Window.partitionBy(*keys))
@@ -132,9 +135,11 @@ def sliding_features(df: DataFrame, keys: list[str], order: str, value: str, siz
     rows = rows.where(first <= last).withColumn("window", F.explode(F.sequence(first, last)))
     # A change counts in a window that holds both its samples.
     change = F.when(F.col("__i") > F.col("window") * stride, F.col("__d"))
+    ordered = F.array_sort(F.collect_list(F.when(F.col(value).isNotNull(), F.struct("__i", F.col(value).cast("double").alias("v")))))
+    total = F.aggregate(ordered, F.lit(0.0), lambda a, x: a + x["v"])
     out = rows.groupBy(*keys, "window").agg(
         F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
+        (total / F.nullif(F.count(value), F.lit(0))).alias("mean"),
         F.stddev_pop(value).alias("std"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),

@@ -60,3 +60,14 @@ def test_cross_validation(spark):
     assert all(r.auroc > 0.9 and r.f1 > 0.8 for r in got)
     best = models.searched(df, ["x"], "label", (1, 4), 4)
     assert max(best.avgMetrics) > 0.9
+
+
+def test_a_threshold_between_quantiles_is_found(spark):
+    rng = random.Random(4)
+    rows = [(rng.random(), x := rng.gauss(0, 1), int(x > 0.3)) for _ in range(12_000)] + [(None, 9.0, 0)]
+    df = spark.createDataFrame(rows, "noise double, x double, label int")
+    model = models.fitted(df, ["noise", "x"], "label", models.tree(4, 64))
+    assert model.stages[-1].numFeatures == 2 and "not in" not in model.stages[-1].toDebugString  # places are no categories
+    got = models.with_probability(model, df)
+    assert got.count() == 12_000 and got.where("(p >= 0.5) <> (label = 1)").count() == 0
+    assert all(len(s) <= 65 for s in models.candidate_splits(df, ["noise", "x"], "label", 64))

@@ -272,3 +272,13 @@ def test_correlation_with_a_constant_is_no_error(spark):
     rows = [("up", 1.0, 2.0), ("up", 2.0, 4.0), ("up", 3.0, 7.0), ("up", None, -9.0), ("flat", 5.0, 1.0), ("flat", 5.0, 2.0), ("none", 1.0, None)]
     got = dict(spark.createDataFrame(rows, "k string, a double, b double").groupBy("k").agg(stats.correlation(F.col("a"), F.col("b")).alias("r")).collect())
     assert got["up"] == pytest.approx(0.99339927) and math.isnan(got["flat"]) and got["none"] is None
+
+
+def test_window_means_add_in_order(spark):
+    values = [0.1, 1e16, 0.2, -1e16, 0.7, 3.3, None, 0.1] * 3
+    df = series(spark, values).repartition(5, "v")
+    got = {r.window: r.mean for r in windows.sliding_features(df, ["k"], "i", "v", 8, 8, 1).collect()}
+    total = 0.0
+    for v in values[:8]:
+        total += v or 0.0
+    assert got == {w: total / 7 for w in range(3)}

@@ -13,6 +13,7 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,8 @@ HEAD_BYTES, HEAD_LINES = 256 << 10, 20
 RANGE_BYTES = 64 << 20
 BATCH_ROWS = 8192
 _CHUNK = 4 << 20
+#: What opening a file counts as where files are dealt to tasks, and ranges of a task at most.
+OPEN_BYTES, TASK_RANGES = 4 << 10, 10_000
 
 SCHEMA = "path string, offset long, time string, cells array<struct<heading:string,variable:string,value:string>>, error string"
 _ARROW = pa.schema(
@@ -111,7 +114,7 @@ def layout(head: bytes, time_heading: str | None = None, time_pattern: str | Non
     else:
         end = head.rfind(b"\n") + 1 or len(head)  # a character may be cut at the end
         encoding = next(e for e in ENCODINGS if e == ENCODINGS[-1] or _takes(head[mark:end], e))
-        lines = [decoded(x, encoding) for x in head[mark:].split(b"\n")]
+        lines = [decoded(x, encoding) for x in head[mark:].split(b"\n", HEAD_LINES)]
     at, why = mark, "no heading"
     for line in lines[:HEAD_LINES]:
         size = len(line.encode(encoding, "replace")) + len("\n".encode(encoding))
@@ -146,7 +149,8 @@ def lines_between(file, begin: int, end: int, newline: bytes = b"\n") -> Iterato
     file.seek(begin)
     at, rest = begin, b""
     while at < end:
-        chunk = file.read(_CHUNK)
+        # A short range ends within its next line, mostly.
+        chunk = file.read(min(_CHUNK, max(end - at, 0) + (64 << 10)))
         if not chunk:
             if rest:
                 yield at, rest
@@ -181,22 +185,24 @@ class Range:
 
 @dataclass
 class Ranges(InputPartition):
-    """What one task reads: a range of a large file, or several small files."""
+    """What one task reads: ranges of a large file, or several small files."""
 
     ranges: tuple[Range, ...]
 
 
-def dealt(ranges: list[Range], most_bytes: int, most: int = 1000) -> list[Ranges]:
-    """Ranges in their order, together as long as they stay under so many bytes."""
+def dealt(ranges: list[Range], tasks: int, most_bytes: int = RANGE_BYTES) -> list[Ranges]:
+    """Ranges in their order in about so many tasks, or in more that stay under so many bytes each: however short ranges
+    are, the number of tasks doesn't grow with theirs."""
+    weights = [r.end - r.begin + OPEN_BYTES for r in ranges]
+    share = min(most_bytes, sum(weights) / max(1, tasks))
     out: list[list[Range]] = []
     held = 0
-    for r in ranges:
-        size = r.end - r.begin
-        if not out or held + size > most_bytes or len(out[-1]) == most:
+    for r, weight in zip(ranges, weights):
+        if not out or held + weight > share or len(out[-1]) == TASK_RANGES:
             out.append([])
             held = 0
         out[-1].append(r)
-        held += size
+        held += weight
     return [Ranges(tuple(x)) for x in out]
 
 
@@ -208,6 +214,41 @@ def _store(path: str):
     return fs.LocalFileSystem(), re.sub(r"^file:", "", path)
 
 
+class _Rows:
+    """Rows of one file after another, until they make a batch."""
+
+    def __init__(self):
+        self._clear()
+
+    def _clear(self) -> None:
+        self.paths, self.offsets, self.times, self.errors = [], [], [], []
+        self.begins, self.names, self.variables, self.values = [], [], [], []
+
+    def add(self, path: str, offset: int, time: str | None, names: list[str], variables: list[str], values: list[str | None]) -> None:
+        self.paths.append(path)
+        self.offsets.append(offset)
+        self.times.append(time)
+        self.errors.append(None)
+        self.begins.append(len(self.values))
+        self.names += names
+        self.variables += variables
+        self.values += values
+
+    def add_error(self, path: str, why: str) -> None:
+        self.paths.append(path)
+        self.offsets.append(None)
+        self.times.append(None)
+        self.errors.append(why)
+        self.begins.append(None)  # a null list
+
+    def drain(self) -> pa.RecordBatch:
+        cells = pa.StructArray.from_arrays([pa.array(x, pa.string()) for x in (self.names, self.variables, self.values)], names=["heading", "variable", "value"])
+        cells = pa.ListArray.from_arrays(pa.array([*self.begins, len(self.values)], pa.int32()), cells)
+        flat = [pa.array(x, t) for x, t in ((self.paths, pa.string()), (self.offsets, pa.int64()), (self.times, pa.string()), (self.errors, pa.string()))]
+        self._clear()
+        return pa.RecordBatch.from_arrays([*flat[:3], cells, flat[3]], schema=_ARROW)
+
+
 class DeviceReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path = options["path"]
@@ -216,6 +257,8 @@ class DeviceReader(DataSourceReader):
         self.aliases = json.loads(options.get("aliases", "{}"))
         self.only = options.get("pathglobfilter", "*")
         self.range_bytes = int(options.get("rangebytes", RANGE_BYTES))
+        self.tasks = int(options.get("tasks", 1))
+        self.first_rows = options.get("firstrows", "false").lower() == "true"
 
     def partitions(self) -> list[Ranges]:
         from pyarrow import fs
@@ -228,36 +271,45 @@ class DeviceReader(DataSourceReader):
         files = sorted((f for f in found if f.type == fs.FileType.File and f.base_name[0] not in "._" and fnmatch.fnmatch(f.base_name, self.only)), key=lambda f: f.path)
         prefix = re.match(r"^\w+://", self.path)
         name = lambda f: (prefix[0] if prefix and prefix[0] != "file://" else "file://") + f.path
-        return dealt([Range(name(f), b, min(f.size, b + self.range_bytes)) for f in files for b in range(0, max(1, f.size), self.range_bytes)], self.range_bytes)
+        if self.first_rows:
+            return dealt([Range(name(f), 0, f.size) for f in files], self.tasks)
+        return dealt([Range(name(f), b, min(f.size, b + self.range_bytes)) for f in files for b in range(0, max(1, f.size), self.range_bytes)], self.tasks)
 
     def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
-        for r in partition.ranges:
-            yield from self._rows(r)
-
-    def _rows(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        store, at = _store(partition.path)
+        rows = _Rows()
+        for path, ranges in groupby(partition.ranges, key=lambda r: r.path):
+            for _ in self._rows(path, list(ranges), rows):
+                if len(rows.paths) == BATCH_ROWS:
+                    yield rows.drain()
+        if rows.paths:
+            yield rows.drain()
+
+    def _rows(self, path: str, ranges: list[Range], rows: _Rows) -> Iterator[None]:
+        """Adds the rows of a file's ranges, one at a time; its layout is learnt once."""
+        store, at = _store(path)
         with store.open_input_file(at) as file:
             found = layout(file.read(HEAD_BYTES), self.time_heading, self.time_pattern)
             if isinstance(found, str):
-                if partition.begin == 0:  # once a file
-                    yield _batch([(partition.path, None, None, None, found)])
+                if ranges[0].begin == 0:  # once a file
+                    rows.add_error(path, found)
+                    yield
                 return
-            variables = resolve([n for i, n in enumerate(found.names) if i not in found.times], self.aliases)
-            columns = [(i, n, variables[n]) for i, n in enumerate(found.names) if i not in found.times]
-            rows = []
-            for offset, raw in self._lines(file, partition, found):
-                text = decoded(raw, found.encoding).rstrip("\r")
-                if not text.strip():
-                    continue
-                cut = fields(text, found.delimiter)
-                time = " ".join(cut[i].strip() for i in found.times if i < len(cut)) if found.times else None
-                cells = [{"heading": n, "variable": v, "value": cut[i] if i < len(cut) else None} for i, n, v in columns]
-                rows.append((partition.path, offset, time, cells, None))
-                if len(rows) == BATCH_ROWS:
-                    yield _batch(rows)
-                    rows = []
-            if rows:
-                yield _batch(rows)
+            places = [i for i in range(len(found.names)) if i not in found.times]
+            names = [found.names[i] for i in places]
+            resolved = resolve(names, self.aliases)
+            variables = [resolved[n] for n in names]
+            for partition in ranges:
+                for offset, raw in self._lines(file, partition, found):
+                    text = decoded(raw, found.encoding).rstrip("\r")
+                    if not text.strip():
+                        continue
+                    cut = fields(text, found.delimiter)
+                    width = len(cut)
+                    time = " ".join([cut[i].strip() for i in found.times if i < width]) if found.times else None
+                    rows.add(path, offset, time, names, variables, [cut[i] if i < width else None for i in places])
+                    yield
+                    if self.first_rows:
+                        return
 
     @staticmethod
     def _lines(file, partition: Range, found: Layout) -> Iterator[tuple[int, bytes]]:
@@ -275,12 +327,9 @@ class DeviceReader(DataSourceReader):
             first = False
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ARROW.types)], schema=_ARROW)
-
-
 class DeviceCsv(DataSource):
-    """Options: timeHeading or timePattern, aliases (JSON of heading to variable), pathGlobFilter, rangeBytes.
+    """Options: timeHeading or timePattern, aliases (JSON of heading to variable), pathGlobFilter, rangeBytes, tasks (how many
+    to make at least, where there are as many ranges), firstRows (true: of each file its first row alone).
 
     A row for each line below the heading: path, offset (its first byte), time (the text of the time columns, joined by a
     space), cells (heading, variable and text of the other columns in their order; null where the line is too short). A
@@ -298,9 +347,10 @@ class DeviceCsv(DataSource):
         return DeviceReader({k.lower(): v for k, v in self.options.items()})
 
 
-def device_csv(spark: SparkSession, path: str, time_heading: str | None = None, time_pattern: str | None = None, aliases: dict[str, str] | None = None, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def device_csv(spark: SparkSession, path: str, time_heading: str | None = None, time_pattern: str | None = None, aliases: dict[str, str] | None = None, range_bytes: int = RANGE_BYTES, first_rows: bool = False) -> DataFrame:
     spark.dataSource.register(DeviceCsv)
     reader = spark.read.format("device_csv").option("rangeBytes", range_bytes).option("aliases", json.dumps(aliases or {}))
+    reader = reader.option("tasks", 4 * spark.sparkContext.defaultParallelism).option("firstRows", first_rows)
     if time_heading is not None:
         reader = reader.option("timeHeading", time_heading)
     if time_pattern is not None:

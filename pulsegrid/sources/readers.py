@@ -195,15 +195,17 @@ def pump_events(spark: SparkSession, path: str, zone: str = "UTC", range_bytes:
 
     Files may have different columns: the result has all of them, null where a file lacks one.
     """
-    df = device_csv(spark, path, time_pattern="time|date|heure", range_bytes=range_bytes).where("error is null")
+    read = lambda **only: device_csv(spark, path, time_pattern="time|date|heure", range_bytes=range_bytes, **only).where("error is null")
+    df = read()
     stamp = F.trim("time")
     patterns = ("dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm", "dd-MM-yyyy HH:mm:ss", "yyyy-MM-dd HH:mm:ss")
     ts = F.coalesce(*[F.try_to_timestamp(stamp, F.lit(p)) for p in patterns])
     tidy = lambda h: F.trim(F.regexp_replace(F.lower(h), r"\W+", "_"), F.lit("_"))
     cells = F.transform("cells", lambda x: F.struct(tidy(x["heading"]).alias("key"), F.trim(x["value"]).alias("value")))
     rows = df.select(_name(F.col("path")).alias("recording_id"), C.local_to_utc(ts, zone).alias("ts"), cells.alias("cells"))
-    # Headings are few, whatever the number of rows: those of a device's exports.
-    names = sorted(r[0] for r in rows.select(F.explode("cells.key").alias("k")).distinct().collect())
+    # Headings are few, whatever the number of rows: those of a device's exports. A file's first row has all of its own.
+    headings_of = read(first_rows=True).select(F.explode("cells.heading").alias("h")).distinct()
+    names = sorted(r[0] for r in headings_of.select(tidy(F.col("h")).alias("k")).distinct().collect())
     value = lambda n: F.get(F.filter("cells", lambda x: x["key"] == n), F.lit(0))["value"].alias(n)
     return rows.select("recording_id", "ts", *[value(n) for n in names])
 

@@ -102,3 +102,23 @@ def test_ranges_cover_every_line_once(lines, size, encoding):
     parts = [line for b in range(0, len(raw), size) for line in device.DeviceReader._lines(io.BytesIO(raw), device.Range("", b, min(len(raw), b + size)), found)]
     assert parts == whole
     assert [line.decode(found.encoding) for _, line in whole] == (lines if lines and lines[-1] else lines[:-1])
+
+
+def test_short_ranges_share_tasks(tmp_path):
+    """Tasks don't grow with the number of files or ranges, and batches hold rows of several files."""
+    for i in range(300):
+        put(tmp_path / f"{i:03}.csv", f"T;HR\n{i};70\n{i};71\n")
+    reader = device.DeviceReader({"path": str(tmp_path), "timeheading": "T", "rangebytes": "5", "tasks": "4"})
+    tasks = reader.partitions()
+    assert len(tasks) <= 8
+    batches = [b for t in tasks for b in reader.read(t)]
+    assert len(batches) == len(tasks)
+    assert sorted(x for b in batches for x in b.column(2).to_pylist()) == sorted(str(i) for i in range(300) for _ in "xx")
+
+
+def test_first_rows_name_all_columns(spark, tmp_path):
+    put(tmp_path / "p.csv", "Date;Heure;Drug name\n\n\n05/01/2026;12:00\n05/01/2026;12:01;X\n")
+    put(tmp_path / "q.csv", "Rate,Time\n")
+    rows = device.device_csv(spark, str(tmp_path), time_pattern="time|date|heure", range_bytes=3, first_rows=True).collect()
+    assert [(x.time, [c["heading"] for c in x.cells]) for x in rows] == [("05/01/2026 12:00", ["Drug name"])]
+    assert r.pump_events(spark, str(tmp_path), range_bytes=3).columns == ["recording_id", "ts", "drug_name"]

@@ -263,12 +263,22 @@ def projects_by_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Censuses: orders are files of customers, line items their columns.
 
+#: Columns of files that one task joins and counts.
+COLUMNS_OF_TASK = 500_000
+
+
 def _columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """project (nation), unit (customer), file (order), name (a column: the item's tax and flag)."""
-    li = table(spark, sf_dir, "lineitem").select(c("l_orderkey").alias("file"), F.concat(c("l_returnflag"), c("l_linestatus"), F.lit("_"), c("l_quantity").cast("int")).alias("name"))
+    """project (nation), unit (customer), file (order), name (a column: the item's tax and flag).
+
+    Dealt by file in as many tasks as the rows need, which the joins and counts by file keep: so a task's memory doesn't grow
+    with the table.
+    """
+    li = table(spark, sf_dir, "lineitem")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-li.count() // COLUMNS_OF_TASK))
+    li = li.select(c("l_orderkey").alias("file"), F.concat(c("l_returnflag"), c("l_linestatus"), F.lit("_"), c("l_quantity").cast("int")).alias("name")).repartition(tasks, "file")
     o = table(spark, sf_dir, "orders").select(c("o_orderkey").alias("file"), c("o_custkey").alias("unit"))
     k = table(spark, sf_dir, "customer").select(c("c_custkey").alias("unit"), c("c_nationkey").alias("project"))
-    return li.join(o, "file").join(k, "unit")
+    return li.join(o.join(k, "unit"), "file")
 
 
 _X = """x AS (SELECT c_nationkey AS project, o_custkey AS unit, l_orderkey AS file, l_returnflag || l_linestatus || '_' || l_quantity::INT AS name FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)"""

@@ -282,3 +282,21 @@ def test_window_means_add_in_order(spark):
     for v in values[:8]:
         total += v or 0.0
     assert got == {w: total / 7 for w in range(3)}
+
+
+def test_columns_of_files_are_dealt_by_their_number(spark, sf_dir, monkeypatch):
+    """Tasks that join and count the columns of files hold so many rows, however many there are."""
+    from pulsegrid.plans import audit
+
+    monkeypatch.setattr(audit, "COLUMNS_OF_TASK", 100, raising=False)
+    # As for tables that are too large to be broadcast.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = audit._columns(spark, sf_dir)
+        most = lambda df: df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+        assert rows.count() > 5000
+        assert most(rows) < 400
+        # Counts by file stay where the rows are.
+        assert most(rows.groupBy("project", "name", "file").count()) < 400
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

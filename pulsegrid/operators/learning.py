@@ -44,9 +44,17 @@ def scores(predicted: DataFrame, label: str = "label", prediction: str = "predic
 
 
 def forest(df: DataFrame, features: list[str], label: str, trees: int = 100, depth: int = 12, seed: int = 7):
-    """A random forest over the train part; rows with a null feature are left out."""
+    """A random forest over the train part; rows with a null feature are left out.
+
+    Rows are kept while it learns, as it reads them for labels, sizes, splits and the trees; they are made once. They are
+    joined to a part a core: each part makes statistics of all nodes of a level, however few rows it has.
+    """
     stages = [VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip"), RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed)]
-    return Pipeline(stages=stages).fit(df)
+    rows = df.select(*features, label).coalesce(df.sparkSession.sparkContext.defaultParallelism).persist()
+    try:
+        return Pipeline(stages=stages).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def boosted(df: DataFrame, features: list[str], label: str, rounds: int = 20, seed: int = 7):

@@ -300,3 +300,19 @@ def test_columns_of_files_are_dealt_by_their_number(spark, sf_dir, monkeypatch):
         assert most(rows.groupBy("project", "name", "file").count()) < 400
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_forest_makes_its_rows_once(spark):
+    """However often the training reads them."""
+    made = spark.sparkContext.accumulator(0)
+
+    def make(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(0, 400, 1, 40).selectExpr("id", "cast(id % 7 as double) AS a", "cast(id % 5 as double) AS b", "cast(id % 7 > 3 AS int) AS y")
+    rows = rows.mapInArrow(make, "id long, a double, b double, y int")
+    model = learning.forest(rows, ["a", "b"], "y", trees=5, depth=3)
+    assert made.value == 400
+    assert model.transform(rows).where("prediction <> y").isEmpty()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -120,6 +122,55 @@ def ecg_qc(x: np.ndarray, fs: float) -> np.ndarray:
 BLOCK = 1024
 
 
+def zero_phase(sections: np.ndarray, series: list[np.ndarray]) -> list[np.ndarray]:
+    """Whole series forward and backward over odd extensions of both ends, side by side with others about as long."""
+    steady, most = steady_state(sections), 3 * (2 * len(sections) + 1)
+    out, turn = [np.zeros(0)] * len(series), sorted(range(len(series)), key=lambda i: len(series[i]))
+    for begin in range(0, len(turn), 256):
+        part = turn[begin : begin + 256]
+        pads = [min(most, len(series[i]) - 1) for i in part]
+        lengths = np.array([len(series[i]) + 2 * n for i, n in zip(part, pads)])
+        wide = np.zeros((len(part), lengths.max()))
+        for row, i, n in zip(wide, part, pads):
+            v = series[i]
+            row[:n], row[n : n + len(v)], row[n + len(v) : 2 * n + len(v)] = 2 * v[0] - v[n:0:-1], v, 2 * v[-1] - v[-2 : -2 - n : -1]
+        for _ in range(2):
+            wide = cascade(sections, wide, lengths, steady * wide[:, :1])[0]
+            for row, n in zip(wide, lengths):
+                row[:n] = row[:n][::-1].copy()
+        for row, i, n in zip(wide, part, pads):
+            out[i] = row[n : n + len(series[i])]
+    return out
+
+
+def _short_series(rows: DataFrame, keys: list[str], order: str, value: str, sections: np.ndarray, least: int) -> DataFrame:
+    """Column ``filtered`` of series that are short enough to be held whole: they are sorted once, and each batch of sorted
+    rows is filtered both ways at once. Those of under ``least`` samples stay as they are."""
+    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes) + ", filtered double"
+
+    def run(batches):
+        held = []
+        for batch in itertools.chain(batches, [None]):
+            table = pa.Table.from_batches([*held, *([batch] if batch else [])]) if held or batch else None
+            if table is None or not table.num_rows:
+                continue
+            starts = np.flatnonzero(table.column("__i").to_numpy() == 1)
+            # The last series goes on in the next batch, maybe.
+            stops = starts[1:] if batch else np.append(starts[1:], table.num_rows)
+            held = table.slice(starts[-1]).to_batches() if batch else []
+            if not len(stops):
+                continue
+            table = table.slice(0, stops[-1])
+            y = table.column(value).to_numpy().copy()
+            spans = [(a, b) for a, b in zip(starts.tolist(), stops.tolist()) if b - a >= least]
+            for (a, b), v in zip(spans, zero_phase(sections, [y[a:b] for a, b in spans])):
+                y[a:b] = v
+            yield from table.drop_columns("__i").append_column("filtered", pa.array(y)).combine_chunks().to_batches()
+
+    own = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+    return rows.withColumn("__i", own).mapInArrow(run, schema)
+
+
 def _blocks(rows: DataFrame, keys: list[str], order: str, value: str, block: int) -> DataFrame:
     """keys, __block, __s (order and value of its samples in turn), __blocks: the non-null samples of each series in blocks,
     of which the last has up to twice as many samples."""
@@ -186,14 +237,20 @@ def filtered(df: DataFrame, keys: list[str], order: str, value: str, fs: float,
     same = df.select(*columns, F.col(value).cast("double").alias("filtered"))
     if sections is None:
         return same
-    pad = 3 * (2 * len(sections) + 1)
+    pad, least = 3 * (2 * len(sections) + 1), 3 * filter_order + 1
     size = max(size, pad + 1)
-    blocks = _blocks(df.select(*columns).where(F.col(value).isNotNull()), keys, order, value, size)
+    given = df.select(*keys, order, F.col(value).cast("double").alias(value)).where(F.col(value).isNotNull())
+    # What is one block needs neither places in the series nor a scan.
+    several = given.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") >= 2 * size).drop("__n").persist()
+    nulls = same.where(F.col(value).isNull())
+    if several.isEmpty():
+        return _short_series(given, keys, order, value, sections, least).unionByName(nulls)
+    few = _short_series(join_on(given, several, keys, "left_anti"), keys, order, value, sections, least)
+    blocks = _blocks(join_on(given, several, keys, "left_semi"), keys, order, value, size)
     # Kept as a table of their own: both passes and their scans read them.
     blocks = blocks.persist()
-    most = blocks.agg(F.max("__blocks")).first()[0] or 1
-    short = blocks.where(F.col("__n") < 3 * filter_order + 1)
-    rows = blocks.where(F.col("__n") >= 3 * filter_order + 1).withColumn("__v", F.transform("__s", lambda s: s["x"]))
+    most = blocks.agg(F.max("__blocks")).first()[0]
+    rows = blocks.withColumn("__v", F.transform("__s", lambda s: s["x"]))
     n = F.least(F.lit(pad), F.col("__n").cast("int") - 1)
     first, last = F.get("__v", F.lit(0)), F.element_at("__v", -1)
     head = F.transform(F.reverse(F.slice("__v", F.lit(2), n)), lambda x: 2 * first - x)
@@ -202,14 +259,13 @@ def filtered(df: DataFrame, keys: list[str], order: str, value: str, fs: float,
     is_first, is_last = F.col("__block") == 0, F.col("__block") == F.col("__blocks") - 1
     rows = rows.withColumn("__x", F.concat(F.when(is_first, head).otherwise(none), "__v", F.when(is_last, tail).otherwise(none)))
     rows = rows.withColumn("__from", F.when(is_first, n).otherwise(0)).withColumn("__nth", F.col("__block")).drop("__v", "__n")
-    forth = _pass(rows, keys, sections, size, most, "__forth")
+    forth = _pass(rows, keys, sections, size, most, "__forth").persist()
     turned = forth.withColumn("__x", F.reverse("__forth")).withColumn("__nth", F.col("__blocks") - 1 - F.col("__block")).drop("__forth")
     back = _pass(turned, keys, sections, size, most, "__back")
     y = F.slice(F.reverse("__back"), F.col("__from") + 1, F.size("__s"))
     out = back.select(*keys, F.explode(F.arrays_zip(F.col("__s").alias("s"), y.alias("y"))).alias("p"))
     out = out.select(*keys, F.col("p.s.o").alias(order), F.col("p.s.x").alias(value), F.col("p.y").alias("filtered"))
-    few = short.select(*keys, F.explode("__s").alias("s")).select(*keys, F.col("s.o").alias(order), F.col("s.x").alias(value), F.col("s.x").alias("filtered"))
-    return out.unionByName(few).unionByName(same.where(F.col(value).isNull()))
+    return out.unionByName(few).unionByName(nulls)
 
 
 def ecg_labels(df: DataFrame, keys: list[str], order: str, value: str, fs: float, seconds: int = 60) -> DataFrame:

@@ -316,3 +316,27 @@ def test_forest_makes_its_rows_once(spark):
     model = learning.forest(rows, ["a", "b"], "y", trees=5, depth=3)
     assert made.value == 400
     assert model.transform(rows).where("prediction <> y").isEmpty()
+
+
+def test_short_series_are_filtered_whole_in_one_pass_however_batches_cut_them(spark):
+    rng = np.random.default_rng(5)
+    sizes = [1, 9, 10, 30, 31, 32, 70, 5]
+    rows = [(k, i, float(v)) for k, n in enumerate(sizes) for i, v in enumerate(rng.normal(size=n))]
+    rows += [(6, 100 + i, None) for i in range(3)] + [(None, i, float(i % 4)) for i in range(12)]
+    df = spark.createDataFrame(rows, "k int, i int, v double").repartition(5)
+    whole = filters.filtered(df, ["k"], "i", "v", 1.0, "high", 0.02, 3)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {(r.k, r.i): r.filtered for r in whole.collect()}
+        # A size of 16 cuts all of 32 samples or more in blocks.
+        blocks = {(r.k, r.i): r.filtered for r in filters.filtered(df, ["k"], "i", "v", 1.0, "high", 0.02, 3, size=16).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got.keys() == blocks.keys() == {r[:2] for r in rows}
+    for k, i, v in rows:
+        if v is None or k is not None and sizes[k] < 10:
+            assert got[k, i] == blocks[k, i] == v
+        else:
+            assert abs(got[k, i] - blocks[k, i]) < 1e-9 and got[k, i] != v

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import re
-import struct
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +20,8 @@ MAX_SEGMENTS = 64
 MAX_LOSS = 896
 PROMPT_SHARE = 0.25
 POOL = 256
-#: Remembered pieces of text: two generations of so many at most, none longer than LONGEST characters.
-CACHE_ENTRIES = 120_000
-LONGEST = 48
+#: Bytes of text whose parts are encoded together, each once.
+TOGETHER = 2 << 20
 
 OUT = pa.schema(
     [
@@ -39,12 +37,13 @@ OUT = pa.schema(
 )
 
 
-#: Texts that aren't cut at all: a space before white space; the marks that stand for cuts below.
-_WHOLE = re.compile(r" \s|[\x02\x03]")
+#: Texts that aren't cut at all: a space before white space; the mark that stands for a head below.
+_WHOLE = re.compile(r" \s|\x03")
 #: Texts that aren't cut at line ends: longer runs of white space, and those that end a text.
 _LINES = re.compile(r"\s\s\s|\n[^\S\n]|\s\s\Z")
-#: A mark of punctuation between a letter or digit and white space.
-_MARK = re.compile(r"(?<=[A-Za-z0-9])([,.;:!?])(?=[ \n])")
+#: Marks of punctuation that can end a part, and parts of Latin letters, up to U+024F, with one or none.
+_MARKS = ",.;:!?"
+_WORD = rf"^\n?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+[{_MARKS}]?$"
 
 
 #: How a byte-level vocabulary writes bytes: those that print as themselves, the others from 256 on, in order.
@@ -52,12 +51,9 @@ _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _CHARACTERS = {b: b if b in _PRINTED else 256 + sum(x not in _PRINTED for x in range(b)) for b in range(256)}
 
 
-_SPACE = chr(_CHARACTERS[32])
-
-
-def _letters(word: str) -> bool:
-    """Whether a word is Latin letters alone, which are one pre-token, with a space before it or not."""
-    return word.isalpha() and (word.isascii() or max(word) < "\u0250")
+#: The same for bytes beyond ASCII; others stay.
+_HIGH = np.array([_CHARACTERS[b] if b > 127 else b for b in range(256)], "<u4")
+_SPACE, _LINE = chr(_CHARACTERS[32]), chr(_CHARACTERS[10])
 
 
 #: ASCII white space other than space and line end.
@@ -66,38 +62,38 @@ _OTHER = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 
 def _plain(text: str) -> bool:
     """Whether a text has no white space and marks but single spaces and line ends; most have not."""
-    return text.isascii() and "  " not in text and " \n" not in text and not any(c in text for c in _OTHER + "\x02\x03")
+    return text.isascii() and "  " not in text and " \n" not in text and not any(c in text for c in _OTHER + "\x03")
 
 
 class Encoder:
     """Ids of a byte-level BPE vocabulary, as little-endian unsigned 32-bit integers in bytes.
 
-    Where one space or line end stands between other characters a pre-token begins; so does one with a mark of punctuation
-    after a letter or digit. Texts are cut there, and each part is encoded once and remembered for a while: what two
-    generations of parts hold.
+    Where one space or line end stands between other characters a pre-token begins. Texts are cut there, and each distinct
+    part is encoded once in a call. Most parts are letters and maybe a mark of punctuation, whose pre-tokens are known: these
+    are written as the vocabulary writes them, and only the merges are left to do.
     """
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: The same merges for pre-tokens that stand between spaces.
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         #: Bytes of each id: a byte-level vocabulary writes each byte as one character.
         self.width = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.width[i] = len(token)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def merged(self, letters: str, before: str = "") -> bytes:
-        """Ids of one pre-token of letters after ``before`` (as the vocabulary writes it): only the merges are left to do."""
-        if not letters.isascii():
-            letters = letters.encode().decode("latin-1").translate(_CHARACTERS)
-        ids = [t.id for t in self.tokenizer.model.tokenize(before + letters)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+    def stops(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray | None:
+        """How many ids cover each first part, given the bytes of the parts in turn; None if an id reaches over an end."""
+        ends, covered = np.cumsum(lengths), np.cumsum(self.width[ids])
+        at = np.searchsorted(covered, ends)
+        return at + 1 if len(ids) and at[-1] == len(ids) - 1 and np.array_equal(covered[at], ends) else None
 
     def words(self, words: list[str]) -> list[bytes]:
         """Ids of words that each begin a pre-token: many are encoded as one text, which is cut by the bytes of its ids."""
@@ -105,51 +101,63 @@ class Encoder:
         for k in range(0, len(words), 256):
             part = words[k : k + 256]
             ids = np.asarray(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.cumsum([len(w.encode("utf-8", "surrogatepass")) for w in part])
-            covered = np.cumsum(self.width[ids])
-            at = np.searchsorted(covered, ends)
-            if len(ids) and at[-1] == len(ids) - 1 and np.array_equal(covered[at], ends):
-                raw, stops = ids.tobytes(), (4 * (at + 1)).tolist()
+            stops = self.stops(ids, np.array([len(w.encode("utf-8", "surrogatepass")) for w in part]))
+            if stops is not None:
+                raw, stops = ids.tobytes(), (4 * stops).tolist()
                 out += [raw[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
             else:
                 out += self.whole(part)
         return out
 
+    def lettered(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts that are _WORD, a few thousand encoded as one text, and the number of each one's ids."""
+        out, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        for begin in range(0, len(parts), 4096):
+            some = parts.slice(begin, 4096)
+            lengths = pc.binary_length(some).to_numpy() + ~pc.starts_with(some, "\n").to_numpy(zero_copy_only=False)
+            text = " ".join(some.to_numpy(zero_copy_only=False))
+            if not text.isascii():
+                text = _HIGH[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-32-le")
+            text = _SPACE + text.replace(" ", " " + _SPACE)
+            text = text.replace(_SPACE + "\n", _LINE + " ")
+            for mark in _MARKS:
+                text = text.replace(mark, " " + mark)
+            ids = np.asarray(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            stops = self.stops(ids, lengths)
+            if stops is None:
+                raise ValueError("the vocabulary isn't a byte-level one")
+            out.append(ids)
+            sizes.append(np.diff(stops, prepend=0))
+        return np.concatenate(out), np.concatenate(sizes)
+
     def cut(self, text: str) -> str | None:
-        """A text with a space before every part: line ends begin parts, \\x02 a mark of punctuation, \\x03 the head."""
-        plain = _plain(text)
+        """A text with a space before every part: line ends begin parts, \\x03 the head."""
+        # Most others have but single spaces and line ends too, between words.
+        plain = _plain(text) or "\x03" not in text and text.split() == text.replace("\n", " ").split(" ")
         if not plain and _WHOLE.search(text) or any(s in text for s in self.special):
             return None
         odd = "\n\n\n" in text or "\n " in text or text.endswith("\n\n") if plain else _LINES.search(text)
-        text = _MARK.sub(" \x02\\1", text)
         return "\x03" + (text if odd else text.replace("\n", " \n"))
 
-    def of_parts(self, parts: list[str]) -> list[bytes]:
-        """Ids of distinct parts, which are remembered."""
-        if len(self.young) > CACHE_ENTRIES:
-            self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        out = list(map(young.get, parts))
-        at = [i for i, ids in enumerate(out) if ids is None]
-        for i in at:
-            out[i] = old.get(parts[i])
-        new = [i for i in at if out[i] is None]
-        alone = [i for i in new if parts[i][:1] in ("\x02", "\x03")]
-        rest = []
-        line = self.merged("", chr(_CHARACTERS[10]))
-        for i in new:
-            w = parts[i]
-            if _letters(w):
-                out[i] = self.merged(w, _SPACE)
-            elif w[:1] == "\n" and _letters(w[1:]):
-                out[i] = line + self.merged(w[1:])
-            elif w[:1] not in ("\x02", "\x03"):
-                rest.append(i)
-        found = self.whole([parts[i][1:] for i in alone]) + self.words([w if (w := parts[i])[:1] == "\n" else " " + w for i in rest])
-        for i, ids in zip(alone + rest, found, strict=True):
-            out[i] = ids
-        young.update((parts[i], out[i]) for i in at if len(parts[i]) <= LONGEST)
-        return out
+    def of_parts(self, parts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Lists of ids, the number of each one's ids, and which of them is that of each of the distinct parts."""
+        letters = pc.match_substring_regex(parts, _WORD).to_numpy(zero_copy_only=False)
+        heads, others, found, texts = [], [], [], []
+        rest = parts.filter(pa.array(~letters)).to_numpy(zero_copy_only=False).tolist()
+        for i, w in zip(np.flatnonzero(~letters).tolist(), rest, strict=True):
+            if w[:1] == "\x03":
+                heads.append(i)
+                found.append(w[1:])
+            else:
+                others.append(i)
+                texts.append(w if w[:1] == "\n" else " " + w)
+        ids, sizes = self.lettered(parts.filter(pa.array(letters)))
+        more = self.whole(found) + self.words(texts)
+        sizes = np.append(sizes, np.fromiter(map(len, more), np.int64, len(more)) // 4)
+        ids = np.append(ids, np.frombuffer(b"".join(more), "<u4"))
+        place = np.zeros(len(parts), np.int64)
+        place[np.append(np.flatnonzero(letters), np.array(heads + others, np.int64))] = np.arange(len(parts))
+        return pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes))), pa.array(ids)), sizes, place
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.cut(t) for t in texts]
@@ -158,13 +166,12 @@ class Encoder:
         flat = lists.flatten().dictionary_encode()
         if not len(flat):
             return list(odd)
-        ids = self.of_parts(flat.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        table = pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes))), pa.array(np.frombuffer(b"".join(ids), "<u4")))
-        every = table.take(flat.indices).flatten().to_numpy()
+        table, sizes, place = self.of_parts(flat.dictionary)
+        at = place[flat.indices.to_numpy()]
+        every = table.take(pa.array(at)).flatten().to_numpy()
         # Where each text ends, in parts and then in ids.
-        ends = np.append(0, np.cumsum(sizes[flat.indices.to_numpy()]))[lists.offsets.to_numpy()]
-        raw, stops = every.astype("<u4").tobytes(), (4 * ends).tolist()
+        ends = np.append(0, np.cumsum(sizes[at]))[lists.offsets.to_numpy()]
+        raw, stops = every.astype("<u4", copy=False).tobytes(), (4 * ends).tolist()
         known = iter([raw[a:b] for a, b in zip(stops, stops[1:])])
         return [next(odd) if c is None else next(known) for c in cut]
 
@@ -303,7 +310,7 @@ def pack_documents(
         packer = Packer(capacity, max_segments, max_loss, TaskContext.get().partitionId() << 32)
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
-            for part in slices(batch, 1, 1 << 20):
+            for part in slices(batch, 1, TOGETHER):
                 doc_id, text, loss_tokens = (c.to_pylist() for c in part.columns)
                 for d, ids, n in zip(doc_id, encoder.encode([t or "" for t in text]), loss_tokens, strict=True):
                     ids += end

@@ -304,6 +304,23 @@ def test_encoder_gives_the_ids_of_tokenizers(texts):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_parts_of_letters_are_left_to_the_merges_alone(monkeypatch):
+    from tokenizers import Tokenizer
+
+    tokenizer, encoder = Tokenizer.from_file(public_tokenizers.path(BPE)), packing.Encoder(public_tokenizers.path(BPE))
+    texts = ["Größe, naïve ɏ: wörter!\nÉté; straße? ªµº.", "plain words,\nand more. End", "it é\nx"]
+    others = ["a\xa0b  c\td é", "é\u3000x y, z", "日本 語, é", "x\n\ny é,. é,", "\x03é a", "", "é\x85 a\n"]
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts + others]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts + others)] == expected
+
+    def none(words):
+        assert not words
+        return []
+
+    monkeypatch.setattr(encoder, "words", none)
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == expected[: len(texts)]
+
+
 def test_short_documents_need_no_padding(spark):
     df = spark.createDataFrame([(i, "one two three four five six") for i in range(1000)] + [(None, None), (7, "one two three four five six")], "doc_id long, text string")
     pieces = packing.pack_documents(df, public_tokenizers.path(BPE), prompt_share=0.25, max_loss=700).toPandas()

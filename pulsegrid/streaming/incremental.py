@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,56 +83,42 @@ def recordings(df: DataFrame, key: str, ts: str, limit_s: float, ends_after_s: f
     begins the recording anew. Samples of a batch are put in order; those older than the state count but give no pause, and
     null times are left out.
     """
-    from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
     kind, column = dict(df.dtypes)[key], key
     micros, wait = int(limit_s * 1e6), int(ends_after_s * 1000)
 
-    class Recording(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.handle = handle
-            self.state = handle.getValueState("recording", "last long, n long")
-
-        def row(self, k: tuple, what: str, at: list[int], gap: list[float | None], n: int) -> pd.DataFrame:
-            times = pd.to_datetime(pd.Series(at, dtype="int64"), unit="us")
-            return pd.DataFrame({column: [k[0]] * len(at), "kind": what, "at": times, "gap_s": pd.Series(gap, dtype="float64"), "n_samples": n})
-
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
-            last, n = self.state.get() if self.state.exists() else (None, 0)
-            # Whole milliseconds are what timers count in, so one a millisecond late at most.
-            if last is not None:
-                self.handle.deleteTimer(-(-last // 1000) + wait)
-            times = pd.concat([p[ts] for p in rows]).dropna().sort_values().astype("datetime64[us]").astype("int64").tolist()
-            begins, gaps = [], []
-            for t in times:
-                if last is not None and t - last > micros:
-                    begins.append(last)
-                    gaps.append((t - last) / 1e6)
-                last = t if last is None else max(last, t)
-            n += len(times)
-            if last is not None:
-                self.state.update((last, n))
-                self.handle.registerTimer(-(-last // 1000) + wait)
-            if gaps:
-                yield self.row(key, "gap", begins, gaps, n)
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
-            if self.state.exists():
-                last, n = self.state.get()
-                self.state.clear()
-                yield self.row(key, "ended", [last], [None], n)
-
-        def close(self) -> None:
-            pass
-
-    # State of this kind is kept in RocksDB.
+    def rows_of(k: tuple, what: str, at: list[int], gap: list[float | None], n: int) -> pd.DataFrame:
+        times = pd.to_datetime(pd.Series(at, dtype="int64"), unit="us")
+        return pd.DataFrame({column: [k[0]] * len(at), "kind": what, "at": times, "gap_s": pd.Series(gap, dtype="float64"), "n_samples": n})
+
+    def step(k: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, n = state.get if state.exists else (None, 0)
+        if state.hasTimedOut:
+            state.remove()
+            yield rows_of(k, "ended", [last], [None], n)
+            return
+        times = np.sort(np.concatenate([p[ts].dropna().to_numpy("datetime64[us]").astype(np.int64) for p in parts]))
+        begins, gaps = [], []
+        if len(times):
+            # What came before each: the latest so far, of the state too.
+            before = np.append(times[0] if last is None else last, np.maximum(times[:-1], times[0] if last is None else last))
+            wide = times - before > micros
+            begins, gaps = before[wide].tolist(), ((times - before)[wide] / 1e6).tolist()
+            last, n = int(times[-1] if last is None else max(last, times[-1])), n + len(times)
+        if last is not None:
+            state.update((last, n))
+            # Whole milliseconds are what timeouts count in, so one a millisecond late at most; they lie beyond the watermark.
+            state.setTimeoutTimestamp(max(-(-last // 1000) + wait, state.getCurrentWatermarkMs() + 1))
+        if gaps:
+            yield rows_of(k, "gap", begins, gaps, n)
+
+    # State of many recordings is kept in RocksDB, not in memory.
     df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     rows = df.select(key, ts).withWatermark(ts, late).groupBy(key)
     schema = f"{key} {kind}, kind string, at timestamp, gap_s double, n_samples long"
-    return rows.transformWithStateInPandas(Recording(), outputStructType=schema, outputMode="append", timeMode="EventTime")
+    return rows.applyInPandasWithState(step, schema, "last long, n long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def states(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The state that ``recordings`` holds after its last batch: key, last, n."""
-    found = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "recording").load()
-    return found.select(F.col("key").getField(found.schema["key"].dataType.names[0]).alias("key"), "value.last", "value.n")
+    found = spark.read.format("statestore").option("path", checkpoint).load()
+    return found.select(F.col("key").getField(found.schema["key"].dataType.names[0]).alias("key"), "value.groupState.last", "value.groupState.n")

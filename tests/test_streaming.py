@@ -94,3 +94,20 @@ def test_state_ends_with_the_recording(spark, tmp_path):
     run()
     assert sorted((r.key, r.n) for r in inc.states(spark, check).collect()) == [("c", 2)]
     assert sorted((r.k, r.n_samples) for r in spark.read.parquet(target).collect() if r.kind == "ended") == [("a", 4), ("b", 1), ("b", 1)]
+
+
+def test_the_state_of_recordings_comes_with_their_rows(spark, tmp_path):
+    """No call for each state and timer: 300 recordings in a batch, with samples older than the state, null times and a null key."""
+    source, target, check = (str(tmp_path / x) for x in ("in", "out", "check"))
+    put(spark, source, [(f"r{i}", 10, 0) for i in range(300)] + [(None, 10, 0)])
+    df = inc.recordings(inc.files(spark, source, SCHEMA), "k", "ts", 5.0, 60.0)
+    assert "FlatMapGroupsInPandasWithState" in df._jdf.queryExecution().logical().toString()
+    inc.run_available(df, target, check)
+    put(spark, source, [(f"r{i}", s, 0) for i in range(300) for s in (9.5, 12, 30)] + [(None, 30, 0)])
+    inc.run_available(df, target, check)
+    spark.createDataFrame([("r0", None, 0.0), ("new", None, 0.0)], SCHEMA).write.mode("append").parquet(source)
+    inc.run_available(df, target, check)
+    n = {r.key: r.n for r in inc.states(spark, check).collect()}
+    assert n == {None: 2} | {f"r{i}": 4 for i in range(300)}
+    got = spark.read.parquet(target).collect()
+    assert sorted(r.gap_s for r in got) == [18.0] * 300 + [20.0] and {r.kind for r in got} == {"gap"}

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import id_and_text, materialize, maybe_broadcast, slices, table_path
+from pulsegrid.llm.common import few_rows, id_and_text, materialize, maybe_broadcast, release, slices, table_path
 
 #: Bytes of text that one bucket holds before the directory doubles, and that one owner compares at a time.
 BUCKET_BYTES = 8 << 20
@@ -45,6 +45,7 @@ def _keys(key_of):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).cast(pa.int64()), pa.array(key, pa.int64()), pa.array(size, pa.int64()), pa.array(sha)], schema=out
                 )
+        release()
 
     return run
 
@@ -59,6 +60,7 @@ def _texts(key_of):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).cast(pa.int64()), pa.array([key_of(b) for b in raw], pa.int64()), pa.array(raw, pa.binary())], schema=out
                 )
+        release()
 
     return run
 
@@ -155,7 +157,7 @@ def exact_duplicates(
     owners = _owners(F.col("n"), F.col("size"), bucket_bytes)
     depth, slots = directory(shared.select("key", F.ceil(F.col("size") / owners).cast("long").alias("n_bytes")), bucket_bytes)
     slot = F.shiftrightunsigned(F.col("key"), 64 - depth) if depth else F.lit(0).cast("long")
-    pointers = docs.sparkSession.createDataFrame(list(enumerate(slots)), "slot long, bucket long")
+    pointers = few_rows(docs.sparkSession, slot=list(range(len(slots))), bucket=slots)
     wanted = shared.select("key", owners.alias("owners"), slot.alias("slot"))
     wanted = wanted.join(maybe_broadcast(pointers, len(slots), 16), "slot").drop("slot")
     texts = source.mapInArrow(_texts(key_of), "doc_id long, key long, content binary")

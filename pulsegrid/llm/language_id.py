@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import materialize, maybe_broadcast, release, slices
+from pulsegrid.llm.common import few_rows, materialize, maybe_broadcast, release, slices
 
 #: The model is fitted on about so many documents at most, chosen by a hash of their ids; every language has its share.
 MAX_TRAIN_DOCS = 20_000
@@ -274,9 +274,8 @@ def fit(
         for i, x in enumerate(sorted(total, key=total.get)):
             share[x] = min(total[x], max(1, left // (len(total) - i)))
             left -= share[x]
-        least = [(x, int(share[x] / total[x] * (1 << 30))) for x in share]
-        shares = docs.sparkSession.createDataFrame(least, "lang string, share long")
-        rows = rows.join(maybe_broadcast(shares, len(least), 64), "lang")
+        shares = few_rows(docs.sparkSession, lang=list(share), share=[int(share[x] / total[x] * (1 << 30)) for x in share])
+        rows = rows.join(maybe_broadcast(shares, len(share), 64), "lang")
         rows = rows.where(F.pmod(F.xxhash64("doc_id", "text", F.lit("train")), F.lit(1 << 30)) < F.col("share"))
 
     def count(batches):
@@ -288,6 +287,7 @@ def fit(
                 flat = [(lang, w, n) for lang, c in seen.items() for w, n in c.items()]
                 lang, word, n = zip(*flat, strict=True) if flat else ((), (), ())
                 yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(word, pa.binary()), pa.array(n, pa.int64())], ["lang", "word", "n"])
+        release()
 
     counts = rows.select("text", "lang").mapInArrow(count, "lang string, word binary, n long")
     counts = materialize(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")

@@ -1,13 +1,16 @@
 """The pipeline on the smallest tables: each stage against a brute-force version of its decision."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-pytest.importorskip("public_tokenizers")
+public_tokenizers = pytest.importorskip("public_tokenizers")
 
 import corpus_pipeline
+from pulsegrid.llm import exact_dedup, language_id
 from pulsegrid.llm.common import words_of
 from pulsegrid.llm.exact_dedup import normalise
+from pulsegrid.llm.queries import PIECES
 
 
 def test_stages(spark, sf_dir):
@@ -85,3 +88,32 @@ def test_rejected_and_leaking_rows_leave_others_of_their_id(spark, sf_dir):
     kept = rows_of(corpus_pipeline.identify_language(spark, docs.unionByName(odd), sf_dir).where("doc_id is null or doc_id > 900000"))
     assert {(None, good[0]), (900001, good[1])} <= set(kept) and not [t for _, t in kept if "!!" in t]
     assert rows_of(corpus_pipeline.drop_leaks(spark, odd.where(~odd.text.contains("!!")), sf_dir)) == sorted([(None, good[0]), (900001, good[1])], key=str)
+
+
+def test_workers_get_texts_in_small_batches(spark, sf_dir):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["size"])
+
+    long = spark.range(0, 6000, 1, 1).selectExpr("id doc_id", "repeat('x', 2000) text")
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(key)
+        with pytest.raises(AttributeError):  # the setting comes first
+            stage(spark, None, sf_dir)
+        got = [r["size"] for r in long.mapInArrow(sizes, "size long").collect()]
+        assert sum(got) > 12_000_000 and max(got) < 5 << 20
+    spark.conf.set(key, "1m")
+    corpus_pipeline.pack(spark, long.limit(1), "")
+    assert spark.conf.get(key) == "1m"
+    spark.conf.unset(key)
+
+
+def test_small_tables_start_no_workers_of_another_kind(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word of text {i // 2}", ["de", "en"][i % 2]) for i in range(40)], "doc_id long, text string, lang string")
+    made, create = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **b: made.append(type(data)) or create(self, data, *a, **b))
+    assert exact_dedup.exact_duplicates(docs).where("group_size = 2").count() == 40
+    assert language_id.fit(docs, public_tokenizers.path(PIECES), max_docs=10).languages == ["de", "en"]
+    assert made == [pa.Table, pa.Table]
